@@ -1,0 +1,55 @@
+"""Joins against small derived tables, broadcast only behind a size check.
+
+The dimension side (sensor ranges, device tags, calibration intervals) is
+small in practice but grows with the number of devices, so its size is
+measured before it is broadcast.  Above the bound the join is left to a
+shuffle join, where adaptive execution splits skewed partitions of the big
+side (``spark.sql.adaptive.skewJoin.enabled``), so a hot sensor does not end
+up in one task.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast when it has at most this many rows and its
+# estimated size stays below the byte bound (well under executor memory).
+MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+# Width assumed per value when estimating a row; variable-width values
+# (strings, maps, arrays) are counted at a generous fixed width.
+_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "int": 4, "float": 4,
+          "date": 4, "long": 8, "bigint": 8, "double": 8, "timestamp": 8,
+          "timestamp_ntz": 8}
+_VAR_WIDTH = 64
+
+
+def _row_bytes(df: DataFrame) -> int:
+    return 16 + sum(_WIDTH.get(f.dataType.simpleString(), _VAR_WIDTH)
+                    for f in df.schema.fields)
+
+
+def checked_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                  max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Persist ``small``, count it (bounded by ``max_rows + 1``) and say
+    whether it may be broadcast.  The persisted copy is what the join reads,
+    so the side is computed once.  Persisted blocks lost with an executor are
+    recomputed from lineage."""
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    n = small.limit(max_rows + 1).count()
+    ok = n <= max_rows and n * _row_bytes(small) <= max_bytes
+    return small, ok
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column,
+               how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS,
+               max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``big.join(small, on, how)`` with ``small`` broadcast when measured small."""
+    small, ok = checked_small(small, max_rows, max_bytes)
+    return big.join(F.broadcast(small) if ok else small, on, how)
