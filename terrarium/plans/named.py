@@ -11,11 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from terrarium.operators import clean, derive
+from terrarium.functions import expr as X
+from terrarium.operators import calibrate, clean, derive, ingest
 from terrarium.operators.rollup import rollup
 from terrarium.plans import fixture as FX
 from terrarium.session import ensure_utc
+from terrarium.sources import events as EV
+from terrarium.sources import landing
 from terrarium.sources.events import load, readings_from_events
+from terrarium.sources.log import decode
 
 
 def rounded(df: DataFrame, digits: int = FX.DIGITS) -> DataFrame:
@@ -99,6 +103,90 @@ def q_temperatures_10min(spark, sf_dir):
     return rounded(rollup(temperatures_df(spark, sf_dir), ["temperature_f"], ["sensor"]))
 
 
+def _events(spark, sf_dir):
+    ensure_utc(spark)
+    return load(spark, sf_dir, "events")
+
+
+def _payloads(spark, sf_dir):
+    return EV.payloads_from_events(_events(spark, sf_dir), FX.SIGNING_KEY, FX.WRONG_KEY)
+
+
+def q_enrich_readings(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    accepted, _ = ingest.enrich(EV.payloads_from_events(ev, FX.SIGNING_KEY, FX.WRONG_KEY),
+                                EV.tags_from_events(ev), FX.SIGNING_KEY)
+    return rounded(accepted.select(
+        "event_id", "timestamp", "sensor", "mac", "temperature_c", "temperature_f",
+        "humidity", "grams", "stddev", "clear", "red", "git_hash",
+        X.tag("user").alias("tag_user"), X.tag("plant").alias("tag_plant"),
+        X.tag("source").alias("tag_source")))
+
+
+def q_signature_check(spark, sf_dir):
+    return _payloads(spark, sf_dir).select(
+        "event_id", ingest.signature_ok(FX.SIGNING_KEY).alias("valid"))
+
+
+def q_sensor_channel(spark, sf_dir):
+    r = ingest.decode_body(_payloads(spark, sf_dir))
+    sid = X.sensor_id(F.col("sensor"))
+    return r.select("event_id", sid.alias("sensor"), X.mac(sid).alias("mac"),
+                    X.channel(sid).alias("channel"))
+
+
+def q_parse_timestamps(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    ts = F.col("ts")
+    text = X.reading_time_text(ts)
+    zoned = F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit(" -0800"))
+    return ev.select(
+        "event_id", text.alias("text"),
+        X.parse_ts(text, ntz=True).alias("parsed"),
+        X.parse_ts_any(zoned).cast("timestamp_ntz").alias("parsed_zoned"),
+        X.format_ts(ts.cast("timestamp")).alias("formatted"),
+        X.to_millis(ts).alias("epoch_ms"),
+        X.epoch_ts(F.unix_seconds(ts.cast("timestamp"))).cast("timestamp_ntz").alias("from_sec"))
+
+
+def q_json_project(spark, sf_dir):
+    good, _ = decode(EV.log_from_events(_events(spark, sf_dir)), ntz=True)
+    return good.select("topic", "partition", "offset", "timestamp", "sensor", "grams",
+                       "stddev", "temperature_c", X.tag("plant").alias("plant"),
+                       X.tag("user").alias("user"))
+
+
+def q_landed_lines(spark, sf_dir):
+    out = landing.scale_lines(EV.lines_from_events(_events(spark, sf_dir)))
+    return rounded(out.select("event_id", "line", "number", "weight", "grams"))
+
+
+def q_onewire_payload(spark, sf_dir):
+    out = landing.onewire(EV.onewire_from_events(_events(spark, sf_dir)))
+    return rounded(out.select("event_id", "sensor", "temperature_c", "temperature_f"))
+
+
+def q_observation_payload(spark, sf_dir):
+    out = landing.observations(EV.observations_from_events(_events(spark, sf_dir)))
+    return out.select("event_id", "sensor", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                      "temp_c", "station_id")
+
+
+def _burst_stats(spark, sf_dir):
+    return calibrate.burst_stats(EV.bursts_from_events(_events(spark, sf_dir)))
+
+
+def q_burst_stats(spark, sf_dir):
+    return rounded(_burst_stats(spark, sf_dir))
+
+
+def q_calibrated_weight(spark, sf_dir):
+    stats = _burst_stats(spark, sf_dir).withColumnRenamed("reading_ts", "timestamp")
+    cal = EV.calibrations_from_events(_events(spark, sf_dir))
+    out = calibrate.calibrated(stats, cal)
+    return rounded(out.select("sensor", "timestamp", "raw", "zero", "one_kg", "grams"))
+
+
 QUERIES = {
     "weights": q_weights,
     "weights_10min": q_weights_10min,
@@ -112,4 +200,14 @@ QUERIES = {
     "evaporation_10min": q_evaporation_10min,
     "temperatures": q_temperatures,
     "temperatures_10min": q_temperatures_10min,
+    "enrich_readings": q_enrich_readings,
+    "signature_check": q_signature_check,
+    "sensor_channel": q_sensor_channel,
+    "parse_timestamps": q_parse_timestamps,
+    "json_project": q_json_project,
+    "landed_lines": q_landed_lines,
+    "onewire_payload": q_onewire_payload,
+    "observation_payload": q_observation_payload,
+    "burst_stats": q_burst_stats,
+    "calibrated_weight": q_calibrated_weight,
 }

@@ -117,3 +117,173 @@ SQL = {
                     f"{_r(['temperature_c', 'temperature_f'])} FROM temps",
     "temperatures_10min": f"WITH {TEMPS} {_rollup('temps', ['temperature_f'], ['sensor'])}",
 }
+
+
+# ---------------------------------------------------------------------------
+# Device inputs derived from events
+# ---------------------------------------------------------------------------
+
+from terrarium.functions.expr import hmac_sql  # noqa: E402
+
+EV = f"""
+e AS (
+  SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+         lower(printf('%012x', user_id)) AS hex12,
+         {_mac_sql()} AS cmac,
+         CASE WHEN event_type = 'purchase' THEN 'dht' WHEN event_type = 'signup' THEN 'rbg'
+              ELSE 'weight' END AS ch
+  FROM events
+)"""
+
+PAYLOADS = f"""{EV},
+b AS (
+  SELECT event_id, event_type, k,
+    '{{"sensor":"' || cmac || '-' || ch || '"' ||
+    CASE WHEN k >= 10 THEN ',"sec":' || (epoch_us(ts) // 1000000) || ',"usec":' || (epoch_us(ts) % 1000000)
+         ELSE ',"timestamp":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || ' -0000"' END ||
+    CASE WHEN ch = 'dht' THEN ',"temperature_c":' ||
+              (CASE WHEN k % 2 = 0 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)
+                    ELSE printf('%.2f', value) END) || ',"humidity":' || k
+         WHEN ch = 'rbg' THEN ',"clear":' || k || ',"red":' || (k * 2)
+         ELSE ',"grams":' || printf('%.2f', 190.0::DOUBLE + 2 * value) || ',"stddev":' || (k * 3) END ||
+    CASE WHEN event_type = 'signup' THEN ',"tags":{{"source":"device"}}' ELSE '' END ||
+    ',"git_hash":"f1"}}' AS signed_body
+  FROM e
+),
+pay AS (
+  SELECT event_id,
+    CASE WHEN k BETWEEN 3 AND 5 THEN replace(signed_body, '"git_hash":"f1"', '"git_hash":"f2"')
+         ELSE signed_body END AS body,
+    CASE WHEN k < 3 THEN ''
+         WHEN event_type = 'error' THEN {hmac_sql('signed_body', FX.WRONG_KEY)}
+         ELSE {hmac_sql('signed_body', FX.SIGNING_KEY)} END AS signature
+  FROM b
+),
+checked AS (
+  SELECT *, coalesce(lower(signature) = {hmac_sql('body', FX.SIGNING_KEY)}, false) AS valid FROM pay
+)"""
+
+ENRICH = f"""{PAYLOADS},
+dim AS (
+  SELECT lower(printf('%012x', user_id)) AS dmac, 'u' || user_id AS d_user, 'plant-' || min(k) AS d_plant
+  FROM e GROUP BY user_id
+  HAVING max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) = 1
+),
+parsed AS (
+  SELECT event_id,
+    CAST(json_extract(body, '$.sec') AS BIGINT) AS sec,
+    json_extract_string(body, '$.timestamp') AS ts_text,
+    replace(json_extract_string(body, '$.sensor'), ':', '') AS sensor,
+    CAST(json_extract(body, '$.temperature_c') AS DOUBLE) AS temperature_c,
+    CAST(json_extract(body, '$.humidity') AS DOUBLE) AS humidity,
+    CAST(json_extract(body, '$.grams') AS DOUBLE) AS grams,
+    CAST(json_extract(body, '$.stddev') AS DOUBLE) AS stddev,
+    CAST(json_extract(body, '$.clear') AS DOUBLE) AS clear,
+    CAST(json_extract(body, '$.red') AS DOUBLE) AS red,
+    json_extract_string(body, '$.git_hash') AS git_hash,
+    json_extract_string(body, '$.tags.user') AS own_user,
+    json_extract_string(body, '$.tags.plant') AS own_plant,
+    json_extract_string(body, '$.tags.source') AS own_source
+  FROM checked WHERE valid
+)"""
+
+CALIB = f"""{EV},
+bursts AS (
+  SELECT sensor, reading_ts, i, value * 100 + ((k * (i + 3)) % 17) - 8 AS v
+  FROM (SELECT hex12 || '-weight' AS sensor, ts AS reading_ts, value, k,
+               unnest(range(0, k % 10 + 1)) AS i
+        FROM e WHERE event_type IN ('view', 'click', 'error')) x
+),
+stats AS (
+  SELECT sensor, reading_ts, count(v) AS n, avg(v) AS raw,
+         CASE WHEN count(v) > 2 THEN sqrt(var_pop(v) * count(v) / (count(v) - 2)) END AS stddev
+  FROM bursts GROUP BY sensor, reading_ts
+),
+cal AS (
+  SELECT hex12 || '-weight' AS sensor,
+         CASE WHEN event_type = 'signup' THEN 'zero' ELSE '1kg' END AS point, ts,
+         CASE WHEN event_type = 'signup' THEN value * 10 ELSE value * 10 + 1000 END AS raw
+  FROM e WHERE event_type IN ('signup', 'purchase')
+),
+z AS (SELECT sensor, ts, raw AS zero FROM cal WHERE point = 'zero'),
+o AS (SELECT sensor, ts, raw AS one_kg FROM cal WHERE point = '1kg'),
+cw AS (
+  SELECT s.sensor, s.reading_ts AS "timestamp", s.raw,
+         coalesce(z.zero, 1000.0::DOUBLE) AS zero, coalesce(o.one_kg, 1000.0::DOUBLE) AS one_kg
+  FROM stats s
+  ASOF LEFT JOIN z ON s.sensor = z.sensor AND s.reading_ts >= z.ts
+  ASOF LEFT JOIN o ON s.sensor = o.sensor AND s.reading_ts >= o.ts
+)"""
+
+NL = "chr(10)"
+_F = "(1.27::DOUBLE - -39.75::DOUBLE - 0.25::DOUBLE)"
+
+SQL.update({
+    "enrich_readings": f"""WITH {ENRICH}
+SELECT p.event_id,
+  CASE WHEN sec IS NOT NULL THEN strftime(make_timestamp(sec * 1000000), '%Y-%m-%d %H:%M:%S') || ' -0000'
+       ELSE ts_text END AS "timestamp",
+  sensor, substr(sensor, 1, 12) AS mac,
+  round(temperature_c, {D}) AS temperature_c,
+  round(temperature_c * 9.0 / 5.0 + 32.0, {D}) AS temperature_f,
+  round(humidity, {D}) AS humidity, round(grams, {D}) AS grams, round(stddev, {D}) AS stddev,
+  round(clear, {D}) AS clear, round(red, {D}) AS red, git_hash,
+  CASE WHEN d.dmac IS NOT NULL THEN d.d_user ELSE own_user END AS tag_user,
+  CASE WHEN d.dmac IS NOT NULL THEN d.d_plant ELSE own_plant END AS tag_plant,
+  CASE WHEN d.dmac IS NOT NULL THEN NULL ELSE own_source END AS tag_source
+FROM parsed p LEFT JOIN dim d ON substr(p.sensor, 1, 12) = d.dmac""",
+    "signature_check": f"WITH {PAYLOADS} SELECT event_id, valid FROM checked",
+    "sensor_channel": f"""WITH {PAYLOADS}
+SELECT event_id, s AS sensor, substr(s, 1, 12) AS mac, split_part(s, '-', 2) AS channel
+FROM (SELECT event_id, replace(json_extract_string(body, '$.sensor'), ':', '') AS s FROM pay) x""",
+    "parse_timestamps": """SELECT event_id,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') || ' -0000' AS text,
+  strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS parsed,
+  timezone('UTC', strptime(strftime(ts, '%Y-%m-%d %H:%M:%S') || ' -0800', '%Y-%m-%d %H:%M:%S %z')) AS parsed_zoned,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') || ' +0000' AS formatted,
+  epoch_us(ts) // 1000 AS epoch_ms,
+  make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS from_sec
+FROM events""",
+    "json_project": f"""WITH {READINGS}
+SELECT 'readings' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition",
+  row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset",
+  "timestamp", sensor, grams, stddev, temperature_c, tag_plant AS plant, tag_user AS "user"
+FROM readings""",
+    "landed_lines": f"""WITH l AS (
+  SELECT event_id, CASE WHEN event_type = 'error' THEN printf('%.2f', value)
+                        WHEN event_type = 'signup' THEN 'x,kg'
+                        ELSE printf('%.2f', value) || ',kg' END AS line
+  FROM events),
+n AS (SELECT event_id, line, TRY_CAST(trim(string_split(line, ',')[1]) AS DOUBLE) AS number
+      FROM l WHERE len(string_split(line, ',')) > 1)
+SELECT event_id, line, round(number, {D}) AS number,
+  round((number + {_F}) * 1000.0 + 1.6, {D}) AS weight,
+  round((number + {_F}) * 1000.0 + 1.6, {D}) AS grams
+FROM n""",
+    "onewire_payload": f"""WITH {EV},
+w AS (
+  SELECT event_id, '28-' || hex12 AS sensor,
+    '4b 46 7f ff 0c 10 1c : crc=1c ' || CASE WHEN k >= 10 THEN 'YES' ELSE 'NO' END || {NL} ||
+    '4b 46 7f ff 0c 10 1c t=' ||
+    (CAST(round(value * 1000) AS BIGINT) * CASE WHEN event_type = 'error' THEN -1 ELSE 1 END) || {NL}
+    AS payload
+  FROM e),
+t AS (
+  SELECT event_id, sensor,
+    TRY_CAST(regexp_extract(trim(split_part(payload, {NL}, 2)), 't=(-?[0-9]+)$', 1) AS INTEGER) / 1000.0::DOUBLE
+      AS temperature_c
+  FROM w WHERE rtrim(split_part(payload, {NL}, 1)) LIKE '%YES')
+SELECT event_id, sensor, round(temperature_c, {D}) AS temperature_c,
+  round(temperature_c * 9.0 / 5.0 + 32.0, {D}) AS temperature_f
+FROM t WHERE temperature_c IS NOT NULL""",
+    "observation_payload": """SELECT event_id, 'station-' || event_type AS sensor,
+  timezone('UTC', strptime(strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' -0800', '%a, %d %b %Y %H:%M:%S %z')) AS "timestamp",
+  CAST(printf('%.2f', value) AS DOUBLE) AS temp_c, 'S' || user_id AS station_id
+FROM events""",
+    "burst_stats": f"""WITH {CALIB}
+SELECT sensor, reading_ts, n, round(raw, {D}) AS raw, round(stddev, {D}) AS stddev FROM stats""",
+    "calibrated_weight": f"""WITH {CALIB}
+SELECT sensor, "timestamp", round(raw, {D}) AS raw, round(zero, {D}) AS zero, round(one_kg, {D}) AS one_kg,
+  round((raw - zero) * 1000.0 / nullif(one_kg - zero, 0), {D}) AS grams
+FROM cw""",
+})
