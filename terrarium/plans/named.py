@@ -19,7 +19,9 @@ from terrarium.session import ensure_utc
 from terrarium.sources import events as EV
 from terrarium.sources import landing
 from terrarium.sources.events import load, readings_from_events
-from terrarium.sources.log import decode
+from terrarium.sources.log import compacted, decode, latest_by_key, to_records
+from terrarium.operators import serve
+from terrarium.operators.rollup import window_col
 
 
 def rounded(df: DataFrame, digits: int = FX.DIGITS) -> DataFrame:
@@ -187,6 +189,70 @@ def q_calibrated_weight(spark, sf_dir):
     return rounded(out.select("sensor", "timestamp", "raw", "zero", "one_kg", "grams"))
 
 
+SNAPSHOT_SINCE = "2024-01-15 00:00:00"
+ROLLUP_TOPIC = "weights-10min"
+
+
+def rollup_log(weights: DataFrame) -> DataFrame:
+    """A keyed change log like the one the weights rollup writes: every
+    cleaned weight emits its window's record (key = window start + sensor),
+    so the newest record per key is the window's last reading.  One key
+    stays in one log partition (window index mod 4)."""
+    w = weights.select("event_id", "timestamp", "sensor", "grams",
+                       window_col("timestamp", "10 minutes").start.alias("start"))
+    framed = w.select("event_id", F.col("start").alias("timestamp"), "sensor", "grams",
+                      F.col("timestamp").alias("_logged"))
+    part = F.pmod(F.floor(F.unix_seconds(F.col("timestamp").cast("timestamp")) / 600), F.lit(4))
+    return to_records(framed, ROLLUP_TOPIC, part, ["event_id"], F.col("_logged"),
+                      key_cols=["timestamp", "sensor"],
+                      value_cols=["timestamp", "sensor", "grams"],
+                      time_text=X.format_ts(F.col("timestamp").cast("timestamp")))
+
+
+def _served(df: DataFrame) -> DataFrame:
+    text = F.col("value")
+    return df.select("topic", "key", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                     F.get_json_object(text, "$.sensor").alias("sensor"),
+                     F.get_json_object(text, "$.grams").cast("double").alias("grams"))
+
+
+def q_snapshot_since(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    log = EV.log_from_events(ev).unionByName(rollup_log(weights_df(spark, sf_dir)))
+    since = F.lit(SNAPSHOT_SINCE).cast("timestamp")
+    return _served(serve.snapshot(log, ["readings", ROLLUP_TOPIC], since=since))
+
+
+def q_latest_by_key(spark, sf_dir):
+    recs = rollup_log(weights_df(spark, sf_dir))
+    latest = latest_by_key(recs, ["topic", "key"], ["offset"])
+    text = F.col("value").cast("string")
+    return latest.select(
+        F.col("key").cast("string").alias("key"), "partition", "offset",
+        X.parse_ts_any(F.get_json_object(text, "$.timestamp")).cast("timestamp_ntz").alias("timestamp"),
+        F.get_json_object(text, "$.sensor").alias("sensor"),
+        F.get_json_object(text, "$.grams").cast("double").alias("grams"))
+
+
+def q_series_points(spark, sf_dir):
+    return serve.series_points(weights_df(spark, sf_dir), "sensor", "timestamp", "grams")
+
+
+def q_series_distinct(spark, sf_dir):
+    return serve.series_distinct(weights_df(spark, sf_dir), "sensor")
+
+
+def q_y_range(spark, sf_dir):
+    return serve.y_range(weights_df(spark, sf_dir), "grams")
+
+
+def q_export_rows(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    accepted, _ = ingest.enrich(EV.payloads_from_events(ev, FX.SIGNING_KEY, FX.WRONG_KEY),
+                                EV.tags_from_events(ev), FX.SIGNING_KEY)
+    return serve.export_rows(accepted.where(F.col("temperature_c").isNotNull()))
+
+
 QUERIES = {
     "weights": q_weights,
     "weights_10min": q_weights_10min,
@@ -210,4 +276,10 @@ QUERIES = {
     "observation_payload": q_observation_payload,
     "burst_stats": q_burst_stats,
     "calibrated_weight": q_calibrated_weight,
+    "snapshot_since": q_snapshot_since,
+    "latest_by_key": q_latest_by_key,
+    "series_points": q_series_points,
+    "series_distinct": q_series_distinct,
+    "y_range": q_y_range,
+    "export_rows": q_export_rows,
 }

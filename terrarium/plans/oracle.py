@@ -287,3 +287,48 @@ SELECT sensor, "timestamp", round(raw, {D}) AS raw, round(zero, {D}) AS zero, ro
   round((raw - zero) * 1000.0 / nullif(one_kg - zero, 0), {D}) AS grams
 FROM cw""",
 })
+
+
+# ---------------------------------------------------------------------------
+# Log, snapshot and serving
+# ---------------------------------------------------------------------------
+
+SINCE = "2024-01-15 00:00:00"
+
+_START_TXT = "strftime(start, '%Y-%m-%d %H:%M:%S') || ' +0000'"
+KEYED = f"""{WEIGHTS},
+klog AS (
+  SELECT event_id, start, sensor, grams, "timestamp" AS logged,
+    CASE WHEN sensor IS NULL THEN '{{"timestamp":"' || {_START_TXT} || '"}}'
+         ELSE '{{"timestamp":"' || {_START_TXT} || '","sensor":"' || sensor || '"}}' END AS key,
+    CAST((epoch_us(start) // 600000000) % 4 AS INTEGER) AS "partition"
+  FROM (SELECT *, time_bucket(INTERVAL '10 minutes', "timestamp") AS start FROM weights) w
+),
+klog_n AS (
+  SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY event_id) - 1 AS "offset" FROM klog
+)"""
+
+SQL.update({
+    "latest_by_key": f"""WITH {KEYED}
+SELECT key, "partition", "offset", start AS "timestamp", sensor, grams
+FROM klog_n QUALIFY row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) = 1""",
+    "snapshot_since": f"""WITH {KEYED},
+kept AS (
+  SELECT * FROM klog_n WHERE logged >= TIMESTAMP '{SINCE}' AND start > TIMESTAMP '{SINCE}'
+)
+SELECT 'weights-10min' AS topic, key, start AS "timestamp", sensor, grams
+FROM kept QUALIFY row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) = 1
+UNION ALL
+SELECT 'readings' AS topic, NULL AS key, "timestamp", sensor, grams
+FROM readings WHERE "timestamp" >= TIMESTAMP '{SINCE}' AND "timestamp" > TIMESTAMP '{SINCE}'""",
+    "series_points": f"""WITH {WEIGHTS}
+SELECT sensor AS series, "timestamp" AS x, grams AS y FROM weights WHERE "timestamp" IS NOT NULL""",
+    "series_distinct": f"WITH {WEIGHTS} SELECT DISTINCT sensor AS series FROM weights",
+    "y_range": f"WITH {WEIGHTS} SELECT min(grams) AS min_y, max(grams) AS max_y FROM weights",
+    "export_rows": f"""WITH {ENRICH}
+SELECT CASE WHEN sec IS NOT NULL
+            THEN strftime(make_timestamp(sec * 1000000), '%Y-%m-%d %H:%M:%S') || ' -0000'
+            ELSE ts_text END AS "timestamp",
+  sensor AS name, temperature_c AS temp, coalesce(CAST(humidity AS VARCHAR), '') AS humidity
+FROM parsed WHERE temperature_c IS NOT NULL""",
+})

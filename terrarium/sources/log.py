@@ -150,3 +150,30 @@ def compacted(log: FileLog, topic: str) -> DataFrame:
     """K5: compacted view of a keyed topic: newest record per key."""
     recs = log.scan(topic).where(F.col("key").isNotNull())
     return latest_by_key(recs, ["topic", "key"], ["offset", "partition"])
+
+
+def to_records(df: DataFrame, topic: str, partition: Column, order: Sequence[str],
+               log_time: Column, key_cols: Sequence[str] | None = None,
+               value_cols: Sequence[str] | None = None,
+               time_text: Column | None = None) -> DataFrame:
+    """LOG records for ``df`` without writing them: value = JSON of
+    ``value_cols`` (time as text, nulls omitted), key = JSON of ``key_cols``
+    (None: unkeyed), offsets dense per ``partition`` in ``order``.
+
+    Keep one key in one partition (derive ``partition`` from the key) so the
+    newest record of a key is the one with the largest offset.
+    """
+    value_cols = list(value_cols or df.columns)
+    ts_text = time_text if time_text is not None else X.format_ts(F.col("timestamp"))
+
+    def js(cols):
+        return F.to_json(F.struct(*[(ts_text.alias("timestamp") if c == "timestamp" else F.col(c))
+                                    for c in cols]))
+
+    key = js(key_cols).cast("binary") if key_cols else F.lit(None).cast("binary")
+    w = Window.partitionBy("_p").orderBy(*order)
+    return (df.select("*", partition.cast("int").alias("_p"))
+            .select(key.alias("key"), F.encode(js(value_cols), "UTF-8").alias("value"),
+                    F.lit(topic).alias("topic"), F.col("_p").alias("partition"),
+                    (F.row_number().over(w) - 1).cast("long").alias("offset"),
+                    log_time.cast("timestamp").alias("timestamp")))
