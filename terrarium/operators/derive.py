@@ -62,6 +62,8 @@ def loss(weights: DataFrame, rng: DataFrame, width: str = LOSS_WIDTH,
                   .where((F.col("ml_hour") > F.lit(lo)) & (F.col("ml_hour") < F.lit(hi))))
     seconds = F.unix_seconds(F.col("w.end").cast("timestamp")) - F.unix_seconds(
         F.col("w.start").cast("timestamp"))
+    # label "time" = window_time (end - 1 µs): the form a stream can window again
+    t = F.window_time(F.col("w")) if label == "time" else F.col(f"w.{label}")
     return per_window.select(
-        F.col(f"w.{label}").alias("timestamp"), "sensor", "ml_hour",
+        t.alias("timestamp"), "sensor", "ml_hour",
         (F.col("ml_hour") * F.lit(3600.0) / seconds).alias("rate_per_hour"))

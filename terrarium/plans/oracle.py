@@ -332,3 +332,20 @@ SELECT CASE WHEN sec IS NOT NULL
   sensor AS name, temperature_c AS temp, coalesce(CAST(humidity AS VARCHAR), '') AS humidity
 FROM parsed WHERE temperature_c IS NOT NULL""",
 })
+
+
+# ---------------------------------------------------------------------------
+# Streams (compared with the batch semantics they must reproduce)
+# ---------------------------------------------------------------------------
+
+TAIL_SPLIT = "2024-01-15 00:00:00"
+
+SQL.update({
+    # the raw sink writes whole-second time text, as the reference's sink does
+    "stream_raw_weights": f"""WITH {WEIGHTS}
+SELECT event_id, date_trunc('second', "timestamp") AS "timestamp", sensor, grams, stddev FROM weights""",
+    "stream_weights_10min": SQL["weights_10min"],
+    "stream_evaporation_10min": SQL["evaporation_10min"],
+    "stream_tail": f"""WITH {READINGS}
+SELECT event_id, "timestamp", sensor, grams FROM readings WHERE "timestamp" >= TIMESTAMP '{TAIL_SPLIT}'""",
+})

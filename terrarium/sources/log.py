@@ -69,7 +69,7 @@ class FileLog:
             for k, v in stream_opts.items():
                 reader = reader.option(k, v)
             df = reader.parquet(self.path)
-        df = df.where(F.col("topic").isin(names))
+        df = df.select(*[f.name for f in LOG.fields]).where(F.col("topic").isin(names))
         if since is not None:
             bound = since if isinstance(since, Column) else F.lit(since).cast("timestamp")
             df = df.where(F.col("timestamp") >= bound)
@@ -86,39 +86,78 @@ class FileLog:
                 .agg(F.max("offset").alias("offset")))
 
     # -- appends ----------------------------------------------------------
-    def append(self, topic: str, df: DataFrame, order_by: Sequence[str],
-               key: Column | None = None, partitions: int = 8,
-               partition_by: Column | None = None,
-               log_time: Column | None = None) -> None:
-        """K1/K3: append ``df`` as JSON values to ``topic``.
-
-        Records go to ``partitions`` log partitions (by ``partition_by``, else
-        by a hash of the key, so one key stays in one partition, else by a
-        hash of the ``order_by`` columns) and are numbered after each
-        partition's current end in ``order_by`` order.  The numbering is one
-        window per log partition, so raise ``partitions`` for large appends.
+    # Every append (a batch write or one micro-batch of a stream) goes to its
+    # own folder ``topic=<t>/batch_id=<n>`` and is written with overwrite, so
+    # replaying a micro-batch after a failure rewrites the same records
+    # instead of duplicating them.  Offsets are ``(batch_id << 32) + i`` with
+    # ``i`` dense within the log partition: increasing per partition, stable
+    # on replay, and found without reading the existing log.
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        return jvm, p.getFileSystem(conf)
+
+    def next_batch_id(self, topic: str) -> int:
+        jvm, fs = self._fs()
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={topic}")
+        if not fs.exists(p):
+            return 0
+        ids = [int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
+               if st.getPath().getName().startswith("batch_id=")]
+        return max(ids) + 1 if ids else 0
+
+    def write_batch(self, topic: str, df: DataFrame, batch_id: int, order_by: Sequence[str],
+                    key_cols: Sequence[str] | None = None,
+                    value_cols: Sequence[str] | None = None,
+                    partitions: int = 8, partition_by: Column | None = None,
+                    log_time: Column | None = None,
+                    time_text: Column | None = None) -> None:
+        """K1/K2/K3: write ``df`` as records of ``topic`` for ``batch_id``.
+
+        Values (and keys, when ``key_cols`` is given) are JSON with the time
+        as text.  Records go to ``partitions`` log partitions: by
+        ``partition_by``, else by a hash of the key (one key, one partition),
+        else by a hash of ``order_by``.
         """
-        value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+        value_cols = list(value_cols or df.columns)
+        ts_text = time_text if time_text is not None else X.format_ts(F.col("timestamp"))
+
+        def js(cols):
+            return F.to_json(F.struct(*[(ts_text.alias("timestamp") if c == "timestamp"
+                                         else F.col(c)) for c in cols]))
+
+        key = js(key_cols) if key_cols else None
         hashed = F.xxhash64(key) if key is not None else F.xxhash64(*[F.col(c) for c in order_by])
         part = partition_by if partition_by is not None else F.pmod(hashed, F.lit(partitions))
+        w = Window.partitionBy("partition").orderBy(*[f"_o{i}" for i in range(len(order_by))])
         rec = df.select(
             (key.cast("binary") if key is not None else F.lit(None).cast("binary")).alias("key"),
-            F.encode(value, "UTF-8").alias("value"),
-            F.lit(topic).alias("topic"),
+            F.encode(js(value_cols), "UTF-8").alias("value"),
             part.cast("int").alias("partition"),
-            (log_time if log_time is not None else F.current_timestamp()).cast("timestamp").alias("timestamp"),
+            (log_time if log_time is not None else F.current_timestamp()).cast("timestamp")
+            .alias("timestamp"),
             *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)])
-        ends = self.end_offsets(topic).select("partition", F.col("offset").alias("_end"))
-        w = Window.partitionBy("partition").orderBy(*[f"_o{i}" for i in range(len(order_by))])
-        numbered = (rec.join(F.broadcast(ends), ["partition"], "left")
-                    .withColumn("offset", F.coalesce(F.col("_end"), F.lit(-1)) + F.row_number().over(w))
-                    .select(*[f.name for f in LOG.fields]))
-        numbered.write.mode("append").partitionBy("topic").parquet(self.path)
-
-    def append_records(self, records: DataFrame) -> None:
-        """Append already numbered LOG records as they are."""
-        records.select(*[f.name for f in LOG.fields]).write.mode("append") \
-            .partitionBy("topic").parquet(self.path)
+        out = rec.select(
+            "key", "value", F.lit(topic).alias("topic"), "partition",
+            (F.lit(batch_id).cast("long") * F.lit(1 << 32)
+             + F.row_number().over(w) - 1).alias("offset"),
+            "timestamp")
+        out.drop("topic").write.mode("overwrite").parquet(
+            f"{self.path}/topic={topic}/batch_id={batch_id}")
+
+    def append(self, topic: str, df: DataFrame, order_by: Sequence[str], **opts) -> int:
+        """K3: append a batch DataFrame to ``topic``; returns its batch id."""
+        bid = self.next_batch_id(topic)
+        self.write_batch(topic, df, bid, order_by, **opts)
+        return bid
+
+    def append_records(self, records: DataFrame, batch_id: int | None = None) -> None:
+        """Append already built LOG records (one topic) as one batch."""
+        topic = records.select("topic").first()["topic"]
+        bid = self.next_batch_id(topic) if batch_id is None else batch_id
+        records.drop("topic").write.mode("overwrite").parquet(
+            f"{self.path}/topic={topic}/batch_id={bid}")
 
     def reset(self, topics: Sequence[str]) -> None:
         """K6: drop the records of ``topics`` (a stream starting afresh)."""
