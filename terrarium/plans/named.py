@@ -15,11 +15,11 @@ from terrarium.functions import expr as X
 from terrarium.operators import calibrate, clean, derive, ingest
 from terrarium.operators.rollup import rollup
 from terrarium.plans import fixture as FX
-from terrarium.session import ensure_utc
+from terrarium.session import ensure_utc, shared_dir
 from terrarium.sources import events as EV
 from terrarium.sources import landing
 from terrarium.sources.events import load, readings_from_events
-from terrarium.sources.log import compacted, decode, latest_by_key, to_records
+from terrarium.sources.log import FileLog, decode, latest_by_key, to_records
 from terrarium.operators import serve
 from terrarium.operators.rollup import window_col
 
@@ -110,14 +110,29 @@ def _events(spark, sf_dir):
     return load(spark, sf_dir, "events")
 
 
+def land(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a derived input to the shared folder and read it back: the
+    device inputs and logs the operators consume are data at rest, and the
+    write cuts the lineage to the generating expressions."""
+    path = shared_dir(spark, "landed", name, unique=True)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _payloads(spark, sf_dir):
-    return EV.payloads_from_events(_events(spark, sf_dir), FX.SIGNING_KEY, FX.WRONG_KEY)
+    ev = _events(spark, sf_dir)
+    return land(spark, EV.payloads_from_events(ev, FX.SIGNING_KEY, FX.WRONG_KEY), "payloads")
 
 
-def q_enrich_readings(spark, sf_dir):
+def _enriched(spark, sf_dir):
     ev = _events(spark, sf_dir)
-    accepted, _ = ingest.enrich(EV.payloads_from_events(ev, FX.SIGNING_KEY, FX.WRONG_KEY),
-                                EV.tags_from_events(ev), FX.SIGNING_KEY)
+    accepted, _ = ingest.enrich(_payloads(spark, sf_dir), EV.tags_from_events(ev),
+                                FX.SIGNING_KEY)
+    return accepted
+
+
+def q_enrich_readings(spark, sf_dir):
+    accepted = _enriched(spark, sf_dir)
     return rounded(accepted.select(
         "event_id", "timestamp", "sensor", "mac", "temperature_c", "temperature_f",
         "humidity", "grams", "stddev", "clear", "red", "git_hash",
@@ -217,10 +232,16 @@ def _served(df: DataFrame) -> DataFrame:
 
 
 def q_snapshot_since(spark, sf_dir):
+    """Q9 over a stored log: the readings topic and a keyed rollup topic are
+    landed, then scanned from the bound on (topic and time pruned at the
+    scan) and served."""
     ev = _events(spark, sf_dir)
-    log = EV.log_from_events(ev).unionByName(rollup_log(weights_df(spark, sf_dir)))
+    log = FileLog(spark, shared_dir(spark, "landed", "log", unique=True))
+    log.append_records(EV.log_from_events(ev), topic="readings")
+    log.append_records(rollup_log(weights_df(spark, sf_dir)), topic=ROLLUP_TOPIC)
     since = F.lit(SNAPSHOT_SINCE).cast("timestamp")
-    return _served(serve.snapshot(log, ["readings", ROLLUP_TOPIC], since=since))
+    topics = ["readings", ROLLUP_TOPIC]
+    return _served(serve.snapshot(log.scan(topics, since=since), topics, since=since))
 
 
 def q_latest_by_key(spark, sf_dir):
@@ -247,9 +268,7 @@ def q_y_range(spark, sf_dir):
 
 
 def q_export_rows(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    accepted, _ = ingest.enrich(EV.payloads_from_events(ev, FX.SIGNING_KEY, FX.WRONG_KEY),
-                                EV.tags_from_events(ev), FX.SIGNING_KEY)
+    accepted = _enriched(spark, sf_dir)
     return serve.export_rows(accepted.where(F.col("temperature_c").isNotNull()))
 
 

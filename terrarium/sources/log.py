@@ -152,9 +152,9 @@ class FileLog:
         self.write_batch(topic, df, bid, order_by, **opts)
         return bid
 
-    def append_records(self, records: DataFrame, batch_id: int | None = None) -> None:
-        """Append already built LOG records (one topic) as one batch."""
-        topic = records.select("topic").first()["topic"]
+    def append_records(self, records: DataFrame, topic: str,
+                       batch_id: int | None = None) -> None:
+        """Append already built LOG records of ``topic`` as one batch."""
         bid = self.next_batch_id(topic) if batch_id is None else batch_id
         records.drop("topic").write.mode("overwrite").parquet(
             f"{self.path}/topic={topic}/batch_id={bid}")
