@@ -29,8 +29,9 @@ def onewire(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     ``YES`` (CRC ok), the second carries ``t=<milli-degrees>`` at its end.
     Anything else gives no reading (the row is dropped)."""
     lines = F.split(F.col(payload), "\n")
-    first = F.rtrim(lines[0])
-    milli = F.regexp_extract(F.trim(F.coalesce(lines[1], F.lit(""))), r"t=(-?[0-9]+)$", 1)
+    first = F.rtrim(F.get(lines, F.lit(0)))
+    second = F.coalesce(F.get(lines, F.lit(1)), F.lit(""))  # a missing line is not an error
+    milli = F.regexp_extract(F.trim(second), r"t=(-?[0-9]+)$", 1)
     c = (milli.try_cast("int") / F.lit(1000.0))
     return (payloads.where(first.endswith("YES"))
             .withColumn("temperature_c", c)

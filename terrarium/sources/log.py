@@ -16,12 +16,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from terrarium.functions import expr as X
 from terrarium.schema import LOG, READING
 
 
+CORRUPT = "_corrupt_record"
+
+
 def decode(records: DataFrame, schema: StructType = READING, ntz: bool = False,
            keep: Sequence[str] = ("topic", "partition", "offset")) -> tuple[DataFrame, DataFrame]:
     """Bytes -> text -> struct -> columns.
@@ -31,9 +34,17 @@ def decode(records: DataFrame, schema: StructType = READING, ntz: bool = False,
     stopping the batch.  ``timestamp`` is parsed from its text (F3).
     """
     text = F.col("value").cast("string")
-    parsed = records.select(*keep, text.alias("_raw"), F.from_json(text, schema).alias("_j"))
-    corrupt = parsed.where(F.col("_j").isNull()).select(*keep, F.col("_raw").alias("value"))
-    good = (parsed.where(F.col("_j").isNotNull()).select(*keep, "_j.*")
+    with_corrupt = StructType(schema.fields + [StructField(CORRUPT, StringType())])
+    parsed = records.select(*keep, text.alias("_raw"), F.from_json(
+        text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_j"))
+    # Only text that is not a JSON object is corrupt.  A wrong-typed field
+    # (a fractional `lux` for a long) nulls that field and keeps the rest
+    # (N15); the syntax check runs only for rows the parser flagged.
+    flagged = F.col(f"_j.{CORRUPT}").isNotNull()
+    bad = F.col("_j").isNull() | (flagged & F.json_object_keys(F.col("_raw")).isNull())
+    corrupt = parsed.where(bad).select(*keep, F.col("_raw").alias("value"))
+    good = (parsed.where(~bad)
+            .select(*keep, *[F.col("_j").getField(f.name).alias(f.name) for f in schema.fields])
             .withColumn("timestamp", X.parse_ts(F.col("timestamp"), ntz=ntz)))
     return good, corrupt
 
