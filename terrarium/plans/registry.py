@@ -123,6 +123,39 @@ class Registry:
                         width=d.width, trigger=rollup_trigger))
         return started
 
+    def start_shared_raw(self, ctx: Context, out: FileLog, checkpoint: str,
+                         names: Sequence[str] | None = None,
+                         trigger: dict | None = None) -> StreamingQuery:
+        """K8 scan sharing: one readings scan feeds the raw output of every
+        stateless dataset (all but windowed ones) through one foreachBatch;
+        the micro-batch is persisted once and each dataset is computed from
+        it, instead of one scan per dataset and query."""
+        chosen = [d for d in self._select(names) if not d.inner_width]
+        ranges = ctx.ranges_df() if ctx.ranges is not None else None
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                bctx = Context(ctx.spark, lambda: batch, (lambda: ranges) if ranges is not None else None)
+                for d in chosen:
+                    out.write_batch(d.name, d.fn(bctx), batch_id, ["timestamp", *d.keys],
+                                    log_time=F.current_timestamp())
+            finally:
+                batch.unpersist()
+
+        trigger = trigger or {"processingTime": streams.RAW_TRIGGER}
+        w = (ctx.readings().writeStream.foreachBatch(write)
+             .option("checkpointLocation", checkpoint).outputMode("append"))
+        return w.trigger(**trigger).start()
+
+    @staticmethod
+    def await_any(spark: SparkSession, timeout: float | None = None) -> None:
+        """Block until any of the session's streaming queries ends."""
+        if timeout is None:
+            spark.streams.awaitAnyTermination()
+        else:
+            spark.streams.awaitAnyTermination(timeout)
+
     # -- catalog ---------------------------------------------------------
     def specs(self) -> list[dict]:
         """K9: one graph spec per value column of each dataset."""
