@@ -53,6 +53,17 @@ def snapshot(records: DataFrame, topics: Sequence[str] | str | None = None,
     return keyed.unionByName(unkeyed)
 
 
+def history(log, topics: str | Sequence[str], age: str,
+            asof: _dt.datetime | Column | None = None, shared_keys: bool = False) -> DataFrame:
+    """The served view of ``GET /stream?topics=&age=`` (Entry C): the
+    snapshot of ``topics`` (comma text, F22) for the last ``age`` ("2 hours",
+    F9) before ``asof`` (default: now).  The bound prunes the log scan."""
+    now = F.current_timestamp() if asof is None else (
+        asof if isinstance(asof, Column) else F.lit(asof).cast("timestamp"))
+    bound = now - X.age_interval(age)
+    return snapshot(log.scan(topics, since=bound), topics, since=bound, shared_keys=shared_keys)
+
+
 def series_points(df: DataFrame, series: str, x: str, y: str,
                   only: str | None = None) -> DataFrame:
     """The points of each series, ordered by series then x.

@@ -227,3 +227,72 @@ def to_records(df: DataFrame, topic: str, partition: Column, order: Sequence[str
                     F.lit(topic).alias("topic"), F.col("_p").alias("partition"),
                     (F.row_number().over(w) - 1).cast("long").alias("offset"),
                     log_time.cast("timestamp").alias("timestamp")))
+
+
+def topic(log: "FileLog | KafkaLog", name: str, schema: StructType = READING,
+          batch: bool = False, watermark: str | None = "10 minutes", ntz: bool = False,
+          **source_opts) -> DataFrame:
+    """The reference's ``topic(t, batch)``: decoded records of one topic, event
+    time parsed, watermark set on streams (N6: streams need TIMESTAMP)."""
+    good, _ = decode(log.scan(name, batch=batch, **source_opts), schema=schema, ntz=ntz)
+    return good.withWatermark("timestamp", watermark) if (watermark and not batch) else good
+
+
+def in_log_order(df: DataFrame) -> DataFrame:
+    """O1: records in log order (range-partitioned global sort)."""
+    return df.orderBy("topic", "partition", "offset")
+
+
+class KafkaLog:
+    """The same log interface over Kafka.
+
+    Needs the Spark Kafka connector on the classpath (absent here, N14), so
+    it is not exercised by the tests.  ``since`` maps to the connector's
+    ``startingTimestamp`` (S4: seek by log time on every partition).
+    """
+
+    def __init__(self, spark: SparkSession, servers: str, options: dict | None = None):
+        self.spark = spark
+        self.servers = servers
+        self.options = dict(options or {})
+
+    def scan(self, topics: str | Sequence[str], batch: bool = True,
+             since: _dt.datetime | None = None, after: DataFrame | None = None,
+             **stream_opts) -> DataFrame:
+        names = topics if isinstance(topics, str) else ",".join(topics)
+        reader = (self.spark.read if batch else self.spark.readStream).format("kafka")
+        reader = reader.option("kafka.bootstrap.servers", self.servers).option("subscribe", names)
+        if since is not None:
+            ms = int(since.replace(tzinfo=_dt.timezone.utc).timestamp() * 1000) \
+                if since.tzinfo is None else int(since.timestamp() * 1000)
+            reader = reader.option("startingTimestamp", str(ms))
+        else:
+            reader = reader.option("startingOffsets", "earliest")
+        reader = reader.option("failOnDataLoss", "false")
+        for k, v in {**self.options, **stream_opts}.items():
+            reader = reader.option(k, v)
+        df = reader.load().select(*[f.name for f in LOG.fields])
+        if after is not None:
+            pos = after.select("topic", "partition", F.col("offset").alias("_after"))
+            df = (df.join(F.broadcast(pos), ["topic", "partition"], "left")
+                  .where(F.col("_after").isNull() | (F.col("offset") > F.col("_after")))
+                  .drop("_after"))
+        return df
+
+    def write_batch(self, topic: str, df: DataFrame, batch_id: int, order_by: Sequence[str],
+                    key_cols: Sequence[str] | None = None,
+                    value_cols: Sequence[str] | None = None, time_text: Column | None = None,
+                    **_ignored) -> None:
+        """K1/K3: JSON values (and keys) produced to ``topic``; Kafka assigns
+        partitions (by key) and offsets."""
+        value_cols = list(value_cols or df.columns)
+        ts_text = time_text if time_text is not None else X.format_ts(F.col("timestamp"))
+
+        def js(cols):
+            return F.to_json(F.struct(*[(ts_text.alias("timestamp") if c == "timestamp"
+                                         else F.col(c)) for c in cols]))
+
+        out = df.select((js(key_cols) if key_cols else F.lit(None).cast("string")).alias("key"),
+                        js(value_cols).alias("value"))
+        (out.write.format("kafka").option("kafka.bootstrap.servers", self.servers)
+         .option("topic", topic).save())
