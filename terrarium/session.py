@@ -53,3 +53,19 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         parts = parts + (uuid.uuid4().hex,)
     return posixpath.join(base, *parts) if parts else base
+
+
+def configure_streaming(spark: SparkSession, state_partitions: int | None = None,
+                        rocksdb: bool = True) -> None:
+    """Settings for long-running stateful streams, applied only where unset.
+
+    The number of shuffle partitions of a stateful query is fixed in its
+    checkpoint at first start, so size it for the cluster before starting;
+    RocksDB keeps large state (many sensors and windows) off the JVM heap.
+    """
+    conf = spark.conf
+    if state_partitions is not None:
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if rocksdb and not conf.get(key, None):
+        conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
