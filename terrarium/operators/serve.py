@@ -111,9 +111,20 @@ def write_export(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").option("header", "false").csv(path)
 
 
+# Full microsecond precision: the JSON source's default formats stop at
+# milliseconds and would silently truncate event times.
+JSON_TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
-    """K4: append rows as JSON lines."""
-    df.write.mode("append").json(path)
+    """K4: append rows as JSON lines (times with microseconds)."""
+    df.write.mode("append").options(**JSON_TIME_OPTIONS).json(path)
+
+
+def read_jsonl(spark, path: str, schema) -> DataFrame:
+    """Read JSON lines written by ``write_jsonl``."""
+    return spark.read.schema(schema).options(**JSON_TIME_OPTIONS).json(path)
 
 
 def fan_out(df: DataFrame, sinks) -> None:

@@ -272,6 +272,36 @@ def q_export_rows(spark, sf_dir):
     return serve.export_rows(accepted.where(F.col("temperature_c").isNotNull()))
 
 
+def q_jsonl_roundtrip(spark, sf_dir):
+    """K4: temperatures appended as JSON lines to the shared folder and read
+    back with their schema."""
+    t = temperatures_df(spark, sf_dir).select(
+        "event_id", "timestamp", "sensor", "temperature_c", "temperature_f")
+    path = shared_dir(spark, "landed", "jsonl", unique=True)
+    serve.write_jsonl(t, path)
+    return rounded(serve.read_jsonl(spark, path, t.schema))
+
+
+def q_fanout(spark, sf_dir):
+    """K8: one computed batch of enriched readings written to two sinks (JSON
+    lines and the log), then both read back."""
+    rows = _enriched(spark, sf_dir).select("event_id", "timestamp", "sensor", "grams")
+    root = shared_dir(spark, "landed", "fanout", unique=True)
+    log = FileLog(spark, f"{root}/log")
+    serve.fan_out(rows, [
+        lambda d: serve.write_jsonl(d, f"{root}/jsonl"),
+        lambda d: log.write_batch("readings", d, 0, ["event_id"], time_text=F.col("timestamp")),
+    ])
+    a = serve.read_jsonl(spark, f"{root}/jsonl", rows.schema).select(
+        F.lit("jsonl").alias("sink"), "event_id", "sensor")
+    text = F.col("value").cast("string")
+    b = log.scan("readings").select(
+        F.lit("log").alias("sink"),
+        F.get_json_object(text, "$.event_id").cast("long").alias("event_id"),
+        F.get_json_object(text, "$.sensor").alias("sensor"))
+    return a.unionByName(b)
+
+
 QUERIES = {
     "weights": q_weights,
     "weights_10min": q_weights_10min,
@@ -301,4 +331,6 @@ QUERIES = {
     "series_distinct": q_series_distinct,
     "y_range": q_y_range,
     "export_rows": q_export_rows,
+    "jsonl_roundtrip": q_jsonl_roundtrip,
+    "fanout": q_fanout,
 }

@@ -349,3 +349,15 @@ SELECT event_id, date_trunc('second', "timestamp") AS "timestamp", sensor, grams
     "stream_tail": f"""WITH {READINGS}
 SELECT event_id, "timestamp", sensor, grams FROM readings WHERE "timestamp" >= TIMESTAMP '{TAIL_SPLIT}'""",
 })
+
+SQL.update({
+    "jsonl_roundtrip": SQL["temperatures"],
+    "fanout": f"""WITH {ENRICH}
+SELECT 'jsonl' AS sink, event_id, sensor FROM parsed
+UNION ALL
+SELECT 'log' AS sink, event_id, sensor FROM parsed""",
+    "stream_fresh_start": SQL["stream_raw_weights"],
+    "stream_shared_raw": f"""WITH {WATER}
+SELECT event_id, date_trunc('second', "timestamp") AS "timestamp", sensor, grams, "min", "max",
+  round(water, {D}) AS water FROM water""",
+})

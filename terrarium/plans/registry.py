@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from terrarium.operators import clean, derive
 from terrarium.operators.rollup import rollup
 from terrarium.schema import GRAPH
+from terrarium.session import conf_scope
 from terrarium.sources.log import FileLog
 from terrarium.streaming import streams
 
@@ -88,12 +89,21 @@ class Registry:
     def start(self, ctx: Context, out: FileLog, checkpoint_root: str,
               names: Sequence[str] | None = None, which: Sequence[str] = ("raw", "rollup"),
               raw_trigger: dict | None = None, rollup_trigger: dict | None = None,
-              reset: bool = True) -> list[StreamingQuery]:
+              reset: bool = True, state_partitions: int | None = None) -> list[StreamingQuery]:
         """Launch the raw and rollup queries of each dataset.
 
         Default triggers follow the reference: one minute for raw streams,
         as fast as possible for rollups.  A dataset without a checkpoint
-        first drops its old output topics (K6)."""
+        first drops its old output topics (K6).  ``state_partitions`` fixes
+        the shuffle/state partition count of the stateful queries (it is
+        stored in the checkpoint at first start)."""
+        settings = {"spark.sql.shuffle.partitions": state_partitions} if state_partitions else {}
+        with conf_scope(ctx.spark, settings):
+            return self._start(ctx, out, checkpoint_root, names, which, raw_trigger,
+                               rollup_trigger, reset)
+
+    def _start(self, ctx, out, checkpoint_root, names, which, raw_trigger, rollup_trigger,
+               reset) -> list[StreamingQuery]:
         raw_trigger = raw_trigger or {"processingTime": streams.RAW_TRIGGER}
         started: list[StreamingQuery] = []
         for d in self._select(names):

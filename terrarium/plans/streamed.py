@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from terrarium.functions import expr as X
 from terrarium.operators import derive
@@ -71,6 +72,11 @@ def _setup(spark: SparkSession, sf_dir: str, tag: str):
     return root, src, out, reg, ctx
 
 
+def _parallelism(spark: SparkSession) -> int:
+    """State partitions for these runs: one per core of the cluster."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _run(queries) -> None:
     for q in queries:
         q.awaitTermination()
@@ -96,7 +102,7 @@ def q_stream_raw_weights(spark, sf_dir):
     sink writes whole-second time text, as the reference's sink does."""
     root, src, out, reg, ctx = _setup(spark, sf_dir, "raw")
     _run(reg.start(ctx, out, f"{root}/cp", names=["weights"], which=["raw"],
-                   raw_trigger=AVAILABLE_NOW))
+                   raw_trigger=AVAILABLE_NOW, state_partitions=_parallelism(spark)))
     good, _ = decode(out.scan("weights"), schema=EXTENDED, ntz=True)
     return good.select("event_id", "timestamp", "sensor", "grams", "stddev")
 
@@ -105,7 +111,7 @@ def q_stream_weights_10min(spark, sf_dir):
     """Update-mode rollup as a keyed change log, compacted."""
     root, src, out, reg, ctx = _setup(spark, sf_dir, "rollup")
     _run(reg.start(ctx, out, f"{root}/cp", names=["weights"], which=["rollup"],
-                   rollup_trigger=AVAILABLE_NOW))
+                   rollup_trigger=AVAILABLE_NOW, state_partitions=_parallelism(spark)))
     return _rollup_values(out, "weights-10min", ["sensor"], ["grams", "stddev"])
 
 
@@ -113,7 +119,7 @@ def q_stream_evaporation_10min(spark, sf_dir):
     """Evaporation windows rolled up again, in append mode."""
     root, src, out, reg, ctx = _setup(spark, sf_dir, "evaporation")
     _run(reg.start(ctx, out, f"{root}/cp", names=["evaporation"], which=["rollup"],
-                   rollup_trigger=AVAILABLE_NOW))
+                   rollup_trigger=AVAILABLE_NOW, state_partitions=_parallelism(spark)))
     return _rollup_values(out, "evaporation-10min", ["sensor"], ["ml_hour"])
 
 
@@ -145,9 +151,34 @@ def q_stream_tail(spark, sf_dir):
     return good.select("event_id", "timestamp", "sensor", "grams")
 
 
+def q_stream_fresh_start(spark, sf_dir):
+    """K6: the raw weights stream run twice into the same topic; the second
+    run has no checkpoint, so it first drops the old output.  The topic then
+    holds one copy of the stream."""
+    root, src, out, reg, ctx = _setup(spark, sf_dir, "fresh")
+    for cp in ("cp1", "cp2"):
+        _run(reg.start(ctx, out, f"{root}/{cp}", names=["weights"], which=["raw"],
+                       raw_trigger=AVAILABLE_NOW))
+    good, _ = decode(out.scan("weights"), schema=EXTENDED, ntz=True)
+    return good.select("event_id", "timestamp", "sensor", "grams", "stddev")
+
+
+def q_stream_shared_raw(spark, sf_dir):
+    """K8 for streams: one readings scan feeds weights, water, water_rel and
+    temperatures; the water topic is read back."""
+    root, src, out, reg, ctx = _setup(spark, sf_dir, "shared")
+    _run([reg.start_shared_raw(ctx, out, f"{root}/cp", trigger=AVAILABLE_NOW)])
+    schema = StructType(EXTENDED.fields + [StructField(c, DoubleType())
+                                           for c in ("min", "max", "water")])
+    good, _ = decode(out.scan("water"), schema=schema, ntz=True)
+    return rounded(good.select("event_id", "timestamp", "sensor", "grams", "min", "max", "water"))
+
+
 QUERIES = {
     "stream_raw_weights": q_stream_raw_weights,
     "stream_weights_10min": q_stream_weights_10min,
     "stream_evaporation_10min": q_stream_evaporation_10min,
     "stream_tail": q_stream_tail,
+    "stream_fresh_start": q_stream_fresh_start,
+    "stream_shared_raw": q_stream_shared_raw,
 }

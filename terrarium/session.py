@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import posixpath
 import tempfile
 import uuid
@@ -69,3 +70,23 @@ def configure_streaming(spark: SparkSession, state_partitions: int | None = None
     key = "spark.sql.streaming.stateStore.providerClass"
     if rocksdb and not conf.get(key, None):
         conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+@contextlib.contextmanager
+def conf_scope(spark: SparkSession, settings: dict):
+    """Apply SQL settings for the duration of a block, then restore them.
+
+    A streaming query clones the session when it starts, so settings made
+    around ``start()`` (such as the state partition count) stay with that
+    query without leaking into later work of the session."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
