@@ -149,7 +149,7 @@ class Registry:
                 bctx = Context(ctx.spark, lambda: batch, (lambda: ranges) if ranges is not None else None)
                 for d in chosen:
                     out.write_batch(d.name, d.fn(bctx), batch_id, ["timestamp", *d.keys],
-                                    log_time=F.current_timestamp())
+                                    log_time=F.current_timestamp(), dense=False)
             finally:
                 batch.unpersist()
 

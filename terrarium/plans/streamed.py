@@ -45,9 +45,8 @@ def write_readings_log(spark: SparkSession, events: DataFrame, log: FileLog,
         a, b = lo + span * i // files, lo + span * (i + 1) // files
         chunk = readings.where((F.col("event_id") >= a) & (F.col("event_id") < b))
         log.write_batch(topic, chunk, i, ["event_id"],
-                        partition_by=F.pmod(F.col("user_id"), F.lit(4)),
                         value_cols=[c for c in chunk.columns if c != "user_id"],
-                        log_time=F.col("timestamp"), time_text=_micro_text())
+                        log_time=F.col("timestamp"), time_text=_micro_text(), dense=False)
 
 
 def _setup(spark: SparkSession, sf_dir: str, tag: str):

@@ -100,9 +100,9 @@ class FileLog:
     # Every append (a batch write or one micro-batch of a stream) goes to its
     # own folder ``topic=<t>/batch_id=<n>`` and is written with overwrite, so
     # replaying a micro-batch after a failure rewrites the same records
-    # instead of duplicating them.  Offsets are ``(batch_id << 32) + i`` with
-    # ``i`` dense within the log partition: increasing per partition, stable
-    # on replay, and found without reading the existing log.
+    # instead of duplicating them.  Offsets are ``(batch_id << 33) + i`` with
+    # ``i`` the position within the log partition: increasing per partition,
+    # larger for every later batch, and found without reading the log.
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
@@ -123,13 +123,19 @@ class FileLog:
                     value_cols: Sequence[str] | None = None,
                     partitions: int = 8, partition_by: Column | None = None,
                     log_time: Column | None = None,
-                    time_text: Column | None = None) -> None:
+                    time_text: Column | None = None, dense: bool = True) -> None:
         """K1/K2/K3: write ``df`` as records of ``topic`` for ``batch_id``.
 
         Values (and keys, when ``key_cols`` is given) are JSON with the time
-        as text.  Records go to ``partitions`` log partitions: by
-        ``partition_by``, else by a hash of the key (one key, one partition),
-        else by a hash of ``order_by``.
+        as text.  ``dense`` numbering spreads records over ``partitions`` log
+        partitions (by ``partition_by``, else by a hash of the key, so one
+        key stays in one partition, else by a hash of ``order_by``) and
+        numbers them in ``order_by`` order: one shuffle and sort per append.
+        Without ``dense`` (streaming sinks) the log partition is the Spark
+        partition and the offset ``(batch_id << 33) + row index``: no
+        shuffle, still increasing per partition from batch to batch, and
+        newer batches always carry larger offsets, which is what the
+        compacted view orders by (a rollup emits a key once per batch).
         """
         value_cols = list(value_cols or df.columns)
         ts_text = time_text if time_text is not None else X.format_ts(F.col("timestamp"))
@@ -139,23 +145,25 @@ class FileLog:
                                          else F.col(c)) for c in cols]))
 
         key = js(key_cols) if key_cols else None
-        hashed = F.xxhash64(key) if key is not None else F.xxhash64(*[F.col(c) for c in order_by])
-        part = partition_by if partition_by is not None else F.pmod(hashed, F.lit(partitions))
-        w = Window.partitionBy("partition").orderBy(*[f"_o{i}" for i in range(len(order_by))])
-        rec = df.select(
-            (key.cast("binary") if key is not None else F.lit(None).cast("binary")).alias("key"),
-            F.encode(js(value_cols), "UTF-8").alias("value"),
-            part.cast("int").alias("partition"),
-            (log_time if log_time is not None else F.current_timestamp()).cast("timestamp")
-            .alias("timestamp"),
-            *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)])
-        out = rec.select(
-            "key", "value", F.lit(topic).alias("topic"), "partition",
-            (F.lit(batch_id).cast("long") * F.lit(1 << 32)
-             + F.row_number().over(w) - 1).alias("offset"),
-            "timestamp")
-        out.drop("topic").write.mode("overwrite").parquet(
-            f"{self.path}/topic={topic}/batch_id={batch_id}")
+        key_bin = key.cast("binary") if key is not None else F.lit(None).cast("binary")
+        when = (log_time if log_time is not None else F.current_timestamp()).cast("timestamp")
+        if dense:
+            hashed = F.xxhash64(key) if key is not None else F.xxhash64(*[F.col(c) for c in order_by])
+            part = partition_by if partition_by is not None else F.pmod(hashed, F.lit(partitions))
+            w = Window.partitionBy("partition").orderBy(*[f"_o{i}" for i in range(len(order_by))])
+            rec = df.select(key_bin.alias("key"), F.encode(js(value_cols), "UTF-8").alias("value"),
+                            part.cast("int").alias("partition"), when.alias("timestamp"),
+                            *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)])
+            offset = F.lit(batch_id).cast("long") * F.lit(1 << 33) + F.row_number().over(w) - 1
+        else:
+            pid = F.spark_partition_id()
+            rec = df.select(key_bin.alias("key"), F.encode(js(value_cols), "UTF-8").alias("value"),
+                            pid.alias("partition"), when.alias("timestamp"),
+                            (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33))
+                            .alias("_i"))
+            offset = F.lit(batch_id).cast("long") * F.lit(1 << 33) + F.col("_i")
+        out = rec.select("key", "value", "partition", offset.alias("offset"), "timestamp")
+        out.write.mode("overwrite").parquet(f"{self.path}/topic={topic}/batch_id={batch_id}")
 
     def append(self, topic: str, df: DataFrame, order_by: Sequence[str], **opts) -> int:
         """K3: append a batch DataFrame to ``topic``; returns its batch id."""

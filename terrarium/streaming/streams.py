@@ -61,7 +61,7 @@ def start_raw(df: DataFrame, out: FileLog, topic: str, checkpoint: str,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out.write_batch(topic, batch, batch_id, order, time_text=time_text,
-                        log_time=F.current_timestamp())
+                        log_time=F.current_timestamp(), dense=False)
 
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
@@ -93,7 +93,7 @@ def start_rollup(df: DataFrame, out: FileLog, topic: str, values: Sequence[str],
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out.write_batch(topic, batch, batch_id, key_cols, key_cols=key_cols,
-                        log_time=F.current_timestamp())
+                        log_time=F.current_timestamp(), dense=False)
 
     w = agg.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
@@ -130,7 +130,7 @@ def start_appended_rollup(agg: DataFrame, out: FileLog, topic: str, keys: Sequen
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out.write_batch(topic, batch, batch_id, key_cols, key_cols=key_cols,
-                        log_time=F.current_timestamp())
+                        log_time=F.current_timestamp(), dense=False)
 
     w = agg.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
