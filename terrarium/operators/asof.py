@@ -3,9 +3,9 @@
 Spark has no as-of join, and the usual window recipe (union both sides, then
 ``last(..., ignorenulls)`` over ``partitionBy(key).orderBy(ts)``) sends every
 row of one key through a single task, which a hot device turns into one huge
-sort.  Here the right side (calibration presses: few rows per key) is turned
-into validity intervals ``[from, to)`` with a window over the right side
-only.  The left side then joins those intervals:
+sort.  Here the right side (calibration presses) is turned into validity
+intervals ``[from, to)`` (each press holds until the next one of its key),
+and the left side joins those intervals:
 
 * broadcast, when the interval table is measured small: a hash join on the
   key plus a range condition, with no shuffle of the left side at all;
@@ -19,9 +19,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrarium.operators.numbering import number_within
 from terrarium.plans.joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_small
 
 BUCKET_SECONDS = 3600
@@ -30,12 +31,21 @@ BUCKET_SECONDS = 3600
 def intervals(right: DataFrame, by: Sequence[str], ts: str, values: Sequence[str]) -> DataFrame:
     """Validity intervals of the right side: each row holds from its time
     until the next row of the same key.  Rows at the same time keep the
-    largest values (a deterministic tie rule)."""
+    largest values (a deterministic tie rule).
+
+    The next time comes from numbering each key's rows (``number_within``,
+    no task per key) and joining row n to row n + 1 on (key, n)."""
     one = (right.groupBy(*by, ts)
            .agg(F.max(F.struct(*[F.col(v) for v in values])).alias("_v"))
            .select(*by, F.col(ts).alias("_from"), *[F.col(f"_v.{v}").alias(v) for v in values]))
-    w = Window.partitionBy(*by).orderBy("_from")
-    return one.withColumn("_to", F.lead("_from").over(w))
+    numbered = number_within(one, list(by), ["_from"], name="_n")
+    nxt = numbered.select(*[F.col(b).alias(f"_nx_{b}") for b in by],
+                          (F.col("_n") - 1).alias("_nx_n"), F.col("_from").alias("_to"))
+    cond = F.col("_n") == F.col("_nx_n")
+    for b in by:
+        cond = cond & (F.col(b) == F.col(f"_nx_{b}"))
+    return (numbered.join(nxt, cond, "left")
+            .drop("_n", "_nx_n", *[f"_nx_{b}" for b in by]))
 
 
 def _bucket(c: Column, seconds: int) -> Column:

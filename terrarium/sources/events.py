@@ -8,10 +8,11 @@ each log partition the way a partitioned log does.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrarium.functions import expr as X
+from terrarium.operators.numbering import number_within
 
 READINGS_TOPIC = "readings"
 LOG_PARTITIONS = 4
@@ -72,13 +73,13 @@ def log_from_events(events: DataFrame, topic: str = READINGS_TOPIC,
     parted = events.withColumn(
         "partition", F.pmod(F.col("user_id"), F.lit(partitions)).cast("int"))
     readings = readings_from_events(parted, keep=("partition",))
-    w = Window.partitionBy("partition").orderBy("event_id")
-    return readings.select(
+    numbered = number_within(readings, ["partition"], ["event_id"], name="offset")
+    return numbered.select(
         F.lit(None).cast("binary").alias("key"),
         F.encode(reading_json(readings.drop("partition")), "UTF-8").alias("value"),
         F.lit(topic).alias("topic"),
         F.col("partition"),
-        (F.row_number().over(w) - 1).cast("long").alias("offset"),
+        F.col("offset"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
     )
 

@@ -14,11 +14,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from terrarium.functions import expr as X
+from terrarium.operators.numbering import number_within
 from terrarium.schema import LOG, READING
 
 
@@ -150,11 +151,12 @@ class FileLog:
         if dense:
             hashed = F.xxhash64(key) if key is not None else F.xxhash64(*[F.col(c) for c in order_by])
             part = partition_by if partition_by is not None else F.pmod(hashed, F.lit(partitions))
-            w = Window.partitionBy("partition").orderBy(*[f"_o{i}" for i in range(len(order_by))])
             rec = df.select(key_bin.alias("key"), F.encode(js(value_cols), "UTF-8").alias("value"),
                             part.cast("int").alias("partition"), when.alias("timestamp"),
                             *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)])
-            offset = F.lit(batch_id).cast("long") * F.lit(1 << 33) + F.row_number().over(w) - 1
+            rec = number_within(rec, ["partition"], [f"_o{i}" for i in range(len(order_by))],
+                                name="_offset", start=batch_id << 33)
+            offset = F.col("_offset")
         else:
             pid = F.spark_partition_id()
             rec = df.select(key_bin.alias("key"), F.encode(js(value_cols), "UTF-8").alias("value"),
@@ -229,12 +231,12 @@ def to_records(df: DataFrame, topic: str, partition: Column, order: Sequence[str
                                     for c in cols]))
 
     key = js(key_cols).cast("binary") if key_cols else F.lit(None).cast("binary")
-    w = Window.partitionBy("_p").orderBy(*order)
-    return (df.select("*", partition.cast("int").alias("_p"))
-            .select(key.alias("key"), F.encode(js(value_cols), "UTF-8").alias("value"),
-                    F.lit(topic).alias("topic"), F.col("_p").alias("partition"),
-                    (F.row_number().over(w) - 1).cast("long").alias("offset"),
-                    log_time.cast("timestamp").alias("timestamp")))
+    framed = df.select("*", partition.cast("int").alias("_p"))
+    numbered = number_within(framed, ["_p"], list(order), name="_offset")
+    return numbered.select(key.alias("key"), F.encode(js(value_cols), "UTF-8").alias("value"),
+                           F.lit(topic).alias("topic"), F.col("_p").alias("partition"),
+                           F.col("_offset").alias("offset"),
+                           log_time.cast("timestamp").alias("timestamp"))
 
 
 def topic(log: "FileLog | KafkaLog", name: str, schema: StructType = READING,
