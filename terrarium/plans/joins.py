@@ -35,14 +35,32 @@ def _row_bytes(df: DataFrame) -> int:
                     for f in df.schema.fields)
 
 
+# Row counts of persisted small sides, by plan: a side that is still cached
+# (a ranges snapshot used by several datasets and every micro-batch) is
+# measured once.  Spark caches by plan, so whoever drops and re-takes a
+# snapshot with the same plan calls ``forget()``.
+_MEASURED: dict[int, int] = {}
+
+
+def forget() -> None:
+    """Drop remembered sizes (after unpersisting a small side)."""
+    _MEASURED.clear()
+
+
 def checked_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                   max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Persist ``small``, count it (bounded by ``max_rows + 1``) and say
     whether it may be broadcast.  The persisted copy is what the join reads,
     so the side is computed once.  Persisted blocks lost with an executor are
     recomputed from lineage."""
+    key = small.semanticHash()
+    cached = small.storageLevel != StorageLevel.NONE
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.limit(max_rows + 1).count()
+    if cached and key in _MEASURED:
+        n = _MEASURED[key]
+    else:
+        n = small.limit(max_rows + 1).count()
+        _MEASURED[key] = n
     ok = n <= max_rows and n * _row_bytes(small) <= max_bytes
     return small, ok
 

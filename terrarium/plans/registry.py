@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terrarium.operators import clean, derive
 from terrarium.operators.rollup import rollup
+from terrarium.plans.joins import forget
 from terrarium.schema import GRAPH
 from terrarium.session import conf_scope
 from terrarium.sources.log import FileLog
@@ -135,15 +136,27 @@ class Registry:
 
     def start_shared_raw(self, ctx: Context, out: FileLog, checkpoint: str,
                          names: Sequence[str] | None = None,
-                         trigger: dict | None = None) -> StreamingQuery:
+                         trigger: dict | None = None,
+                         refresh_every: int | None = None) -> StreamingQuery:
         """K8 scan sharing: one readings scan feeds the raw output of every
         stateless dataset (all but windowed ones) through one foreachBatch;
         the micro-batch is persisted once and each dataset is computed from
-        it, instead of one scan per dataset and query."""
+        it, instead of one scan per dataset and query.
+
+        T9: the ranges snapshot is taken once at start (the reference's
+        behaviour); ``refresh_every=n`` takes it again every n micro-batches,
+        so sensors that appear later get a range."""
         chosen = [d for d in self._select(names) if not d.inner_width]
-        ranges = ctx.ranges_df() if ctx.ranges is not None else None
+        state = {"ranges": ctx.ranges_df() if ctx.ranges is not None else None}
 
         def write(batch: DataFrame, batch_id: int) -> None:
+            if refresh_every and ctx.ranges is not None and batch_id > 0 \
+                    and batch_id % refresh_every == 0:
+                if state["ranges"] is not None:  # drop the old snapshot first:
+                    state["ranges"].unpersist()  # the cache is keyed by plan
+                forget()
+                state["ranges"] = ctx.ranges().persist()
+            ranges = state["ranges"]
             batch = batch.persist()
             try:
                 bctx = Context(ctx.spark, lambda: batch, (lambda: ranges) if ranges is not None else None)

@@ -152,3 +152,31 @@ def test_shared_scan_equals_separate_streams(spark, tmp):
         a = sorted(r["value"] for r in shared.scan(name).collect())
         b = sorted(r["value"] for r in sep.scan(name).collect())
         assert a == b and len(a) > 0
+
+
+@pytest.mark.parametrize("refresh", [None, 1])
+def test_ranges_snapshot_and_refresh(spark, tmp, refresh):
+    """Ranges come from the weights topic the stream itself writes.
+    Taken once at start it is empty, so water stays empty (as in the
+    reference's first run); refreshed every batch, water fills from batch 1."""
+    events, src = _setup(spark, tmp, files=3)
+    reg = default_registry(lo=FX.LO, hi=FX.HI, max_stddev=FX.MAX_STDDEV, caps=FX.CAPS,
+                           retires=FX.RETIRES)
+    from terrarium.operators import derive
+    out = FileLog(spark, f"{tmp}/out")
+
+    def ranges():
+        w, _ = decode(out.scan("weights"), schema=EXTENDED, ntz=False)
+        return derive.ranges(w)
+
+    ctx = Context(spark, lambda: streams.readings_stream(src, maxFilesPerTrigger=1), ranges,
+                  streaming=True)
+    reg.start_shared_raw(ctx, out, f"{tmp}/cp", names=["weights", "water"], trigger=NOW,
+                         refresh_every=refresh).awaitTermination()
+    n_weights = out.scan("weights").count()
+    n_water = out.scan("water").count()
+    assert n_weights > 0
+    if refresh is None:
+        assert n_water == 0
+    else:
+        assert 0 < n_water < n_weights
