@@ -1,8 +1,9 @@
 """Named streaming queries: each runs Structured Streaming over a file log
 made from ``events`` and returns the batch read of what the stream wrote.
 
-The input log is written as ``files`` appends in event order (one file per
-micro-batch with ``maxFilesPerTrigger=1``); the stream runs with
+The input log is written as ``files`` appends in event order, and each
+micro-batch reads one append (``maxFilesPerTrigger`` = files of one append:
+one locally, one per writing task on a cluster); the stream runs with
 ``availableNow`` to the end of the input.  Folders come from
 ``session.shared_dir`` (``spark.checkpoint.dir``), one fresh set per call.
 """
@@ -59,8 +60,11 @@ def _setup(spark: SparkSession, sf_dir: str, tag: str):
     reg = default_registry(lo=FX.LO, hi=FX.HI, max_stddev=FX.MAX_STDDEV, caps=FX.CAPS,
                            retires=FX.RETIRES)
 
+    # one appended batch per micro-batch: as many files as one append wrote
+    per_trigger = max(src.files_in_batch("readings", 0), 1)
+
     def readings_stream():
-        return streams.readings_stream(src, maxFilesPerTrigger=1)
+        return streams.readings_stream(src, maxFilesPerTrigger=per_trigger)
 
     def ranges_snapshot():
         batch_readings, _ = decode(src.scan("readings"), schema=EXTENDED, ntz=False)

@@ -110,6 +110,14 @@ class FileLog:
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, p.getFileSystem(conf)
 
+    def files_in_batch(self, topic: str, batch_id: int) -> int:
+        """Number of data files one append wrote (one per writing task)."""
+        jvm, fs = self._fs()
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={topic}/batch_id={batch_id}")
+        if not fs.exists(p):
+            return 0
+        return sum(1 for st in fs.listStatus(p) if st.getPath().getName().endswith(".parquet"))
+
     def next_batch_id(self, topic: str) -> int:
         jvm, fs = self._fs()
         p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={topic}")
