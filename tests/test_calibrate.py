@@ -15,12 +15,15 @@ def _t(m):
 def test_burst_stats_long_form(spark):
     rows = [("n1", _t(0), 0, 5.0),
             ("n2", _t(0), 0, 1.0), ("n2", _t(0), 1, 3.0),
+            ("n3", _t(0), 0, 1.0), ("n3", _t(0), 1, 2.0), ("n3", _t(0), 2, 6.0),
             ("n4", _t(0), 0, 1.0), ("n4", _t(0), 1, 2.0), ("n4", _t(0), 2, 4.0), ("n4", _t(0), 3, 9.0)]
     rows += [("n10", _t(0), i, float(i)) for i in range(10)]
     df = spark.createDataFrame(rows, "sensor string, reading_ts timestamp_ntz, i int, v double")
     got = {r["sensor"]: r for r in calibrate.burst_stats(df).collect()}
     assert got["n1"]["stddev"] is None and got["n1"]["raw"] == 5.0
     assert got["n2"]["stddev"] is None and got["n2"]["raw"] == 2.0
+    assert got["n3"]["raw"] == 3.0
+    assert got["n3"]["stddev"] == pytest.approx(math.sqrt(14.0 / 1))
     assert got["n4"]["raw"] == 4.0
     assert got["n4"]["stddev"] == pytest.approx(4.358898943540674)
     s = sum((i - 4.5) ** 2 for i in range(10))
