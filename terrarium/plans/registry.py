@@ -160,9 +160,8 @@ class Registry:
             batch = batch.persist()
             try:
                 bctx = Context(ctx.spark, lambda: batch, (lambda: ranges) if ranges is not None else None)
-                for d in chosen:
-                    out.write_batch(d.name, d.fn(bctx), batch_id, ["timestamp", *d.keys],
-                                    log_time=F.current_timestamp(), dense=False)
+                out.write_batches({d.name: d.fn(bctx) for d in chosen}, batch_id,
+                                  log_time=F.current_timestamp(), dense=False)
             finally:
                 batch.unpersist()
 

@@ -127,24 +127,24 @@ class FileLog:
                if st.getPath().getName().startswith("batch_id=")]
         return max(ids) + 1 if ids else 0
 
-    def write_batch(self, topic: str, df: DataFrame, batch_id: int, order_by: Sequence[str],
-                    key_cols: Sequence[str] | None = None,
-                    value_cols: Sequence[str] | None = None,
-                    partitions: int = 8, partition_by: Column | None = None,
-                    log_time: Column | None = None,
-                    time_text: Column | None = None, dense: bool = True) -> None:
-        """K1/K2/K3: write ``df`` as records of ``topic`` for ``batch_id``.
+    def records(self, df: DataFrame, batch_id: int, order_by: Sequence[str],
+                key_cols: Sequence[str] | None = None,
+                value_cols: Sequence[str] | None = None,
+                partitions: int = 8, partition_by: Column | None = None,
+                log_time: Column | None = None,
+                time_text: Column | None = None, dense: bool = True) -> DataFrame:
+        """LOG records (without topic) for one append of ``df`` as ``batch_id``.
 
         Values (and keys, when ``key_cols`` is given) are JSON with the time
         as text.  ``dense`` numbering spreads records over ``partitions`` log
         partitions (by ``partition_by``, else by a hash of the key, so one
         key stays in one partition, else by a hash of ``order_by``) and
-        numbers them in ``order_by`` order: one shuffle and sort per append.
-        Without ``dense`` (streaming sinks) the log partition is the Spark
-        partition and the offset ``(batch_id << 33) + row index``: no
-        shuffle, still increasing per partition from batch to batch, and
-        newer batches always carry larger offsets, which is what the
-        compacted view orders by (a rollup emits a key once per batch).
+        numbers them in ``order_by`` order (``number_within``).  Without
+        ``dense`` (streaming sinks) the log partition is the Spark partition
+        and the offset ``(batch_id << 33) + row index``: no shuffle, still
+        increasing per partition from batch to batch, and newer batches
+        always carry larger offsets, which is what the compacted view orders
+        by (a rollup emits a key once per batch).
         """
         value_cols = list(value_cols or df.columns)
         ts_text = time_text if time_text is not None else X.format_ts(F.col("timestamp"))
@@ -172,9 +172,33 @@ class FileLog:
                             (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33))
                             .alias("_i"))
             offset = F.lit(batch_id).cast("long") * F.lit(1 << 33) + F.col("_i")
-        out = rec.select("key", "value", "partition", offset.alias("offset"), "timestamp")
+        return rec.select("key", "value", "partition", offset.alias("offset"), "timestamp")
+
+    def write_batch(self, topic: str, df: DataFrame, batch_id: int, order_by: Sequence[str],
+                    **opts) -> None:
+        """K1/K2/K3: write ``df`` as the records of ``topic`` for ``batch_id``
+        (see ``records`` for the options)."""
+        out = self.records(df, batch_id, order_by, **opts)
         out.write.mode("overwrite").parquet(f"{self.path}/topic={topic}/batch_id={batch_id}")
 
+    def write_batches(self, frames: dict, batch_id: int, order_by: dict | None = None,
+                      **opts) -> None:
+        """Several topics' records of one batch in a single write job (K8).
+
+        Each topic's records replace only their own ``topic=/batch_id=``
+        folder (dynamic partition overwrite), so a replayed batch stays
+        exactly-once."""
+        parts = [self.records(df, batch_id, (order_by or {}).get(t, ["timestamp"]), **opts)
+                 .withColumn("topic", F.lit(t)) for t, df in frames.items()]
+        if not parts:
+            return
+        allrec = parts[0]
+        for p in parts[1:]:
+            allrec = allrec.unionByName(p)
+        (allrec.withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("topic", "batch_id").parquet(self.path))
+
     def append(self, topic: str, df: DataFrame, order_by: Sequence[str], **opts) -> int:
         """K3: append a batch DataFrame to ``topic``; returns its batch id."""
         bid = self.next_batch_id(topic)

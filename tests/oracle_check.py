@@ -96,7 +96,7 @@ def main(argv):
     spark = (SparkSession.builder.master("local[8]")
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false")
-             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.session.timeZone", os.environ.get("CHECK_TZ", "UTC"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()
