@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from terrarium.functions import expr as X
 from terrarium.operators import derive
 from terrarium.plans import fixture as FX
 from terrarium.plans.named import rounded

@@ -90,3 +90,26 @@ def conf_scope(spark: SparkSession, settings: dict):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def configure_batch(spark: SparkSession, input_bytes: int | None = None,
+                    partition_bytes: int = 256 * 1024 * 1024) -> None:
+    """Batch sizing for large inputs, applied only where the cluster left a
+    setting unset.
+
+    Shuffles start with enough partitions for ``input_bytes`` at
+    ``partition_bytes`` each (so a partition fits executor memory without
+    heavy spilling) and adaptive execution coalesces the ones that turn out
+    small and splits skewed join partitions."""
+    conf = spark.conf
+
+    def default(key: str, value) -> None:
+        if conf.get(key, None) is None:
+            conf.set(key, str(value))
+
+    default("spark.sql.adaptive.enabled", "true")
+    default("spark.sql.adaptive.skewJoin.enabled", "true")
+    default("spark.sql.adaptive.advisoryPartitionSizeInBytes", partition_bytes)
+    if input_bytes:
+        n = max(spark.sparkContext.defaultParallelism * 2, -(-input_bytes // partition_bytes))
+        default("spark.sql.adaptive.coalescePartitions.initialPartitionNum", n)

@@ -4,7 +4,6 @@ import hmac
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from terrarium.operators import ingest
 from terrarium.sources import landing

@@ -34,3 +34,19 @@ def test_shared_dir_under_checkpoint_dir(spark):
     a = shared_dir(spark, "x", unique=True)
     b = shared_dir(spark, "x", unique=True)
     assert a.startswith(base) and b.startswith(base) and a != b
+
+
+def test_configure_batch_sizes_initial_partitions(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    from terrarium.session import configure_batch
+    old = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        configure_batch(spark, input_bytes=100 * 2 ** 40)       # 100 TB
+        assert int(spark.conf.get(key)) == 409600               # 256 MB partitions
+        configure_batch(spark, input_bytes=1)                    # already set: kept
+        assert int(spark.conf.get(key)) == 409600
+    finally:
+        spark.conf.unset(key)
+        if old is not None:
+            spark.conf.set(key, old)
