@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from terrarium.functions import expr as X
 from terrarium.operators.numbering import number_within
@@ -212,6 +212,41 @@ class FileLog:
         records.drop("topic").write.mode("overwrite").parquet(
             f"{self.path}/topic={topic}/batch_id={bid}")
 
+    def batch_ids(self, topic: str) -> list[int]:
+        jvm, fs = self._fs()
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={topic}")
+        if not fs.exists(p):
+            return []
+        return sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
+                      if st.getPath().getName().startswith("batch_id="))
+
+    def compact(self, topic: str) -> int:
+        """Log compaction of a keyed topic (the broker's cleanup policy done
+        as a periodic batch rewrite): every batch but the newest is rewritten
+        as one batch holding the newest record per key, with its original
+        partition and offset; unkeyed records are kept as they are.
+
+        The newest batch is left alone (a stream may still replay it), and
+        the result is stored under the largest rewritten batch id, which no
+        stream writes again.  Returns the number of batches rewritten."""
+        ids = self.batch_ids(topic)[:-1]
+        if len(ids) < 2:
+            return 0
+        with_batch = StructType(LOG.fields + [StructField("batch_id", LongType())])
+        recs = (self.spark.read.schema(with_batch).parquet(self.path)
+                .where((F.col("topic") == topic) & F.col("batch_id").isin(ids))
+                .select(*[f.name for f in LOG.fields]))
+        keyed = latest_by_key(recs.where(F.col("key").isNotNull()), ["key"], ["offset", "partition"])
+        kept = keyed.unionByName(recs.where(F.col("key").isNull()))
+        tmp = f"{self.path}/_compacting/topic={topic}"
+        kept.drop("topic").write.mode("overwrite").parquet(tmp)
+        jvm, fs = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path
+        for b in ids:
+            fs.delete(path(f"{self.path}/topic={topic}/batch_id={b}"), True)
+        fs.rename(path(tmp), path(f"{self.path}/topic={topic}/batch_id={ids[-1]}"))
+        return len(ids)
+
     def reset(self, topics: Sequence[str]) -> None:
         """K6: drop the records of ``topics`` (a stream starting afresh)."""
         jvm = self.spark.sparkContext._jvm

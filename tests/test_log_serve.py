@@ -146,3 +146,20 @@ def test_history_and_topic_reader(spark, tmp):
     assert t.count() == 8 and "timestamp" in t.columns
     order = [(r["partition"], r["offset"]) for r in in_log_order(log.scan("readings")).collect()]
     assert order == sorted(order)
+
+
+def test_compaction_keeps_newest_per_key(spark, tmp):
+    log = FileLog(spark, f"{tmp}/log")
+    for b, vals in enumerate([[("a", 1.0), ("b", 1.0)], [("a", 2.0)], [("b", 3.0)], [("a", 4.0)]]):
+        df = spark.createDataFrame(vals, "sensor string, grams double").withColumn(
+            "timestamp", F.lit("2024-01-01 00:10:00").cast("timestamp"))
+        log.write_batch("w-10min", df, b, ["sensor"], key_cols=["timestamp", "sensor"],
+                        value_cols=["timestamp", "sensor", "grams"], dense=False)
+    before = {json.loads(r["key"])["sensor"]: json.loads(r["value"])["grams"]
+              for r in compacted(log, "w-10min").collect()}
+    assert log.compact("w-10min") == 3                 # batches 0-2; newest (3) untouched
+    assert log.batch_ids("w-10min") == [2, 3]
+    assert log.scan("w-10min").count() == 3            # a@2, b@3 from the rewrite + a@4
+    after = {json.loads(r["key"])["sensor"]: json.loads(r["value"])["grams"]
+             for r in compacted(log, "w-10min").collect()}
+    assert before == after == {"a": 4.0, "b": 3.0}
