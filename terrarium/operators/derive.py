@@ -43,7 +43,7 @@ def water_rel(weights: DataFrame, rng: DataFrame) -> DataFrame:
         "water", F.try_divide(F.col("grams") - F.col("min"), F.col("max") - F.col("min")))
 
 
-def loss(weights: DataFrame, rng: DataFrame, width: str = LOSS_WIDTH,
+def loss(weights: DataFrame, rng: DataFrame | None, width: str = LOSS_WIDTH,
          lo: float = LOSS_LO, hi: float = LOSS_HI,
          start_offset: str | None = None, label: str = "end") -> DataFrame:
     """Q5 ``evaporation``: per sensor and tumbling window, grams at the first
@@ -52,10 +52,16 @@ def loss(weights: DataFrame, rng: DataFrame, width: str = LOSS_WIDTH,
     the reference names it; ``rate_per_hour`` scales it to an hour.
 
     The join with ranges only restricts to sensors that have a range, so it is
-    a left-semi join against the distinct sensor list.
+    a left-semi join against the distinct sensor list.  ``rng=None`` means
+    the ranges are taken from these same weights (the batch case): every
+    non-null sensor then has a range and the join is a null filter, which
+    saves the second scan and the aggregation.
     """
-    sensors = rng.select("sensor").where(F.col("sensor").isNotNull()).distinct()
-    kept = join_small(weights, sensors, ["sensor"], how="left_semi")
+    if rng is None:
+        kept = weights.where(F.col("sensor").isNotNull())
+    else:
+        sensors = rng.select("sensor").where(F.col("sensor").isNotNull()).distinct()
+        kept = join_small(weights, sensors, ["sensor"], how="left_semi")
     per_window = (kept
                   .groupBy(window_col("timestamp", width, start_offset).alias("w"), "sensor")
                   .agg(first_minus_last("timestamp", "grams").alias("ml_hour"))

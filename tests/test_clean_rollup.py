@@ -157,3 +157,11 @@ def test_loss_end_label_rolls_into_next_bucket(spark):
     ev = derive.loss(w, derive.ranges(w))
     r10 = rollup(ev, ["ml_hour"], ["sensor"]).collect()
     assert [(r["timestamp"], r["ml_hour"]) for r in r10] == [(_ts(0, 10, 0), 10.0)]
+
+
+def test_loss_self_ranges_equals_join(spark):
+    w = _weights(spark, [("a", _ts(0, 0, 10), 520.0), ("a", _ts(0, 3, 0), 500.0),
+                         (None, _ts(0, 1, 0), 900.0), (None, _ts(0, 4, 0), 880.0)])
+    a = derive.loss(w, derive.ranges(w)).collect()
+    b = derive.loss(w, None).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 1
