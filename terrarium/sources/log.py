@@ -77,6 +77,8 @@ class FileLog:
                 return self.spark.createDataFrame([], LOG)
             df = self.spark.read.schema(LOG).parquet(self.path)
         else:
+            jvm, fs = self._fs()  # a stream may start before any data lands
+            fs.mkdirs(jvm.org.apache.hadoop.fs.Path(self.path))
             reader = self.spark.readStream.schema(LOG)
             for k, v in stream_opts.items():
                 reader = reader.option(k, v)

@@ -163,3 +163,13 @@ def test_compaction_keeps_newest_per_key(spark, tmp):
     after = {json.loads(r["key"])["sensor"]: json.loads(r["value"])["grams"]
              for r in compacted(log, "w-10min").collect()}
     assert before == after == {"a": 4.0, "b": 3.0}
+
+
+def test_stream_starts_before_data(spark, tmp):
+    log = FileLog(spark, f"{tmp}/empty-log")
+    got = []
+    q = (log.scan("readings", batch=False).writeStream
+         .foreachBatch(lambda df, i: got.append(df.count()))
+         .option("checkpointLocation", f"{tmp}/cp").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sum(got) == 0
