@@ -104,9 +104,11 @@ SQL = {
     "weights_10min": f"WITH {WEIGHTS} {_rollup('weights', ['grams', 'stddev'], ['sensor'])}",
     "all_10min": f"WITH {WEIGHTS} {_rollup('weights', ['grams', 'stddev'], [])}",
     "ranges": f"WITH {WEIGHTS} SELECT * FROM ranges",
-    "water": f"WITH {WATER} SELECT event_id, \"timestamp\", sensor, grams, \"min\", \"max\", "
+    "water": f"WITH {WATER} SELECT event_id, \"timestamp\", sensor, round(grams, {D}) AS grams, "
+             f"round(\"min\", {D}) AS \"min\", round(\"max\", {D}) AS \"max\", "
              f"round(water, {D}) AS water FROM water",
-    "water_rel": f"WITH {WATER} SELECT event_id, \"timestamp\", sensor, grams, \"min\", \"max\", "
+    "water_rel": f"WITH {WATER} SELECT event_id, \"timestamp\", sensor, round(grams, {D}) AS grams, "
+                 f"round(\"min\", {D}) AS \"min\", round(\"max\", {D}) AS \"max\", "
                  f"round(water, {D}) AS water FROM water_rel",
     "water_10min": f"WITH {WATER} {_rollup('water', ['water'], ['sensor'])}",
     "water_rel_10min": f"WITH {WATER} {_rollup('water_rel', ['water'], ['sensor'])}",
@@ -358,6 +360,6 @@ UNION ALL
 SELECT 'log' AS sink, event_id, sensor FROM parsed""",
     "stream_fresh_start": SQL["stream_raw_weights"],
     "stream_shared_raw": f"""WITH {WATER}
-SELECT event_id, date_trunc('second', "timestamp") AS "timestamp", sensor, grams, "min", "max",
-  round(water, {D}) AS water FROM water""",
+SELECT event_id, date_trunc('second', "timestamp") AS "timestamp", sensor, round(grams, {D}) AS grams,
+  round("min", {D}) AS "min", round("max", {D}) AS "max", round(water, {D}) AS water FROM water""",
 })
