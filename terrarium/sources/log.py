@@ -20,6 +20,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from terrarium.functions import expr as X
 from terrarium.operators.numbering import number_within
+from terrarium.plans.joins import join_small
 from terrarium.schema import LOG, READING
 
 
@@ -66,34 +67,49 @@ class FileLog:
 
     def scan(self, topics: str | Sequence[str], batch: bool = True,
              since: _dt.datetime | Column | None = None,
-             after: DataFrame | None = None, **stream_opts) -> DataFrame:
+             after: DataFrame | None = None, after_batch: int | None = None,
+             until_batch: int | None = None, **stream_opts) -> DataFrame:
         """Records of ``topics`` (comma text or list), whole or
         from log time ``since`` on.  ``after`` (topic, partition, offset)
         keeps only records past those positions (S5 tail after a snapshot).
-        ``batch=False`` gives the streaming scan of the same folder."""
+        ``until_batch`` / ``after_batch`` cut at an append boundary instead:
+        a snapshot up to batch b and a tail after it share no record and miss
+        none, and both are pruned by directory.  ``batch=False`` gives the
+        streaming scan of the same folder."""
         names = [t.strip() for t in topics.split(",")] if isinstance(topics, str) else list(topics)
+        schema = StructType(LOG.fields + [StructField("batch_id", LongType())])
         if batch:
             if not self._exists():
                 return self.spark.createDataFrame([], LOG)
-            df = self.spark.read.schema(LOG).parquet(self.path)
+            df = self.spark.read.schema(schema).parquet(self.path)
         else:
             jvm, fs = self._fs()  # a stream may start before any data lands
             fs.mkdirs(jvm.org.apache.hadoop.fs.Path(self.path))
-            reader = self.spark.readStream.schema(LOG)
+            reader = self.spark.readStream.schema(schema)
             for k, v in stream_opts.items():
                 reader = reader.option(k, v)
             df = reader.parquet(self.path)
-        df = df.select(*[f.name for f in LOG.fields]).where(F.col("topic").isin(names))
+        df = df.where(F.col("topic").isin(names))
+        if after_batch is not None:
+            df = df.where(F.col("batch_id") > F.lit(after_batch))
+        if until_batch is not None:
+            df = df.where(F.col("batch_id") <= F.lit(until_batch))
+        df = df.select(*[f.name for f in LOG.fields])
         if since is not None:
             bound = since if isinstance(since, Column) else F.lit(since).cast("timestamp")
             df = df.where(F.col("timestamp") >= bound)
         if after is not None:
             pos = after.select("topic", "partition", F.col("offset").alias("_after"))
-            df = (df.join(F.broadcast(pos), ["topic", "partition"], "left")
+            df = (join_small(df, pos, ["topic", "partition"], how="left")
                   .where(F.col("_after").isNull() | (F.col("offset") > F.col("_after")))
                   .drop("_after"))
         return df
 
+    def last_batch(self, topic: str) -> int:
+        """The newest append of ``topic`` (-1 when empty), from the listing."""
+        ids = self.batch_ids(topic)
+        return ids[-1] if ids else -1
+
     def end_offsets(self, topics: str | Sequence[str]) -> DataFrame:
         """Last offset per (topic, partition): one row per log partition."""
         return (self.scan(topics).groupBy("topic", "partition")
@@ -353,7 +369,7 @@ class KafkaLog:
         df = reader.load().select(*[f.name for f in LOG.fields])
         if after is not None:
             pos = after.select("topic", "partition", F.col("offset").alias("_after"))
-            df = (df.join(F.broadcast(pos), ["topic", "partition"], "left")
+            df = (join_small(df, pos, ["topic", "partition"], how="left")
                   .where(F.col("_after").isNull() | (F.col("offset") > F.col("_after")))
                   .drop("_after"))
         return df

@@ -140,10 +140,12 @@ def start_appended_rollup(agg: DataFrame, out: FileLog, topic: str, keys: Sequen
 
 def tail(log: FileLog, topics: str | Sequence[str], after: DataFrame | None,
          on_batch: Callable[[DataFrame, int], None], checkpoint: str,
-         trigger: dict | None = None, **source_opts) -> StreamingQuery:
+         trigger: dict | None = None, after_batch: int | None = None,
+         **source_opts) -> StreamingQuery:
     """Deliver every record of ``topics`` past the snapshot's
-    hand-off positions ``after`` (topic, partition, offset) to ``on_batch``.
-    The positions are a small static table (one row per log partition)."""
-    df = log.scan(topics, batch=False, after=after, **source_opts)
+    hand-off to ``on_batch``: past positions ``after`` (topic, partition,
+    offset; a small static table, one row per log partition), or past append
+    ``after_batch`` of a file log (no positions to compute)."""
+    df = log.scan(topics, batch=False, after=after, after_batch=after_batch, **source_opts)
     w = df.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _trigger(w.outputMode("append"), trigger).start()

@@ -173,3 +173,22 @@ def test_stream_starts_before_data(spark, tmp):
          .option("checkpointLocation", f"{tmp}/cp").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sum(got) == 0
+
+
+def test_batch_boundary_hand_off(spark, tmp):
+    from terrarium.streaming import streams
+    log = FileLog(spark, f"{tmp}/log")
+    df = spark.createDataFrame([(i, dt.datetime(2024, 1, 1, 0, i)) for i in range(9)],
+                               "n int, timestamp timestamp")
+    for b in range(3):
+        log.write_batch("r", df.where(F.col("n") % 3 == b), b, ["n"], dense=False)
+    cut = log.last_batch("r")                       # snapshot taken here
+    snap = [json.loads(r["value"])["n"] for r in log.scan("r", until_batch=cut).collect()]
+    log.write_batch("r", spark.createDataFrame([(100, dt.datetime(2024, 1, 2))],
+                                               "n int, timestamp timestamp"), cut + 1, ["n"], dense=False)
+    got = []
+    q = streams.tail(log, "r", None, lambda d, i: got.extend(
+        json.loads(r["value"])["n"] for r in d.collect()), f"{tmp}/cp",
+        trigger={"availableNow": True}, after_batch=cut)
+    q.awaitTermination()
+    assert sorted(snap) == list(range(9)) and got == [100]
