@@ -1,12 +1,14 @@
 """The topic log (D1): scans, decode, appends, keyed change logs, compaction.
 
-A log is a folder of Parquet files with the LOG columns, partitioned on disk
-by ``topic``.  Appends number records densely within each log ``partition``
-after the partition's current end, so ``(topic, partition, offset)`` is a
-stable position, as in a partitioned message log.  Scans prune by topic
-(directory partitions) and by log time or offset (Parquet row-group stats).
-A Kafka-backed log is the same interface over ``format("kafka")``; it needs
-the connector jar, which this environment lacks (N14).
+A log is a folder of Parquet files with the LOG columns, laid out as
+``topic=<t>/batch_id=<n>`` with one folder per append (a batch write or a
+stream's micro-batch).  Offsets are ``(batch_id << 33) + i`` with ``i`` the
+position within the log partition, so ``(topic, partition, offset)`` is a
+position as in a partitioned message log, later appends always sort after
+earlier ones, and no append has to read the log to number its records.
+Scans prune by topic and batch (directories) and by log time (Parquet
+statistics).  A Kafka-backed log is the same interface over
+``format("kafka")``; it needs the connector jar, absent here (N14).
 """
 
 from __future__ import annotations
@@ -27,13 +29,22 @@ from terrarium.schema import LOG, READING
 CORRUPT = "_corrupt_record"
 
 
+def _json(cols: Sequence[str], time_text: Column | None = None) -> Column:
+    """JSON text of ``cols`` (nulls omitted), ``timestamp`` written as text:
+    ``time_text`` when given, else ``yyyy-MM-dd HH:mm:ss Z``."""
+    ts = time_text if time_text is not None else X.format_ts(F.col("timestamp"))
+    return F.to_json(F.struct(*[(ts.alias("timestamp") if c == "timestamp" else F.col(c))
+                                for c in cols]))
+
+
 def decode(records: DataFrame, schema: StructType = READING, ntz: bool = False,
            keep: Sequence[str] = ("topic", "partition", "offset")) -> tuple[DataFrame, DataFrame]:
     """Bytes -> text -> struct -> columns.
 
-    Returns (good, corrupt).  A value that is not a JSON object parses to a
-    null struct and goes to ``corrupt`` with its raw text, instead of
-    stopping the batch.  ``timestamp`` is parsed from its text (F3).
+    Returns (good, corrupt).  Parsing is permissive: a value that is not a
+    JSON object goes to ``corrupt`` with its raw text instead of stopping
+    the batch, while a wrong-typed field only nulls that field.
+    ``timestamp`` is parsed from its text (F3).
     """
     text = F.col("value").cast("string")
     with_corrupt = StructType(schema.fields + [StructField(CORRUPT, StringType())])
@@ -60,10 +71,8 @@ class FileLog:
 
     # -- scans ------------------------------------------------------------
     def _exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(conf).exists(p)
+        jvm, fs = self._fs()
+        return fs.exists(jvm.org.apache.hadoop.fs.Path(self.path))
 
     def scan(self, topics: str | Sequence[str], batch: bool = True,
              since: _dt.datetime | Column | None = None,
@@ -111,7 +120,8 @@ class FileLog:
         return ids[-1] if ids else -1
 
     def end_offsets(self, topics: str | Sequence[str]) -> DataFrame:
-        """Last offset per (topic, partition): one row per log partition."""
+        """Last offset per (topic, partition): one row per log partition
+        (a pass over the topics; ``last_batch`` needs only the listing)."""
         return (self.scan(topics).groupBy("topic", "partition")
                 .agg(F.max("offset").alias("offset")))
 
@@ -137,13 +147,7 @@ class FileLog:
         return sum(1 for st in fs.listStatus(p) if st.getPath().getName().endswith(".parquet"))
 
     def next_batch_id(self, topic: str) -> int:
-        jvm, fs = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={topic}")
-        if not fs.exists(p):
-            return 0
-        ids = [int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
-               if st.getPath().getName().startswith("batch_id=")]
-        return max(ids) + 1 if ids else 0
+        return self.last_batch(topic) + 1
 
     def records(self, df: DataFrame, batch_id: int, order_by: Sequence[str],
                 key_cols: Sequence[str] | None = None,
@@ -165,11 +169,9 @@ class FileLog:
         by (a rollup emits a key once per batch).
         """
         value_cols = list(value_cols or df.columns)
-        ts_text = time_text if time_text is not None else X.format_ts(F.col("timestamp"))
 
         def js(cols):
-            return F.to_json(F.struct(*[(ts_text.alias("timestamp") if c == "timestamp"
-                                         else F.col(c)) for c in cols]))
+            return _json(cols, time_text)
 
         key = js(key_cols) if key_cols else None
         key_bin = key.cast("binary") if key is not None else F.lit(None).cast("binary")
@@ -250,10 +252,7 @@ class FileLog:
         ids = self.batch_ids(topic)[:-1]
         if len(ids) < 2:
             return 0
-        with_batch = StructType(LOG.fields + [StructField("batch_id", LongType())])
-        recs = (self.spark.read.schema(with_batch).parquet(self.path)
-                .where((F.col("topic") == topic) & F.col("batch_id").isin(ids))
-                .select(*[f.name for f in LOG.fields]))
+        recs = self.scan(topic, until_batch=ids[-1])
         keyed = latest_by_key(recs.where(F.col("key").isNotNull()), ["key"], ["offset", "partition"])
         kept = keyed.unionByName(recs.where(F.col("key").isNull()))
         tmp = f"{self.path}/_compacting/topic={topic}"
@@ -267,11 +266,9 @@ class FileLog:
 
     def reset(self, topics: Sequence[str]) -> None:
         """K6: drop the records of ``topics`` (a stream starting afresh)."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        jvm, fs = self._fs()
         for t in topics:
             p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={t}")
-            fs = p.getFileSystem(conf)
             if fs.exists(p):
                 fs.delete(p, True)
 
@@ -309,16 +306,11 @@ def to_records(df: DataFrame, topic: str, partition: Column, order: Sequence[str
     newest record of a key is the one with the largest offset.
     """
     value_cols = list(value_cols or df.columns)
-    ts_text = time_text if time_text is not None else X.format_ts(F.col("timestamp"))
-
-    def js(cols):
-        return F.to_json(F.struct(*[(ts_text.alias("timestamp") if c == "timestamp" else F.col(c))
-                                    for c in cols]))
-
-    key = js(key_cols).cast("binary") if key_cols else F.lit(None).cast("binary")
+    key = _json(key_cols, time_text).cast("binary") if key_cols else F.lit(None).cast("binary")
     framed = df.select("*", partition.cast("int").alias("_p"))
     numbered = number_within(framed, ["_p"], list(order), name="_offset")
-    return numbered.select(key.alias("key"), F.encode(js(value_cols), "UTF-8").alias("value"),
+    return numbered.select(key.alias("key"),
+                           F.encode(_json(value_cols, time_text), "UTF-8").alias("value"),
                            F.lit(topic).alias("topic"), F.col("_p").alias("partition"),
                            F.col("_offset").alias("offset"),
                            log_time.cast("timestamp").alias("timestamp"))
@@ -381,13 +373,7 @@ class KafkaLog:
         """K1/K3: JSON values (and keys) produced to ``topic``; Kafka assigns
         partitions (by key) and offsets."""
         value_cols = list(value_cols or df.columns)
-        ts_text = time_text if time_text is not None else X.format_ts(F.col("timestamp"))
-
-        def js(cols):
-            return F.to_json(F.struct(*[(ts_text.alias("timestamp") if c == "timestamp"
-                                         else F.col(c)) for c in cols]))
-
-        out = df.select((js(key_cols) if key_cols else F.lit(None).cast("string")).alias("key"),
-                        js(value_cols).alias("value"))
+        key = _json(key_cols, time_text) if key_cols else F.lit(None).cast("string")
+        out = df.select(key.alias("key"), _json(value_cols, time_text).alias("value"))
         (out.write.format("kafka").option("kafka.bootstrap.servers", self.servers)
          .option("topic", topic).save())
