@@ -27,6 +27,7 @@ from terrarium.streaming import streams
 FILES = 4
 TAIL_SPLIT = "2024-01-15 00:00:00"
 AVAILABLE_NOW = {"availableNow": True}
+MIN_ROWS_PER_WRITER = 2000
 
 
 def _micro_text(ts: str = "timestamp"):
@@ -34,16 +35,24 @@ def _micro_text(ts: str = "timestamp"):
 
 
 def write_readings_log(spark: SparkSession, events: DataFrame, log: FileLog,
-                       files: int = FILES, topic: str = "readings") -> None:
+                       files: int = FILES, topic: str = "readings", tasks: int = 1) -> None:
     """Append the readings of ``events`` to ``topic`` in ``files`` appends,
-    contiguous ``event_id`` ranges in order (one batch folder each)."""
-    bounds = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    contiguous ``event_id`` ranges in order (one batch folder each), each
+    written by ``tasks`` writers (one file each), as a producer running on
+    many executors writes it."""
+    bounds = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi"),
+                        F.count("*").alias("n")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     span = hi - lo + 1
+    # a writer per MIN_ROWS_PER_WRITER rows at most: every writer gets rows
+    # (all appends have the same file count) and small appends stay one file
+    tasks = max(1, min(tasks, bounds["n"] // files // MIN_ROWS_PER_WRITER))
     readings = readings_from_events(events, keep=("user_id",))
     for i in range(files):
         a, b = lo + span * i // files, lo + span * (i + 1) // files
         chunk = readings.where((F.col("event_id") >= a) & (F.col("event_id") < b))
+        if tasks > 1:
+            chunk = chunk.repartition(tasks)
         log.write_batch(topic, chunk, i, ["event_id"],
                         value_cols=[c for c in chunk.columns if c != "user_id"],
                         log_time=F.col("timestamp"), time_text=_micro_text(), dense=False)
@@ -54,13 +63,17 @@ def _setup(spark: SparkSession, sf_dir: str, tag: str):
     root = shared_dir(spark, "streams", tag, unique=True)
     events = load(spark, sf_dir, "events")
     src = FileLog(spark, f"{root}/in")
-    write_readings_log(spark, events, src)
+    write_readings_log(spark, events, src, tasks=_parallelism(spark))
     out = FileLog(spark, f"{root}/out")
     reg = default_registry(lo=FX.LO, hi=FX.HI, max_stddev=FX.MAX_STDDEV, caps=FX.CAPS,
                            retires=FX.RETIRES)
 
     # one appended batch per micro-batch: as many files as one append wrote
-    per_trigger = max(src.files_in_batch("readings", 0), 1)
+    counts = {src.files_in_batch("readings", b) for b in src.batch_ids("readings")}
+    if len(counts) != 1:
+        raise RuntimeError(f"appends wrote different file counts {sorted(counts)}; "
+                           "micro-batches would not follow append boundaries")
+    per_trigger = max(counts.pop(), 1)
 
     def readings_stream():
         return streams.readings_stream(src, maxFilesPerTrigger=per_trigger)
