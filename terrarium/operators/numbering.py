@@ -34,6 +34,13 @@ _LOCAL_BITS = 33  # monotonically_increasing_id = (task index << 33) + row index
 # distributed path's extra jobs would cost more than they save.
 SMALL_BYTES = 256 * 1024 * 1024
 
+# Range partitions of the distributed path: one per this many input bytes (at
+# least one per core), so tasks stay a few hundred MB however large the input.
+PARTITION_BYTES = 256 * 1024 * 1024
+# Estimates at or above this are "no statistics" (spark.sql.defaultSizeInBytes
+# is Long.MaxValue), not a size.
+UNKNOWN_BYTES = 1 << 62
+
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df`` (no job is run); None when
@@ -56,7 +63,9 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
     if partitions is None and size is not None and size <= SMALL_BYTES:
         w = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, (start_col + F.row_number().over(w) - 1).cast("long"))
-    n = partitions or max(spark.sparkContext.defaultParallelism, 1)
+    known = size if size is not None and size < UNKNOWN_BYTES else 0
+    n = partitions or max(spark.sparkContext.defaultParallelism, 1,
+                          -(-known // PARTITION_BYTES))
     keys = [*group, *order]
     path = shared_dir(spark, "numbering", unique=True)
     (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
