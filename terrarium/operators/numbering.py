@@ -51,6 +51,13 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def range_partitions(size: int | None, cores: int) -> int:
+    """Partitions for ``size`` estimated input bytes: one per
+    ``PARTITION_BYTES``, at least one per core; unknown sizes get one per core."""
+    known = size if size is not None and size < UNKNOWN_BYTES else 0
+    return max(cores, 1, -(-known // PARTITION_BYTES))
+
+
 def number_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
                   name: str = "offset", start: Column | int = 0,
                   partitions: int | None = None) -> DataFrame:
@@ -63,9 +70,7 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
     if partitions is None and size is not None and size <= SMALL_BYTES:
         w = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, (start_col + F.row_number().over(w) - 1).cast("long"))
-    known = size if size is not None and size < UNKNOWN_BYTES else 0
-    n = partitions or max(spark.sparkContext.defaultParallelism, 1,
-                          -(-known // PARTITION_BYTES))
+    n = partitions or range_partitions(size, spark.sparkContext.defaultParallelism)
     keys = [*group, *order]
     path = shared_dir(spark, "numbering", unique=True)
     (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)

@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from terrarium.operators.numbering import number_within
+from terrarium.operators.numbering import PARTITION_BYTES, number_within, range_partitions
 
 
 def test_number_within_equals_row_number(spark):
@@ -22,3 +22,13 @@ def test_number_within_start_column(spark):
     got = sorted((r["g"], r["o"], r["offset"]) for r in
                  number_within(df, ["g"], ["o"], start=F.col("s")).collect())
     assert got == [("a", 1, 100), ("a", 2, 101), ("b", 5, 7)]
+
+
+def test_range_partitions_follow_input_bytes():
+    # small or unknown inputs: one partition per core
+    assert range_partitions(10, 8) == 8
+    assert range_partitions(None, 8) == 8
+    assert range_partitions(2 ** 63 - 1, 8) == 8  # no statistics (Long.MaxValue)
+    # large inputs: one partition per PARTITION_BYTES, rounded up
+    assert range_partitions(100 * PARTITION_BYTES + 1, 8) == 101
+    assert range_partitions(100 * 10 ** 12, 8000) == -(-100 * 10 ** 12 // PARTITION_BYTES)
