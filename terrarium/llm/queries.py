@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrarium.llm import langid
+from terrarium.llm import bpe, decontam, langid, licenses, repeats, simhash
 from terrarium.llm.common import crc_mod, table
 
 
@@ -21,8 +21,56 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for every document and benchmark item that it leaks."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id of every document."""
+    found = simhash.with_component(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        "component_id")
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
+    score, and the template spans of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+
+    def names(*columns: str) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.concat(*[F.col(f"{c}.label") for c in columns]))), ",")
+
+    covered = F.array_max(F.col("spans.coverage"))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(F.col("places.start")).alias("first_word"),
+        F.array_max(F.col("places.start")).alias("last_word"),
+        names("places").alias("base_labels"), names("places", "spans").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(covered, F.lit(0.0))).alias("score"), "spans")
+
+
+def op10_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, remaining text, spans removed and kept, code points removed, of
+    every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda total, s: total + (s["stop"] - s["start"]))
+    return (repeats.remove_repeats(docs)
+            .select("doc_id", "text", "removed", "kept", gone.alias("chars_removed")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_language_id": op3_language_id,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op8_simhash": op8_simhash,
+    "op9_license_scan": op9_license_scan,
+    "op10_repeated_units": op10_repeated_units,
 }
 
 ORACLE_SQL: dict[str, str] = {}
