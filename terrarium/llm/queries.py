@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrarium.llm import bpe, decontam, langid, licenses, repeats, simhash
+from terrarium.llm import (
+    bpe, decontam, hnsw, html_text, langid, licenses, quality, repeats, simhash, toxicity)
 from terrarium.llm.common import crc_mod, table
 
 
@@ -21,11 +22,45 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return (quality.score(docs, model, ["doc_id"])
+            .select("doc_id", held_out.alias("held_out"), "score",
+                    F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for every document and benchmark item that it leaks."""
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the 5 nearest of every 50th vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    found = html_text.extract(table(spark, sf_dir, "pages"), html_text.fit(), ["page_id", "url"])
+    return found.select("page_id", "url", F.col("main_text").alias("text"),
+                        F.length("main_text").cast("long").alias("n_chars"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, the chain's probabilities, and toxic (1 if the last
+    one is at least 0.5) of every document."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    chain = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return (toxicity.score(docs, chain, ["doc_id"])
+            .select("doc_id", held_out.alias("held_out"), *toxicity.CATEGORIES, "score",
+                    F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("toxic")))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -65,8 +100,12 @@ def op10_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
     "op3_language_id": op3_language_id,
+    "op4_hnsw": op4_hnsw,
+    "op5_html_text": op5_html_text,
+    "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_simhash": op8_simhash,
     "op9_license_scan": op9_license_scan,
