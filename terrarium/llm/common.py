@@ -63,15 +63,17 @@ def map_texts(df: DataFrame, text: str, keep: list[str], added: T.StructType,
 
     ``function`` takes a list of texts (None for null) and returns a dict of
     equally long lists or Arrow arrays, one for each field of ``added``.
-    Columns ``keep`` are passed through; all other columns are dropped, so an
-    extra column with a clashing name does no harm."""
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
+    Columns ``keep`` are passed through (the text among them if it is named);
+    all others are dropped, so an extra column with a clashing name does no
+    harm."""
+    at = keep.index(text) if text in keep else len(keep)
+    source = df.select(*[F.col(f"`{c}`") for c in keep], *([] if at < len(keep) else [F.col(f"`{text}`")]))
     schema = T.StructType([source.schema[c] for c in keep] + list(added.fields))
     arrow = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(len(keep))
+            column = batch.column(at)
             for i, j in slices(column):
                 got = function(column.slice(i, j - i).to_pylist())
                 arrays = [batch.column(k).slice(i, j - i) for k in range(len(keep))]
@@ -84,19 +86,18 @@ def map_texts(df: DataFrame, text: str, keep: list[str], added: T.StructType,
     return source.mapInArrow(run, schema)
 
 
+def masked(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with plain column names that clash with nothing, and the new
+    name of each column."""
+    names = {c: f"column_{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def unmasked(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(new).alias(old) for old, new in names.items()])
+
+
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(schema)
-
-
-def sample_rows(df: DataFrame, key: str, rows: int, salt: str) -> DataFrame:
-    """A deterministic subset of about ``rows`` rows, chosen by a hash of
-    ``key``; all rows if there are fewer.  The row count comes from ``df``
-    itself, so pass a frame that reads only what the choice needs."""
-    total = df.count()
-    if total <= rows:
-        return df
-    scale = 1 << 30
-    return df.filter(F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(scale))
-                     < F.lit(int(scale * rows / total)))

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrarium.llm.common import _arrow_schema, slices
+from terrarium.llm.common import _arrow_schema, map_texts, slices
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score that a passage has to reach.
@@ -307,3 +307,23 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
         part = source.mapInArrow(run, schema)
         found = part if found is None else found.union(part)
     return found
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id",
+                  item_text: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP,
+                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The documents that leak no test item, all columns kept.  Nothing is
+    shuffled: each shard of the index is one more pass over what is left."""
+    flag = "leaks"
+    while flag in docs.columns:
+        flag += "_"
+    columns, added = docs.columns, T.StructType([T.StructField(flag, T.BooleanType())])
+    for rows in _shards(items, item_key, item_text, shard_bytes):
+        index = docs.sparkSession.sparkContext.broadcast(build_index(rows))
+
+        def run(texts: list, index=index) -> dict:
+            found = {place for place, _ in search(index.value, texts, threshold, overlap)}
+            return {flag: [k in found for k in range(len(texts))]}
+
+        docs = map_texts(docs, text, columns, added, run).filter(~F.col(flag)).select(columns)
+    return docs

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrarium.llm.common import _arrow_schema, slices, stored
+from terrarium.llm.common import _arrow_schema, masked, slices, stored
 
 LINE_WORDS, SENTENCE_WORDS, RUN_WORDS = 8, 3, 20
 #: A sentence ends after . ! or ? before white space, and at a line break.
@@ -140,34 +140,37 @@ def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
                    removed: str = "removed", kept_spans: str = "kept") -> DataFrame:
-    """``docs`` with what is left of ``text``, and the spans of the original
-    text that went (``removed``) and stayed (``kept``)."""
-    found = repeated_units(docs, key, text).select(
-        F.col("key").alias("__key"), F.col("hash").alias("__hash"), F.col("units").alias("__units"))
-    # a row without repeats is not sent anywhere else than one with them: one join, by document
-    joined = docs.withColumn("__own", F.xxhash64(text)).join(
-        found, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__own") == F.col("__hash")), "left")
-    columns = [c for c in docs.columns if c not in (text, removed, kept_spans)]
-    source = joined.select(*[F.col(f"`{c}`") for c in columns], F.col(text).alias("__text"), "__units")
-    schema = T.StructType([docs.schema[c] for c in columns] + [
-        T.StructField(text, T.StringType()), T.StructField(removed, SPAN), T.StructField(kept_spans, SPAN)])
+    """``docs`` with what is left of ``text``, and two more columns: the spans
+    of the original text that went (``removed``) and that stayed
+    (``kept_spans``)."""
+    plain, names = masked(docs)
+    found = repeated_units(docs, key, text)
+    joined = plain.withColumn("own", F.xxhash64(names[text])).join(
+        found, F.col(names[key]).eqNullSafe(F.col("key")) & (F.col("own") == F.col("hash")), "left")
+    columns = list(names.values())
+    at, n = columns.index(names[text]), len(columns)
+    source = joined.select(*columns, "units")
+    schema = T.StructType([*joined.select(columns).schema.fields, T.StructField("went", SPAN),
+                           T.StructField("stayed", SPAN)])
     arrow = _arrow_schema(schema)
-    n = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in slices(batch.column(n)):
-                left, out, rest = [], [], []
-                for value, units in zip(batch.column(n).slice(i, j - i).to_pylist(),
-                                        batch.column(n + 1).slice(i, j - i).to_pylist()):
+            for i, j in slices(batch.column(at)):
+                left, went, stayed = [], [], []
+                for value, units in zip(batch.column(at).slice(i, j - i).to_pylist(),
+                                        batch.column(n).slice(i, j - i).to_pylist()):
                     spans = cuts(value, [(u["level"], u["start"]) for u in units]) if value and units else []
-                    stay = kept(value or "", spans)
-                    left.append("".join(value[a:b] for a, b in stay) if spans else value)
-                    out.append([{"start": a, "stop": b} for a, b in spans])
-                    rest.append([{"start": a, "stop": b} for a, b in stay])
+                    rest = kept(value or "", spans)
+                    left.append("".join(value[a:b] for a, b in rest) if spans else value)
+                    went.append([{"start": a, "stop": b} for a, b in spans])
+                    stayed.append([{"start": a, "stop": b} for a, b in rest])
+                arrays = [batch.column(k).slice(i, j - i) for k in range(n)]
+                arrays[at] = pa.array(left, arrow.field(at).type)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(k).slice(i, j - i) for k in range(n)]
-                    + [pa.array(x, arrow.field(n + k).type) for k, x in enumerate((left, out, rest))],
+                    arrays + [pa.array(went, arrow.field(n).type), pa.array(stayed, arrow.field(n + 1).type)],
                     schema=arrow)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).select(
+        *[F.col(new).alias(old) for old, new in names.items()],
+        F.col("went").alias(removed), F.col("stayed").alias(kept_spans))

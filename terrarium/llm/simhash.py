@@ -29,11 +29,11 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrarium.llm.common import map_texts, stored
+from terrarium.llm.common import map_texts, masked, stored, unmasked
 from terrarium.llm.components import components
 
 WORDS, SEED, RADIUS, BITS = 3, 42, 3, 64
@@ -271,6 +271,22 @@ def _groups(rows: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
 
 # ----------------------------------------------------------------- components
 
+def groups(prints: DataFrame, order: Column, radius: int = RADIUS) -> DataFrame:
+    """(fp, root, first) of every fingerprint of ``prints``: fingerprints with
+    the same root are linked directly or through others; ``first`` is the
+    smallest ``order`` of the group's rows.
+
+    Rows are reduced to their fingerprints before anything is joined; each
+    side of a join is a stored table, so a fingerprint or a group with very
+    many members is split by the skew handling of the join."""
+    own = stored(prints.groupBy("fp").agg(F.min(order).alias("own")))
+    joined = components(links(own.select("fp"), radius))
+    labelled = stored(own.join(joined.select(F.col("node").alias("fp"), "root"), "fp", "left")
+                      .select("fp", "own", F.coalesce("root", "fp").alias("root")))
+    least = stored(labelled.groupBy("root").agg(F.min("own").alias("first")))
+    return stored(labelled.join(least, "root").select("fp", "root", "first"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                     radius: int = RADIUS) -> DataFrame:
     """(key, fp, root) of every row; rows with the same root (a fingerprint)
@@ -285,3 +301,21 @@ def with_component(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """Adds ``component_id``, the smallest key of each row's group."""
     least = found.groupBy("root").agg(F.min(key).alias("component_id"))
     return found.join(least, "root", "left")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
+             radius: int = RADIUS) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the
+    smallest key (null last), of equal keys the one with the smallest hash.
+    Rows that agree in key and text are one document."""
+    plain, names = masked(docs)
+    key, text = names[key], names[text]
+    marks = [F.xxhash64(F.lit(k), key, text) for k in (1, 2)]
+    plain = plain.withColumns({"mark_1": marks[0], "mark_2": marks[1]})
+    prints = stored(fingerprints(plain, [key, "mark_1", "mark_2"], text, words))
+    order = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), "mark_1", "mark_2")
+    first = (groups(prints, order, radius).select("first.mark_1", "first.mark_2").distinct())
+    again = Window.partitionBy("mark_1", "mark_2").orderBy(F.xxhash64(*names.values()))
+    left = (plain.join(first, ["mark_1", "mark_2"])
+            .withColumn("again", F.row_number().over(again)).filter(F.col("again") == 1))
+    return unmasked(left, names)
