@@ -64,6 +64,7 @@ def new_model(languages: list[str], rng: np.random.Generator, hidden: int = HIDD
 
 def _states(cell, steps: np.ndarray, trace: list | None = None) -> np.ndarray:
     """Hidden states (steps, lanes, H) of one direction for bytes (steps, lanes).
+    At a zero byte, which pads a text, the state is zero.
 
     With ``trace``, what backpropagation needs is appended for each step."""
     inputs, recurrent = cell
@@ -76,6 +77,7 @@ def _states(cell, steps: np.ndarray, trace: list | None = None) -> np.ndarray:
     gates, u2 = np.empty((2, lanes, h), np.float32), np.empty((2, lanes, h), np.float32)
     cand, u = np.empty((lanes, h), np.float32), np.empty((lanes, h), np.float32)
     z, r = gates
+    padded = (steps == 0).any(axis=1).tolist()
     for t in range(n):
         byte = steps[t]
         np.take(gate_in[0], byte, axis=0, out=z, mode="clip")
@@ -98,6 +100,8 @@ def _states(cell, steps: np.ndarray, trace: list | None = None) -> np.ndarray:
         np.subtract(state, cand, out=new)
         new *= z
         new += cand
+        if padded[t]:
+            new[byte == 0] = 0
         state = new
     return out
 
@@ -159,7 +163,7 @@ def _through_time(cell, trace, steps, d_states):
     carry = np.zeros_like(trace[0][0])
     for t in range(len(trace) - 1, -1, -1):
         state, z, r, part, cand = trace[t]
-        d = d_states[t] + carry
+        d = (d_states[t] + carry) * (steps[t] != 0)[:, None]
         d_cand = d * (1 - z) * (1 - cand * cand)
         d_gates = (d * (state - cand) * z * (1 - z), d_cand * part * r * (1 - r), d_cand * r)
         carry = d * z
