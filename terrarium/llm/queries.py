@@ -68,7 +68,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every document."""
-    found = simhash.with_component(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         "component_id")
 

@@ -289,18 +289,11 @@ def groups(prints: DataFrame, order: Column, radius: int = RADIUS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                     radius: int = RADIUS) -> DataFrame:
-    """(key, fp, root) of every row; rows with the same root (a fingerprint)
-    are one group of near-duplicates, linked directly or through others."""
+    """(key, fp, component_id) of every row; rows of a component are linked
+    directly or through others, and its id is the smallest key in it."""
     prints = stored(fingerprints(docs, [key], text, words))
-    joined = components(links(prints.select("fp").distinct(), radius))
-    return prints.join(joined.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
-        key, "fp", F.coalesce("root", "fp").alias("root"))
-
-
-def with_component(found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Adds ``component_id``, the smallest key of each row's group."""
-    least = found.groupBy("root").agg(F.min(key).alias("component_id"))
-    return found.join(least, "root", "left")
+    found = groups(prints, F.col(key), radius)
+    return prints.join(found, "fp").select(key, "fp", F.col("first").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
