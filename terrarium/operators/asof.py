@@ -3,92 +3,86 @@
 Spark has no as-of join, and the usual window recipe (union both sides, then
 ``last(..., ignorenulls)`` over ``partitionBy(key).orderBy(ts)``) sends every
 row of one key through a single task, which a hot device turns into one huge
-sort.  Here the right side (calibration presses) is turned into validity
-intervals ``[from, to)`` (each press holds until the next one of its key),
-and the left side joins those intervals:
-
-* broadcast, when the interval table is measured small: a hash join on the
-  key plus a range condition, with no shuffle of the left side at all;
-* otherwise bucketed: intervals are exploded into the fixed-width time
-  buckets they cover and joined on ``(key, bucket)`` plus the range
-  condition, so a hot key is spread over its time buckets and each left row
-  matches exactly one interval.  Adaptive skew handling splits what remains.
+sort.  Here time is cut into buckets, and the window runs within ``(key,
+bucket)``, so a hot key spreads over its buckets and no left row is compared
+with more than its neighbours in the sort.  What held before a bucket is
+carried into it: right rows are first reduced to the last one of each (key,
+bucket), and a prefix over these small rows finds the one that holds when a
+bucket begins.  Only buckets that have left rows get a carried row, so a
+right row that stays open for years costs nothing in between.
+
+Each left row is shuffled once, however many right tables are looked up.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrarium.operators.numbering import number_within
-from terrarium.plans.joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_small
-
 BUCKET_SECONDS = 3600
 
 
-def intervals(right: DataFrame, by: Sequence[str], ts: str, values: Sequence[str]) -> DataFrame:
-    """Validity intervals of the right side: each row holds from its time
-    until the next row of the same key.  Rows at the same time keep the
-    largest values (a deterministic tie rule).
-
-    The next time comes from numbering each key's rows (``number_within``,
-    no task per key) and joining row n to row n + 1 on (key, n)."""
-    one = (right.groupBy(*by, ts)
-           .agg(F.max(F.struct(*[F.col(v) for v in values])).alias("_v"))
-           .select(*by, F.col(ts).alias("_from"), *[F.col(f"_v.{v}").alias(v) for v in values]))
-    numbered = number_within(one, list(by), ["_from"], name="_n")
-    nxt = numbered.select(*[F.col(b).alias(f"_nx_{b}") for b in by],
-                          (F.col("_n") - 1).alias("_nx_n"), F.col("_from").alias("_to"))
-    cond = F.col("_n") == F.col("_nx_n")
-    for b in by:
-        cond = cond & (F.col(b) == F.col(f"_nx_{b}"))
-    return (numbered.join(nxt, cond, "left")
-            .drop("_n", "_nx_n", *[f"_nx_{b}" for b in by]))
-
-
 def _bucket(c: Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str,
               right_ts: str, values: Sequence[str],
-              bucket_seconds: int = BUCKET_SECONDS,
-              max_rows: int = MAX_BROADCAST_ROWS,
-              max_bytes: int = MAX_BROADCAST_BYTES,
-              force_bucketed: bool = False) -> DataFrame:
+              bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Left outer as-of join: adds ``values`` of the latest right row of the
     same ``by`` key with ``right_ts <= left_ts`` (null when there is none).
 
-    The right time is cast to the left time's type, so NTZ and TIMESTAMP
-    sides can be mixed.
-    """
-    ltype = left.schema[left_ts].dataType
-    iv = intervals(right.withColumn(right_ts, F.col(right_ts).cast(ltype)), by, right_ts, values)
-    iv = iv.select(*[F.col(b).alias(f"_k_{b}") for b in by], "_from", "_to", *values)
-    lt = F.col(left_ts)
-    in_range = (lt >= F.col("_from")) & (F.col("_to").isNull() | (lt < F.col("_to")))
-    key_eq = [F.col(b) == F.col(f"_k_{b}") for b in by]
+    Right rows at the same time keep the largest values (a deterministic tie
+    rule).  The right time is cast to the left time's type, so NTZ and
+    TIMESTAMP sides can be mixed.  Left rows without a key or a time stay,
+    with nulls."""
+    return asof_joins(left, [(right, values)], by, left_ts, right_ts, bucket_seconds)
+
+
+def asof_joins(left: DataFrame, rights: Sequence[tuple[DataFrame, Sequence[str]]], by: Sequence[str],
+               left_ts: str, right_ts: str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """``asof_join`` with several right tables at once: ``rights`` are pairs of
+    a table and its value columns; each is looked up on its own."""
+    kind = left.schema[left_ts].dataType
+    keys = [f"_by{i}" for i in range(len(by))]
+    points = [f"_p{i}" for i in range(len(rights))]
+    parts = []
+    for i, (right, values) in enumerate(rights):
+        own = right.select(*[F.col(b).alias(k) for b, k in zip(by, keys)],
+                           F.col(right_ts).cast(kind).alias("_t"),
+                           F.struct(*[F.col(v) for v in values]).alias(points[i]))
+        parts.append(own.dropna(subset=[*keys, "_t"]).groupBy(*keys, "_t")
+                     .agg(F.max(points[i]).alias(points[i]))
+                     .withColumn("_b", _bucket(F.col("_t"), bucket_seconds)))
+    known = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-    small, ok = (iv, False) if force_bucketed else checked_small(iv, max_rows, max_bytes)
-    if ok:
-        cond = in_range
-        for k in key_eq:
-            cond = cond & k
-        joined = left.join(F.broadcast(small), cond, "left")
-    else:
-        # Explode each interval into the buckets it covers.  Open intervals
-        # run to the latest left time, found with one scalar aggregate.
-        last = left.agg(F.max(lt).alias("_m")).collect()[0]["_m"]
-        last_b = F.lit(0).cast("long") if last is None else _bucket(F.lit(last).cast(ltype), bucket_seconds)
-        b_from = _bucket(F.col("_from"), bucket_seconds)
-        b_to = F.coalesce(_bucket(F.col("_to") - F.expr("INTERVAL 1 MICROSECOND"), bucket_seconds), last_b)
-        exploded = small.withColumn(
-            "_b", F.explode(F.sequence(b_from, F.greatest(b_from, b_to))))
-        lb = left.withColumn("_lb", _bucket(lt, bucket_seconds))
-        cond = in_range & (F.col("_lb") == F.col("_b"))
-        for k in key_eq:
-            cond = cond & k
-        joined = lb.join(exploded, cond, "left").drop("_lb", "_b")
-    return joined.drop(*[f"_k_{b}" for b in by], "_from", "_to")
+    lt = F.col(left_ts)
+    framed = left.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], lt.alias("_t"),
+                         _bucket(lt, bucket_seconds).alias("_b"), F.struct(*left.columns).alias("_row"))
+    # the last right row of each bucket, and the buckets that have left rows
+    ends = known.groupBy(*keys, "_b").agg(*[
+        F.max_by(p, F.when(F.col(p).isNotNull(), F.col("_t"))).alias(p) for p in points])
+    asked = framed.dropna(subset=[*keys, "_b"]).select(*keys, "_b").distinct().withColumn("_asked", F.lit(True))
+    steps = (ends.unionByName(asked, allowMissingColumns=True).groupBy(*keys, "_b")
+             .agg(*[F.max(p).alias(p) for p in points], F.max("_asked").alias("_asked")))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = steps.select(*keys, "_b", "_asked", *[F.last(p, ignorenulls=True).over(before).alias(p) for p in points])
+    carried = carried.where("_asked").drop("_asked")
+
+    # rows without key or time meet nothing; they stay spread over the tasks they come from
+    alone = F.lit(-1).cast("long") - F.spark_partition_id()
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, "_t"]])
+    rows = framed.withColumn("_b", F.when(complete, F.col("_b")).otherwise(alone))
+    every = (rows.withColumn("_kind", F.lit(1))
+             .unionByName(known.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+             .unionByName(carried.withColumn("_kind", F.lit(-1)), allowMissingColumns=True))
+    so_far = (Window.partitionBy(*keys, "_b").orderBy(F.col("_t").asc_nulls_first(), "_kind")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = every.select("_row", "_kind", complete.alias("_ok"),
+                         *[F.last(p, ignorenulls=True).over(so_far).alias(p) for p in points])
+    return found.where(F.col("_kind") == 1).select(
+        "_row.*", *[F.when(F.col("_ok"), F.col(f"{p}.{v}")).alias(v)
+                    for p, (_, values) in zip(points, rights) for v in values])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrarium.functions import expr as X
-from terrarium.operators.asof import asof_join
+from terrarium.operators.asof import asof_joins
 
 # Fixed value: a calibration point never saved reads as 1000.
 DEFAULT_POINT = 1000.0
@@ -50,8 +50,7 @@ def calibrated(readings: DataFrame, calibrations: DataFrame, sensor: str = "sens
                               F.col("raw").alias("_craw"))
     zero = cal.where(F.col("point") == ZERO).select(sensor, "_cts", F.col("_craw").alias("zero"))
     one = cal.where(F.col("point") == ONE_KG).select(sensor, "_cts", F.col("_craw").alias("one_kg"))
-    out = asof_join(readings, zero, [sensor], ts, "_cts", ["zero"], **asof_opts)
-    out = asof_join(out, one, [sensor], ts, "_cts", ["one_kg"], **asof_opts)
+    out = asof_joins(readings, [(zero, ["zero"]), (one, ["one_kg"])], [sensor], ts, "_cts", **asof_opts)
     z = F.coalesce(F.col("zero"), F.lit(DEFAULT_POINT))
     k = F.coalesce(F.col("one_kg"), F.lit(DEFAULT_POINT))
     return (out.withColumn("zero", z).withColumn("one_kg", k)

@@ -1,8 +1,8 @@
 """Derived measures over cleaned weights (Q2-Q5: A1, A3, J1, P10-P12, T3).
 
-``ranges`` is one row per sensor.  The joins against it go through
-``plans.joins.join_small``: broadcast after a row-count check, otherwise a
-shuffle join with adaptive skew splitting.  ``loss`` only needs to know which
+``ranges`` is one row per sensor.  The joins against it are plain joins:
+Spark broadcasts the side when the size it measures allows it, and otherwise
+shuffles with adaptive skew splitting.  ``loss`` only needs to know which
 sensors have a range, so it uses a left-semi join on the distinct sensors.
 """
 
@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrarium.operators.rollup import first_minus_last, window_col
-from terrarium.plans.joins import join_small
 
 # Evaporation window and the accepted loss range (exclusive).
 LOSS_WIDTH = "5 minutes"
@@ -29,7 +28,7 @@ def ranges(weights: DataFrame) -> DataFrame:
 
 def with_range(weights: DataFrame, rng: DataFrame) -> DataFrame:
     """Inner equi-join USING sensor; unmatched and null sensors drop."""
-    return join_small(weights, rng.select("sensor", "min", "max"), ["sensor"])
+    return weights.join(rng.select("sensor", "min", "max"), ["sensor"])
 
 
 def water(weights: DataFrame, rng: DataFrame) -> DataFrame:
@@ -61,7 +60,7 @@ def loss(weights: DataFrame, rng: DataFrame | None, width: str = LOSS_WIDTH,
         kept = weights.where(F.col("sensor").isNotNull())
     else:
         sensors = rng.select("sensor").where(F.col("sensor").isNotNull()).distinct()
-        kept = join_small(weights, sensors, ["sensor"], how="left_semi")
+        kept = weights.join(sensors, ["sensor"], "left_semi")
     per_window = (kept
                   .groupBy(window_col("timestamp", width, start_offset).alias("w"), "sensor")
                   .agg(first_minus_last("timestamp", "grams").alias("ml_hour"))

@@ -6,8 +6,12 @@ one hot device) then runs in one task.  Here the rows are range-partitioned
 on ``(g, o)``: the sampled range bounds split a large group over many tasks.
 Each task numbers its rows locally, a small table of per-(task, group)
 counts gives every task its starting number through a prefix sum, and a
-broadcast join adds it back.  The result equals ``row_number() - 1 + start``
-for a total order (``o`` unique within ``g``).
+join adds it back.  The result equals ``row_number() - 1 + start`` for a
+total order (``o`` unique within ``g``).
+
+The number of range partitions is the session's shuffle partition count,
+which adaptive execution coalesces by the bytes that really arrive; there is
+one path for inputs of every size.
 
 The ranged rows are written as a Parquet table in the cluster's shared
 folder and read back before counting, so counts and numbers come from the
@@ -24,67 +28,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrarium.plans.joins import join_small
 from terrarium.session import shared_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = (task index << 33) + row index
 
-# Inputs the optimizer estimates below this size are numbered with a plain
-# window: a few hundred MB per group sorts comfortably in one task, and the
-# distributed path's extra jobs would cost more than they save.
-SMALL_BYTES = 256 * 1024 * 1024
-
-# Range partitions of the distributed path: one per this many input bytes (at
-# least one per core), so tasks stay a few hundred MB however large the input.
-PARTITION_BYTES = 256 * 1024 * 1024
-# Estimates at or above this are "no statistics" (spark.sql.defaultSizeInBytes
-# is Long.MaxValue), not a size.
-UNKNOWN_BYTES = 1 << 62
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (no job is run); None when
-    unavailable.  Scans report file sizes, so this tracks the input size."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate unavailable
-        return None
-
-
-def range_partitions(size: int | None, cores: int) -> int:
-    """Partitions for ``size`` estimated input bytes: one per
-    ``PARTITION_BYTES``, at least one per core; unknown sizes get one per core."""
-    known = size if size is not None and size < UNKNOWN_BYTES else 0
-    return max(cores, 1, -(-known // PARTITION_BYTES))
-
 
 def number_within(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                  name: str = "offset", start: Column | int = 0,
-                  partitions: int | None = None) -> DataFrame:
+                  name: str = "offset", start: Column | int = 0) -> DataFrame:
     """Add ``name`` = position of each row within its ``group`` in ``order``
-    (0-based, plus ``start``, which may be a column of the group).  Passing
-    ``partitions`` forces the distributed path."""
+    (0-based, plus ``start``, which may be a column of the group)."""
     spark = df.sparkSession
     start_col = start if isinstance(start, Column) else F.lit(start)
-    size = estimated_bytes(df)
-    if partitions is None and size is not None and size <= SMALL_BYTES:
-        w = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, (start_col + F.row_number().over(w) - 1).cast("long"))
-    n = partitions or range_partitions(size, spark.sparkContext.defaultParallelism)
     keys = [*group, *order]
     path = shared_dir(spark, "numbering", unique=True)
-    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-     .withColumn("_task", F.spark_partition_id())
-     .withColumn("_local", F.monotonically_increasing_id()
-                 - F.col("_task").cast("long") * F.lit(1 << _LOCAL_BITS))
-     .write.parquet(path))
-    ranged = spark.read.parquet(path)
+    framed = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+              .withColumn("_task", F.spark_partition_id())
+              .withColumn("_local", F.monotonically_increasing_id()
+                          - F.col("_task").cast("long") * F.lit(1 << _LOCAL_BITS)))
+    framed.write.parquet(path)
+    ranged = spark.read.schema(framed.schema).parquet(path)
     counts = (ranged.groupBy("_task", *group)
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first")))
     before = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))) \
         .drop("_n")
-    numbered = join_small(ranged, bases, ["_task", *group])
-    return (numbered.withColumn(name, (start_col + F.col("_base") + F.col("_local")
-                                       - F.col("_first")).cast("long"))
-            .drop("_task", "_local", "_base", "_first"))
+    bases = bases.select(F.col("_task").alias("_btask"), *[F.col(g).alias(f"_b_{g}") for g in group],
+                         "_first", "_base")
+    same = F.col("_task") == F.col("_btask")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_b_{g}"))
+    return (ranged.join(bases, same)
+            .withColumn(name, (start_col + F.col("_base") + F.col("_local")
+                               - F.col("_first")).cast("long"))
+            .drop("_task", "_local", "_base", "_first", "_btask", *[f"_b_{g}" for g in group]))

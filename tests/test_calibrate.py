@@ -49,11 +49,11 @@ READ = [("s1", _t(15), 600.0), ("s1", _t(25), 700.0), ("s1", _t(10), 600.0),
         ("s2", _t(30), 1050.0), ("s3", _t(30), 500.0), ("s4", _t(30), 500.0)]
 
 
-@pytest.mark.parametrize("bucketed", [False, True])
-def test_calibrated(spark, bucketed):
+@pytest.mark.parametrize("seconds", [60, 600, 86_400])
+def test_calibrated(spark, seconds):
     cal = spark.createDataFrame(CAL, "sensor string, point string, ts timestamp_ntz, raw double")
     rd = spark.createDataFrame(READ, "sensor string, timestamp timestamp_ntz, raw double")
-    out = calibrate.calibrated(rd, cal, force_bucketed=bucketed, bucket_seconds=600)
+    out = calibrate.calibrated(rd, cal, bucket_seconds=seconds)
     got = {(r["sensor"], r["timestamp"]): (r["zero"], r["one_kg"], r["grams"]) for r in out.collect()}
     assert got[("s1", _t(10))] == (100.0, 1100.0, 500.0)        # same-time press applies
     assert got[("s1", _t(15))] == (100.0, 1100.0, 500.0)
@@ -66,19 +66,40 @@ def test_calibrated(spark, bucketed):
     assert len(got) == len(READ)
 
 
-def test_asof_paths_agree_on_many_keys(spark):
-    left = spark.range(0, 3000).select(
-        (F.col("id") % 7).cast("string").alias("k"),
-        (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
-         + F.make_dt_interval(secs=F.col("id") * 37)).alias("t"))
-    right = spark.range(0, 200).select(
-        (F.col("id") % 5).cast("string").alias("k"),
-        (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
-         + F.make_dt_interval(secs=F.col("id") * 511)).alias("rt"),
+def test_asof_against_brute_force(spark):
+    import bisect
+
+    start = dt.datetime(2024, 1, 1)
+    left = [(str(i % 7), start + dt.timedelta(seconds=37 * i)) for i in range(2000)] + [(None, start), ("1", None)]
+    right = [(str(i % 5), start + dt.timedelta(seconds=511 * (i // 2)), float(i)) for i in range(200)] + [
+        ("2", None, 1.0), (None, start, 2.0)]
+    times: dict = {}
+    for k, t, v in right:
+        if k is not None and t is not None:
+            times.setdefault(k, {})[t] = max(v, times.get(k, {}).get(t, v))
+    want = []
+    for k, t in left:
+        own = sorted(times.get(k, {}).items()) if t is not None else []
+        at = bisect.bisect_right([x for x, _ in own], t) if own else 0
+        want.append((k, t, own[at - 1][1] if at else None))
+    lf = spark.createDataFrame(left, "k string, t timestamp_ntz")
+    rf = spark.createDataFrame(right, "k string, rt timestamp_ntz, v double")
+    for seconds in (60, 900, 86_400):
+        got = [tuple(r) for r in asof_join(lf, rf, ["k"], "t", "rt", ["v"], bucket_seconds=seconds).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_asof_of_a_hot_key_with_an_old_open_row_stays_small(spark):
+    """One sensor, many presses, one of them from 1970: no row is spread over
+    the time in between, and no reading meets all presses."""
+    left = spark.range(0, 20_000).select(F.lit("s").alias("k"), (
+        F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") * 7)).alias("t"))
+    right = spark.range(0, 4000).select(F.lit("s").alias("k"), (
+        F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") * 29)).alias("rt"),
         F.col("id").cast("double").alias("v"))
-    a = asof_join(left, right, ["k"], "t", "rt", ["v"])
-    b = asof_join(left, right, ["k"], "t", "rt", ["v"], force_bucketed=True, bucket_seconds=900)
-    key = lambda r: (r["k"], r["t"])
-    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
-    assert a.count() == 3000
-    assert a.where(F.col("v").isNull()).count() > 0 and a.where(F.col("v").isNotNull()).count() > 0
+    right = right.unionByName(spark.createDataFrame([("s", dt.datetime(1970, 1, 2), -1.0)],
+                                                    "k string, rt timestamp_ntz, v double"))
+    out = asof_join(left, right, ["k"], "t", "rt", ["v"])
+    assert out.count() == 20_000 and out.where("v is null").count() == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan

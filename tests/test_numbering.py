@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from terrarium.operators.numbering import PARTITION_BYTES, number_within, range_partitions
+from terrarium.operators.numbering import number_within
 
 
 def test_number_within_equals_row_number(spark):
@@ -9,7 +9,7 @@ def test_number_within_equals_row_number(spark):
     df = spark.range(0, 20000).select(
         F.when(F.col("id") % 10 < 7, F.lit(0)).otherwise(F.col("id") % 4).alias("g"),
         ((F.col("id") * 7919) % 20011).alias("o"), F.col("id"))
-    got = number_within(df, ["g"], ["o"], partitions=16)
+    got = number_within(df, ["g"], ["o"])
     w = Window.partitionBy("g").orderBy("o")
     exp = df.withColumn("offset", F.row_number().over(w) - 1)
     a = sorted((r["id"], r["offset"]) for r in got.collect())
@@ -24,11 +24,8 @@ def test_number_within_start_column(spark):
     assert got == [("a", 1, 100), ("a", 2, 101), ("b", 5, 7)]
 
 
-def test_range_partitions_follow_input_bytes():
-    # small or unknown inputs: one partition per core
-    assert range_partitions(10, 8) == 8
-    assert range_partitions(None, 8) == 8
-    assert range_partitions(2 ** 63 - 1, 8) == 8  # no statistics (Long.MaxValue)
-    # large inputs: one partition per PARTITION_BYTES, rounded up
-    assert range_partitions(100 * PARTITION_BYTES + 1, 8) == 101
-    assert range_partitions(100 * 10 ** 12, 8000) == -(-100 * 10 ** 12 // PARTITION_BYTES)
+def test_number_within_null_groups_and_empty_input(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, o int")
+    got = sorted(((r["g"], r["o"], r["offset"]) for r in number_within(df, ["g"], ["o"]).collect()), key=str)
+    assert got == [("a", 3, 0), (None, 1, 0), (None, 2, 1)]
+    assert number_within(df.where("false"), ["g"], ["o"]).count() == 0
