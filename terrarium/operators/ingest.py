@@ -1,10 +1,12 @@
 """Ingest: verify signed payloads and enrich them into readings (Q8).
 
-P15 signature check -> F6 time from ``sec`` -> F11 id normalisation ->
-F10 Fahrenheit -> F12 MAC -> J2 tag lookup.  One projection plus one join
-against the device tag dimension (broadcast after a size check), so an
-arbitrarily large batch of payloads streams through without a shuffle.
-Rejected payloads are returned as their own DataFrame with a reason.
+P15 signature check -> body decode -> F6 time from ``sec`` -> F11 id
+normalisation -> F10 Fahrenheit -> F12 MAC -> J2 tag lookup.  One projection
+plus one join against the device tag dimension, so an arbitrarily large batch
+of payloads streams through; Spark broadcasts the dimension when its measured
+size allows it.  Payloads with a wrong signature or a malformed body are
+returned as their own DataFrame with a reason; fields that the reading schema
+does not know are kept in ``extra`` and the body itself in ``body``.
 """
 
 from __future__ import annotations
@@ -14,18 +16,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from terrarium.functions import expr as X
-from terrarium.plans.joins import join_small
 from terrarium.schema import EXTENDED
 
 # Body schema: everything a device sends (the extended reading).
 BODY = StructType([f for f in EXTENDED.fields if f.name != "event_id"])
+# Names of body fields that have a column of their own.
+KNOWN = [f.name for f in EXTENDED.fields]
+INVALID_SIGNATURE = "invalid signature"
+MALFORMED_BODY = "malformed body"
+CORRUPT = "_corrupt_record"
 
 
 def signature_ok(key: str | bytes, body: str = "body", signature: str = "signature"):
-    """P15 predicate: the signature equals the HMAC-SHA1 of the body; a
-    missing or empty signature is false, never null or an error."""
+    """P15 predicate: the signature equals the HMAC-SHA1 of the body, as
+    lower-case hex; a missing or empty one is false, never null or an error."""
     expected = X.hmac_sha1_hex(F.col(body), key)
-    return F.coalesce(F.lower(F.col(signature)) == expected, F.lit(False))
+    return F.coalesce(F.col(signature) == expected, F.lit(False))
 
 
 def verify(payloads: DataFrame, key: str | bytes) -> tuple[DataFrame, DataFrame]:
@@ -33,16 +39,28 @@ def verify(payloads: DataFrame, key: str | bytes) -> tuple[DataFrame, DataFrame]
     marked = payloads.withColumn("_ok", signature_ok(key))
     accepted = marked.where(F.col("_ok")).drop("_ok")
     rejected = (marked.where(~F.col("_ok")).drop("_ok")
-                .withColumn("reason", F.lit("invalid signature")))
+                .withColumn("reason", F.lit(INVALID_SIGNATURE)))
     return accepted, rejected
 
 
+def body_ok(schema: StructType = BODY, body: str = "body"):
+    """P20 predicate: the body is one JSON object that fits the schema."""
+    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    parsed = F.from_json(F.col(body), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    return F.coalesce(F.trim(F.col(body)).startswith("{") & parsed.isNotNull()
+                      & parsed.getField(CORRUPT).isNull(), F.lit(False))
+
+
 def decode_body(accepted: DataFrame, schema: StructType = BODY) -> DataFrame:
-    """Parse the JSON body (permissive: malformed -> all-null fields)."""
-    keep = [c for c in accepted.columns if c not in ("body", "signature")]
+    """Parse the JSON body (permissive: malformed -> all-null fields).  The
+    body stays as text, and ``extra`` maps fields without a column to their
+    JSON text."""
+    keep = [c for c in accepted.columns if c != "signature"]
     fields = [f.name for f in schema.fields if f.name not in keep]
-    return (accepted.select(*keep, F.from_json(F.col("body"), schema).alias("_r"))
-            .select(*keep, *[F.col("_r").getField(f).alias(f) for f in fields]))
+    as_map = F.from_json(F.col("body"), MapType(StringType(), StringType()))
+    extra = F.map_filter(as_map, lambda k, v: ~k.isin(KNOWN))
+    return (accepted.select(*keep, F.from_json(F.col("body"), schema).alias("_r"), extra.alias("extra"))
+            .select(*keep, *[F.col("_r").getField(f).alias(f) for f in fields], "extra"))
 
 
 def normalise(readings: DataFrame) -> DataFrame:
@@ -63,16 +81,17 @@ def tag(readings: DataFrame, tags: DataFrame) -> DataFrame:
     """Left lookup by MAC; a known device's tags replace whatever the
     payload carried, an unknown device keeps its own (possibly null)."""
     dim = tags.select(F.col("mac").alias("_mac"), F.col("tags").alias("_dim_tags"))
-    joined = join_small(readings, dim, F.col("mac") == F.col("_mac"), how="left")
+    joined = readings.join(dim, F.col("mac") == F.col("_mac"), "left")
     return (joined.withColumn("tags", F.coalesce(F.col("_dim_tags"), F.col("tags")))
             .drop("_mac", "_dim_tags"))
 
 
 def enrich(payloads: DataFrame, tags: DataFrame, key: str | bytes) -> tuple[DataFrame, DataFrame]:
-    """Q8: (accepted enriched readings, rejected payloads)."""
-    accepted, rejected = verify(payloads, key)
-    return tag(normalise(decode_body(accepted)), tags), rejected
-
-
-TAGS_SCHEMA = StructType([StructField("mac", StringType()),
-                          StructField("tags", MapType(StringType(), StringType()))])
+    """Q8: (accepted enriched readings, rejected payloads).  A rejected
+    payload keeps its body and signature and names its reason."""
+    signed, unsigned = verify(payloads, key)
+    marked = signed.withColumn("_ok", body_ok())
+    malformed = (marked.where(~F.col("_ok")).drop("_ok")
+                 .withColumn("reason", F.lit(MALFORMED_BODY)))
+    accepted = marked.where(F.col("_ok")).drop("_ok")
+    return tag(normalise(decode_body(accepted)), tags), unsigned.unionByName(malformed)

@@ -115,7 +115,9 @@ def payloads_from_events(events: DataFrame, key: str, wrong_key: str) -> DataFra
     (else a ``timestamp`` text), channel fields (dht: temperature, integer
     when k is even; weight: grams, stddev; rbg: colour counts), device tags
     on signups, and a ``git_hash``.  k < 3: empty signature; error events:
-    signed with the wrong key; 3 <= k <= 5: body altered after signing.
+    signed with the wrong key; 3 <= k <= 5: body altered after signing; k = 6:
+    signature in upper case; k = 7: a field the schema does not know; k = 8:
+    a body cut off before it was signed.
     """
     k = _k()
     ts = F.col("ts").cast("timestamp")
@@ -136,10 +138,14 @@ def payloads_from_events(events: DataFrame, key: str, wrong_key: str) -> DataFra
     own_tags = F.when(F.col("event_type") == "signup", F.lit(',"tags":{"source":"device"}')) \
         .otherwise(F.lit(""))
     body = F.concat(F.lit('{"sensor":"'), device_mac(), F.lit("-"), ch, F.lit('"'),
-                    time_part, fields, own_tags, F.lit(',"git_hash":"f1"}'))
+                    time_part, fields, own_tags,
+                    F.when(k == 7, F.lit(',"firmware":{"v":7}')).otherwise(F.lit("")),
+                    F.lit(',"git_hash":"f1"}'))
+    body = F.when(k == 8, F.substring(body, 1, 30)).otherwise(body)
     signed = events.select("event_id", "event_type", k.alias("k"), body.alias("body"))
     sig = (F.when(F.col("k") < 3, F.lit(""))
            .when(F.col("event_type") == "error", X.hmac_sha1_hex(F.col("body"), wrong_key))
+           .when(F.col("k") == 6, F.upper(X.hmac_sha1_hex(F.col("body"), key)))
            .otherwise(X.hmac_sha1_hex(F.col("body"), key)))
     sent = F.when(F.col("k").between(3, 5),
                   F.replace(F.col("body"), F.lit('"git_hash":"f1"'), F.lit('"git_hash":"f2"'))) \

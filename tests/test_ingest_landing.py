@@ -24,7 +24,7 @@ def payloads(spark):
                        "temperature_c": 21.5})
     tampered = json.dumps({"sensor": "aabbccddee01-dht", "temperature_c": 30})
     rows = [("known", known, sign(known)),
-            ("own_tags", own_tags, sign(own_tags).upper()),
+            ("own_tags", own_tags, sign(own_tags)),
             ("frac", frac, sign(frac)),
             ("tampered", tampered.replace("30", "31"), sign(tampered)),
             ("wrong_key", known, sign(known, "other")),
@@ -41,6 +41,7 @@ def tags(spark):
 def test_enrich_accept_reject(spark):
     accepted, rejected = ingest.enrich(payloads(spark), tags(spark), KEY)
     assert sorted(r["id"] for r in rejected.collect()) == ["empty", "missing", "tampered", "wrong_key"]
+    assert {r["reason"] for r in rejected.collect()} == {ingest.INVALID_SIGNATURE}
     got = {r["id"]: r for r in accepted.collect()}
     assert set(got) == {"known", "own_tags", "frac"}
     k = got["known"]
@@ -55,6 +56,56 @@ def test_enrich_accept_reject(spark):
     assert o["temperature_f"] is None
 
 
+def _signed(spark, rows):
+    """(id, body, upper-case signature?) -> signed payloads."""
+    import hashlib
+    import hmac
+
+    key = KEY if isinstance(KEY, bytes) else KEY.encode()
+    out = []
+    for i, body, upper in rows:
+        sig = hmac.new(key, body.encode(), hashlib.sha1).hexdigest()
+        out.append((i, body, sig.upper() if upper else sig))
+    return spark.createDataFrame(out, "id string, body string, signature string")
+
+
+def test_upper_case_signature_malformed_body_and_unknown_field(spark):
+    good = '{"sensor":"aabbccddee01-dht","temperature_c":21,"firmware":{"v":7},"note":"x"}'
+    rows = [("good", good, False), ("upper", good, True), ("text", "not json", False), ("cut", good[:30], False),
+            ("list", "[1]", False), ("type", '{"temperature_c":"warm"}', False), ("empty", "", False)]
+    accepted, rejected = ingest.enrich(_signed(spark, rows), tags(spark), KEY)
+    got = {r["id"]: r for r in accepted.collect()}
+    assert set(got) == {"good"} and got["good"]["body"] == good
+    assert got["good"]["extra"] == {"firmware": '{"v":7}', "note": "x"}
+    assert {r["id"]: r["reason"] for r in rejected.collect()} == {
+        "upper": ingest.INVALID_SIGNATURE, **{k: ingest.MALFORMED_BODY for k in ("text", "cut", "list", "type", "empty")}}
+
+
+def test_joins_see_files_that_others_add(spark, tmp):
+    """A dimension or a history that grows between two calls is read anew."""
+    from terrarium.operators import derive
+
+    def readings(sensor, grams):
+        return spark.createDataFrame([(sensor, g, dt.datetime(2024, 1, 1, 0, m)) for m, g in enumerate(grams)],
+                                     "sensor string, grams double, timestamp timestamp_ntz")
+
+    def water():
+        df = spark.read.parquet(f"{tmp}/weights")
+        return {(r["sensor"], r["grams"]): r["water"] for r in derive.water(df, derive.ranges(df)).collect()}
+
+    readings("s1", [10.0, 14.0]).write.parquet(f"{tmp}/weights")
+    assert water() == {("s1", 10.0): 0.0, ("s1", 14.0): 4.0}
+    readings("s1", [2.0]).unionByName(readings("s2", [5.0])).write.mode("append").parquet(f"{tmp}/weights")
+    assert water() == {("s1", 10.0): 8.0, ("s1", 14.0): 12.0, ("s1", 2.0): 0.0, ("s2", 5.0): 0.0}
+
+    body = '{"sensor":"aabbccddee99-dht","temperature_c":21}'
+    for plant in ("ficus", "fern"):
+        spark.createDataFrame([("aabbccddee99", {"plant": plant})], "mac string, tags map<string,string>").write.mode(
+            "overwrite").parquet(f"{tmp}/tags")
+        accepted, _ = ingest.enrich(_signed(spark, [("a", body, False)]), spark.read.parquet(f"{tmp}/tags"), KEY)
+        assert accepted.first()["tags"] == {"plant": plant}
+
+
 def test_scale_lines(spark):
     df = spark.createDataFrame([("1.5,kg",), ("1.5",), ("",), ("x,kg",), (" 2.0 ,kg,extra",)],
                                "line string")
