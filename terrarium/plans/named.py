@@ -122,15 +122,23 @@ def land(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def _payloads(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    return land(spark, EV.payloads_from_events(ev, FX.SIGNING_KEY, FX.WRONG_KEY), "payloads")
+    return EV.payloads_from_events(_events(spark, sf_dir), FX.SIGNING_KEY, FX.WRONG_KEY)
+
+
+def _ingested(spark, sf_dir):
+    """(accepted, rejected) of the payloads, which devices have posted and
+    are therefore data at rest."""
+    stored = land(spark, _payloads(spark, sf_dir), "payloads")
+    return ingest.enrich(stored, EV.tags_from_events(_events(spark, sf_dir)), FX.SIGNING_KEY)
 
 
 def _enriched(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    accepted, _ = ingest.enrich(_payloads(spark, sf_dir), EV.tags_from_events(ev),
-                                FX.SIGNING_KEY)
-    return accepted
+    return _ingested(spark, sf_dir)[0]
+
+
+def q_rejected_payloads(spark, sf_dir):
+    """What ingest refuses, with the reason."""
+    return _ingested(spark, sf_dir)[1].select("event_id", "reason")
 
 
 def q_enrich_readings(spark, sf_dir):
@@ -138,6 +146,7 @@ def q_enrich_readings(spark, sf_dir):
     return rounded(accepted.select(
         "event_id", "timestamp", "sensor", "mac", "temperature_c", "temperature_f",
         "humidity", "grams", "stddev", "clear", "red", "git_hash",
+        F.col("extra")["firmware"].alias("firmware"),
         X.tag("user").alias("tag_user"), X.tag("plant").alias("tag_plant"),
         X.tag("source").alias("tag_source")))
 
@@ -270,8 +279,7 @@ def q_y_range(spark, sf_dir):
 
 
 def q_export_rows(spark, sf_dir):
-    accepted = _enriched(spark, sf_dir)
-    return serve.export_rows(accepted.where(F.col("temperature_c").isNotNull()))
+    return serve.export_rows(_enriched(spark, sf_dir))
 
 
 def q_jsonl_roundtrip(spark, sf_dir):
@@ -292,7 +300,7 @@ def q_fanout(spark, sf_dir):
     log = FileLog(spark, f"{root}/log")
     serve.fan_out(rows, [
         lambda d: serve.write_jsonl(d, f"{root}/jsonl"),
-        lambda d: log.write_batch("readings", d, 0, ["event_id"], time_text=F.col("timestamp")),
+        lambda d: log.append("readings", d, ["event_id"], time_text=F.col("timestamp")),
     ])
     a = serve.read_jsonl(spark, f"{root}/jsonl", rows.schema).select(
         F.lit("jsonl").alias("sink"), "event_id", "sensor")
@@ -318,6 +326,7 @@ QUERIES = {
     "temperatures": q_temperatures,
     "temperatures_10min": q_temperatures_10min,
     "enrich_readings": q_enrich_readings,
+    "rejected_payloads": q_rejected_payloads,
     "signature_check": q_signature_check,
     "sensor_channel": q_sensor_channel,
     "parse_timestamps": q_parse_timestamps,

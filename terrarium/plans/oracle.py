@@ -125,7 +125,14 @@ SQL = {
 # Device inputs derived from events
 # ---------------------------------------------------------------------------
 
-from terrarium.functions.expr import hmac_sql  # noqa: E402
+
+def hmac_sql(body_sql: str, key: str) -> str:
+    """HMAC-SHA1 (RFC 2104) of a text as DuckDB SQL, for keys of up to 64
+    bytes, written from the definition."""
+    block = key.encode().ljust(64, b"\0")
+    inner, outer = (bytes(x ^ pad for x in block).hex() for pad in (0x36, 0x5C))
+    return f"sha1(unhex('{outer}') || unhex(sha1(unhex('{inner}') || encode({body_sql}))))"
+
 
 EV = f"""
 e AS (
@@ -149,7 +156,9 @@ b AS (
          WHEN ch = 'rbg' THEN ',"clear":' || k || ',"red":' || (k * 2)
          ELSE ',"grams":' || printf('%.2f', 190.0::DOUBLE + 2 * value) || ',"stddev":' || (k * 3) END ||
     CASE WHEN event_type = 'signup' THEN ',"tags":{{"source":"device"}}' ELSE '' END ||
-    ',"git_hash":"f1"}}' AS signed_body
+    CASE WHEN k = 7 THEN ',"firmware":{{"v":7}}' ELSE '' END ||
+    ',"git_hash":"f1"}}' AS whole_body,
+    CASE WHEN k = 8 THEN substr(whole_body, 1, 30) ELSE whole_body END AS signed_body
   FROM e
 ),
 pay AS (
@@ -158,11 +167,12 @@ pay AS (
          ELSE signed_body END AS body,
     CASE WHEN k < 3 THEN ''
          WHEN event_type = 'error' THEN {hmac_sql('signed_body', FX.WRONG_KEY)}
+         WHEN k = 6 THEN upper({hmac_sql('signed_body', FX.SIGNING_KEY)})
          ELSE {hmac_sql('signed_body', FX.SIGNING_KEY)} END AS signature
   FROM b
 ),
 checked AS (
-  SELECT *, coalesce(lower(signature) = {hmac_sql('body', FX.SIGNING_KEY)}, false) AS valid FROM pay
+  SELECT *, coalesce(signature = {hmac_sql('body', FX.SIGNING_KEY)}, false) AS valid FROM pay
 )"""
 
 ENRICH = f"""{PAYLOADS},
@@ -185,8 +195,9 @@ parsed AS (
     json_extract_string(body, '$.git_hash') AS git_hash,
     json_extract_string(body, '$.tags.user') AS own_user,
     json_extract_string(body, '$.tags.plant') AS own_plant,
-    json_extract_string(body, '$.tags.source') AS own_source
-  FROM checked WHERE valid
+    json_extract_string(body, '$.tags.source') AS own_source,
+    CAST(json_extract(body, '$.firmware') AS VARCHAR) AS firmware
+  FROM (SELECT * FROM checked WHERE valid AND json_valid(body)) c
 )"""
 
 CALIB = f"""{EV},
@@ -229,7 +240,7 @@ SELECT p.event_id,
   round(temperature_c, {D}) AS temperature_c,
   round(temperature_c * 9.0 / 5.0 + 32.0, {D}) AS temperature_f,
   round(humidity, {D}) AS humidity, round(grams, {D}) AS grams, round(stddev, {D}) AS stddev,
-  round(clear, {D}) AS clear, round(red, {D}) AS red, git_hash,
+  round(clear, {D}) AS clear, round(red, {D}) AS red, git_hash, firmware,
   CASE WHEN d.dmac IS NOT NULL THEN d.d_user ELSE own_user END AS tag_user,
   CASE WHEN d.dmac IS NOT NULL THEN d.d_plant ELSE own_plant END AS tag_plant,
   CASE WHEN d.dmac IS NOT NULL THEN NULL ELSE own_source END AS tag_source
@@ -237,7 +248,11 @@ FROM parsed p LEFT JOIN dim d ON substr(p.sensor, 1, 12) = d.dmac""",
     "signature_check": f"WITH {PAYLOADS} SELECT event_id, valid FROM checked",
     "sensor_channel": f"""WITH {PAYLOADS}
 SELECT event_id, s AS sensor, substr(s, 1, 12) AS mac, split_part(s, '-', 2) AS channel
-FROM (SELECT event_id, replace(json_extract_string(body, '$.sensor'), ':', '') AS s FROM pay) x""",
+FROM (SELECT event_id, CASE WHEN json_valid(body) THEN replace(json_extract_string(body, '$.sensor'), ':', '') END AS s
+      FROM pay) x""",
+    "rejected_payloads": f"""WITH {PAYLOADS}
+SELECT event_id, CASE WHEN NOT valid THEN 'invalid signature' ELSE 'malformed body' END AS reason
+FROM checked WHERE NOT valid OR NOT json_valid(body)""",
     "parse_timestamps": """SELECT event_id,
   strftime(ts, '%Y-%m-%d %H:%M:%S') || ' -0000' AS text,
   strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS parsed,
@@ -332,7 +347,7 @@ SELECT CASE WHEN sec IS NOT NULL
             THEN strftime(make_timestamp(sec * 1000000), '%Y-%m-%d %H:%M:%S') || ' -0000'
             ELSE ts_text END AS "timestamp",
   sensor AS name, temperature_c AS temp, coalesce(CAST(humidity AS VARCHAR), '') AS humidity
-FROM parsed WHERE temperature_c IS NOT NULL""",
+FROM parsed""",
 })
 
 
@@ -349,8 +364,12 @@ SELECT event_id, date_trunc('second', "timestamp") AS "timestamp", sensor, grams
     "stream_weights_10min": SQL["weights_10min"],
     "stream_evaporation_10min": SQL["evaporation_10min"],
     "stream_tail": f"""WITH {READINGS}
-SELECT event_id, "timestamp", sensor, grams FROM readings WHERE "timestamp" >= TIMESTAMP '{TAIL_SPLIT}'""",
+SELECT event_id, "timestamp", sensor, grams FROM readings
+WHERE "timestamp" >= TIMESTAMP '{TAIL_SPLIT}' OR "timestamp" IS NULL""",
+    "stream_water_10min": SQL["water_10min"],
+    "stream_temperatures_10min": SQL["temperatures_10min"],
 })
+SQL["stream_tail_latest"] = SQL["stream_tail"]
 
 SQL.update({
     "jsonl_roundtrip": SQL["temperatures"],

@@ -12,7 +12,6 @@ each other's functions (water calls weights).
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -22,7 +21,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terrarium.operators import clean, derive
 from terrarium.operators.rollup import rollup
-from terrarium.plans.joins import forget
 from terrarium.schema import GRAPH
 from terrarium.session import conf_scope
 from terrarium.sources.log import FileLog
@@ -152,16 +150,14 @@ class Registry:
         def write(batch: DataFrame, batch_id: int) -> None:
             if refresh_every and ctx.ranges is not None and batch_id > 0 \
                     and batch_id % refresh_every == 0:
-                if state["ranges"] is not None:  # drop the old snapshot first:
-                    state["ranges"].unpersist()  # the cache is keyed by plan
-                forget()
-                state["ranges"] = ctx.ranges().persist()
+                state["ranges"] = ctx.ranges()
             ranges = state["ranges"]
             batch = batch.persist()
             try:
                 bctx = Context(ctx.spark, lambda: batch, (lambda: ranges) if ranges is not None else None)
-                out.write_batches({d.name: d.fn(bctx) for d in chosen}, batch_id,
-                                  log_time=F.current_timestamp(), dense=False)
+                for d in chosen:
+                    out.write_stream_batch(d.name, d.fn(bctx), checkpoint, batch_id, ["timestamp"],
+                                           log_time=F.current_timestamp(), dense=False)
             finally:
                 batch.unpersist()
 
@@ -214,14 +210,8 @@ def write_catalog(specs: DataFrame, path: str) -> None:
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Read a catalog, either JSON lines or one JSON list (multiLine)."""
-    try:
-        return spark.read.schema(GRAPH).json(path)
-    except Exception:  # pragma: no cover - fallback for a single list file
-        return spark.read.schema(GRAPH).option("multiLine", True).json(path)
-
-
-def specs_json(reg: Registry) -> str:
-    return json.dumps(reg.specs())
+    first = spark.read.text(path, wholetext=True).select(F.ltrim(F.col("value")).startswith("[")).first()
+    return spark.read.schema(GRAPH).option("multiLine", bool(first and first[0])).json(path)
 
 
 def default_registry(lo: float = clean.DEFAULT_LO, hi: float = clean.DEFAULT_HI,

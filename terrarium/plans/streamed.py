@@ -1,11 +1,12 @@
 """Named streaming queries: each runs Structured Streaming over a file log
 made from ``events`` and returns the batch read of what the stream wrote.
 
-The input log is written as ``files`` appends in event order, and each
-micro-batch reads one append (``maxFilesPerTrigger`` = files of one append:
-one locally, one per writing task on a cluster); the stream runs with
-``availableNow`` to the end of the input.  Folders come from
-``session.shared_dir`` (``spark.checkpoint.dir``), one fresh set per call.
+The input grows as a live log does: ``APPENDS`` appends, contiguous
+``event_id`` ranges in order, and after each one the stream goes on from its
+checkpoint with ``availableNow``, so a micro-batch is one append however many
+files and writers it has, and every query restarts from its checkpoint.
+Folders come from ``session.shared_dir`` (``spark.checkpoint.dir``), one fresh
+set per call.
 """
 
 from __future__ import annotations
@@ -14,79 +15,71 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from terrarium.operators import derive
+from terrarium.operators import clean, derive
+from terrarium.operators.rollup import rollup
 from terrarium.plans import fixture as FX
 from terrarium.plans.named import rounded
 from terrarium.plans.registry import Context, default_registry
-from terrarium.schema import EXTENDED
+from terrarium.schema import EXTENDED, LOG
 from terrarium.session import ensure_utc, shared_dir
 from terrarium.sources.events import load, readings_from_events
 from terrarium.sources.log import FileLog, compacted, decode
 from terrarium.streaming import streams
 
-FILES = 4
+APPENDS = 4
 TAIL_SPLIT = "2024-01-15 00:00:00"
 AVAILABLE_NOW = {"availableNow": True}
-MIN_ROWS_PER_WRITER = 2000
 
 
 def _micro_text(ts: str = "timestamp"):
     return F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" -0000"))
 
 
-def write_readings_log(spark: SparkSession, events: DataFrame, log: FileLog,
-                       files: int = FILES, topic: str = "readings", tasks: int = 1) -> None:
-    """Append the readings of ``events`` to ``topic`` in ``files`` appends,
-    contiguous ``event_id`` ranges in order (one batch folder each), each
-    written by ``tasks`` writers (one file each), as a producer running on
-    many executors writes it."""
-    bounds = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi"),
-                        F.count("*").alias("n")).first()
-    if bounds["n"] == 0:  # nothing to append: the streams start on an empty log
-        return
-    lo, hi = bounds["lo"], bounds["hi"]
-    span = hi - lo + 1
-    # a writer per MIN_ROWS_PER_WRITER rows at most: every writer gets rows
-    # (all appends have the same file count) and small appends stay one file
-    tasks = max(1, min(tasks, bounds["n"] // files // MIN_ROWS_PER_WRITER))
-    readings = readings_from_events(events, keep=("user_id",))
-    for i in range(files):
-        a, b = lo + span * i // files, lo + span * (i + 1) // files
-        chunk = readings.where((F.col("event_id") >= a) & (F.col("event_id") < b))
-        if tasks > 1:
-            chunk = chunk.repartition(tasks)
-        log.write_batch(topic, chunk, i, ["event_id"],
-                        value_cols=[c for c in chunk.columns if c != "user_id"],
-                        log_time=F.col("timestamp"), time_text=_micro_text(), dense=False)
+def append_readings(log: FileLog, events: DataFrame, topic: str = "readings") -> None:
+    """Append the readings of ``events``, one writer for each scan task."""
+    chunk = readings_from_events(events, keep=("user_id",))
+    log.append(topic, chunk, ["event_id"], value_cols=[c for c in chunk.columns if c != "user_id"],
+               log_time=F.col("timestamp"), time_text=_micro_text(), dense=False)
+
+
+def pieces(events: DataFrame, n: int = APPENDS) -> list[DataFrame]:
+    """``events`` cut at ``n`` - 1 ids; every row is in one piece, rows
+    without an id in the first.  The cuts are pushed down to the scan."""
+    lo, hi = events.agg(F.min("event_id"), F.max("event_id")).first()
+    if lo is None:
+        return [events]
+    cuts = [lo + (hi - lo + 1) * i // n for i in range(1, n)]
+    eid = F.col("event_id")
+    out = [events.where((eid < cuts[0]) | eid.isNull())]
+    for a, b in zip(cuts, cuts[1:]):
+        out.append(events.where((eid >= a) & (eid < b)))
+    return [*out, events.where(eid >= cuts[-1])]
 
 
 def _setup(spark: SparkSession, sf_dir: str, tag: str):
+    """(root, input log, its pieces, output log, registry, context)."""
     ensure_utc(spark)
     root = shared_dir(spark, "streams", tag, unique=True)
     events = load(spark, sf_dir, "events")
-    src = FileLog(spark, f"{root}/in")
-    write_readings_log(spark, events, src, tasks=_parallelism(spark))
-    out = FileLog(spark, f"{root}/out")
+    src, out = FileLog(spark, f"{root}/in"), FileLog(spark, f"{root}/out")
     reg = default_registry(lo=FX.LO, hi=FX.HI, max_stddev=FX.MAX_STDDEV, caps=FX.CAPS,
                            retires=FX.RETIRES)
 
-    # one appended batch per micro-batch: as many files as one append wrote
-    counts = {src.files_in_batch("readings", b) for b in src.batch_ids("readings")}
-    if len(counts) > 1:
-        raise RuntimeError(f"appends wrote different file counts {sorted(counts)}; "
-                           "micro-batches would not follow append boundaries")
-    per_trigger = max(counts.pop() if counts else 1, 1)
+    def ranges_snapshot():
+        """A table, written once: its measured size decides the join."""
+        w = reg.datasets["weights"].fn(Context(spark, lambda: readings_from_events(events)))
+        derive.ranges(w).write.parquet(f"{root}/ranges")
+        return spark.read.parquet(f"{root}/ranges")
 
-    def readings_stream():
-        return streams.readings_stream(src, maxFilesPerTrigger=per_trigger)
+    ctx = Context(spark, lambda: streams.readings_stream(src), ranges_snapshot, streaming=True)
+    return root, src, pieces(events), out, reg, ctx
 
-    def ranges_snapshot():
-        batch_readings, _ = decode(src.scan("readings"), schema=EXTENDED, ntz=False)
-        w = reg.datasets["weights"].fn(Context(spark, lambda: batch_readings))
-        return derive.ranges(w)
 
-    ctx = Context(spark, readings_stream, ranges_snapshot, streaming=True)
-    return root, src, out, reg, ctx
+def _follow(src: FileLog, chunks: list[DataFrame], start) -> None:
+    """Append piece after piece and let the queries of ``start`` catch up."""
+    for chunk in chunks:
+        append_readings(src, chunk)
+        _run(start())
 
 
 def _parallelism(spark: SparkSession) -> int:
@@ -117,27 +110,49 @@ def _schema(cols):
 def q_stream_raw_weights(spark, sf_dir):
     """The raw weights stream, read back from its topic.  The
     sink writes whole-second time text, as the reference's sink does."""
-    root, src, out, reg, ctx = _setup(spark, sf_dir, "raw")
-    _run(reg.start(ctx, out, f"{root}/cp", names=["weights"], which=["raw"],
-                   raw_trigger=AVAILABLE_NOW, state_partitions=_parallelism(spark)))
+    root, src, chunks, out, reg, ctx = _setup(spark, sf_dir, "raw")
+    _follow(src, chunks, lambda: reg.start(
+        ctx, out, f"{root}/cp", names=["weights"], which=["raw"], raw_trigger=AVAILABLE_NOW,
+        state_partitions=_parallelism(spark)))
     good, _ = decode(out.scan("weights"), schema=EXTENDED, ntz=True)
     return good.select("event_id", "timestamp", "sensor", "grams", "stddev")
 
 
+def _rollup(spark, sf_dir, name: str, values, keys=("sensor",)):
+    root, src, chunks, out, reg, ctx = _setup(spark, sf_dir, f"{name}-rollup")
+    _follow(src, chunks, lambda: reg.start(
+        ctx, out, f"{root}/cp", names=[name], which=["rollup"], rollup_trigger=AVAILABLE_NOW,
+        state_partitions=_parallelism(spark)))
+    return src, _rollup_values(out, f"{name}-10min", list(keys), list(values))
+
+
 def q_stream_weights_10min(spark, sf_dir):
     """Update-mode rollup as a keyed change log, compacted."""
-    root, src, out, reg, ctx = _setup(spark, sf_dir, "rollup")
-    _run(reg.start(ctx, out, f"{root}/cp", names=["weights"], which=["rollup"],
-                   rollup_trigger=AVAILABLE_NOW, state_partitions=_parallelism(spark)))
-    return _rollup_values(out, "weights-10min", ["sensor"], ["grams", "stddev"])
+    return _rollup(spark, sf_dir, "weights", ["grams", "stddev"])[1]
+
+
+def q_stream_water_10min(spark, sf_dir):
+    """The rollup of a stream joined with the ranges table."""
+    return _rollup(spark, sf_dir, "water", ["water"])[1]
+
+
+def q_stream_temperatures_10min(spark, sf_dir):
+    """Q6/Q7: the rollup of the temperatures."""
+    return _rollup(spark, sf_dir, "temperatures", ["temperature_f"])[1]
 
 
 def q_stream_evaporation_10min(spark, sf_dir):
-    """Evaporation windows rolled up again, in append mode."""
-    root, src, out, reg, ctx = _setup(spark, sf_dir, "evaporation")
-    _run(reg.start(ctx, out, f"{root}/cp", names=["evaporation"], which=["rollup"],
-                   rollup_trigger=AVAILABLE_NOW, state_partitions=_parallelism(spark)))
-    return _rollup_values(out, "evaporation-10min", ["sensor"], ["ml_hour"])
+    """Evaporation windows rolled up again, in append mode, and the
+    windows that are still open at the end of the log."""
+    src, closed = _rollup(spark, sf_dir, "evaporation", ["ml_hour"])
+    readings, _ = decode(src.scan("readings"), schema=EXTENDED, ntz=True)
+
+    def rolled(rows: DataFrame) -> DataFrame:
+        weights = clean.clean_weights(rows, lo=FX.LO, hi=FX.HI, max_stddev=FX.MAX_STDDEV,
+                                      caps=FX.CAPS, retires=FX.RETIRES)
+        return rounded(rollup(derive.loss(weights, None), ["ml_hour"], ["sensor"]))
+
+    return streams.with_open_windows(closed, readings, rolled)
 
 
 def q_stream_tail(spark, sf_dir):
@@ -147,24 +162,42 @@ def q_stream_tail(spark, sf_dir):
     root = shared_dir(spark, "streams", "tail", unique=True)
     events = load(spark, sf_dir, "events")
     log = FileLog(spark, f"{root}/log")
-    split = F.lit(TAIL_SPLIT).cast("timestamp_ntz")
-    write_readings_log(spark, events.where(F.col("ts") < split), log, files=1)
-    after = log.end_offsets("readings").persist()
-    after.count()
-    readings = readings_from_events(events.where(F.col("ts") >= split), keep=("user_id",))
-    log.write_batch("readings", readings, log.next_batch_id("readings"),
-                    ["event_id"], partition_by=F.pmod(F.col("user_id"), F.lit(4)),
-                    value_cols=[c for c in readings.columns if c != "user_id"],
-                    log_time=F.col("timestamp"), time_text=_micro_text())
+    early = F.coalesce(F.col("ts") < F.lit(TAIL_SPLIT).cast("timestamp_ntz"), F.lit(False))
+    append_readings(log, events.where(early))
+    log.end_offsets("readings").write.parquet(f"{root}/positions")
+    readings = readings_from_events(events.where(~early), keep=("user_id",))
+    log.append("readings", readings, ["event_id"], partition_by=F.pmod(F.col("user_id"), F.lit(4)),
+               value_cols=[c for c in readings.columns if c != "user_id"],
+               log_time=F.col("timestamp"), time_text=_micro_text())
     sink = f"{root}/delivered"
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
-    q = streams.tail(log, "readings", after, deliver, f"{root}/cp", trigger=AVAILABLE_NOW)
-    _run([q])
-    got = spark.read.parquet(sink)
-    good, _ = decode(got, schema=EXTENDED, ntz=True)
+    _run([streams.tail(log, "readings", spark.read.parquet(f"{root}/positions"), deliver, f"{root}/cp",
+                       trigger=AVAILABLE_NOW)])
+    good, _ = decode(spark.read.parquet(sink), schema=EXTENDED, ntz=True)
+    return good.select("event_id", "timestamp", "sensor", "grams")
+
+
+def q_stream_tail_latest(spark, sf_dir):
+    """A tail from the latest record, started after the first append; it
+    opens none of the older files and delivers what comes later, over a
+    restart."""
+    ensure_utc(spark)
+    root = shared_dir(spark, "streams", "latest", unique=True)
+    log = FileLog(spark, f"{root}/log")
+    early = F.coalesce(F.col("ts") < F.lit(TAIL_SPLIT).cast("timestamp_ntz"), F.lit(False))
+    events = load(spark, sf_dir, "events")
+    sink = f"{root}/delivered"
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    for part in (early, ~early):
+        append_readings(log, events.where(part))
+        _run([streams.tail(log, "readings", None, deliver, f"{root}/cp", trigger=AVAILABLE_NOW, latest=True)])
+    good, _ = decode(spark.read.schema(LOG).parquet(sink), schema=EXTENDED, ntz=True)
     return good.select("event_id", "timestamp", "sensor", "grams")
 
 
@@ -172,10 +205,14 @@ def q_stream_fresh_start(spark, sf_dir):
     """K6: the raw weights stream run twice into the same topic; the second
     run has no checkpoint, so it first drops the old output.  The topic then
     holds one copy of the stream."""
-    root, src, out, reg, ctx = _setup(spark, sf_dir, "fresh")
-    for cp in ("cp1", "cp2"):
-        _run(reg.start(ctx, out, f"{root}/{cp}", names=["weights"], which=["raw"],
-                       raw_trigger=AVAILABLE_NOW))
+    root, src, chunks, out, reg, ctx = _setup(spark, sf_dir, "fresh")
+
+    def start(checkpoint):
+        return reg.start(ctx, out, f"{root}/{checkpoint}", names=["weights"], which=["raw"],
+                         raw_trigger=AVAILABLE_NOW)
+
+    _follow(src, chunks, lambda: start("cp1"))
+    _run(start("cp2"))
     good, _ = decode(out.scan("weights"), schema=EXTENDED, ntz=True)
     return good.select("event_id", "timestamp", "sensor", "grams", "stddev")
 
@@ -183,8 +220,8 @@ def q_stream_fresh_start(spark, sf_dir):
 def q_stream_shared_raw(spark, sf_dir):
     """K8 for streams: one readings scan feeds weights, water, water_rel and
     temperatures; the water topic is read back."""
-    root, src, out, reg, ctx = _setup(spark, sf_dir, "shared")
-    _run([reg.start_shared_raw(ctx, out, f"{root}/cp", trigger=AVAILABLE_NOW)])
+    root, src, chunks, out, reg, ctx = _setup(spark, sf_dir, "shared")
+    _follow(src, chunks, lambda: [reg.start_shared_raw(ctx, out, f"{root}/cp", trigger=AVAILABLE_NOW)])
     schema = StructType(EXTENDED.fields + [StructField(c, DoubleType())
                                            for c in ("min", "max", "water")])
     good, _ = decode(out.scan("water"), schema=schema, ntz=True)
@@ -194,8 +231,11 @@ def q_stream_shared_raw(spark, sf_dir):
 QUERIES = {
     "stream_raw_weights": q_stream_raw_weights,
     "stream_weights_10min": q_stream_weights_10min,
+    "stream_water_10min": q_stream_water_10min,
+    "stream_temperatures_10min": q_stream_temperatures_10min,
     "stream_evaporation_10min": q_stream_evaporation_10min,
     "stream_tail": q_stream_tail,
+    "stream_tail_latest": q_stream_tail_latest,
     "stream_fresh_start": q_stream_fresh_start,
     "stream_shared_raw": q_stream_shared_raw,
 }

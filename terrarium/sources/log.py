@@ -1,32 +1,46 @@
 """The topic log (D1): scans, decode, appends, keyed change logs, compaction.
 
 A log is a folder of Parquet files with the LOG columns, laid out as
-``topic=<t>/batch_id=<n>`` with one folder per append (a batch write or a
-stream's micro-batch).  Offsets are ``(batch_id << 33) + i`` with ``i`` the
-position within the log partition, so ``(topic, partition, offset)`` is a
-position as in a partitioned message log, later appends always sort after
-earlier ones, and no append has to read the log to number its records.
-Scans prune by topic and batch (directories) and by log time (Parquet
-statistics).  A Kafka-backed log is the same interface over
-``format("kafka")``; it needs the connector jar, absent here (N14).
+``topic=<t>/batch_id=<n>/date=<d>`` with one batch folder per append (a batch
+write or a stream's micro-batch) and dates of the log time below it.  Offsets
+are ``(batch_id << 33) + i`` with ``i`` the position within the log partition,
+so ``(topic, partition, offset)`` is a position as in a partitioned message
+log, later appends always sort after earlier ones, and no append has to read
+the log to number its records.
+
+Batch ids are claimed: a claim file is created exclusively, so two writers
+never share an id, and a stream keeps the id of each micro-batch, so a replay
+after a failure rewrites its own folder and nothing else.  A batch counts as
+committed once its write has finished; ``last_batch`` stays below a batch that
+is still being written, so a snapshot and the tail after it meet exactly.
+
+Scans open only the folders of their topics, and prune by batch and by date.
+A Kafka-backed reader and writer with the same scans is at the end; it needs
+the connector jar, absent here (N14).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import time
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from terrarium.functions import expr as X
 from terrarium.operators.numbering import number_within
-from terrarium.plans.joins import join_small
 from terrarium.schema import LOG, READING
 
 
 CORRUPT = "_corrupt_record"
+#: A claimed batch that is not committed after this many seconds is given up:
+#: its writer failed, and later batches need not wait for it.
+CLAIM_SECONDS = 3600
+_STORED = StructType(LOG.fields + [StructField("batch_id", LongType()), StructField("date", DateType())])
 
 
 def _json(cols: Sequence[str], time_text: Column | None = None) -> Column:
@@ -68,12 +82,9 @@ class FileLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._next: dict[str, int] = {}     # where to try the next claim of a topic
 
     # -- scans ------------------------------------------------------------
-    def _exists(self) -> bool:
-        jvm, fs = self._fs()
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(self.path))
-
     def scan(self, topics: str | Sequence[str], batch: bool = True,
              since: _dt.datetime | Column | None = None,
              after: DataFrame | None = None, after_batch: int | None = None,
@@ -84,40 +95,106 @@ class FileLog:
         ``until_batch`` / ``after_batch`` cut at an append boundary instead:
         a snapshot up to batch b and a tail after it share no record and miss
         none, and both are pruned by directory.  ``batch=False`` gives the
-        streaming scan of the same folder."""
+        streaming scan of the same folders."""
         names = [t.strip() for t in topics.split(",")] if isinstance(topics, str) else list(topics)
-        schema = StructType(LOG.fields + [StructField("batch_id", LongType())])
         if batch:
-            if not self._exists():
-                return self.spark.createDataFrame([], LOG)
-            df = self.spark.read.schema(schema).parquet(self.path)
+            df = self._stored(names, after_batch, until_batch)
         else:
             jvm, fs = self._fs()  # a stream may start before any data lands
-            fs.mkdirs(jvm.org.apache.hadoop.fs.Path(self.path))
-            reader = self.spark.readStream.schema(schema)
+            for t in names:
+                fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={t}"))
+            reader = self.spark.readStream.schema(_STORED).option("basePath", self.path)
             for k, v in stream_opts.items():
                 reader = reader.option(k, v)
-            df = reader.parquet(self.path)
-        df = df.where(F.col("topic").isin(names))
+            df = reader.parquet(f"{self.path}/topic={{{','.join(names)}}}")
+            df = self._between(df, after_batch, until_batch)
+        if since is not None:
+            bound = since if isinstance(since, Column) else F.lit(since).cast("timestamp")
+            df = df.where((F.col("date") >= F.to_date(bound)) & (F.col("timestamp") >= bound))
+        return _past(df.select(*[f.name for f in LOG.fields]), after)
+
+    @staticmethod
+    def _between(df: DataFrame, after_batch: int | None, until_batch: int | None) -> DataFrame:
         if after_batch is not None:
             df = df.where(F.col("batch_id") > F.lit(after_batch))
         if until_batch is not None:
             df = df.where(F.col("batch_id") <= F.lit(until_batch))
-        df = df.select(*[f.name for f in LOG.fields])
-        if since is not None:
-            bound = since if isinstance(since, Column) else F.lit(since).cast("timestamp")
-            df = df.where(F.col("timestamp") >= bound)
-        if after is not None:
-            pos = after.select("topic", "partition", F.col("offset").alias("_after"))
-            df = (join_small(df, pos, ["topic", "partition"], how="left")
-                  .where(F.col("_after").isNull() | (F.col("offset") > F.col("_after")))
-                  .drop("_after"))
         return df
 
+    def _stored(self, names: Sequence[str], after_batch: int | None, until_batch: int | None) -> DataFrame:
+        """Batch records of the topics; a compacted topic is read from its
+        newest compaction and the batches after it, unless the scan cuts at a
+        batch."""
+        jvm, fs = self._fs()
+        there = [t for t in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={t}"))]
+        if not there:
+            return self.spark.createDataFrame([], _STORED)
+        df = (self.spark.read.schema(_STORED).option("basePath", self.path)
+              .parquet(*[f"{self.path}/topic={t}" for t in there]))
+        if after_batch is not None or until_batch is not None:
+            return self._between(df, after_batch, until_batch)
+        for t in there:
+            through = self.compacted_through(t)
+            if through >= 0:
+                df = df.where(~((F.col("topic") == t) & (F.col("batch_id") <= F.lit(through))))
+                folder = f"{self.path}/_compacted/topic={t}/through={through}"
+                schema = StructType([f for f in _STORED.fields if f.name not in ("topic", "batch_id")])
+                old = (self.spark.read.schema(schema).parquet(folder)
+                       .withColumn("topic", F.lit(t)).withColumn("batch_id", F.lit(through).cast("long")))
+                df = df.unionByName(old)
+        return df
+
+    # -- batch ids ---------------------------------------------------------
     def last_batch(self, topic: str) -> int:
-        """The newest append of ``topic`` (-1 when empty), from the listing."""
-        ids = self.batch_ids(topic)
-        return ids[-1] if ids else -1
+        """The newest batch up to which everything is committed (-1 when
+        empty).  Batches behind one that is still being written do not count;
+        a claim older than ``CLAIM_SECONDS`` without a commit is ignored."""
+        ids = [b for b in self.batch_ids(topic) if self._committed(topic, b)]
+        done = set(ids)
+        jvm, fs = self._fs()
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_claims/topic={topic}")
+        fresh = (time.time() - CLAIM_SECONDS) * 1000
+        busy = [n for st in (fs.listStatus(p) if fs.exists(p) else [])
+                if (n := int(st.getPath().getName())) not in done and st.getModificationTime() >= fresh]
+        return max((b for b in ids if b < min(busy, default=b + 1)), default=-1)
+
+    def _committed(self, topic: str, batch_id: int) -> bool:
+        jvm, fs = self._fs()
+        return fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={topic}/batch_id={batch_id}/_SUCCESS"))
+
+    def claim(self, topic: str) -> int:
+        """A batch id of ``topic`` that no other writer has or gets: the claim
+        file is created exclusively (atomic on HDFS and local disks)."""
+        jvm, fs = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path
+        folder = f"{self.path}/_claims/topic={topic}"
+        n = self._next.get(topic)
+        if n is None:
+            taken = [int(st.getPath().getName()) for st in fs.listStatus(path(folder))] \
+                if fs.exists(path(folder)) else []
+            n = max([*taken, *self.batch_ids(topic)], default=-1) + 1
+        while True:
+            try:
+                fs.create(path(f"{folder}/{n}"), False).close()
+            except Py4JJavaError as e:
+                if not fs.exists(path(f"{folder}/{n}")):
+                    raise e
+                n += 1
+                continue
+            self._next[topic] = n + 1
+            return n
+
+    def batch_for(self, topic: str, writer: str, micro_batch: int) -> int:
+        """The batch id of a stream's micro-batch (``writer`` is its
+        checkpoint): claimed once, and the same again when it is replayed."""
+        jvm, fs = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path
+        folder = f"{self.path}/_writers/{hashlib.sha1(writer.encode()).hexdigest()}/topic={topic}"
+        for st in fs.globStatus(path(f"{folder}/{micro_batch}=*")) or []:
+            return int(st.getPath().getName().split("=")[1])
+        n = self.claim(topic)
+        fs.create(path(f"{folder}/{micro_batch}={n}"), True).close()
+        return n
 
     def end_offsets(self, topics: str | Sequence[str]) -> DataFrame:
         """Last offset per (topic, partition): one row per log partition
@@ -127,28 +204,15 @@ class FileLog:
 
     # -- appends ----------------------------------------------------------
     # Every append (a batch write or one micro-batch of a stream) goes to its
-    # own folder ``topic=<t>/batch_id=<n>`` and is written with overwrite, so
-    # replaying a micro-batch after a failure rewrites the same records
-    # instead of duplicating them.  Offsets are ``(batch_id << 33) + i`` with
-    # ``i`` the position within the log partition: increasing per partition,
-    # larger for every later batch, and found without reading the log.
+    # own folder ``topic=<t>/batch_id=<n>``, which only the claimant of the id
+    # writes, with overwrite: replaying a micro-batch after a failure rewrites
+    # the same records instead of duplicating them.
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, p.getFileSystem(conf)
 
-    def files_in_batch(self, topic: str, batch_id: int) -> int:
-        """Number of data files one append wrote (one per writing task)."""
-        jvm, fs = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={topic}/batch_id={batch_id}")
-        if not fs.exists(p):
-            return 0
-        return sum(1 for st in fs.listStatus(p) if st.getPath().getName().endswith(".parquet"))
-
-    def next_batch_id(self, topic: str) -> int:
-        return self.last_batch(topic) + 1
-
     def records(self, df: DataFrame, batch_id: int, order_by: Sequence[str],
                 key_cols: Sequence[str] | None = None,
                 value_cols: Sequence[str] | None = None,
@@ -194,43 +258,32 @@ class FileLog:
             offset = F.lit(batch_id).cast("long") * F.lit(1 << 33) + F.col("_i")
         return rec.select("key", "value", "partition", offset.alias("offset"), "timestamp")
 
+    def _write(self, topic: str, records: DataFrame, batch_id: int) -> None:
+        (records.withColumn("date", F.to_date("timestamp")).write.mode("overwrite")
+         .partitionBy("date").parquet(f"{self.path}/topic={topic}/batch_id={batch_id}"))
+
     def write_batch(self, topic: str, df: DataFrame, batch_id: int, order_by: Sequence[str],
                     **opts) -> None:
-        """K1/K2/K3: write ``df`` as the records of ``topic`` for ``batch_id``
-        (see ``records`` for the options)."""
-        out = self.records(df, batch_id, order_by, **opts)
-        out.write.mode("overwrite").parquet(f"{self.path}/topic={topic}/batch_id={batch_id}")
-
-    def write_batches(self, frames: dict, batch_id: int, order_by: dict | None = None,
-                      **opts) -> None:
-        """Several topics' records of one batch in a single write job (K8).
-
-        Each topic's records replace only their own ``topic=/batch_id=``
-        folder (dynamic partition overwrite), so a replayed batch stays
-        exactly-once."""
-        parts = [self.records(df, batch_id, (order_by or {}).get(t, ["timestamp"]), **opts)
-                 .withColumn("topic", F.lit(t)) for t, df in frames.items()]
-        if not parts:
-            return
-        allrec = parts[0]
-        for p in parts[1:]:
-            allrec = allrec.unionByName(p)
-        (allrec.withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("topic", "batch_id").parquet(self.path))
+        """K1/K2/K3: write ``df`` as the records of ``topic`` for ``batch_id``,
+        an id the caller has claimed (see ``records`` for the options)."""
+        self._write(topic, self.records(df, batch_id, order_by, **opts), batch_id)
+
+    def write_stream_batch(self, topic: str, df: DataFrame, writer: str, micro_batch: int,
+                           order_by: Sequence[str], **opts) -> None:
+        """One micro-batch of the stream with checkpoint ``writer``."""
+        self.write_batch(topic, df, self.batch_for(topic, writer, micro_batch), order_by, **opts)
 
     def append(self, topic: str, df: DataFrame, order_by: Sequence[str], **opts) -> int:
         """K3: append a batch DataFrame to ``topic``; returns its batch id."""
-        bid = self.next_batch_id(topic)
+        bid = self.claim(topic)
         self.write_batch(topic, df, bid, order_by, **opts)
         return bid
 
-    def append_records(self, records: DataFrame, topic: str,
-                       batch_id: int | None = None) -> None:
+    def append_records(self, records: DataFrame, topic: str) -> int:
         """Append already built LOG records of ``topic`` as one batch."""
-        bid = self.next_batch_id(topic) if batch_id is None else batch_id
-        records.drop("topic").write.mode("overwrite").parquet(
-            f"{self.path}/topic={topic}/batch_id={bid}")
+        bid = self.claim(topic)
+        self._write(topic, records.drop("topic"), bid)
+        return bid
 
     def batch_ids(self, topic: str) -> list[int]:
         jvm, fs = self._fs()
@@ -240,37 +293,70 @@ class FileLog:
         return sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
                       if st.getPath().getName().startswith("batch_id="))
 
+    def compacted_through(self, topic: str) -> int:
+        """The last batch that a published compaction covers (-1: none)."""
+        jvm, fs = self._fs()
+        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(
+            f"{self.path}/_compacted/topic={topic}/through=*/_SUCCESS")) or []
+        return max((int(st.getPath().getParent().getName().split("=")[1]) for st in found), default=-1)
+
     def compact(self, topic: str) -> int:
         """Log compaction of a keyed topic (the broker's cleanup policy done
-        as a periodic batch rewrite): every batch but the newest is rewritten
-        as one batch holding the newest record per key, with its original
+        as a periodic batch rewrite): every committed batch but the newest is
+        copied into one table with the newest record per key, original
         partition and offset; unkeyed records are kept as they are.
 
-        The newest batch is left alone (a stream may still replay it), and
-        the result is stored under the largest rewritten batch id, which no
-        stream writes again.  Returns the number of batches rewritten."""
-        ids = self.batch_ids(topic)[:-1]
+        The table lies beside the batches, where no stream looks, and counts
+        from the moment its write commits: batch scans then read it instead
+        of the batches it covers.  A crash before that leaves nothing that
+        is read.  The batches stay for readers that still need them until
+        ``purge``.  Returns the number of batches covered."""
+        last = self.last_batch(topic)
+        ids = [b for b in self.batch_ids(topic) if b < last]
         if len(ids) < 2:
             return 0
         recs = self.scan(topic, until_batch=ids[-1])
         keyed = latest_by_key(recs.where(F.col("key").isNotNull()), ["key"], ["offset", "partition"])
         kept = keyed.unionByName(recs.where(F.col("key").isNull()))
-        tmp = f"{self.path}/_compacting/topic={topic}"
-        kept.drop("topic").write.mode("overwrite").parquet(tmp)
+        (kept.drop("topic").withColumn("date", F.to_date("timestamp")).write.mode("overwrite")
+         .partitionBy("date").parquet(f"{self.path}/_compacted/topic={topic}/through={ids[-1]}"))
+        return len(ids)
+
+    def purge(self, topic: str) -> int:
+        """Delete the batches that the newest compaction covers, and older
+        compactions, once readers have moved on.  Returns how many went."""
+        through = self.compacted_through(topic)
         jvm, fs = self._fs()
         path = jvm.org.apache.hadoop.fs.Path
+        ids = [b for b in self.batch_ids(topic) if b <= through]
         for b in ids:
             fs.delete(path(f"{self.path}/topic={topic}/batch_id={b}"), True)
-        fs.rename(path(tmp), path(f"{self.path}/topic={topic}/batch_id={ids[-1]}"))
+        for st in fs.globStatus(path(f"{self.path}/_compacted/topic={topic}/through=*")) or []:
+            if int(st.getPath().getName().split("=")[1]) < through:
+                fs.delete(st.getPath(), True)
         return len(ids)
 
     def reset(self, topics: Sequence[str]) -> None:
         """K6: drop the records of ``topics`` (a stream starting afresh)."""
         jvm, fs = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path
         for t in topics:
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={t}")
-            if fs.exists(p):
-                fs.delete(p, True)
+            self._next.pop(t, None)
+            for folder in (f"{self.path}/topic={t}", f"{self.path}/_claims/topic={t}",
+                           f"{self.path}/_compacted/topic={t}"):
+                fs.delete(path(folder), True)
+            for st in fs.globStatus(path(f"{self.path}/_writers/*/topic={t}")) or []:
+                fs.delete(st.getPath(), True)
+
+
+def _past(df: DataFrame, after: DataFrame | None) -> DataFrame:
+    """Records past the positions ``after``, one row per log partition."""
+    if after is None:
+        return df
+    pos = after.select("topic", "partition", F.col("offset").alias("_after"))
+    return (df.join(pos, ["topic", "partition"], "left")
+            .where(F.col("_after").isNull() | (F.col("offset") > F.col("_after")))
+            .drop("_after"))
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -331,9 +417,10 @@ def in_log_order(df: DataFrame) -> DataFrame:
 
 
 class KafkaLog:
-    """The same log interface over Kafka.
+    """Scans of a Kafka log and batch writes to it.
 
-    Needs the Spark Kafka connector on the classpath (absent here, N14), so
+    A reader and writer of records, not a full ``FileLog``: resets, claimed
+    batch ids and compaction are the broker's own.  Needs the Spark Kafka connector on the classpath (absent here, N14), so
     it is not exercised by the tests.  ``since`` maps to the connector's
     ``startingTimestamp`` (S4: seek by log time on every partition).
     """
@@ -344,12 +431,12 @@ class KafkaLog:
         self.options = dict(options or {})
 
     def scan(self, topics: str | Sequence[str], batch: bool = True,
-             since: _dt.datetime | None = None, after: DataFrame | None = None,
+             since: _dt.datetime | Column | None = None, after: DataFrame | None = None,
              **stream_opts) -> DataFrame:
         names = topics if isinstance(topics, str) else ",".join(topics)
         reader = (self.spark.read if batch else self.spark.readStream).format("kafka")
         reader = reader.option("kafka.bootstrap.servers", self.servers).option("subscribe", names)
-        if since is not None:
+        if since is not None and not isinstance(since, Column):
             ms = int(since.replace(tzinfo=_dt.timezone.utc).timestamp() * 1000) \
                 if since.tzinfo is None else int(since.timestamp() * 1000)
             reader = reader.option("startingTimestamp", str(ms))
@@ -359,12 +446,9 @@ class KafkaLog:
         for k, v in {**self.options, **stream_opts}.items():
             reader = reader.option(k, v)
         df = reader.load().select(*[f.name for f in LOG.fields])
-        if after is not None:
-            pos = after.select("topic", "partition", F.col("offset").alias("_after"))
-            df = (join_small(df, pos, ["topic", "partition"], how="left")
-                  .where(F.col("_after").isNull() | (F.col("offset") > F.col("_after")))
-                  .drop("_after"))
-        return df
+        if isinstance(since, Column):
+            df = df.where(F.col("timestamp") >= since)
+        return _past(df, after)
 
     def write_batch(self, topic: str, df: DataFrame, batch_id: int, order_by: Sequence[str],
                     key_cols: Sequence[str] | None = None,

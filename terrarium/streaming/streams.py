@@ -1,7 +1,7 @@
 """Structured Streaming queries over the topic log.
 
-Sinks use ``foreachBatch`` and write each micro-batch to its own log folder
-with overwrite (``FileLog.write_batch``), so a batch replayed after a
+Sinks use ``foreachBatch`` and write each micro-batch to its own claimed log
+folder with overwrite (``FileLog.write_stream_batch``), so a batch replayed after a
 failure replaces its own output: together with the checkpoint this gives
 exactly-once results in the log.  File sinks refuse update mode, which is
 why update-mode rollups are written as keyed change logs this way (K2) and
@@ -60,8 +60,8 @@ def start_raw(df: DataFrame, out: FileLog, topic: str, checkpoint: str,
     order = list(order_by)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out.write_batch(topic, batch, batch_id, order, time_text=time_text,
-                        log_time=F.current_timestamp(), dense=False)
+        out.write_stream_batch(topic, batch, checkpoint, batch_id, order, time_text=time_text,
+                               log_time=F.current_timestamp(), dense=False)
 
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
@@ -92,8 +92,8 @@ def start_rollup(df: DataFrame, out: FileLog, topic: str, values: Sequence[str],
     key_cols = ["timestamp", *keys]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out.write_batch(topic, batch, batch_id, key_cols, key_cols=key_cols,
-                        log_time=F.current_timestamp(), dense=False)
+        out.write_stream_batch(topic, batch, checkpoint, batch_id, key_cols, key_cols=key_cols,
+                               log_time=F.current_timestamp(), dense=False)
 
     w = agg.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
@@ -129,8 +129,8 @@ def start_appended_rollup(agg: DataFrame, out: FileLog, topic: str, keys: Sequen
     key_cols = ["timestamp", *keys]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out.write_batch(topic, batch, batch_id, key_cols, key_cols=key_cols,
-                        log_time=F.current_timestamp(), dense=False)
+        out.write_stream_batch(topic, batch, checkpoint, batch_id, key_cols, key_cols=key_cols,
+                               log_time=F.current_timestamp(), dense=False)
 
     w = agg.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
@@ -138,14 +138,53 @@ def start_appended_rollup(agg: DataFrame, out: FileLog, topic: str, keys: Sequen
     return _trigger(w.outputMode("append"), trigger).start()
 
 
+def with_open_windows(closed: DataFrame, readings: DataFrame,
+                      rolled: Callable[[DataFrame], DataFrame], width: str = "10 minutes",
+                      inner_width: str = "5 minutes", ts: str = "timestamp") -> DataFrame:
+    """T4: all windows of a chained rollup, the ones a stream has not closed
+    yet included.
+
+    Append mode emits a window once the watermark has passed it, so the last
+    windows of the log stay open.  They are computed in batch by ``rolled``
+    from the ``readings`` past the newest closed window only (one scalar is
+    fetched for that bound), and put beside the closed ones."""
+    newest = closed.agg(F.max(ts)).first()[0]
+    if newest is None:
+        return rolled(readings)
+    newest = F.lit(newest).cast(readings.schema[ts].dataType)
+    # an outer window also holds inner windows that began before it
+    first = newest + F.expr(f"INTERVAL {width}") - F.expr(f"INTERVAL {inner_width}")
+    late = rolled(readings.where(F.col(ts) >= first))
+    return closed.unionByName(late.where(F.col(ts).cast("timestamp") > newest.cast("timestamp")).select(closed.columns))
+
+
+def start_position(log: FileLog, topics: Sequence[str], checkpoint: str) -> int:
+    """The append after which a tail from the latest record starts: taken when
+    its checkpoint is new, and the same again after a restart."""
+    jvm, fs = log._fs()
+    path = jvm.org.apache.hadoop.fs.Path
+    for st in fs.globStatus(path(f"{checkpoint}-start/after=*")) or []:
+        return int(st.getPath().getName().split("=")[1])
+    last = max((log.last_batch(t) for t in topics), default=-1)
+    fs.create(path(f"{checkpoint}-start/after={last}"), True).close()
+    return last
+
+
 def tail(log: FileLog, topics: str | Sequence[str], after: DataFrame | None,
          on_batch: Callable[[DataFrame, int], None], checkpoint: str,
          trigger: dict | None = None, after_batch: int | None = None,
-         **source_opts) -> StreamingQuery:
+         latest: bool = False, **source_opts) -> StreamingQuery:
     """Deliver every record of ``topics`` past the snapshot's
     hand-off to ``on_batch``: past positions ``after`` (topic, partition,
     offset; a small static table, one row per log partition), or past append
-    ``after_batch`` of a file log (no positions to compute)."""
+    ``after_batch`` of a file log (no positions to compute), or, with
+    ``latest``, past the newest append of one topic when the tail first
+    starts; older appends are not opened."""
+    if latest:
+        names = [t.strip() for t in topics.split(",")] if isinstance(topics, str) else list(topics)
+        if len(names) != 1:
+            raise ValueError("a tail from the latest record follows one topic")
+        after_batch = start_position(log, names, checkpoint)
     df = log.scan(topics, batch=False, after=after, after_batch=after_batch, **source_opts)
     w = df.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _trigger(w.outputMode("append"), trigger).start()

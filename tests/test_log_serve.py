@@ -158,13 +158,123 @@ def test_compaction_keeps_newest_per_key(spark, tmp):
     before = {json.loads(r["key"])["sensor"]: json.loads(r["value"])["grams"]
               for r in compacted(log, "w-10min").collect()}
     assert log.compact("w-10min") == 3                 # batches 0-2; newest (3) untouched
-    assert log.batch_ids("w-10min") == [2, 3]
+    assert log.batch_ids("w-10min") == [0, 1, 2, 3]    # still there for other readers
     assert log.scan("w-10min").count() == 3            # a@2, b@3 from the rewrite + a@4
+    assert log.scan("w-10min", until_batch=3).count() == 5
+    assert log.purge("w-10min") == 3 and log.batch_ids("w-10min") == [3]
+    assert log.scan("w-10min").count() == 3
     after = {json.loads(r["key"])["sensor"]: json.loads(r["value"])["grams"]
              for r in compacted(log, "w-10min").collect()}
     assert before == after == {"a": 4.0, "b": 3.0}
 
 
+def _numbers(spark, *values):
+    return spark.createDataFrame([(v, dt.datetime(2024, 1, 1, 0, v % 60)) for v in values], "n int, timestamp timestamp")
+
+
+def _n(df):
+    return sorted(json.loads(r["value"])["n"] for r in df.collect())
+
+
+def test_writers_never_share_a_batch(spark, tmp):
+    a, b = FileLog(spark, f"{tmp}/log"), FileLog(spark, f"{tmp}/log")
+    first = a.claim("r")                               # both take an id before either writes
+    second = b.claim("r")
+    assert first != second
+    b.write_batch("r", _numbers(spark, 2), second, ["n"], dense=False)
+    assert a.last_batch("r") == -1                     # a is still writing: nothing is complete yet
+    a.write_batch("r", _numbers(spark, 1), first, ["n"], dense=False)
+    assert a.last_batch("r") == second
+    a.append("r", _numbers(spark, 3), ["n"], dense=False)
+    b.append("r", _numbers(spark, 4), ["n"], dense=False)
+    assert _n(a.scan("r")) == [1, 2, 3, 4]
+
+
+def test_given_up_claims_do_not_hold_back_the_log(spark, tmp, monkeypatch):
+    from terrarium.sources import log as module
+
+    log = FileLog(spark, f"{tmp}/log")
+    log.claim("r")                                     # its writer dies
+    last = log.append("r", _numbers(spark, 1), ["n"], dense=False)
+    assert log.last_batch("r") == -1
+    monkeypatch.setattr(module, "CLAIM_SECONDS", -1)
+    assert log.last_batch("r") == last
+
+
+def test_stream_with_a_new_checkpoint_keeps_what_is_there(spark, tmp):
+    log = FileLog(spark, f"{tmp}/log")
+    for checkpoint in ("one", "two"):
+        for micro in (0, 1, 1):                        # the second one is replayed
+            log.write_stream_batch("r", _numbers(spark, micro), checkpoint, micro, ["n"], dense=False)
+    assert _n(log.scan("r")) == [0, 0, 1, 1]
+
+
+def test_crash_inside_compaction_and_tail_across_it(spark, tmp, monkeypatch):
+    from terrarium.streaming import streams
+
+    log = FileLog(spark, f"{tmp}/log")
+    for v in range(4):
+        log.append("r", _numbers(spark, v), ["n"], key_cols=["n"], value_cols=["n"], dense=False)
+    got = []
+
+    def follow():
+        streams.tail(log, "r", None, lambda d, i: got.extend(_n(d)), f"{tmp}/cp",
+                     trigger={"availableNow": True}).awaitTermination()
+
+    follow()
+    assert sorted(got) == [0, 1, 2, 3]
+    # a compaction that got as far as its files, but not to its commit
+    part = log.scan("r", until_batch=0).drop("topic").withColumn("date", F.to_date("timestamp"))
+    folder = f"{log.path}/_compacted/topic=r/through=2"
+    part.write.partitionBy("date").parquet(folder)
+    import os
+    os.remove(f"{folder}/_SUCCESS")
+    assert log.compacted_through("r") == -1 and _n(log.scan("r")) == [0, 1, 2, 3]
+    assert log.compact("r") == 3 and _n(log.scan("r")) == [0, 1, 2, 3]
+    log.append("r", _numbers(spark, 4), ["n"], key_cols=["n"], value_cols=["n"], dense=False)
+    follow()
+    assert sorted(got) == [0, 1, 2, 3, 4]              # nothing is delivered again
+    log.purge("r")
+    follow()
+    assert sorted(got) == [0, 1, 2, 3, 4] and _n(log.scan("r")) == [0, 1, 2, 3, 4]
+
+
+def test_scans_open_only_their_topic_and_dates(spark, tmp):
+    log = FileLog(spark, f"{tmp}/log")
+    for v in range(8):
+        log.append("a", _numbers(spark, v), ["n"], dense=False)
+    days = spark.createDataFrame([(d, dt.datetime(2024, 1, d, 12)) for d in (1, 2, 3)], "n int, timestamp timestamp")
+    log.append("b", days.coalesce(1), ["n"], dense=False, log_time=F.col("timestamp"))
+    batches = []
+    q = (log.scan("b", batch=False).writeStream.foreachBatch(lambda d, i: batches.append(_n(d)))
+         .option("checkpointLocation", f"{tmp}/cp").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert batches == [[1, 2, 3]]
+    since = log.scan("b", since=dt.datetime(2024, 1, 2))
+    assert _n(since) == [2, 3]
+    plan = since._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "date#" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert len(since.inputFiles()) > 0 and all("topic=b" in f for f in since.inputFiles())
+
+
+def test_tail_from_the_latest_record_over_a_restart(spark, tmp):
+    from terrarium.streaming import streams
+
+    log = FileLog(spark, f"{tmp}/log")
+    log.append("r", _numbers(spark, 1, 2), ["n"], dense=False)
+    got = []
+
+    def follow():
+        q = streams.tail(log, "r", None, lambda d, i: got.extend(_n(d)), f"{tmp}/cp",
+                         trigger={"availableNow": True}, latest=True)
+        q.awaitTermination()
+
+    follow()
+    log.append("r", _numbers(spark, 3), ["n"], dense=False)   # arrives while the tail is down
+    follow()
+    assert got == [3]
+
+
 def test_stream_starts_before_data(spark, tmp):
     log = FileLog(spark, f"{tmp}/empty-log")
     got = []
