@@ -191,11 +191,3 @@ def hmac_sha1_hex(body: ColumnOrName, key: str | bytes) -> Column:
     msg = F.encode(_c(body), "UTF-8")
     inner_digest = F.unhex(F.sha1(F.concat(F.unhex(F.lit(inner)), msg)))
     return F.sha1(F.concat(F.unhex(F.lit(outer)), inner_digest))
-
-
-def hmac_sql(body_sql: str, key: str | bytes) -> str:
-    """The same HMAC as a DuckDB SQL expression (for oracles and tests)."""
-    kb = key.encode("utf-8") if isinstance(key, str) else key
-    inner, outer = _hmac_pads(kb)
-    return (f"sha1(unhex('{outer}') || unhex(sha1(unhex('{inner}') || "
-            f"encode({body_sql}))))")

@@ -255,6 +255,29 @@ def q_snapshot_since(spark, sf_dir):
     return _served(serve.snapshot(log.scan(topics, since=since), topics, since=since))
 
 
+HISTORY_ASOF, HISTORY_AGE = "2024-01-31 00:00:00", "15 days"
+SHARED_GRAMS = 300.0
+
+
+def q_history_age(spark, sf_dir):
+    """The served history of two topics for an age before a fixed
+    time, pruned at the scan."""
+    log = FileLog(spark, shared_dir(spark, "landed", "log", unique=True))
+    log.append_records(EV.log_from_events(_events(spark, sf_dir)), topic="readings")
+    log.append_records(rollup_log(weights_df(spark, sf_dir)), topic=ROLLUP_TOPIC)
+    asof = F.lit(HISTORY_ASOF).cast("timestamp")
+    return _served(serve.history(log, f"readings,{ROLLUP_TOPIC}", HISTORY_AGE, asof=asof))
+
+
+def q_shared_key_snapshot(spark, sf_dir):
+    """A6 across topics: of records with the same key, the topic named last
+    wins, then the larger offset."""
+    weights = weights_df(spark, sf_dir)
+    late = rollup_log(weights.where(F.col("grams") > SHARED_GRAMS)).withColumn("topic", F.lit("weights-late"))
+    recs = rollup_log(weights).unionByName(late)
+    return _served(serve.snapshot(recs, [ROLLUP_TOPIC, "weights-late"], shared_keys=True))
+
+
 def q_latest_by_key(spark, sf_dir):
     recs = rollup_log(weights_df(spark, sf_dir))
     latest = latest_by_key(recs, ["topic", "key"], ["offset"])
@@ -270,6 +293,30 @@ def q_series_points(spark, sf_dir):
     return serve.series_points(weights_df(spark, sf_dir), "sensor", "timestamp", "grams")
 
 
+def q_one_series(spark, sf_dir):
+    """The points of one series."""
+    return serve.series_points(weights_df(spark, sf_dir), "sensor", "timestamp", "grams", only="click")
+
+
+def q_latest_point(spark, sf_dir):
+    """Of several points of a series at one time the newest stays."""
+    points = weights_df(spark, sf_dir).select(
+        F.col("sensor").alias("series"), F.date_trunc("hour", "timestamp").cast("timestamp_ntz").alias("x"),
+        F.col("grams").alias("y"), "event_id")
+    return serve.latest_point(points, order=["event_id"])
+
+
+def q_csv_export(spark, sf_dir):
+    """K7: the export rows appended as CSV in two parts, and read back."""
+    rows = serve.export_rows(_enriched(spark, sf_dir))
+    path = shared_dir(spark, "landed", "csv", unique=True)
+    warm = F.coalesce(F.col("temp") > 20, F.lit(False))
+    for part in (rows.where(warm), rows.where(~warm)):
+        serve.write_export(part, path)
+    back = spark.read.schema(rows.schema).csv(path)
+    return rounded(back.withColumn("humidity", F.coalesce("humidity", F.lit(""))))
+
+
 def q_series_distinct(spark, sf_dir):
     return serve.series_distinct(weights_df(spark, sf_dir), "sensor")
 
@@ -337,7 +384,12 @@ QUERIES = {
     "burst_stats": q_burst_stats,
     "calibrated_weight": q_calibrated_weight,
     "snapshot_since": q_snapshot_since,
+    "history_age": q_history_age,
+    "shared_key_snapshot": q_shared_key_snapshot,
     "latest_by_key": q_latest_by_key,
+    "one_series": q_one_series,
+    "latest_point": q_latest_point,
+    "csv_export": q_csv_export,
     "series_points": q_series_points,
     "series_distinct": q_series_distinct,
     "y_range": q_y_range,

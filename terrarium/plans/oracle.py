@@ -371,6 +371,39 @@ WHERE "timestamp" >= TIMESTAMP '{TAIL_SPLIT}' OR "timestamp" IS NULL""",
 })
 SQL["stream_tail_latest"] = SQL["stream_tail"]
 
+SQL.update({
+    "history_age": SQL["snapshot_since"].replace(SINCE, "2024-01-16 00:00:00"),
+    "one_series": SQL["series_points"] + " AND sensor = 'click'",
+    "latest_point": f"""WITH {WEIGHTS}
+SELECT sensor AS series, date_trunc('hour', "timestamp") AS x, grams AS y, event_id FROM weights
+QUALIFY row_number() OVER (PARTITION BY sensor, date_trunc('hour', "timestamp") ORDER BY event_id DESC) = 1""",
+    "shared_key_snapshot": f"""WITH {KEYED},
+late AS (
+  SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY event_id) - 1 AS o FROM klog WHERE grams > 300
+),
+u AS (
+  SELECT 1 AS ord, 'weights-10min' AS topic, key, start, sensor, grams, "offset" AS o FROM klog_n
+  UNION ALL SELECT 2, 'weights-late', key, start, sensor, grams, o FROM late
+)
+SELECT topic, key, start AS "timestamp", sensor, grams FROM u
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY ord DESC, o DESC) = 1""",
+    "csv_export": f"""WITH x AS ({SQL["export_rows"]})
+SELECT "timestamp", name, round(temp, {D}) AS temp, humidity FROM x""",
+    # late rows count only where their window ends after the watermark of the first two appends
+    "stream_late_10min": f"""WITH {WEIGHTS},
+cuts AS (SELECT min(event_id) AS lo, max(event_id) - min(event_id) + 1 AS n FROM events),
+passed AS (
+  SELECT max("timestamp") - INTERVAL '10 minutes' AS mark FROM weights, cuts
+  WHERE event_id < lo + n * 2 // 4 AND NOT (event_id < lo + n // 4 AND event_id % 100 = 7)
+),
+arrived AS (
+  SELECT weights.* FROM weights, cuts, passed
+  WHERE NOT coalesce(event_id < lo + n // 4 AND event_id % 100 = 7, false)
+     OR time_bucket(INTERVAL '10 minutes', "timestamp") + INTERVAL '10 minutes' > mark
+)
+{_rollup('arrived', ['grams', 'stddev'], ['sensor'])}""",
+})
+
 SQL.update({
     "jsonl_roundtrip": SQL["temperatures"],
     "fanout": f"""WITH {ENRICH}

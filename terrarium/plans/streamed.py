@@ -155,6 +155,20 @@ def q_stream_evaporation_10min(spark, sf_dir):
     return streams.with_open_windows(closed, readings, rolled)
 
 
+def q_stream_late_10min(spark, sf_dir):
+    """Rows that come after the watermark has passed their window do not
+    change it.  Every hundredth row of the first append comes with the third."""
+    root, src, chunks, out, reg, ctx = _setup(spark, sf_dir, "late")
+    if len(chunks) > 2:
+        late = F.coalesce(F.col("event_id") % 100 == 7, F.lit(False))
+        chunks[2] = chunks[2].unionByName(chunks[0].where(late))
+        chunks[0] = chunks[0].where(~late)
+    _follow(src, chunks, lambda: reg.start(
+        ctx, out, f"{root}/cp", names=["weights"], which=["rollup"], rollup_trigger=AVAILABLE_NOW,
+        state_partitions=_parallelism(spark)))
+    return _rollup_values(out, "weights-10min", ["sensor"], ["grams", "stddev"])
+
+
 def q_stream_tail(spark, sf_dir):
     """Snapshot positions taken after the first append; the tail
     then delivers exactly the records appended after it."""
@@ -234,6 +248,7 @@ QUERIES = {
     "stream_water_10min": q_stream_water_10min,
     "stream_temperatures_10min": q_stream_temperatures_10min,
     "stream_evaporation_10min": q_stream_evaporation_10min,
+    "stream_late_10min": q_stream_late_10min,
     "stream_tail": q_stream_tail,
     "stream_tail_latest": q_stream_tail_latest,
     "stream_fresh_start": q_stream_fresh_start,

@@ -110,7 +110,3 @@ OBSERVATION = StructType([
         StructField("weather", StringType()),
     ])),
 ])
-
-
-def field_names(schema: StructType) -> list[str]:
-    return [f.name for f in schema.fields]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import posixpath
+import shutil
 import tempfile
 import uuid
 
@@ -38,7 +40,8 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     The location comes from ``spark.checkpoint.dir``.  Only in local mode,
     where no such setting exists (tests), a fresh folder is made under the
     system temp directory and registered as the checkpoint dir, so that
-    ``DataFrame.checkpoint()`` and streaming checkpoints share it.  On a
+    ``DataFrame.checkpoint()`` and streaming checkpoints share it; it is
+    removed when the process ends.  On a
     cluster an unset location is an error rather than a silent local path.
     """
     base = _configured_checkpoint_dir(spark)
@@ -49,6 +52,7 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS, object store) so checkpoints survive executor loss")
         base = tempfile.mkdtemp(prefix="terrarium-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
     if unique:
@@ -56,22 +60,6 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return posixpath.join(base, *parts) if parts else base
 
 
-def configure_streaming(spark: SparkSession, state_partitions: int | None = None,
-                        rocksdb: bool = True) -> None:
-    """Settings for long-running stateful streams, applied only where unset.
-
-    The number of shuffle partitions of a stateful query is fixed in its
-    checkpoint at first start, so size it for the cluster before starting;
-    RocksDB keeps large state (many sensors and windows) off the JVM heap.
-    """
-    conf = spark.conf
-    if state_partitions is not None:
-        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if rocksdb and not conf.get(key, None):
-        conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-
-
 @contextlib.contextmanager
 def conf_scope(spark: SparkSession, settings: dict):
     """Apply SQL settings for the duration of a block, then restore them.
@@ -90,26 +78,3 @@ def conf_scope(spark: SparkSession, settings: dict):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-
-
-def configure_batch(spark: SparkSession, input_bytes: int | None = None,
-                    partition_bytes: int = 256 * 1024 * 1024) -> None:
-    """Batch sizing for large inputs, applied only where the cluster left a
-    setting unset.
-
-    Shuffles start with enough partitions for ``input_bytes`` at
-    ``partition_bytes`` each (so a partition fits executor memory without
-    heavy spilling) and adaptive execution coalesces the ones that turn out
-    small and splits skewed join partitions."""
-    conf = spark.conf
-
-    def default(key: str, value) -> None:
-        if conf.get(key, None) is None:
-            conf.set(key, str(value))
-
-    default("spark.sql.adaptive.enabled", "true")
-    default("spark.sql.adaptive.skewJoin.enabled", "true")
-    default("spark.sql.adaptive.advisoryPartitionSizeInBytes", partition_bytes)
-    if input_bytes:
-        n = max(spark.sparkContext.defaultParallelism * 2, -(-input_bytes // partition_bytes))
-        default("spark.sql.adaptive.coalescePartitions.initialPartitionNum", n)

@@ -1,6 +1,4 @@
-from terrarium.session import conf_scope, configure_streaming, ensure_utc, shared_dir
-
-KEY = "spark.sql.streaming.stateStore.providerClass"
+from terrarium.session import conf_scope, ensure_utc, shared_dir
 
 
 def test_conf_scope_restores(spark):
@@ -10,23 +8,6 @@ def test_conf_scope_restores(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-def test_configure_streaming_sets_rocksdb_only_when_unset(spark):
-    with conf_scope(spark, {"spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions")}):
-        old = spark.conf.get(KEY, None)
-        try:
-            spark.conf.unset(KEY)
-            configure_streaming(spark)
-            assert spark.conf.get(KEY).endswith("RocksDBStateStoreProvider")
-            spark.conf.set(KEY, "custom.Provider")
-            configure_streaming(spark)
-            assert spark.conf.get(KEY) == "custom.Provider"
-        finally:
-            if old is None:
-                spark.conf.unset(KEY)
-            else:
-                spark.conf.set(KEY, old)
-
-
 def test_shared_dir_under_checkpoint_dir(spark):
     ensure_utc(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
@@ -34,19 +15,3 @@ def test_shared_dir_under_checkpoint_dir(spark):
     a = shared_dir(spark, "x", unique=True)
     b = shared_dir(spark, "x", unique=True)
     assert a.startswith(base) and b.startswith(base) and a != b
-
-
-def test_configure_batch_sizes_initial_partitions(spark):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    from terrarium.session import configure_batch
-    old = spark.conf.get(key, None)
-    try:
-        spark.conf.unset(key)
-        configure_batch(spark, input_bytes=100 * 2 ** 40)       # 100 TB
-        assert int(spark.conf.get(key)) == 409600               # 256 MB partitions
-        configure_batch(spark, input_bytes=1)                    # already set: kept
-        assert int(spark.conf.get(key)) == 409600
-    finally:
-        spark.conf.unset(key)
-        if old is not None:
-            spark.conf.set(key, old)
