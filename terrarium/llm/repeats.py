@@ -1,15 +1,17 @@
 """Removal of repeated passages by hashing units of text.
 
-Units are the lines of a document and the sentences inside them.  A unit's
-digest (128 bits) is taken over its normalised form: lower case, white space
-as single spaces.  Digests are grouped over the whole table; the occurrence
-that ranks first - smallest document key, then smallest text hash, then
-smallest offset - stays, all others count as repeated:
+Units are the lines of a document and the pieces inside them: sentences, and
+parts of sentences of more than ``LONG`` words, cut after words that a hash of
+the word itself picks, so that the same passage is cut alike in any prose.  A
+unit's digest (96 bits) is taken over its normalised form: lower case, white
+space as single spaces.  Digests are grouped over the whole table; the
+occurrence that ranks first - smallest document key, then smallest text hash,
+then smallest offset - stays, all others count as repeated:
 
 * a repeated line of at least ``LINE_WORDS`` words goes;
-* repeated sentences go where, next to each other, they hold at least
-  ``RUN_WORDS`` words.  Sentences of fewer than ``SENTENCE_WORDS`` words have
-  no digest; they go along when they stand between repeated ones.
+* repeated pieces go where, next to each other, they hold at least
+  ``RUN_WORDS`` words.  Pieces of fewer than ``PIECE_WORDS`` words have no
+  digest; they go along when they stand between repeated ones.
 
 Passages that were set into other prose therefore go as well, while a short
 sentence that two documents happen to share stays.  A line that goes always
@@ -25,6 +27,7 @@ result; further columns pass through untouched.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,60 +39,82 @@ from pyspark.sql import types as T
 
 from terrarium.llm.common import _arrow_schema, masked, slices, stored
 
-LINE_WORDS, SENTENCE_WORDS, RUN_WORDS = 8, 3, 20
-#: A sentence ends after . ! or ? before white space, and at a line break.
-SENTENCE = re.compile(r"[^\n]+?(?:[.!?]+(?=[^\S\n])|$)", re.M)
-LINE, SENT = 0, 1
+LINE_WORDS, PIECE_WORDS, RUN_WORDS = 8, 3, 20
+#: Longer sentences are cut, after one word of ``EVERY`` on average.
+LONG, EVERY = 16, 8
+#: A sentence ends after . ! or ? (and other marks) before white space, and
+#: with its line.
+SENTENCE = re.compile(r"\S.*?(?:[.!?][^\w\s]*(?=\s)|\Z)")
+WORD = re.compile(r"\S+")
+LINE, PIECE = 0, 1
 UNITS = T.StructType([T.StructField(n, t) for n, t in (
-    ("d1", T.LongType()), ("d2", T.LongType()), ("level", T.ByteType()), ("start", T.IntegerType()))])
+    ("d1", T.LongType()), ("d2", T.IntegerType()), ("level", T.ByteType()), ("start", T.IntegerType()))])
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()),
                                  T.StructField("stop", T.IntegerType())]))
 
 
-def sentences(text: str) -> list[tuple[int, int, int]]:
-    """(start, stop, words) of every sentence, in order."""
-    return [(m.start(), m.end(), len(m.group().split())) for m in SENTENCE.finditer(text)]
+def pieces(line: str) -> Iterator[tuple[int, int, list[str]]]:
+    """(start, stop, lower-case words) of the pieces of a line, in order."""
+    for m in SENTENCE.finditer(line):
+        words = m.group().lower().split()
+        if len(words) <= LONG:
+            yield m.start(), m.end(), words
+            continue
+        spans = [w.span() for w in WORD.finditer(m.group())]
+        first = 0
+        for k, word in enumerate(words):
+            if k == len(words) - 1 or zlib.crc32(word.encode()) % EVERY == 0:
+                yield m.start() + spans[first][0], m.start() + spans[k][1], words[first:k + 1]
+                first = k + 1
 
 
 def hashed_units(text: str) -> Iterator[tuple[bytes, int, int]]:
     """(digest, level, start) of every unit that has a digest.
 
-    A line that is a single sentence is both units; its digests differ by
-    level, so lines are only compared with lines."""
+    A line that is a single piece is both units; its digests differ by level,
+    so lines are only compared with lines."""
     start = 0
     for line in text.split("\n"):
-        words = line.lower().split()
-        if len(words) >= LINE_WORDS:
-            yield xxhash.xxh3_128_digest(" ".join(words).encode(), LINE), LINE, start
-        if len(words) >= SENTENCE_WORDS:
-            for m in SENTENCE.finditer(line):
-                words = m.group().lower().split()
-                if len(words) >= SENTENCE_WORDS:
-                    yield xxhash.xxh3_128_digest(" ".join(words).encode(), SENT), SENT, start + m.start()
+        own = list(pieces(line))
+        if sum(len(words) for _, _, words in own) >= LINE_WORDS:
+            whole = " ".join(" ".join(words) for _, _, words in own)
+            yield xxhash.xxh3_128_digest(whole.encode(), LINE), LINE, start
+        for at, _, words in own:
+            if len(words) >= PIECE_WORDS:
+                yield xxhash.xxh3_128_digest(" ".join(words).encode(), PIECE), PIECE, start + at
         start += len(line) + 1
 
 
 def cuts(text: str, repeated: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Spans to remove, given the (level, start) of the repeated units."""
     lines = {s for level, s in repeated if level == LINE}
-    inner = {s for level, s in repeated if level == SENT}
-    spans = []
-    for s in lines:
-        stop = text.find("\n", s)
-        spans.append((s, len(text) if stop < 0 else stop + 1))
-    run: list[tuple[int, int, int]] = []     # from a repeated sentence on
-    last = 0                                 # length of the run up to its last repeated sentence
-    for unit in [*sentences(text), (len(text), len(text), SENTENCE_WORDS)] if inner else []:
-        if unit[0] in inner:
-            run.append(unit)
-            last = len(run)
-        elif unit[2] < SENTENCE_WORDS:
-            if run:
+    inner = {s for level, s in repeated if level == PIECE}
+    spans: list[tuple[int, int]] = []
+    run: list[tuple[int, int, int]] = []     # (start, stop, words) from a repeated piece on
+    last = 0                                 # length of the run up to its last repeated piece
+
+    def close() -> None:
+        if sum(u[2] for u in run[:last]) >= RUN_WORDS:
+            spans.append((run[0][0], run[last - 1][1]))
+        run.clear()
+
+    start = 0
+    for line in text.split("\n"):
+        if start in lines:
+            spans.append((start, min(len(text), start + len(line) + 1)))
+        for a, b, words in pieces(line) if inner else ():
+            unit = (start + a, start + b, len(words))
+            if unit[0] in inner:
                 run.append(unit)
-        else:
-            if sum(u[2] for u in run[:last]) >= RUN_WORDS:
-                spans.append((run[0][0], run[last - 1][1]))
-            run, last = [], 0
+                last = len(run)
+            elif unit[2] < PIECE_WORDS:
+                if run:
+                    run.append(unit)
+            elif run:
+                close()
+                last = 0
+        start += len(line) + 1
+    close()
     merged: list[tuple[int, int]] = []
     for a, b in sorted(spans):
         if merged and a <= merged[-1][1]:
@@ -116,18 +141,19 @@ def _units(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.
                     levels.append(level)
                     starts.append(start)
                     rows.append(row)
-            pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            joined = np.frombuffer(b"".join(digests), np.int32).reshape(-1, 4)
+            first = np.ascontiguousarray(joined[:, :2]).view(np.int64)[:, 0]
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(pair[:, 0]), pa.array(pair[:, 1]),
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(first), pa.array(joined[:, 2]),
                  pa.array(levels, pa.int8()), pa.array(starts, pa.int32())], schema=schema)
 
 
 def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, hash, units) of every document with a repeated unit; units is an
     array of (level, start) of those that rank behind their first occurrence."""
-    source = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
-    schema = T.StructType([source.schema["key"], T.StructField("hash", T.LongType()), *UNITS.fields])
+    source = docs.select(F.col(key).alias("key"), F.hash(text).alias("hash"), F.col(text).alias("text"))
+    schema = T.StructType([source.schema["key"], T.StructField("hash", T.IntegerType()), *UNITS.fields])
     arrow = _arrow_schema(schema)
     units = source.mapInArrow(lambda batches: _units(batches, arrow), schema)
     rank = F.struct("key", "hash", "start")
@@ -145,7 +171,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     (``kept_spans``)."""
     plain, names = masked(docs)
     found = repeated_units(docs, key, text)
-    joined = plain.withColumn("own", F.xxhash64(names[text])).join(
+    joined = plain.withColumn("own", F.hash(names[text])).join(
         found, F.col(names[key]).eqNullSafe(F.col("key")) & (F.col("own") == F.col("hash")), "left")
     columns = list(names.values())
     at, n = columns.index(names[text]), len(columns)
