@@ -14,16 +14,23 @@ import random
 SYLLABLES = ["ka", "lor", "mi", "ten", "sa", "ru", "vel", "do", "an", "er", "is", "qua", "po", "ne", "tri", "ul"]
 #: Usual class and id names of each part of a page.
 MAIN = ["content", "article", "article-body", "post", "post-content", "entry", "entry-content", "story",
-        "story-body", "main", "main-content", "text", "body-text", "page-content"]
-NAV = ["nav", "menu", "navbar", "main-menu", "navigation", "breadcrumb", "breadcrumbs", "topnav", "links", "toc-menu"]
-HEADER = ["header", "site-header", "masthead", "top", "topbar", "banner", "branding", "logo", "tagline"]
-FOOTER = ["footer", "site-footer", "bottom", "copyright", "legal", "colophon", "imprint"]
-SIDE = ["sidebar", "side", "aside", "widget", "related", "recommended", "rail", "popular", "more-stories", "teaser"]
-AD = ["ad", "ads", "advert", "advertisement", "sponsored", "promo", "ad-slot", "banner-ad", "sponsor"]
+        "story-body", "main", "main-content", "text", "body-text", "page-content", "post-body", "blog-post", "prose",
+        "news-article", "rich-text", "single"]
+NAV = ["nav", "menu", "navbar", "main-menu", "navigation", "breadcrumb", "breadcrumbs", "topnav", "links", "toc-menu",
+       "pagination", "pager", "submenu", "skip-link", "tabs"]
+HEADER = ["header", "site-header", "masthead", "top", "topbar", "banner", "branding", "logo", "tagline",
+          "page-header", "brand"]
+FOOTER = ["footer", "site-footer", "bottom", "copyright", "legal", "colophon", "imprint",
+          "page-footer", "credits"]
+SIDE = ["sidebar", "side", "aside", "widget", "related", "recommended", "rail", "popular", "more-stories", "teaser",
+        "secondary", "see-also", "trending", "latest", "widget-area"]
+AD = ["ad", "ads", "advert", "advertisement", "sponsored", "promo", "ad-slot", "banner-ad", "sponsor",
+      "commercial", "leaderboard", "promo-box", "adsbox"]
 NOTICE = ["cookie", "cookie-notice", "notice", "consent", "gdpr", "alert", "popup", "modal", "newsletter", "subscribe",
-          "cookie-banner", "overlay"]
+          "cookie-banner", "overlay", "privacy-notice", "announcement", "paywall", "disclaimer", "toast", "cookie-bar"]
 FORM = ["form", "search", "search-form", "login", "signup", "contact-form", "comment-form"]
-COMMENT = ["comments", "comment", "comment-list", "discussion", "replies", "reader-comments", "respond", "reviews"]
+COMMENT = ["comments", "comment", "comment-list", "discussion", "replies", "reader-comments", "respond", "reviews",
+           "user-comments", "comment-section", "responses", "thread", "feedback"]
 SHARE = ["share", "social", "sharing", "share-buttons", "tags", "meta-links"]
 
 
@@ -141,30 +148,32 @@ class Page:
             parts.append(f"<header>{title}</header>" if r.random() < 0.15 else title)
         for _ in range(r.randint(1, 9)):
             kind = r.random()
-            if kind < 0.68:
+            if kind < 0.58:
                 parts.append(self.block("p", 1, 14, 1) if r.random() < 0.3 else self.block("p", 10, 110, 1, 0.03))
-            elif kind < 0.76:
+            elif kind < 0.66:
                 parts.append(self.block(r.choice(["h2", "h3"]), 1, 8, 1))
-            elif kind < 0.84:
+            elif kind < 0.74:
                 items = "".join(self.block("li", 2, 25, 1) for _ in range(r.randint(1, 4)))
                 parts.append(f"<ul>{items}</ul>")
-            elif kind < 0.88:
+            elif kind < 0.78:
                 parts.append(f"<blockquote>{self.block('p', 6, 50, 1)}</blockquote>")
-            elif kind < 0.92:
+            elif kind < 0.81:
                 parts.append(self.block("pre", 3, 30, 1))
-            elif kind < 0.95:
+            elif kind < 0.84:
                 parts.append("<table><tr>" + "".join(self.block("td", 1, 6, 1) for _ in range(3)) + "</tr></table>")
+            elif kind < 0.88:
+                parts.append(f"<figure><img src=i.png>{self.block('figcaption', 2, 20, 1)}</figure>")
             else:
                 parts.append(r.choice([self.advert, self.share, self.side, self.notice, self.form])())
         inner = "".join(parts)
         kind = r.random()
-        if kind < 0.45:
+        if kind < 0.38:
             return f"<article>{inner}</article>"
-        if kind < 0.6:
+        if kind < 0.58:
             return f"<main>{inner}</main>" if r.random() < 0.6 else f"<main><article>{inner}</article></main>"
-        if kind < 0.92:
+        if kind < 0.86:
             return self.holder(["div", "section"], MAIN, inner, named=1.0)
-        return f"<div>{inner}</div>"
+        return f"<div>{inner}</div>" if kind < 0.92 else inner
 
     def compose(self) -> str:
         r = self.rng

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from terrarium.llm.common import map_texts
 from terrarium.llm.html_pages import labelled_pages
 
-TRAIN_PAGES, EPOCHS, RATE = 700, 8, 0.25
+TRAIN_PAGES, EPOCHS, RATE = 1200, 8, 0.25
 #: Elements of HTML by the way they are read.
 RAW = {"script", "style", "template", "noscript", "iframe", "object", "svg", "math", "canvas", "head", "title",
        "textarea", "select", "noframes", "noembed", "xmp", "audio", "video"}

@@ -71,6 +71,26 @@ def test_main_text_of_a_page_with_all_parts(model):
         "The title of it\n\nFirst paragraph of the article, which has some length.\n\nShort.\n\nTom & Ann said it.")
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<body><header><h1>Site</h1></header><main><h1>T</h1><p>One two three four five.</p><aside><h3>More</h3>"
+     "<p>Other stories to read now.</p></aside><p>Last one here.</p></main><footer>x</footer></body>",
+     "T\n\nOne two three four five.\n\nLast one here."),
+    ("<body><div class='site-header'>Site</div><div class='article__body'><h2>Title</h2><p>Para one is here.</p><p>No.</p>"
+     "</div><div class='sidebar-right'><p>Related story is here and it is long.</p></div><div id='cookie-bar'>We use it."
+     "<button>OK</button></div></body>", "Title\n\nPara one is here.\n\nNo."),
+    ("<html><body><p>Just a paragraph with several words in it.</p><p>Another paragraph follows.</p></body></html>",
+     "Just a paragraph with several words in it.\n\nAnother paragraph follows."),
+    ("<article><p>Body.</p></article><section id='comments'><h2>Comments</h2><article class='comment'>"
+     "<p>First! I was here before all of you.</p></article></section>", "Body."),
+    ("<body><div class='inhalt'><h1>Ein Titel</h1><p>Der erste Absatz mit einigen Worten.</p></div><footer>x</footer></body>",
+     "Ein Titel\n\nDer erste Absatz mit einigen Worten."),
+    ("<article><h1>T</h1><p>a b c.</p><div class=ad>Buy.</div><p>d e f.</p><div class='share'><a href=x>Share</a></div>"
+     "<p>g.</p></article>", "T\n\na b c.\n\nd e f.\n\ng."),
+])
+def test_main_text_of_odd_pages(model, page, text):
+    assert html_text.main_text(model, page) == text
+
+
 def test_query_against_the_article_element(spark):
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     got = queries.op5_html_text(spark, SF).collect()
