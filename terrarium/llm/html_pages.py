@@ -178,14 +178,15 @@ class Page:
     def compose(self) -> str:
         r = self.rng
         parts = []
+        bare = r.random() < 0.15                # hardly anything beside the article
         for part, share in ((self.notice, 0.25), (self.header, 0.5), (self.menu, 0.8), (self.advert, 0.4),
                             (self.side, 0.15)):
-            if r.random() < share:
+            if r.random() < share and not bare:
                 parts.append(part())
         parts.append(self.article())
         for part, share in ((self.share, 0.2), (self.advert, 0.25), (self.comments, 0.4), (self.side, 0.35),
                             (self.form, 0.3), (self.notice, 0.15), (self.footer, 0.8)):
-            if r.random() < share:
+            if r.random() < (share / 2 if bare else share):
                 parts.append(part())
         head = "<head><title>" + self.words(2, 8) + "</title><style>p{margin:0}</style></head>"
         wrap = r.random()

@@ -80,8 +80,8 @@ def test_main_text_of_a_page_with_all_parts(model):
      "<button>OK</button></div></body>", "Title\n\nPara one is here.\n\nNo."),
     ("<html><body><p>Just a paragraph with several words in it.</p><p>Another paragraph follows.</p></body></html>",
      "Just a paragraph with several words in it.\n\nAnother paragraph follows."),
-    ("<article><p>Body.</p></article><section id='comments'><h2>Comments</h2><article class='comment'>"
-     "<p>First! I was here before all of you.</p></article></section>", "Body."),
+    ("<article><p>Body of this text.</p></article><section id='comments'><h2>Comments</h2><article class='comment'>"
+     "<p>First! I was here before all of you.</p></article></section>", "Body of this text."),
     ("<body><div class='inhalt'><h1>Ein Titel</h1><p>Der erste Absatz mit einigen Worten.</p></div><footer>x</footer></body>",
      "Ein Titel\n\nDer erste Absatz mit einigen Worten."),
     ("<article><h1>T</h1><p>a b c.</p><div class=ad>Buy.</div><p>d e f.</p><div class='share'><a href=x>Share</a></div>"
