@@ -172,8 +172,8 @@ def block_features(found: list[Block]) -> list[list[str]]:
             feats.append("copyright")
         # the nearest element that says what this part of the page is
         near = [f for f in b.inside if f in SECTIONS]
-        near = near[-1] if near else "none"
-        feats += ["section=" + near, f"section={near} tag={b.tag}"]
+        inner = near[-1] if near else "none"
+        feats += ["section=" + inner, f"section={inner} tag={b.tag}", "sections=" + ">".join(near[-2:])]
         out.append(feats)
     return out
 
