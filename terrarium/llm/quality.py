@@ -187,7 +187,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, k
     for y, n in counts.items():
         share = F.when(F.col("y") == y, F.lit(int(min(1.0, rows / n) * scale))).otherwise(share)
     chosen = known.filter(F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(scale)) < share)
-    got = docs.select(key, text).join(chosen, key).select(key, text, "y").collect()
+    # the chosen keys are bounded by ``rows``, so they go to the texts, not the texts to them
+    got = docs.select(key, text).join(F.broadcast(chosen), key).select(key, text, "y").collect()
     return sorted(((r[0], r[1] or "", r[2]) for r in got), key=lambda r: (r[0], r[1]))
 
 
