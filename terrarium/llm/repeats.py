@@ -10,8 +10,9 @@ then smallest offset - stays, all others count as repeated:
 
 * a repeated line of at least ``LINE_WORDS`` words goes;
 * repeated pieces go where, next to each other, they hold at least
-  ``RUN_WORDS`` words.  Pieces of fewer than ``PIECE_WORDS`` words have no
-  digest; they go along when they stand between repeated ones.
+  ``RUN_WORDS`` words.  The digest of a piece of fewer than ``PIECE_WORDS``
+  words is taken over the ``CONTEXT`` words that end with it, so short
+  sentences and lines go only with words before them that repeat as well.
 
 Passages that were set into other prose therefore go as well, while a short
 sentence that two documents happen to share stays.  A line that goes always
@@ -40,6 +41,8 @@ from pyspark.sql import types as T
 from terrarium.llm.common import _arrow_schema, masked, slices, stored
 
 LINE_WORDS, PIECE_WORDS, RUN_WORDS = 8, 3, 20
+#: Words that the digest of a shorter piece is taken over.
+CONTEXT = 8
 #: Longer sentences are cut, after one word of ``EVERY`` on average.
 LONG, EVERY = 16, 8
 #: A sentence ends after . ! or ? (and other marks) before white space, and
@@ -72,16 +75,20 @@ def hashed_units(text: str) -> Iterator[tuple[bytes, int, int]]:
     """(digest, level, start) of every unit that has a digest.
 
     A line that is a single piece is both units; its digests differ by level,
-    so lines are only compared with lines."""
+    so lines are only compared with lines.  Only pieces that begin the text
+    and have fewer than ``PIECE_WORDS`` words up to their end have none."""
     start = 0
+    before: list[str] = []                   # the last words up to here
     for line in text.split("\n"):
         own = list(pieces(line))
         if sum(len(words) for _, _, words in own) >= LINE_WORDS:
             whole = " ".join(" ".join(words) for _, _, words in own)
             yield xxhash.xxh3_128_digest(whole.encode(), LINE), LINE, start
         for at, _, words in own:
-            if len(words) >= PIECE_WORDS:
-                yield xxhash.xxh3_128_digest(" ".join(words).encode(), PIECE), PIECE, start + at
+            before = (before + words)[-CONTEXT:]
+            covered = words if len(words) >= PIECE_WORDS else before
+            if len(covered) >= PIECE_WORDS:
+                yield xxhash.xxh3_128_digest(" ".join(covered).encode(), PIECE), PIECE, start + at
         start += len(line) + 1
 
 
@@ -90,12 +97,11 @@ def cuts(text: str, repeated: list[tuple[int, int]]) -> list[tuple[int, int]]:
     lines = {s for level, s in repeated if level == LINE}
     inner = {s for level, s in repeated if level == PIECE}
     spans: list[tuple[int, int]] = []
-    run: list[tuple[int, int, int]] = []     # (start, stop, words) from a repeated piece on
-    last = 0                                 # length of the run up to its last repeated piece
+    run: list[tuple[int, int, int]] = []     # (start, stop, words) of repeated pieces next to each other
 
     def close() -> None:
-        if sum(u[2] for u in run[:last]) >= RUN_WORDS:
-            spans.append((run[0][0], run[last - 1][1]))
+        if sum(u[2] for u in run) >= RUN_WORDS:
+            spans.append((run[0][0], run[-1][1]))
         run.clear()
 
     start = 0
@@ -103,16 +109,10 @@ def cuts(text: str, repeated: list[tuple[int, int]]) -> list[tuple[int, int]]:
         if start in lines:
             spans.append((start, min(len(text), start + len(line) + 1)))
         for a, b, words in pieces(line) if inner else ():
-            unit = (start + a, start + b, len(words))
-            if unit[0] in inner:
-                run.append(unit)
-                last = len(run)
-            elif unit[2] < PIECE_WORDS:
-                if run:
-                    run.append(unit)
-            elif run:
+            if start + a in inner:
+                run.append((start + a, start + b, len(words)))
+            else:
                 close()
-                last = 0
         start += len(line) + 1
     close()
     merged: list[tuple[int, int]] = []

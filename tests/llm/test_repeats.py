@@ -82,6 +82,24 @@ def test_repeated_lines_and_short_units(spark):
     assert got == {1: f"{line}\nOwn words here.\n", 2: "Other text. Own words here.\n", 3: "Own words here."}
 
 
+def test_short_units_between_repeated_pieces_stay_unless_they_repeat(spark):
+    opening = "This opening line stands before every list that the site has shown so far."
+    closing = "This closing line stands after every list that the site has shown so far."
+    bodies = ["Red fox. Blue jay.\nGrey owl.\n", "Iron. Zinc.\nPure gold.\nTin.\n", "Iron. Zinc.\nPure gold.\nTin.\n"]
+    rows = [(k, f"{opening}\n{body}{closing}", "en", "s", 0) for k, body in enumerate(bodies)]
+    # inside one line, too
+    rows += [(k + 10, t.replace("\n", " "), "en", "s", 0) for k, t, *_ in rows[:2]]
+    got = {r["doc_id"]: r["text"] for r in repeats.remove_repeats(frame(spark, rows)).collect()}
+    assert got[0] == rows[0][1]
+    assert got[1] == bodies[1] and got[2] == ""
+    assert "Iron. Zinc. Pure gold. Tin." not in got[11] and "Red fox." not in got[10]
+    # short words alone do not make up a run
+    rows = [(1, "Uno dos tres. Si. No. Ya. Cuatro cinco seis.", "es", "s", 0),
+            (2, "Uno dos tres. " + "Oui. Non. " * 2 + "Bon. Mal. Ici. La. Un. Deux. Dix. Cent. Mer. Sel. Cuatro cinco seis.", "fr", "s", 0)]
+    got = {r["doc_id"]: r["text"] for r in repeats.remove_repeats(frame(spark, rows)).collect()}
+    assert got == {k: t for k, t, *_ in rows}
+
+
 def test_edge_rows(spark):
     docs = frame(spark, extra=True)
     got = repeats.remove_repeats(docs, removed="went_1", kept_spans="stayed_1")
