@@ -1,9 +1,10 @@
 """Removal of repeated passages by hashing units of text.
 
 Units are the lines of a document and the pieces inside them: sentences, and
-parts of sentences of more than ``LONG`` words, cut after words that a hash of
-the word itself picks, so that the same passage is cut alike in any prose.  A
-unit's digest (96 bits) is taken over its normalised form: lower case, white
+parts of sentences of ``WINDOW`` words and more, cut after the word with the
+smallest hash of every ``WINDOW`` words in a row (winnowing), so that the same
+passage is cut alike in any prose and no part is longer than that.  A unit's
+digest (96 bits) is taken over its normalised form: lower case, white
 space as single spaces.  Digests are grouped over the whole table; the
 occurrence that ranks first - smallest document key, then smallest text hash,
 then smallest offset - stays, all others count as repeated:
@@ -15,7 +16,10 @@ then smallest offset - stays, all others count as repeated:
   sentences and lines go only with words before them that repeat as well.
 
 Passages that were set into other prose therefore go as well, while a short
-sentence that two documents happen to share stays.  A line that goes always
+sentence that two documents happen to share stays.  Two equal passages with
+the same line breaks are cut alike from at most their ``WINDOW``-th word to at
+least their ``WINDOW``-th word from the end; with 51 words, 20 or more stand
+between, so something of every such repeat goes.  A line that goes always
 has an earlier twin that stays, so what ranks first is never lost.
 
 Results keep the original offsets (in code points) of what went and of what
@@ -43,11 +47,13 @@ from terrarium.llm.common import _arrow_schema, masked, slices, stored
 LINE_WORDS, PIECE_WORDS, RUN_WORDS = 8, 3, 20
 #: Words that the digest of a shorter piece is taken over.
 CONTEXT = 8
-#: Longer sentences are cut, after one word of ``EVERY`` on average.
-LONG, EVERY = 16, 8
-#: A sentence ends after . ! or ? (and other marks) before white space, and
-#: with its line.
-SENTENCE = re.compile(r"\S.*?(?:[.!?][^\w\s]*(?=\s)|\Z)")
+#: A run of words as long holds a cut.  Passages of 2 * WINDOW + RUN_WORDS - 1
+#: words are sure to be found.
+WINDOW = 16
+#: Marks at the end of a word.  A sentence ends with them if . ! or ? is one of
+#: them, and with its line; so a word alone tells whether it ends a sentence.
+MARKS = re.compile(r"(?<![^\w\s])[^\w\s]++(?!\S)")
+ENDS = frozenset(".!?")
 WORD = re.compile(r"\S+")
 LINE, PIECE = 0, 1
 UNITS = T.StructType([T.StructField(n, t) for n, t in (
@@ -56,19 +62,39 @@ SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()),
                                  T.StructField("stop", T.IntegerType())]))
 
 
+def winnowed(words: list[str]) -> Iterator[int]:
+    """Places of the words with the smallest hash of any ``WINDOW`` words in a
+    row, the last one on ties, in order."""
+    hashes = [zlib.crc32(word.encode()) for word in words]
+    least = -1
+    for last in range(WINDOW - 1, len(words)):
+        first = last - WINDOW + 1
+        if least < first:
+            window = hashes[first:last + 1]
+            least = last - window[::-1].index(min(window))
+        elif hashes[last] <= hashes[least]:
+            least = last
+        else:
+            continue
+        yield least
+
+
 def pieces(line: str) -> Iterator[tuple[int, int, list[str]]]:
     """(start, stop, lower-case words) of the pieces of a line, in order."""
-    for m in SENTENCE.finditer(line):
-        words = m.group().lower().split()
-        if len(words) <= LONG:
-            yield m.start(), m.end(), words
-            continue
-        spans = [w.span() for w in WORD.finditer(m.group())]
-        first = 0
-        for k, word in enumerate(words):
-            if k == len(words) - 1 or zlib.crc32(word.encode()) % EVERY == 0:
-                yield m.start() + spans[first][0], m.start() + spans[k][1], words[first:k + 1]
-                first = k + 1
+    begin = 0
+    for end in [*[m.end() for m in MARKS.finditer(line) if not ENDS.isdisjoint(m.group())], len(line)]:
+        sentence = line[begin:end]
+        words = sentence.lower().split()
+        if len(words) >= WINDOW:
+            spans = [w.span() for w in WORD.finditer(sentence)]
+            first = 0
+            for k in (*winnowed(words), len(words) - 1):
+                if k >= first:
+                    yield begin + spans[first][0], begin + spans[k][1], words[first:k + 1]
+                    first = k + 1
+        elif words:
+            yield end - len(sentence.lstrip()), begin + len(sentence.rstrip()), words
+        begin = end
 
 
 def hashed_units(text: str) -> Iterator[tuple[bytes, int, int]]:

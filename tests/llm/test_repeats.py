@@ -74,6 +74,27 @@ def test_passage_without_sentence_ends_inside_other_prose(spark):
         assert sum(w in set(left) for w in words) < 35 and len(left) >= 60
 
 
+def test_every_passage_of_51_words_is_found():
+    """Long sentences, with and without short ones among them, in other prose."""
+    rng = random.Random(5)
+
+    def some(n, ends):
+        return " ".join("".join(rng.choices("abcdefghijklmnop", k=7)) + ("." if rng.random() < ends else "")
+                        for _ in range(n))
+
+    for trial in range(400):
+        passage = some(51, (0, 0, 0.05, 0.5)[trial % 4])
+        texts = [f"{some(rng.randint(0, 40), 0)} {passage} {some(rng.randint(0, 40), 0)}".strip() for _ in range(2)]
+        got = brute(list(enumerate(texts)))
+        assert got[0, texts[0]] == (texts[0], [])
+        (a, b), = got[1, texts[1]][1]
+        at = texts[1].index(passage)
+        assert at <= a and b <= at + len(passage) and len(texts[1][a:b].split()) >= repeats.RUN_WORDS
+    runs = [" ".join(["so"] * n) for n in (60, 75, 90)] + [" ".join(["on and"] * n) for n in (40, 55)]
+    got = brute(list(enumerate(runs)))
+    assert all(len(got[k, t][0].split()) < 51 for k, t in enumerate(runs) if k not in (0, 3))
+
+
 def test_repeated_lines_and_short_units(spark):
     line = "One two three four five six seven eight nine."
     rows = [(1, f"{line}\nOwn words here.\n{line}", "en", "s", 0), (2, f"Other text. Own words here.\n{line.upper()}", "en", "s", 0),
