@@ -6,8 +6,9 @@ smallest hash of every ``WINDOW`` words in a row (winnowing), so that the same
 passage is cut alike in any prose and no part is longer than that.  A unit's
 digest (96 bits) is taken over its normalised form: lower case, white
 space as single spaces.  Digests are grouped over the whole table; the
-occurrence that ranks first - smallest document key, then smallest text hash,
-then smallest offset - stays, all others count as repeated:
+occurrence that ranks first - smallest document key, then smallest text hash
+(128 bits, which with the key identify a document), then smallest offset -
+stays, all others count as repeated:
 
 * a repeated line of at least ``LINE_WORDS`` words goes;
 * repeated pieces go where, next to each other, they hold at least
@@ -38,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,8 +57,10 @@ MARKS = re.compile(r"(?<![^\w\s])[^\w\s]++(?!\S)")
 ENDS = frozenset(".!?")
 WORD = re.compile(r"\S+")
 LINE, PIECE = 0, 1
+#: A digest of a document with all its places there.
 UNITS = T.StructType([T.StructField(n, t) for n, t in (
-    ("d1", T.LongType()), ("d2", T.IntegerType()), ("level", T.ByteType()), ("start", T.IntegerType()))])
+    ("d1", T.LongType()), ("d2", T.IntegerType()), ("level", T.ByteType()),
+    ("starts", T.ArrayType(T.IntegerType(), False)))])
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()),
                                  T.StructField("stop", T.IntegerType())]))
 
@@ -158,36 +161,50 @@ def kept(text: str, removed: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _units(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column = batch.column(2)
+        column = batch.column(3)
         for i, j in slices(column, 1 << 20):
-            digests, levels, starts, rows = [], [], [], []
+            digests, levels, places, ends, rows = [], [], [], [0], []
             for row, text in enumerate(column.slice(i, j - i).to_pylist(), i):
+                found: dict[bytes, tuple[int, list[int]]] = {}
                 for digest, level, start in hashed_units(text or ""):
+                    found.setdefault(digest, (level, []))[1].append(start)
+                for digest, (level, starts) in found.items():
                     digests.append(digest)
                     levels.append(level)
-                    starts.append(start)
+                    places += starts
+                    ends.append(len(places))
                     rows.append(row)
             joined = np.frombuffer(b"".join(digests), np.int32).reshape(-1, 4)
             first = np.ascontiguousarray(joined[:, :2]).view(np.int64)[:, 0]
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(first), pa.array(joined[:, 2]),
-                 pa.array(levels, pa.int8()), pa.array(starts, pa.int32())], schema=schema)
+                [*[batch.column(k).take(at) for k in range(3)], pa.array(first), pa.array(joined[:, 2]),
+                 pa.array(levels, pa.int8()), pa.ListArray.from_arrays(
+                     pa.array(ends, pa.int32()), pa.array(places, pa.int32()), type=schema.field("starts").type)],
+                schema=schema)
+
+
+def _marks(text: str) -> list[Column]:
+    """128 bits that tell texts apart."""
+    return [F.xxhash64(F.lit(k), F.col(text)) for k in (1, 2)]
 
 
 def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, hash, units) of every document with a repeated unit; units is an
-    array of (level, start) of those that rank behind their first occurrence."""
-    source = docs.select(F.col(key).alias("key"), F.hash(text).alias("hash"), F.col(text).alias("text"))
-    schema = T.StructType([source.schema["key"], T.StructField("hash", T.IntegerType()), *UNITS.fields])
+    """(key, mark_1, mark_2, units) of every document with a repeated unit;
+    units is an array of (level, starts) of those that rank behind their first
+    occurrence."""
+    marks = [m.alias(f"mark_{k}") for k, m in enumerate(_marks(text), 1)]
+    source = docs.select(F.col(key).alias("key"), *marks, F.col(text).alias("text"))
+    schema = T.StructType([*source.drop("text").schema.fields, *UNITS.fields])
     arrow = _arrow_schema(schema)
     units = source.mapInArrow(lambda batches: _units(batches, arrow), schema)
-    rank = F.struct("key", "hash", "start")
-    first = stored(units.groupBy("d1", "d2").agg(F.min(rank).alias("first"), F.count("*").alias("n"))
-                   .filter(F.col("n") > 1).drop("n"))
-    return (units.join(first, ["d1", "d2"])
-            .filter(~rank.eqNullSafe(F.col("first")))
-            .groupBy("key", "hash").agg(F.collect_list(F.struct("level", "start")).alias("units")))
+    rank = F.struct("key", "mark_1", "mark_2")
+    first = stored(units.groupBy("d1", "d2").agg(F.min(rank).alias("first"), F.count("*").alias("n"),
+                                                 F.max(F.size("starts")).alias("most"))
+                   .filter((F.col("n") > 1) | (F.col("most") > 1)).select("d1", "d2", "first"))
+    behind = F.when(rank.eqNullSafe(F.col("first")), F.slice("starts", 2, F.size("starts"))).otherwise(F.col("starts"))
+    return (units.join(first, ["d1", "d2"]).withColumn("starts", behind).filter(F.size("starts") > 0)
+            .groupBy("key", "mark_1", "mark_2").agg(F.collect_list(F.struct("level", "starts")).alias("units")))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -197,8 +214,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     (``kept_spans``)."""
     plain, names = masked(docs)
     found = repeated_units(docs, key, text)
-    joined = plain.withColumn("own", F.hash(names[text])).join(
-        found, F.col(names[key]).eqNullSafe(F.col("key")) & (F.col("own") == F.col("hash")), "left")
+    own = dict(zip(("own_1", "own_2"), _marks(names[text])))
+    joined = plain.withColumns(own).join(
+        found, F.col(names[key]).eqNullSafe(F.col("key")) & (F.col("own_1") == F.col("mark_1"))
+        & (F.col("own_2") == F.col("mark_2")), "left")
     columns = list(names.values())
     at, n = columns.index(names[text]), len(columns)
     source = joined.select(*columns, "units")
@@ -212,7 +231,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 left, went, stayed = [], [], []
                 for value, units in zip(batch.column(at).slice(i, j - i).to_pylist(),
                                         batch.column(n).slice(i, j - i).to_pylist()):
-                    spans = cuts(value, [(u["level"], u["start"]) for u in units]) if value and units else []
+                    spans = (cuts(value, [(u["level"], s) for u in units for s in u["starts"]])
+                             if value and units else [])
                     rest = kept(value or "", spans)
                     left.append("".join(value[a:b] for a, b in rest) if spans else value)
                     went.append([{"start": a, "stop": b} for a, b in spans])

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from terrarium.llm import queries, repeats
 
@@ -121,6 +122,16 @@ def test_short_units_between_repeated_pieces_stay_unless_they_repeat(spark):
     assert got == {k: t for k, t, *_ in rows}
 
 
+def test_texts_of_one_key_with_the_same_32_bit_hash_are_two_documents(spark):
+    line = "One two three four five six seven eight nine."
+    a = spark.range(150_000).select(F.concat(F.lit(line + "\n"), "id").alias("a"))
+    b = spark.range(150_000).select(F.concat(F.lit("This line stands in no other document but number "), "id").alias("b"))
+    pair = a.join(b, F.hash("a") == F.hash("b")).first()
+    rows = [(1, line, "en", "s", 0), (5, pair["a"], "en", "s", 0), (5, pair["b"], "en", "s", 0)]
+    got = [r["text"] for r in repeats.remove_repeats(frame(spark, rows)).collect()]
+    assert sorted(got) == sorted([line, pair["a"].split("\n")[1], pair["b"]])
+
+
 def test_edge_rows(spark):
     docs = frame(spark, extra=True)
     got = repeats.remove_repeats(docs, removed="went_1", kept_spans="stayed_1")
