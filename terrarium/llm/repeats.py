@@ -192,7 +192,7 @@ def _marks(text: str) -> list[Column]:
 def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, mark_1, mark_2, units) of every document with a repeated unit;
     units is an array of (level, starts) of those that rank behind their first
-    occurrence."""
+    occurrence: a set, so repeated rows do not lengthen it."""
     marks = [m.alias(f"mark_{k}") for k, m in enumerate(_marks(text), 1)]
     source = docs.select(F.col(key).alias("key"), *marks, F.col(text).alias("text"))
     schema = T.StructType([*source.drop("text").schema.fields, *UNITS.fields])
@@ -204,7 +204,7 @@ def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                    .filter((F.col("n") > 1) | (F.col("most") > 1)).select("d1", "d2", "first"))
     behind = F.when(rank.eqNullSafe(F.col("first")), F.slice("starts", 2, F.size("starts"))).otherwise(F.col("starts"))
     return (units.join(first, ["d1", "d2"]).withColumn("starts", behind).filter(F.size("starts") > 0)
-            .groupBy("key", "mark_1", "mark_2").agg(F.collect_list(F.struct("level", "starts")).alias("units")))
+            .groupBy("key", "mark_1", "mark_2").agg(F.collect_set(F.struct("level", "starts")).alias("units")))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",

@@ -132,6 +132,17 @@ def test_texts_of_one_key_with_the_same_32_bit_hash_are_two_documents(spark):
     assert sorted(got) == sorted([line, pair["a"].split("\n")[1], pair["b"]])
 
 
+def test_units_of_repeated_rows_are_listed_once(spark):
+    rng = random.Random(3)
+    text = prose(rng, 30)
+    rows = [(1, text, "en", "s", 0)] + [(2, text, "en", "s", 0)] * 50
+    (found,) = repeats.repeated_units(frame(spark, rows).repartition(5)).collect()
+    starts = [(u["level"], s) for u in found["units"] for s in u["starts"]]
+    assert sorted(starts) == sorted((level, s) for _, level, s in repeats.hashed_units(text))
+    got = repeats.remove_repeats(frame(spark, rows)).collect()
+    assert sorted(r["text"] for r in got) == [""] * 50 + [text]
+
+
 def test_edge_rows(spark):
     docs = frame(spark, extra=True)
     got = repeats.remove_repeats(docs, removed="went_1", kept_spans="stayed_1")
