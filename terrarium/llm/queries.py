@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrarium.llm import (
-    bpe, decontam, hnsw, html_text, langid, licenses, quality, repeats, simhash, toxicity)
+    bpe, decontam, embed_dedup, hnsw, html_text, langid, licenses, quality, repeats, simhash, toxicity, vector_codes)
 from terrarium.llm.common import crc_mod, table
 
 
@@ -99,6 +99,16 @@ def op10_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "text", "removed", "kept", gone.alias("chars_removed")))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, code, error, label_error, codebooks_sha256 of every kept vector."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
@@ -110,6 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_license_scan": op9_license_scan,
     "op10_repeated_units": op10_repeated_units,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,0 +1,110 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from terrarium.llm import embed_dedup, queries
+
+SF = "/root/testdata/sf0.1"
+
+
+def brute(rows, cosine=0.93):
+    """{row place: (n_links, component)} by all pairs."""
+    able = [k for k, (i, v, label) in enumerate(rows) if label is not None and v
+            and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    links = [0] * len(rows)
+    for label, dim in {(rows[k][2], len(rows[k][1])) for k in able}:
+        own = [k for k in able if rows[k][2] == label and len(rows[k][1]) == dim]
+        x = np.array([rows[k][1] for k in own], float)
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        for a, b in zip(*np.nonzero(np.triu(x @ x.T >= cosine, 1))):
+            links[own[a]] += 1
+            links[own[b]] += 1
+            root[find(own[a])] = find(own[b])
+    least = {}
+    for k, (i, _, _) in enumerate(rows):
+        if i is not None:
+            least[find(k)] = min(i, least.get(find(k), i))
+    return sorted(((i is None, i or 0), links[k], least.get(find(k))) for k, (i, _, _) in enumerate(rows))
+
+
+def of(df):
+    return sorted(((r["vec_id"] is None, r["vec_id"] or 0), r["n_links"], r["component_id"]) for r in df.collect())
+
+
+def clustered(n, dim, spread, seed):
+    """Vectors around few centres, with links, chains of links and loners."""
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(max(4, n // 12), dim))[rng.integers(0, max(4, n // 12), n)]
+    return v + spread * rng.normal(size=(n, dim))
+
+
+def test_count_is_calibrated():
+    p = math.erf(embed_dedup.HALF_WINDOW / math.sqrt(2))
+    rng = np.random.default_rng(0)
+    counts = rng.binomial(embed_dedup.PROJECTIONS, p, 200_000)
+    assert (counts < embed_dedup.needed()).mean() <= 5 * embed_dedup.MISS
+    assert (counts < embed_dedup.needed() + 1).mean() > embed_dedup.MISS
+
+
+def test_windows_are_exact():
+    line = np.random.default_rng(1).normal(size=(130, 3))
+    for k, words in enumerate(embed_dedup.missed(line, 0.4)):
+        got = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")[:, :130]
+        assert (got == (np.abs(line[:, None, k] - line[None, :, k]) > 0.4)).all()
+
+
+def test_query_against_all_pairs(spark):
+    rows = [(r["vec_id"], list(r["embedding"]), r["label"])
+            for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    assert of(queries.op11_embedding_dedup(spark, SF)) == brute(rows)
+
+
+def test_splits_lose_no_pair_and_count_none_twice(spark):
+    rows = [(k, v.tolist(), k % 2) for k, v in enumerate(clustered(1500, 24, 0.14, 2))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = brute(rows)
+    assert sum(n > 0 for _, n, _ in want) > 500
+    assert of(embed_dedup.near_duplicates(df, cell=100)) == want
+
+
+def test_recall_of_pairs_at_the_smallest_cosine(spark):
+    """Most pairs lie around the bound here, and groups are split six times."""
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(clustered(3000, 24, 0.28, 5))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got, want = of(embed_dedup.near_duplicates(df, cell=100)), brute(rows)
+    assert all(a[0] == b[0] and a[1] <= b[1] for a, b in zip(got, want))
+    assert sum(n for _, n, _ in got) >= 0.998 * sum(n for _, n, _ in want)
+
+
+def test_group_that_cannot_be_split(spark):
+    rng = np.random.default_rng(3)
+    near = rng.normal(size=16) + 0.01 * rng.normal(size=(300, 16))
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(np.concatenate([near, rng.normal(size=(40, 16))]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert of(embed_dedup.near_duplicates(df, cell=64)) == brute(rows)
+
+
+def test_edges(spark):
+    base = clustered(60, 8, 0.2, 4).tolist()
+    rows = [(k, v, "ab"[k % 2]) for k, v in enumerate(base)]
+    rows += [(100 + k, base[0], "a") for k in range(30)] + [(7, base[7], "b"), (None, base[0], "a"), (None, base[9], "b")]
+    rows += [(200, None, "a"), (201, [], "a"), (202, [0.0] * 8, "a"), (203, [None] + [1.0] * 7, "a"),
+             (204, [float("nan")] * 8, "a"), (205, [float("inf")] * 8, "a"), (206, base[0], None),
+             (207, [1e200] * 8, "a"), (208, [3e-200] * 8, "a"), (209, [1.0] * 5, "a"), (210, [2.0] * 5, "a")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").withColumns(
+        {c: F.lit("x") for c in ("id", "h1", "v", "path", "also", "node", "root", "copies", "n_links", "kept")})
+    want = brute([(i, [x * 1e-200 if x else x for x in v] if i in (207,) else v, label) for i, v, label in
+                  [(i, [x * 1e200 for x in v] if i == 208 else v, label) for i, v, label in rows]])
+    got = embed_dedup.near_duplicates(df)
+    assert of(got) == want
+    assert got.filter("kept != (vec_id <=> component_id)").count() == 0
+    empty = df.filter("false")
+    assert embed_dedup.near_duplicates(empty).count() == 0
