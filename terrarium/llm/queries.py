@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrarium.llm import (
-    bpe, decontam, embed_dedup, hnsw, html_text, langid, licenses, quality, repeats, simhash, toxicity, vector_codes)
+    bpe, decontam, embed_dedup, hnsw, html_text, langid, licenses, prefix_trie, quality, repeats, simhash, toxicity,
+    vector_codes)
 from terrarium.llm.common import crc_mod, table
 
 
@@ -109,6 +110,12 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves,
+    saved_tokens, ends_sha256 of every node."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
@@ -122,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repeated_units": op10_repeated_units,
     "op11_embedding_dedup": op11_embedding_dedup,
     "op12_vector_codes": op12_vector_codes,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {}
