@@ -128,7 +128,7 @@ def turns(conversations: DataFrame) -> DataFrame:
         *[F.xxhash64(F.lit(k), "role", "text").alias(f"m{k}") for k in (1, 2)],
         F.regexp_count("text", F.lit(WORDS)).cast("long").alias("words"), F.rand(7).alias("salt"))
     # equal rows are told apart by the salt alone, so that many of them are spread
-    narrow = marked.select("conv", "turn", "tie", "salt", "m1", "m2", "words")
+    narrow = stored(marked.select("conv", "turn", "tie", "salt", "m1", "m2", "words"))
     return running(narrow, "conv", ["turn", "tie", "salt"], []).select("conv", "nth", "m1", "m2", "words")
 
 

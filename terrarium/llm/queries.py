@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrarium.llm import (
-    bpe, decontam, embed_dedup, hnsw, html_text, langid, licenses, prefix_trie, quality, repeats, simhash, toxicity,
-    vector_codes)
+    bpe, decontam, embed_dedup, hnsw, html_text, langid, licenses, oracle, prefix_trie, quality, repeats, simhash,
+    toxicity, vector_codes)
 from terrarium.llm.common import crc_mod, table
 
 
@@ -132,4 +132,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_conversation_trie": op13_conversation_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The others have trained models, merges, automata or hashes that SQL lacks.
+ORACLE_SQL: dict[str, str] = oracle.SQL
