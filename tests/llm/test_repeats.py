@@ -137,7 +137,7 @@ def test_units_of_repeated_rows_are_listed_once(spark):
     text = prose(rng, 30)
     rows = [(1, text, "en", "s", 0)] + [(2, text, "en", "s", 0)] * 50
     (found,) = repeats.repeated_units(frame(spark, rows).repartition(5)).collect()
-    starts = [(u["level"], s) for u in found["units"] for s in u["starts"]]
+    starts = [(u["level"], u["start"]) for u in found["units"]]
     assert sorted(starts) == sorted((level, s) for _, level, s in repeats.hashed_units(text))
     got = repeats.remove_repeats(frame(spark, rows)).collect()
     assert sorted(r["text"] for r in got) == [""] * 50 + [text]
@@ -166,3 +166,71 @@ def test_query_against_brute_force(spark, sf):
     for r in got:
         assert (r["text"], [tuple(s) for s in r["removed"]]) == want[r["doc_id"], texts[r["doc_id"]]]
         assert r["chars_removed"] == len(texts[r["doc_id"]]) - len(r["text"])
+
+
+def plain_words(text):
+    """(start, stop, lower-case word) by the rule, a character at a time."""
+    out, at = [], None
+
+    def alone(c):
+        return ord(c) >= repeats.WIDE or any(a <= ord(c) <= b for a, b in repeats.UNSPACED)
+
+    for i, c in enumerate(text + " "):
+        if at is not None and (c.isspace() or alone(c) or alone(text[at])):
+            out.append((at, i, "".join(x.lower() if len(x.lower()) == 1 else x for x in text[at:i])))
+            at = None
+        if at is None and not c.isspace():
+            at = i
+    return out
+
+
+SAMPLES = ["", " ", "one", "One two.\nThree \u00a0four\u3000five!", "\u4eca\u65e5\u306f abc\u3002x\ny", "\u0130stanbul \u00c9T\u00c9 a\U00020001b",
+           "He said \"no.\" Then (why?) ...", "x" * 900 + " y", "\r\n\t a"]
+
+
+@pytest.mark.parametrize("block", [1 << 18, 7])
+def test_words_by_the_rule(monkeypatch, block):
+    monkeypatch.setattr(repeats, "BLOCK", block)
+    rng = random.Random(1)
+    texts = SAMPLES + ["".join(rng.choices("ab. \n\u4eca\u0e01\U0002f800Z", k=200)) for _ in range(20)]
+    hashes = {}
+    for text in texts:
+        w, _ = repeats.words_of(text)
+        want = plain_words(text)
+        assert list(zip(w.start.tolist(), w.stop.tolist())) == [x[:2] for x in want]
+        for h, (_, _, word) in zip(w.hash.tolist(), want):
+            assert hashes.setdefault(word, h) == h
+    assert len(set(hashes.values())) == len(hashes)
+
+
+def test_units_do_not_depend_on_their_neighbours():
+    rng = random.Random(2)
+    texts = SAMPLES + [prose(rng, 12).replace(". ", rng.choice([". ", ".\n"])) for _ in range(30)]
+    u = repeats.units_of(texts)
+    for k, text in enumerate(texts):
+        own = repeats.units_of([text])
+        at = u.text == k
+        for name in ("level", "start", "stop", "words", "d1", "d2", "hashed"):
+            assert (getattr(u, name)[at] == getattr(own, name)).all()
+        pieces = [(a, b) for a, b, lv in zip(own.start, own.stop, own.level) if lv == repeats.PIECE]
+        # the pieces hold all words, in order
+        assert [x for a, b in pieces for x in plain_words(text[a:b])] == [
+            (s - a, e - a, x) for a, b in pieces for s, e, x in plain_words(text) if a <= s < b]
+        assert sum(own.words[own.level == repeats.PIECE]) == len(plain_words(text))
+        assert all(len(plain_words(text[a:b])) <= repeats.WINDOW for a, b in pieces)
+
+
+def test_wrapped_lines_and_scripts_without_spaces(spark):
+    """The same passage in lines of another width, and in Chinese prose."""
+    rng = random.Random(8)
+    passage = prose(rng, 6, (10, 10)).split()
+    wrapped = "\n".join(" ".join(passage[i:i + 7]) for i in range(0, len(passage), 7))
+    han = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(120))
+    others = ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(40)) for _ in range(2)]
+    rows = [(1, prose(rng, 2) + " " + " ".join(passage), "en", "s", 0), (2, wrapped + "\n" + prose(rng, 2), "en", "s", 0),
+            (3, others[0] + han, "zh", "s", 0), (4, han + others[1], "zh", "s", 0)]
+    got = {r["doc_id"]: r for r in repeats.remove_repeats(frame(spark, rows)).collect()}
+    assert got[1]["removed"] == [] and got[3]["removed"] == []
+    for k, n in ((2, 60), (4, 120)):
+        gone = sum(len(plain_words(rows[k - 1][1][s["start"]:s["stop"]])) for s in got[k]["removed"])
+        assert n - 2 * repeats.WINDOW <= gone <= n
