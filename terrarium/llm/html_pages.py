@@ -143,9 +143,11 @@ class Page:
     def article(self) -> str:
         r = self.rng
         parts = []
+        holder = r.random()
         if r.random() < 0.8:
-            title = self.block(r.choice(["h1", "h1", "h2"]), 2, 12, 1)
-            parts.append(f"<header>{title}</header>" if r.random() < 0.15 else title)
+            title = self.block(r.choice(["h1", "h1", "h2"]), 1 if r.random() < 0.2 else 2, 12, 1)
+            # a header element is the article's own only inside an article or main element
+            parts.append(f"<header>{title}</header>" if holder < 0.58 and r.random() < 0.25 else title)
         for _ in range(r.randint(1, 9)):
             kind = r.random()
             if kind < 0.58:
@@ -166,14 +168,13 @@ class Page:
             else:
                 parts.append(r.choice([self.advert, self.share, self.side, self.notice, self.form])())
         inner = "".join(parts)
-        kind = r.random()
-        if kind < 0.38:
+        if holder < 0.38:
             return f"<article>{inner}</article>"
-        if kind < 0.58:
+        if holder < 0.58:
             return f"<main>{inner}</main>" if r.random() < 0.6 else f"<main><article>{inner}</article></main>"
-        if kind < 0.86:
+        if holder < 0.86:
             return self.holder(["div", "section"], MAIN, inner, named=1.0)
-        return f"<div>{inner}</div>" if kind < 0.92 else inner
+        return f"<div>{inner}</div>" if holder < 0.92 else inner
 
     def compose(self) -> str:
         r = self.rng

@@ -7,7 +7,9 @@ class, id and role) and of the text (length, links, punctuation), and
 is decoded by Viterbi.  It is trained on labelled pages (``html_pages``) by
 gradient steps on the exact conditional likelihood (forward-backward).
 
-Scripts, styles, templates, comments and the head never give text; character
+Scripts, styles, templates, comments and the head never give text; the head
+ends with its end tag or where something begins that it cannot hold.  Embedded
+formulas, drawings and objects give their text like any other.  Character
 references are decoded; white space inside a block becomes one space; a line
 break element is white space.  Unclosed comments and raw elements reach to the
 end of the page, as in browsers; unclosed paragraphs, list items, cells and
@@ -15,7 +17,9 @@ the like end where the next one starts.
 
 Rows: null, empty and markup-free empty pages give an empty text; text outside
 any element is a block; repeated rows get equal texts; an empty table gives an
-empty result.  Ties in decoding count as article.
+empty result.  Pages of any length are read in one pass.  Ties in decoding
+count as article.  Columns that are not asked for are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -34,12 +38,17 @@ from terrarium.llm.html_pages import labelled_pages
 
 TRAIN_PAGES, EPOCHS, RATE = 1000, 16, 0.4
 #: Elements of HTML by the way they are read.
-RAW = {"script", "style", "template", "noscript", "iframe", "object", "svg", "math", "canvas", "head", "title",
-       "textarea", "select", "noframes", "noembed", "xmp", "audio", "video"}
+RAW = {"script", "style", "template", "iframe", "head", "title", "textarea", "select", "noframes", "noembed", "xmp"}
+#: Elements that a head holds; any other ends it, and so does text.
+HEAD = {"base", "basefont", "bgsound", "head", "link", "meta", "noscript", "script", "style", "template", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
-          "tt", "u", "var", "wbr", "ruby", "rt", "rp", "nobr", "br", "link", "meta"}
+          "tt", "u", "var", "wbr", "ruby", "rt", "rp", "nobr", "br", "link", "meta",
+          # embedded content, whose text is part of the block around it
+          "noscript", "object", "canvas", "audio", "video", "svg", "g", "text", "tspan", "path", "defs", "use", "desc",
+          "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot",
+          "mover", "munder", "munderover", "mfenced", "mspace", "mstyle", "semantics", "annotation"}
 #: An element of the key ends open ones of the values, up to a boundary.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
@@ -115,8 +124,15 @@ def blocks(page: str | None) -> list[Block]:
             skipped -= t in RAW
         del stack[to:]
 
+    def leave_head() -> None:
+        place = next((k for k, (t, _) in enumerate(stack) if t == "head"), -1)
+        if place >= 0:
+            close(place)
+
     at, page = 0, page or ""
     for m in TOKEN.finditer(page):
+        if stack and stack[-1][0] == "head" and page[at:m.start()].strip():
+            leave_head()
         add(page[at:m.start()])
         at = m.end()
         tag = m["tag"]
@@ -130,6 +146,8 @@ def blocks(page: str | None) -> list[Block]:
             elif tag == "p":
                 flush()
             continue
+        if tag not in HEAD:
+            leave_head()
         if tag == "br":
             add(" ")
             continue
@@ -143,16 +161,14 @@ def blocks(page: str | None) -> list[Block]:
                         break
                 elif stack[k][0] in BOUNDARY or (stack[k][0] not in INLINE and tag not in ENDS):
                     break
-            if tag == "body":
-                k = next((k for k, (t, _) in enumerate(stack) if t == "head"), -1)
-                if k >= 0:
-                    close(k)
             flush()
         if tag in VOID or m["attrs"].endswith("/") and tag in RAW:
             continue
         stack.append((tag, _element(tag, m["attrs"])))
         links += tag == "a"
         skipped += tag in RAW
+    if stack and stack[-1][0] == "head":
+        leave_head()
     add(page[at:])
     flush()
     return out
@@ -161,6 +177,7 @@ def blocks(page: str | None) -> list[Block]:
 def block_features(found: list[Block]) -> list[list[str]]:
     """Features of every block of a page."""
     out = []
+    has_body = any(f in MAIN for b in found for f in b.inside)
     for b in found:
         words = b.text.count(" ") + 1
         size = min(6, int(math.log2(words)))
@@ -170,6 +187,8 @@ def block_features(found: list[Block]) -> list[list[str]]:
         feats.append(f"size={size} links={share}")
         if "©" in b.text:
             feats.append("copyright")
+        if has_body and not any(f in MAIN for f in b.inside):
+            feats.append("outside")          # of the element that holds the article
         # the nearest element that says what this part of the page is
         near = [f for f in b.inside if f in SECTIONS]
         inner = near[-1] if near else "none"
@@ -180,6 +199,8 @@ def block_features(found: list[Block]) -> list[list[str]]:
 
 #: Elements that name a part of a page.
 SECTIONS = {"e=article", "e=main", "e=nav", "e=header", "e=footer", "e=aside", "e=form", "e=button"}
+#: Elements that hold an article.
+MAIN = {"e=article", "e=main"}
 
 
 @dataclass

@@ -260,29 +260,52 @@ def hashed_units(text: str) -> Iterator[tuple[tuple[int, int], int, int]]:
         yield (int(u.d1[k]), int(u.d2[k])), int(u.level[k]), int(u.start[k])
 
 
+def cut_spans(u: Units, gone: np.ndarray, texts: int) -> list[list[tuple[int, int]]]:
+    """For each of ``texts`` texts the spans to remove, given which units are
+    repeated."""
+    line = np.flatnonzero(gone & (u.level == LINE))
+    piece = np.flatnonzero(u.level == PIECE)
+    text, run = u.text[piece], gone[piece]
+    edge = np.ones(len(piece) + 1, bool)
+    edge[1:-1] = (run[1:] != run[:-1]) | (text[1:] != text[:-1])
+    at = np.flatnonzero(edge)
+    first, last = at[:-1], at[1:]                     # pieces next to each other, all repeated or none
+    total = np.concatenate([[0], np.cumsum(u.words[piece])])
+    if len(piece):
+        fits = run[first] & (total[last] - total[first] >= RUN_WORDS)
+        first, last = piece[first[fits]], piece[last[fits] - 1]
+    else:
+        first = last = piece
+    own = np.concatenate([u.text[line], u.text[first]])
+    start, stop = np.concatenate([u.start[line], u.start[first]]), np.concatenate([u.stop[line], u.stop[last]])
+    order = np.lexsort((stop, start, own))
+    out: list[list[tuple[int, int]]] = [[] for _ in range(texts)]
+    for k, a, b in zip(own[order].tolist(), start[order].tolist(), stop[order].tolist()):
+        if out[k] and a <= out[k][-1][1]:
+            out[k][-1] = (out[k][-1][0], max(b, out[k][-1][1]))
+        else:
+            out[k].append((a, b))
+    return out
+
+
+def cuts_of(texts: list[str], repeated: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+    """For each text the spans to remove, given the (level, start) of its
+    repeated units."""
+    u = units_of(texts)
+
+    def places(text: np.ndarray, level: np.ndarray, start: np.ndarray) -> np.ndarray:
+        return ((text << 1) + level << 32) + start
+
+    sizes = [len(r) for r in repeated]
+    flat = np.array([x for r in repeated for x in r], np.int64).reshape(-1, 2)
+    gone = np.isin(places(u.text, u.level, u.start),
+                   places(np.repeat(np.arange(len(texts)), sizes), flat[:, 0], flat[:, 1]))
+    return cut_spans(u, gone, len(texts))
+
+
 def cuts(text: str, repeated: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Spans to remove, given the (level, start) of the repeated units."""
-    u = units_of([text])
-    spans: list[tuple[int, int]] = []
-    for level in (LINE, PIECE):
-        starts = np.array([s for lv, s in repeated if lv == level], np.int64)
-        own = np.flatnonzero(u.level == level)
-        gone = np.isin(u.start[own], starts)
-        if level == LINE:
-            spans += zip(u.start[own[gone]].tolist(), u.stop[own[gone]].tolist())
-            continue
-        edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-        total = np.concatenate([[0], np.cumsum(u.words[own])])
-        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):     # repeated pieces a .. b - 1 in a row
-            if total[b] - total[a] >= RUN_WORDS:
-                spans.append((int(u.start[own[a]]), int(u.stop[own[b - 1]])))
-    merged: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-        else:
-            merged.append((a, b))
-    return merged
+    return cuts_of([text], [repeated])[0]
 
 
 def kept(text: str, removed: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -346,12 +369,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in slices(batch.column(at)):
+            for i, j in slices(batch.column(at), 1 << 20):
                 left, went, stayed = [], [], []
-                for value, units in zip(batch.column(at).slice(i, j - i).to_pylist(),
-                                        batch.column(n).slice(i, j - i).to_pylist()):
-                    spans = (cuts(value, [(u["level"], u["start"]) for u in units])
-                             if value and units else [])
+                values, units = (batch.column(k).slice(i, j - i).to_pylist() for k in (at, n))
+                held = [k for k, (value, own) in enumerate(zip(values, units)) if value and own]
+                found = dict(zip(held, cuts_of([values[k] for k in held],
+                                               [[(u["level"], u["start"]) for u in units[k]] for k in held])))
+                for k, value in enumerate(values):
+                    spans = found.get(k, [])
                     rest = kept(value or "", spans)
                     left.append("".join(value[a:b] for a, b in rest) if spans else value)
                     went.append([{"start": a, "stop": b} for a, b in spans])

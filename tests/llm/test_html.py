@@ -58,6 +58,22 @@ def test_blocks():
     assert texts("&lt;p&gt; 5 < 6 and <") == ["<p> 5 < 6 and <"]
 
 
+def test_open_heads_and_embedded_content(model):
+    def texts(page):
+        return [b.text for b in html_text.blocks(page)]
+
+    assert texts("<html><head><title>x</title><p>a b<p>c") == ["a b", "c"]
+    assert texts("<head><meta charset=u><style>p{}</style>free <b>text</b><p>x") == ["free text", "x"]
+    assert texts("<head><title>x</title><noscript><link></noscript></head><p>y") == ["y"]
+    assert texts("<head><title>only</title>") == [] and texts("<head>bare text") == ["bare text"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == ["so x=2 holds"]
+    assert texts("<p>a <svg><text>label</text></svg> b <object>other</object> c") == ["a label b other c"]
+    assert texts("<p>a</p><noscript><p>shown without scripts</p></noscript>") == ["a", "shown without scripts"]
+    body = "<article><h1>Title</h1><p>A first paragraph with <math><mn>3</mn></math> words.</p></article>"
+    for head in ("<html><head><title>x</title>", "<html><title>x</title>", "<html><head><meta charset=utf-8>"):
+        assert html_text.main_text(model, head + body) == "Title\n\nA first paragraph with 3 words."
+
+
 def test_main_text_of_a_page_with_all_parts(model):
     page = """<html><head><title>t</title></head><body><div class="cookie-notice"><p>We use cookies for all of it.</p></div>
     <header><h1>The Site</h1></header><nav><ul><li><a href="/">Home</a><li><a href="/x">News</a></ul></nav>
