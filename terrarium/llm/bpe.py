@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from terrarium.llm.common import map_texts
 
 DEFAULT_FILE = "byte_bpe_50k.json"
-REMEMBER = 400_000
+#: Of them, those that do not follow a space.
+REMEMBER, UNSPACED = 800_000, 100_000
 #: The byte-level pattern; white space is Unicode's White_Space.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 EDGE = regex.compile("^[" + SPACE + "]|[" + SPACE + r"]\Z")
@@ -75,7 +76,10 @@ class Tokenizer:
         self.prefix_space = bool(pre.get("add_prefix_space"))
         self.first = [vocab[c] for c in alphabet]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        #: a pair's key is one number: the left id times this, plus the right id
+        self.base = max(vocab.values()) + 1
+        self.parts = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
+        self.ranks = {left * self.base + right: rank for rank, (left, right, _) in enumerate(self.parts)}
         self.strings = [b""] * (max([*vocab.values(), *(t["id"] for t in spec.get("added_tokens", []))]) + 1)
         for token, i in vocab.items():
             self.strings[i] = bytes(to_byte[c] for c in token)
@@ -93,17 +97,19 @@ class Tokenizer:
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word."""
-        merges = self.merges
+        ranks, parts, base = self.ranks.get, self.parts, self.base
         ids = [self.first[b] for b in word]
         end = len(ids)
         if end < 2:
             return ids
-        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
-        queue = [(*found, i, left, right) for i, (left, right) in enumerate(zip(ids, ids[1:]))
-                 if (found := merges.get((left, right)))]
+        after, before = [*range(1, end + 1)], [*range(-1, end - 1)]
+        # an entry is one number: the rank times the word's length, plus the place of the left symbol
+        queue = [rank * end + i for i, left in enumerate(ids[:-1])
+                 if (rank := ranks(left * base + ids[i + 1])) is not None]
         heapify(queue)
         while queue:
-            _, new, i, left, right = heappop(queue)
+            rank, i = divmod(heappop(queue), end)
+            left, right, new = parts[rank]
             j = after[i]
             if ids[i] != left or j == end or ids[j] != right:
                 continue                                    # stale
@@ -111,18 +117,18 @@ class Tokenizer:
             k = after[i] = after[j]
             if k < end:
                 before[k] = i
-                if found := merges.get((new, ids[k])):
-                    heappush(queue, (*found, i, new, ids[k]))
+                if (rank := ranks(new * base + ids[k])) is not None:
+                    heappush(queue, rank * end + i)
             h = before[i]
-            if h >= 0 and (found := merges.get((ids[h], new))):
-                heappush(queue, (*found, h, ids[h], new))
+            if h >= 0 and (rank := ranks(ids[h] * base + new)) is not None:
+                heappush(queue, rank * end + h)
         return [x for x in ids if x >= 0]
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        for memory in (self.words, self.spaced):
-            if len(memory) > REMEMBER:
+        for memory, most in ((self.words, UNSPACED), (self.spaced, REMEMBER - UNSPACED)):
+            if len(memory) > most:
                 memory.clear()
         ids: list[int] = []
         at = 0
@@ -139,7 +145,10 @@ class Tokenizer:
         the space."""
         if not piece or EDGE.search(piece):
             return None
-        return tuple(i for word in PATTERN.findall(" " + piece) for i in self.words[word])
+        first, *rest = PATTERN.findall(" " + piece)
+        # a word with marks behind it shares the memory of the word alone
+        ids = self.spaced[first[1:]] if rest and first != " " else self.merge(first.encode("utf-8"))
+        return (*ids, *(i for word in rest for i in self.words[word]))
 
     def _encode_plain(self, text: str, ids: list[int]) -> None:
         if not text:

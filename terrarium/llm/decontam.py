@@ -18,8 +18,10 @@ The index is built on the driver from at most ``SHARD_BYTES`` of item text;
 larger benchmarks are split into shards by a hash, each searched by all
 documents with the statistics of its own shard.
 
-Words are runs of ASCII letters and digits and of any other characters beyond
-ASCII, case-folded.  Rows: null or empty documents and items match nothing;
+Words are runs of letters and digits, with their accents and vowel signs,
+case-folded; a character of a script that is written without spaces is a word
+by itself.  An item of any length is one query window: pieces grow with the
+longest item.  Rows: null or empty documents and items match nothing;
 repeated items are all reported, repeated documents each on its own row; an
 empty table on either side gives an empty result; extra columns are ignored.
 """
@@ -36,6 +38,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,18 +57,28 @@ SHARD_BYTES = 4 << 20
 MIN_PIECE = 32
 #: Words of a sequence in the question and in the answer.
 QUESTION_GRAM, ANSWER_GRAM = 5, 3
-WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-#: Every other byte separates words.
+#: Scripts that are written without spaces, whose characters are
+#: words by themselves.
+ALONE = (r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3021-\u30ff\u31f0-\u31ff\u3400-\u4dbf"
+         r"\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff")
+#: Beyond ASCII, marks and white space separate words; accents and vowel signs do not.
+BETWEEN = regex.compile(r"[^\w\p{M}\x00-\x7f]+")
+SINGLE = regex.compile(f"[{ALONE}]")
+WORD = regex.compile(rf"[{ALONE}]|(?:[0-9A-Za-z]|(?![{ALONE}\x00-\x7f])[\w\p{{M}}])+")
+#: In ASCII, every byte but letters and digits separates words.
 SPACED = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 ANSWER = re.compile(r"\banswer\s*:", re.I)
-SENTENCE_END = re.compile(r"[.!?]+\s+")
+SENTENCE_END = re.compile(r"[.!?]+\s+|[。！？]+")
 HITS = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("question_overlap", T.DoubleType()),
                      T.StructField("answer_overlap", T.DoubleType()), T.StructField("start", T.IntegerType()),
                      T.StructField("stop", T.IntegerType())])
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").casefold().encode().translate(SPACED).split()
+    folded = (text or "").casefold()
+    if not folded.isascii():
+        folded = SINGLE.sub(r" \g<0> ", BETWEEN.sub(" ", folded))
+    return folded.encode().translate(SPACED).split()
 
 
 def split_item(text: str) -> tuple[str, str]:
@@ -77,9 +90,11 @@ def split_item(text: str) -> tuple[str, str]:
     for m in reversed(list(SENTENCE_END.finditer(text.rstrip()))):
         if words_of(text[:m.end()]) and words_of(text[m.end():]):
             return text[:m.end()], text[m.end():]
-    parts = text.split()
-    at = len(parts) - max(1, len(parts) // 4) if len(parts) > 1 else 0
-    return " ".join(parts[:at]), " ".join(parts[at:])
+    spans = [m.span() for m in WORD.finditer(text)]
+    if len(spans) < 2:
+        return "", text
+    at = spans[len(spans) - max(1, len(spans) // 4)][0]
+    return text[:at], text[at:]
 
 
 def grams(words: list, n: int) -> set[tuple]:
@@ -262,10 +277,8 @@ def search(index: Index, texts: list[str | None], threshold: float = THRESHOLD,
 
 def _span(text: str, first: int, last: int) -> tuple[int, int]:
     """Code points of the words ``first`` to ``last`` of a text."""
-    raw = text.encode()
-    spans = [m.span() for m in WORD.finditer(raw)]
-    a, b = spans[min(first, len(spans) - 1)][0], spans[min(last, len(spans) - 1)][1]
-    return len(raw[:a].decode("utf-8", "ignore")), len(raw[:b].decode("utf-8", "ignore"))
+    spans = [m.span() for m in WORD.finditer(text)]
+    return spans[min(first, len(spans) - 1)][0], spans[min(last, len(spans) - 1)][1]
 
 
 def _shards(items: DataFrame, key: str, text: str, shard_bytes: int) -> list[list[tuple]]:

@@ -22,6 +22,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,7 @@ SEGMENT, CONTEXT = 352, 16
 LANES = 2048
 #: Rows the network is fitted on, at most (about) this many a language.
 TRAIN_ROWS = 600
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 ADDED = T.StructType([T.StructField("lang_pred", T.StringType()),
                       T.StructField("score", T.DoubleType())])
 

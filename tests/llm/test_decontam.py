@@ -71,3 +71,25 @@ def test_edge_rows_and_shards(spark):
     assert decontam.contaminated(docs, empty).count() == 0
     assert decontam.without_leaks(docs, empty).count() == 9
     assert decontam.contaminated(frame(spark, []), items).count() == 0
+
+
+def test_scripts_without_spaces_and_marks(spark):
+    zh = "\u957f\u57ce\u6700\u9ad8\u7684\u5cf0\u5728\u54ea\u91cc\uff1f\u5b83\u5728\u4eac\u57ce\u7684\u5317\u9762\u5c71\u4e0a\u3002"
+    ja = "\u3053\u306e\u5ddd\u306e\u540d\u524d\u306f\u4f55\u3067\u3059\u304b\uff1f\u7b54\u3048\u306f\u9577\u826f\u5ddd\u3067\u3059\u3002"
+    items = [(1, zh), (2, ja), (3, "Quelle est la plus haute montagne \u00ab du nord \u00bb ? C'est le mont V\u00e9lor, l'a\u00een\u00e9.")]
+    index = decontam.build_index(items)
+    page = "\u4eca\u5929\u6211\u4eec\u8bf4\u8fd9\u4e2a\u3002"
+    texts = [page + zh + page, page * 3, "\u6628\u65e5\u3001" + ja, "x " + items[2][1].replace("\u00ab ", "\u201c").replace(" \u00bb", "\u201d")]
+    hits = decontam.search(index, texts)
+    assert [(place, hit[0]) for place, hit in hits] == [(0, 1), (2, 2), (3, 3)]
+    for place, hit in hits[:2]:
+        item = decontam.words_of(dict(items)[hit[0]])
+        assert set(item) <= set(decontam.words_of(texts[place][hit[4]:hit[5]]))
+    assert decontam.split_item(zh)[1] == zh[10:]
+
+
+def test_words_and_spans_agree():
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choices("ab1 _-.\u00e9e\u0301\u4eca\u3002\u0915\u093f\u0e01\u201c\u0130\u00df\U00020001", k=40))
+        assert len(decontam.words_of(text)) == len(decontam.WORD.findall(text))

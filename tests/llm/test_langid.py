@@ -74,3 +74,11 @@ def test_held_out_accuracy(spark):
     right, n = held.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert n > 100 and right > 0.95
     assert got.count() == docs.count()
+
+
+def test_number_characters_are_no_letters():
+    model = langid.new_model(["aa", "bb"], np.random.default_rng(0))
+    texts = ["\u00bd \u00be", "x\u00b2", "\u00b2\u00b3 \u2460\u2461", "\u2167 12", "\u4eca", "_ 1", None]
+    got = langid.predict(model, texts)
+    assert [x == "und" for x in got["lang_pred"]] == [True, False, True, True, False, True, True]
+    assert all(s == 0.0 for s, x in zip(got["score"], got["lang_pred"]) if x == "und")
