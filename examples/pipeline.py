@@ -45,7 +45,7 @@ def run(spark: SparkSession, sf_dir: str) -> dict:
     readings = (accepted.where(F.col("grams").isNotNull())
                 .withColumn("timestamp", X.parse_ts(F.col("timestamp"))))
     log = FileLog(spark, f"{root}/log")
-    log.append("readings", readings.drop("mac"), ["timestamp", "event_id"],
+    log.append("readings", readings.drop("mac"), position=F.col("event_id"),
                time_text=X.reading_time_text(F.col("timestamp")))
 
     # Entry A: registered datasets as streams (rules loose enough for the data)

@@ -229,7 +229,7 @@ def rollup_log(weights: DataFrame) -> DataFrame:
     framed = w.select("event_id", F.col("start").alias("timestamp"), "sensor", "grams",
                       F.col("timestamp").alias("_logged"))
     part = F.pmod(F.floor(F.unix_seconds(F.col("timestamp").cast("timestamp")) / 600), F.lit(4))
-    return to_records(framed, ROLLUP_TOPIC, part, ["event_id"], F.col("_logged"),
+    return to_records(framed, ROLLUP_TOPIC, part, F.col("event_id"), F.col("_logged"),
                       key_cols=["timestamp", "sensor"],
                       value_cols=["timestamp", "sensor", "grams"],
                       time_text=X.format_ts(F.col("timestamp").cast("timestamp")))
@@ -347,7 +347,7 @@ def q_fanout(spark, sf_dir):
     log = FileLog(spark, f"{root}/log")
     serve.fan_out(rows, [
         lambda d: serve.write_jsonl(d, f"{root}/jsonl"),
-        lambda d: log.append("readings", d, ["event_id"], time_text=F.col("timestamp")),
+        lambda d: log.append("readings", d, position=F.col("event_id"), time_text=F.col("timestamp")),
     ])
     a = serve.read_jsonl(spark, f"{root}/jsonl", rows.schema).select(
         F.lit("jsonl").alias("sink"), "event_id", "sensor")

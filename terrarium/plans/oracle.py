@@ -263,8 +263,7 @@ FROM checked WHERE NOT valid OR NOT json_valid(body)""",
 FROM events""",
     "json_project": f"""WITH {READINGS}
 SELECT 'readings' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition",
-  row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS "offset",
-  "timestamp", sensor, grams, stddev, temperature_c, tag_plant AS plant, tag_user AS "user"
+  event_id AS "offset", "timestamp", sensor, grams, stddev, temperature_c, tag_plant AS plant, tag_user AS "user"
 FROM readings""",
     "landed_lines": f"""WITH l AS (
   SELECT event_id, CASE WHEN event_type = 'error' THEN printf('%.2f', value)
@@ -322,7 +321,7 @@ klog AS (
   FROM (SELECT *, time_bucket(INTERVAL '10 minutes', "timestamp") AS start FROM weights) w
 ),
 klog_n AS (
-  SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY event_id) - 1 AS "offset" FROM klog
+  SELECT *, event_id AS "offset" FROM klog
 )"""
 
 SQL.update({
@@ -364,12 +363,14 @@ SELECT event_id, date_trunc('second', "timestamp") AS "timestamp", sensor, grams
     "stream_weights_10min": SQL["weights_10min"],
     "stream_evaporation_10min": SQL["evaporation_10min"],
     "stream_tail": f"""WITH {READINGS}
-SELECT event_id, "timestamp", sensor, grams FROM readings
-WHERE "timestamp" >= TIMESTAMP '{TAIL_SPLIT}' OR "timestamp" IS NULL""",
+SELECT event_id, "timestamp", sensor, grams,
+  CASE WHEN "timestamp" < TIMESTAMP '{TAIL_SPLIT}' THEN 'snapshot' ELSE 'tail' END AS served FROM readings""",
     "stream_water_10min": SQL["water_10min"],
     "stream_temperatures_10min": SQL["temperatures_10min"],
 })
-SQL["stream_tail_latest"] = SQL["stream_tail"]
+SQL["stream_tail_latest"] = f"""WITH {READINGS}
+SELECT event_id, "timestamp", sensor, grams FROM readings
+WHERE "timestamp" >= TIMESTAMP '{TAIL_SPLIT}' OR "timestamp" IS NULL"""
 
 SQL.update({
     "history_age": SQL["snapshot_since"].replace(SINCE, "2024-01-16 00:00:00"),
@@ -379,7 +380,7 @@ SELECT sensor AS series, date_trunc('hour', "timestamp") AS x, grams AS y, event
 QUALIFY row_number() OVER (PARTITION BY sensor, date_trunc('hour', "timestamp") ORDER BY event_id DESC) = 1""",
     "shared_key_snapshot": f"""WITH {KEYED},
 late AS (
-  SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY event_id) - 1 AS o FROM klog WHERE grams > 300
+  SELECT *, event_id AS o FROM klog WHERE grams > 300
 ),
 u AS (
   SELECT 1 AS ord, 'weights-10min' AS topic, key, start, sensor, grams, "offset" AS o FROM klog_n

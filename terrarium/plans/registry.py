@@ -117,9 +117,7 @@ class Registry:
                 raw = d.fn(ctx)
                 if d.inner_width:  # rows are windows labelled end - 1 µs: show the end
                     raw = raw.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 MICROSECOND"))
-                started.append(streams.start_raw(
-                    raw, out, d.name, cp_raw, order_by=("timestamp", *d.keys),
-                    trigger=raw_trigger, query_name=None))
+                started.append(streams.start_raw(raw, out, d.name, cp_raw, trigger=raw_trigger))
             if "rollup" in which:
                 src = d.fn(ctx)
                 if d.inner_width:
@@ -156,8 +154,7 @@ class Registry:
             try:
                 bctx = Context(ctx.spark, lambda: batch, (lambda: ranges) if ranges is not None else None)
                 for d in chosen:
-                    out.write_stream_batch(d.name, d.fn(bctx), checkpoint, batch_id, ["timestamp"],
-                                           log_time=F.current_timestamp(), dense=False)
+                    out.write_stream_batch(d.name, d.fn(bctx), checkpoint, batch_id)
             finally:
                 batch.unpersist()
 

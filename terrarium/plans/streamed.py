@@ -38,8 +38,8 @@ def _micro_text(ts: str = "timestamp"):
 def append_readings(log: FileLog, events: DataFrame, topic: str = "readings") -> None:
     """Append the readings of ``events``, one writer for each scan task."""
     chunk = readings_from_events(events, keep=("user_id",))
-    log.append(topic, chunk, ["event_id"], value_cols=[c for c in chunk.columns if c != "user_id"],
-               log_time=F.col("timestamp"), time_text=_micro_text(), dense=False)
+    log.append(topic, chunk, value_cols=[c for c in chunk.columns if c != "user_id"],
+               position=F.col("event_id"), log_time=F.col("timestamp"), time_text=_micro_text())
 
 
 def pieces(events: DataFrame, n: int = APPENDS) -> list[DataFrame]:
@@ -169,50 +169,46 @@ def q_stream_late_10min(spark, sf_dir):
     return _rollup_values(out, "weights-10min", ["sensor"], ["grams", "stddev"])
 
 
-def q_stream_tail(spark, sf_dir):
-    """Snapshot positions taken after the first append; the tail
-    then delivers exactly the records appended after it."""
+def _tailed(spark, sf_dir, tag: str, snapshot: bool):
+    """The readings of two appends, followed by a tail that starts between
+    them and is restarted: (those of its snapshot, those delivered)."""
     ensure_utc(spark)
-    root = shared_dir(spark, "streams", "tail", unique=True)
-    events = load(spark, sf_dir, "events")
+    root = shared_dir(spark, "streams", tag, unique=True)
     log = FileLog(spark, f"{root}/log")
+    events = load(spark, sf_dir, "events")
     early = F.coalesce(F.col("ts") < F.lit(TAIL_SPLIT).cast("timestamp_ntz"), F.lit(False))
-    append_readings(log, events.where(early))
-    log.end_offsets("readings").write.parquet(f"{root}/positions")
-    readings = readings_from_events(events.where(~early), keep=("user_id",))
-    log.append("readings", readings, ["event_id"], partition_by=F.pmod(F.col("user_id"), F.lit(4)),
-               value_cols=[c for c in readings.columns if c != "user_id"],
-               log_time=F.col("timestamp"), time_text=_micro_text())
-    sink = f"{root}/delivered"
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{root}/delivered/batch_id={batch_id}")
 
-    _run([streams.tail(log, "readings", spark.read.parquet(f"{root}/positions"), deliver, f"{root}/cp",
-                       trigger=AVAILABLE_NOW)])
-    good, _ = decode(spark.read.parquet(sink), schema=EXTENDED, ntz=True)
-    return good.select("event_id", "timestamp", "sensor", "grams")
+    def keep(batch: DataFrame) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/snapshot")
+
+    for part in (early, ~early):
+        append_readings(log, events.where(part))
+        _run([streams.tail(log, "readings", deliver, f"{root}/cp", snapshot=keep if snapshot else None,
+                           trigger=AVAILABLE_NOW)])
+
+    def rows(folder: str) -> DataFrame:
+        good, _ = decode(spark.read.schema(LOG).parquet(f"{root}/{folder}"), schema=EXTENDED, ntz=True)
+        return good.select("event_id", "timestamp", "sensor", "grams")
+
+    return rows("snapshot") if snapshot else None, rows("delivered")
+
+
+def q_stream_tail(spark, sf_dir):
+    """A snapshot of the first append, and a tail that goes on
+    from it over a restart: each reading is in one of them, once."""
+    snapshot, delivered = _tailed(spark, sf_dir, "tail", snapshot=True)
+    return (snapshot.withColumn("served", F.lit("snapshot"))
+            .unionByName(delivered.withColumn("served", F.lit("tail"))))
 
 
 def q_stream_tail_latest(spark, sf_dir):
     """A tail from the latest record, started after the first append; it
     opens none of the older files and delivers what comes later, over a
     restart."""
-    ensure_utc(spark)
-    root = shared_dir(spark, "streams", "latest", unique=True)
-    log = FileLog(spark, f"{root}/log")
-    early = F.coalesce(F.col("ts") < F.lit(TAIL_SPLIT).cast("timestamp_ntz"), F.lit(False))
-    events = load(spark, sf_dir, "events")
-    sink = f"{root}/delivered"
-
-    def deliver(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-
-    for part in (early, ~early):
-        append_readings(log, events.where(part))
-        _run([streams.tail(log, "readings", None, deliver, f"{root}/cp", trigger=AVAILABLE_NOW, latest=True)])
-    good, _ = decode(spark.read.schema(LOG).parquet(sink), schema=EXTENDED, ntz=True)
-    return good.select("event_id", "timestamp", "sensor", "grams")
+    return _tailed(spark, sf_dir, "latest", snapshot=False)[1]
 
 
 def q_stream_fresh_start(spark, sf_dir):

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrarium.functions import expr as X
-from terrarium.operators.numbering import number_within
 
 READINGS_TOPIC = "readings"
 LOG_PARTITIONS = 4
@@ -67,19 +66,18 @@ def reading_json(readings: DataFrame) -> F.Column:
 
 def log_from_events(events: DataFrame, topic: str = READINGS_TOPIC,
                     partitions: int = LOG_PARTITIONS) -> DataFrame:
-    """LOG records (D1) for ``events``: partition = user_id % n, offsets
-    dense within a partition in ``event_id`` order, key null, value = the
-    reading's JSON, log time = the reading time."""
+    """LOG records (D1) for ``events``: partition = user_id % n, offset =
+    event_id, key null, value = the reading's JSON, log time = the reading
+    time."""
     parted = events.withColumn(
         "partition", F.pmod(F.col("user_id"), F.lit(partitions)).cast("int"))
     readings = readings_from_events(parted, keep=("partition",))
-    numbered = number_within(readings, ["partition"], ["event_id"], name="offset")
-    return numbered.select(
+    return readings.select(
         F.lit(None).cast("binary").alias("key"),
         F.encode(reading_json(readings.drop("partition")), "UTF-8").alias("value"),
         F.lit(topic).alias("topic"),
         F.col("partition"),
-        F.col("offset"),
+        F.col("event_id").cast("long").alias("offset"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
     )
 

@@ -1,46 +1,48 @@
-"""The topic log (D1): scans, decode, appends, keyed change logs, compaction.
+"""The topic log (D1): scans, decode, appends, keyed change logs.
 
 A log is a folder of Parquet files with the LOG columns, laid out as
-``topic=<t>/batch_id=<n>/date=<d>`` with one batch folder per append (a batch
-write or a stream's micro-batch) and dates of the log time below it.  Offsets
-are ``(batch_id << 33) + i`` with ``i`` the position within the log partition,
-so ``(topic, partition, offset)`` is a position as in a partitioned message
-log, later appends always sort after earlier ones, and no append has to read
-the log to number its records.
-
-Batch ids are claimed: a claim file is created exclusively, so two writers
-never share an id, and a stream keeps the id of each micro-batch, so a replay
-after a failure rewrites its own folder and nothing else.  A batch counts as
-committed once its write has finished; ``last_batch`` stays below a batch that
-is still being written, so a snapshot and the tail after it meet exactly.
-
-Scans open only the folders of their topics, and prune by batch and by date.
-A Kafka-backed reader and writer with the same scans is at the end; it needs
-the connector jar, absent here (N14).
+``topic=<t>/append=<name>/date=<d>``, with dates of the log time.  Every append
+(a batch write or a stream's micro-batch) is an ordinary Spark write to a
+staging folder, which one rename publishes whole: readers and streams see all
+of an append or nothing, however long it took to write, and there is nothing
+to claim, list or wait for.  A batch append has a fresh name; the name of a
+micro-batch follows from its stream's checkpoint and its number, so a replay
+after a failure finds it published and writes nothing.
+
+A record's position is ``(topic, partition, offset)``.  Offsets are given by
+the caller (a column that rises in the log's order), or number the rows of an
+append above those of the stream's earlier micro-batches; records of several
+writers are in the order of their log time, then of their offset.
+
+Scans open only the folders of their topics, prune by date, and, as files are
+sorted by time, by the row groups' times inside a day.  A Kafka-backed reader
+and writer with the same scans is at the end; it needs the connector jar,
+absent here (N14).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import hashlib
-import time
+import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from terrarium.functions import expr as X
-from terrarium.operators.numbering import number_within
 from terrarium.schema import LOG, READING
+from terrarium.session import conf_scope
 
 
 CORRUPT = "_corrupt_record"
-#: A claimed batch that is not committed after this many seconds is given up:
-#: its writer failed, and later batches need not wait for it.
-CLAIM_SECONDS = 3600
-_STORED = StructType(LOG.fields + [StructField("batch_id", LongType()), StructField("date", DateType())])
+_STORED = StructType(LOG.fields + [StructField("append", StringType()), StructField("date", DateType())])
+#: Row groups are small enough that a few hours of a day are a few of them,
+#: and times are written with statistics.
+ROW_GROUP_BYTES = 16 << 20
+_WRITE = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
 
 
 def _json(cols: Sequence[str], time_text: Column | None = None) -> Column:
@@ -82,281 +84,123 @@ class FileLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self._next: dict[str, int] = {}     # where to try the next claim of a topic
+
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        return jvm, p.getFileSystem(conf)
+
+    def _folder(self, topic: str) -> str:
+        return f"{self.path}/topic={topic}"
 
     # -- scans ------------------------------------------------------------
     def scan(self, topics: str | Sequence[str], batch: bool = True,
-             since: _dt.datetime | Column | None = None,
-             after: DataFrame | None = None, after_batch: int | None = None,
-             until_batch: int | None = None, **stream_opts) -> DataFrame:
+             since: _dt.datetime | Column | None = None, **stream_opts) -> DataFrame:
         """Records of ``topics`` (comma text or list), whole or
-        from log time ``since`` on.  ``after`` (topic, partition, offset)
-        keeps only records past those positions (S5 tail after a snapshot).
-        ``until_batch`` / ``after_batch`` cut at an append boundary instead:
-        a snapshot up to batch b and a tail after it share no record and miss
-        none, and both are pruned by directory.  ``batch=False`` gives the
-        streaming scan of the same folders."""
-        names = [t.strip() for t in topics.split(",")] if isinstance(topics, str) else list(topics)
+        from log time ``since`` on.  ``batch=False`` gives the streaming scan
+        of the same folders."""
+        names = topic_names(topics)
+        jvm, fs = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path
         if batch:
-            df = self._stored(names, after_batch, until_batch)
+            there = [t for t in names if fs.exists(path(self._folder(t)))]
+            df = (self.spark.read.schema(_STORED).option("basePath", self.path)
+                  .parquet(*map(self._folder, there))) if there else self.spark.createDataFrame([], _STORED)
         else:
-            jvm, fs = self._fs()  # a stream may start before any data lands
-            for t in names:
-                fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={t}"))
+            for t in names:  # a stream may start before any data lands
+                fs.mkdirs(path(self._folder(t)))
             reader = self.spark.readStream.schema(_STORED).option("basePath", self.path)
             for k, v in stream_opts.items():
                 reader = reader.option(k, v)
             df = reader.parquet(f"{self.path}/topic={{{','.join(names)}}}")
-            df = self._between(df, after_batch, until_batch)
         if since is not None:
             bound = since if isinstance(since, Column) else F.lit(since).cast("timestamp")
             df = df.where((F.col("date") >= F.to_date(bound)) & (F.col("timestamp") >= bound))
-        return _past(df.select(*[f.name for f in LOG.fields]), after)
-
-    @staticmethod
-    def _between(df: DataFrame, after_batch: int | None, until_batch: int | None) -> DataFrame:
-        if after_batch is not None:
-            df = df.where(F.col("batch_id") > F.lit(after_batch))
-        if until_batch is not None:
-            df = df.where(F.col("batch_id") <= F.lit(until_batch))
-        return df
-
-    def _stored(self, names: Sequence[str], after_batch: int | None, until_batch: int | None) -> DataFrame:
-        """Batch records of the topics; a compacted topic is read from its
-        newest compaction and the batches after it, unless the scan cuts at a
-        batch."""
-        jvm, fs = self._fs()
-        there = [t for t in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={t}"))]
-        if not there:
-            return self.spark.createDataFrame([], _STORED)
-        df = (self.spark.read.schema(_STORED).option("basePath", self.path)
-              .parquet(*[f"{self.path}/topic={t}" for t in there]))
-        if after_batch is not None or until_batch is not None:
-            return self._between(df, after_batch, until_batch)
-        for t in there:
-            through = self.compacted_through(t)
-            if through >= 0:
-                df = df.where(~((F.col("topic") == t) & (F.col("batch_id") <= F.lit(through))))
-                folder = f"{self.path}/_compacted/topic={t}/through={through}"
-                schema = StructType([f for f in _STORED.fields if f.name not in ("topic", "batch_id")])
-                old = (self.spark.read.schema(schema).parquet(folder)
-                       .withColumn("topic", F.lit(t)).withColumn("batch_id", F.lit(through).cast("long")))
-                df = df.unionByName(old)
-        return df
-
-    # -- batch ids ---------------------------------------------------------
-    def last_batch(self, topic: str) -> int:
-        """The newest batch up to which everything is committed (-1 when
-        empty).  Batches behind one that is still being written do not count;
-        a claim older than ``CLAIM_SECONDS`` without a commit is ignored."""
-        ids = [b for b in self.batch_ids(topic) if self._committed(topic, b)]
-        done = set(ids)
-        jvm, fs = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_claims/topic={topic}")
-        fresh = (time.time() - CLAIM_SECONDS) * 1000
-        busy = [n for st in (fs.listStatus(p) if fs.exists(p) else [])
-                if (n := int(st.getPath().getName())) not in done and st.getModificationTime() >= fresh]
-        return max((b for b in ids if b < min(busy, default=b + 1)), default=-1)
-
-    def _committed(self, topic: str, batch_id: int) -> bool:
-        jvm, fs = self._fs()
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={topic}/batch_id={batch_id}/_SUCCESS"))
+        return df.select(*[f.name for f in LOG.fields])
 
-    def claim(self, topic: str) -> int:
-        """A batch id of ``topic`` that no other writer has or gets: the claim
-        file is created exclusively (atomic on HDFS and local disks)."""
+    def holds(self, topics: str | Sequence[str]) -> bool:
+        """Whether anything has been appended to one of ``topics``."""
         jvm, fs = self._fs()
-        path = jvm.org.apache.hadoop.fs.Path
-        folder = f"{self.path}/_claims/topic={topic}"
-        n = self._next.get(topic)
-        if n is None:
-            taken = [int(st.getPath().getName()) for st in fs.listStatus(path(folder))] \
-                if fs.exists(path(folder)) else []
-            n = max([*taken, *self.batch_ids(topic)], default=-1) + 1
-        while True:
-            try:
-                fs.create(path(f"{folder}/{n}"), False).close()
-            except Py4JJavaError as e:
-                if not fs.exists(path(f"{folder}/{n}")):
-                    raise e
-                n += 1
-                continue
-            self._next[topic] = n + 1
-            return n
-
-    def batch_for(self, topic: str, writer: str, micro_batch: int) -> int:
-        """The batch id of a stream's micro-batch (``writer`` is its
-        checkpoint): claimed once, and the same again when it is replayed."""
-        jvm, fs = self._fs()
-        path = jvm.org.apache.hadoop.fs.Path
-        folder = f"{self.path}/_writers/{hashlib.sha1(writer.encode()).hexdigest()}/topic={topic}"
-        for st in fs.globStatus(path(f"{folder}/{micro_batch}=*")) or []:
-            return int(st.getPath().getName().split("=")[1])
-        n = self.claim(topic)
-        fs.create(path(f"{folder}/{micro_batch}={n}"), True).close()
-        return n
-
-    def end_offsets(self, topics: str | Sequence[str]) -> DataFrame:
-        """Last offset per (topic, partition): one row per log partition
-        (a pass over the topics; ``last_batch`` needs only the listing)."""
-        return (self.scan(topics).groupBy("topic", "partition")
-                .agg(F.max("offset").alias("offset")))
+        return any(len(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self._folder(t)}/append=*")) or []) > 0
+                   for t in topic_names(topics))
 
     # -- appends ----------------------------------------------------------
-    # Every append (a batch write or one micro-batch of a stream) goes to its
-    # own folder ``topic=<t>/batch_id=<n>``, which only the claimant of the id
-    # writes, with overwrite: replaying a micro-batch after a failure rewrites
-    # the same records instead of duplicating them.
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, p.getFileSystem(conf)
-
-    def records(self, df: DataFrame, batch_id: int, order_by: Sequence[str],
-                key_cols: Sequence[str] | None = None,
-                value_cols: Sequence[str] | None = None,
-                partitions: int = 8, partition_by: Column | None = None,
-                log_time: Column | None = None,
-                time_text: Column | None = None, dense: bool = True) -> DataFrame:
-        """LOG records (without topic) for one append of ``df`` as ``batch_id``.
+    def records(self, df: DataFrame, key_cols: Sequence[str] | None = None,
+                value_cols: Sequence[str] | None = None, position: Column | None = None,
+                partition: Column | None = None, log_time: Column | None = None,
+                time_text: Column | None = None, first: int = 0) -> DataFrame:
+        """LOG records (without topic) for one append of ``df``.
 
         Values (and keys, when ``key_cols`` is given) are JSON with the time
-        as text.  ``dense`` numbering spreads records over ``partitions`` log
-        partitions (by ``partition_by``, else by a hash of the key, so one
-        key stays in one partition, else by a hash of ``order_by``) and
-        numbers them in ``order_by`` order (``number_within``).  Without
-        ``dense`` (streaming sinks) the log partition is the Spark partition
-        and the offset ``(batch_id << 33) + row index``: no shuffle, still
-        increasing per partition from batch to batch, and newer batches
-        always carry larger offsets, which is what the compacted view orders
-        by (a rollup emits a key once per batch).
-        """
-        value_cols = list(value_cols or df.columns)
-
-        def js(cols):
-            return _json(cols, time_text)
-
-        key = js(key_cols) if key_cols else None
-        key_bin = key.cast("binary") if key is not None else F.lit(None).cast("binary")
+        as text.  The log partition is ``partition``, else the Spark
+        partition; the offset is ``position``, else ``first`` plus the row's
+        index in its Spark partition.  Neither costs a shuffle."""
         when = (log_time if log_time is not None else F.current_timestamp()).cast("timestamp")
-        if dense:
-            hashed = F.xxhash64(key) if key is not None else F.xxhash64(*[F.col(c) for c in order_by])
-            part = partition_by if partition_by is not None else F.pmod(hashed, F.lit(partitions))
-            rec = df.select(key_bin.alias("key"), F.encode(js(value_cols), "UTF-8").alias("value"),
-                            part.cast("int").alias("partition"), when.alias("timestamp"),
-                            *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)])
-            rec = number_within(rec, ["partition"], [f"_o{i}" for i in range(len(order_by))],
-                                name="_offset", start=batch_id << 33)
-            offset = F.col("_offset")
-        else:
-            pid = F.spark_partition_id()
-            rec = df.select(key_bin.alias("key"), F.encode(js(value_cols), "UTF-8").alias("value"),
-                            pid.alias("partition"), when.alias("timestamp"),
-                            (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33))
-                            .alias("_i"))
-            offset = F.lit(batch_id).cast("long") * F.lit(1 << 33) + F.col("_i")
-        return rec.select("key", "value", "partition", offset.alias("offset"), "timestamp")
-
-    def _write(self, topic: str, records: DataFrame, batch_id: int) -> None:
-        (records.withColumn("date", F.to_date("timestamp")).write.mode("overwrite")
-         .partitionBy("date").parquet(f"{self.path}/topic={topic}/batch_id={batch_id}"))
-
-    def write_batch(self, topic: str, df: DataFrame, batch_id: int, order_by: Sequence[str],
-                    **opts) -> None:
-        """K1/K2/K3: write ``df`` as the records of ``topic`` for ``batch_id``,
-        an id the caller has claimed (see ``records`` for the options)."""
-        self._write(topic, self.records(df, batch_id, order_by, **opts), batch_id)
-
-    def write_stream_batch(self, topic: str, df: DataFrame, writer: str, micro_batch: int,
-                           order_by: Sequence[str], **opts) -> None:
-        """One micro-batch of the stream with checkpoint ``writer``."""
-        self.write_batch(topic, df, self.batch_for(topic, writer, micro_batch), order_by, **opts)
-
-    def append(self, topic: str, df: DataFrame, order_by: Sequence[str], **opts) -> int:
-        """K3: append a batch DataFrame to ``topic``; returns its batch id."""
-        bid = self.claim(topic)
-        self.write_batch(topic, df, bid, order_by, **opts)
-        return bid
-
-    def append_records(self, records: DataFrame, topic: str) -> int:
-        """Append already built LOG records of ``topic`` as one batch."""
-        bid = self.claim(topic)
-        self._write(topic, records.drop("topic"), bid)
-        return bid
-
-    def batch_ids(self, topic: str) -> list[int]:
-        jvm, fs = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={topic}")
-        if not fs.exists(p):
-            return []
-        return sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
-                      if st.getPath().getName().startswith("batch_id="))
-
-    def compacted_through(self, topic: str) -> int:
-        """The last batch that a published compaction covers (-1: none)."""
-        jvm, fs = self._fs()
-        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(
-            f"{self.path}/_compacted/topic={topic}/through=*/_SUCCESS")) or []
-        return max((int(st.getPath().getParent().getName().split("=")[1]) for st in found), default=-1)
-
-    def compact(self, topic: str) -> int:
-        """Log compaction of a keyed topic (the broker's cleanup policy done
-        as a periodic batch rewrite): every committed batch but the newest is
-        copied into one table with the newest record per key, original
-        partition and offset; unkeyed records are kept as they are.
-
-        The table lies beside the batches, where no stream looks, and counts
-        from the moment its write commits: batch scans then read it instead
-        of the batches it covers.  A crash before that leaves nothing that
-        is read.  The batches stay for readers that still need them until
-        ``purge``.  Returns the number of batches covered."""
-        last = self.last_batch(topic)
-        ids = [b for b in self.batch_ids(topic) if b < last]
-        if len(ids) < 2:
-            return 0
-        recs = self.scan(topic, until_batch=ids[-1])
-        keyed = latest_by_key(recs.where(F.col("key").isNotNull()), ["key"], ["offset", "partition"])
-        kept = keyed.unionByName(recs.where(F.col("key").isNull()))
-        (kept.drop("topic").withColumn("date", F.to_date("timestamp")).write.mode("overwrite")
-         .partitionBy("date").parquet(f"{self.path}/_compacted/topic={topic}/through={ids[-1]}"))
-        return len(ids)
-
-    def purge(self, topic: str) -> int:
-        """Delete the batches that the newest compaction covers, and older
-        compactions, once readers have moved on.  Returns how many went."""
-        through = self.compacted_through(topic)
+        key = _json(key_cols, time_text).cast("binary") if key_cols else F.lit(None).cast("binary")
+        own = F.spark_partition_id()
+        index = F.monotonically_increasing_id() - own.cast("long") * F.lit(1 << 33)
+        return df.select(
+            key.alias("key"), F.encode(_json(list(value_cols or df.columns), time_text), "UTF-8").alias("value"),
+            (own if partition is None else partition).cast("int").alias("partition"),
+            (F.lit(first).cast("long") + index if position is None else position.cast("long")).alias("offset"),
+            when.alias("timestamp"))
+
+    def _publish(self, topic: str, records: DataFrame, name: str) -> bool:
+        """Write ``records`` and make them the append ``name`` of ``topic``,
+        unless it is there already.  Returns whether this call published it."""
         jvm, fs = self._fs()
         path = jvm.org.apache.hadoop.fs.Path
-        ids = [b for b in self.batch_ids(topic) if b <= through]
-        for b in ids:
-            fs.delete(path(f"{self.path}/topic={topic}/batch_id={b}"), True)
-        for st in fs.globStatus(path(f"{self.path}/_compacted/topic={topic}/through=*")) or []:
-            if int(st.getPath().getName().split("=")[1]) < through:
-                fs.delete(st.getPath(), True)
-        return len(ids)
+        target = path(f"{self._folder(topic)}/append={name}")
+        if fs.exists(target):
+            return False
+        staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
+        # the session of a micro-batch is its query's own
+        with conf_scope(records.sparkSession, _WRITE):
+            (records.withColumn("date", F.to_date("timestamp")).sortWithinPartitions("date", "timestamp")
+             .write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("date").parquet(staging))
+        fs.mkdirs(target.getParent())
+        try:
+            # fails if another attempt of the same micro-batch was first
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                fs.makeQualified(target).toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+            flags = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+            context.rename(fs.makeQualified(path(staging)), fs.makeQualified(target), flags)
+        except Py4JJavaError:
+            fs.delete(path(staging), True)
+            if fs.exists(target):
+                return False
+            raise
+        return True
+
+    def append(self, topic: str, df: DataFrame, **opts) -> None:
+        """K3: append a batch DataFrame to ``topic`` (options: ``records``)."""
+        self._publish(topic, self.records(df, **opts), uuid.uuid4().hex)
+
+    def append_records(self, records: DataFrame, topic: str) -> None:
+        """Append already built LOG records of ``topic``."""
+        self._publish(topic, records.drop("topic"), uuid.uuid4().hex)
+
+    def write_stream_batch(self, topic: str, df: DataFrame, writer: str, micro_batch: int, **opts) -> bool:
+        """K1/K2: one micro-batch of the stream with checkpoint ``writer``;
+        a replayed one is left as it is (returns False)."""
+        name = f"{hashlib.sha1(writer.encode()).hexdigest()}-{micro_batch}"
+        return self._publish(topic, self.records(df, first=micro_batch << 33, **opts), name)
 
     def reset(self, topics: Sequence[str]) -> None:
         """K6: drop the records of ``topics`` (a stream starting afresh)."""
         jvm, fs = self._fs()
-        path = jvm.org.apache.hadoop.fs.Path
         for t in topics:
-            self._next.pop(t, None)
-            for folder in (f"{self.path}/topic={t}", f"{self.path}/_claims/topic={t}",
-                           f"{self.path}/_compacted/topic={t}"):
-                fs.delete(path(folder), True)
-            for st in fs.globStatus(path(f"{self.path}/_writers/*/topic={t}")) or []:
-                fs.delete(st.getPath(), True)
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._folder(t)), True)
 
 
-def _past(df: DataFrame, after: DataFrame | None) -> DataFrame:
-    """Records past the positions ``after``, one row per log partition."""
-    if after is None:
-        return df
-    pos = after.select("topic", "partition", F.col("offset").alias("_after"))
-    return (df.join(pos, ["topic", "partition"], "left")
-            .where(F.col("_after").isNull() | (F.col("offset") > F.col("_after")))
-            .drop("_after"))
+def topic_names(topics: str | Sequence[str]) -> list[str]:
+    """topics as a list, from comma text or a list."""
+    return [t.strip() for t in topics.split(",")] if isinstance(topics, str) else list(topics)
+
+
+#: The order of the records of one key: by log time, then by offset.
+LOG_ORDER = ["timestamp", "offset", "partition"]
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -377,29 +221,24 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 def compacted(log: FileLog, topic: str) -> DataFrame:
     """K5: compacted view of a keyed topic: newest record per key."""
     recs = log.scan(topic).where(F.col("key").isNotNull())
-    return latest_by_key(recs, ["topic", "key"], ["offset", "partition"])
+    return latest_by_key(recs, ["topic", "key"], LOG_ORDER)
 
 
-def to_records(df: DataFrame, topic: str, partition: Column, order: Sequence[str],
+def to_records(df: DataFrame, topic: str, partition: Column, position: Column,
                log_time: Column, key_cols: Sequence[str] | None = None,
                value_cols: Sequence[str] | None = None,
                time_text: Column | None = None) -> DataFrame:
     """LOG records for ``df`` without writing them: value = JSON of
     ``value_cols`` (time as text, nulls omitted), key = JSON of ``key_cols``
-    (None: unkeyed), offsets dense per ``partition`` in ``order``.
+    (None: unkeyed), offset = ``position``, which rises in the log's order.
 
     Keep one key in one partition (derive ``partition`` from the key) so the
     newest record of a key is the one with the largest offset.
     """
-    value_cols = list(value_cols or df.columns)
     key = _json(key_cols, time_text).cast("binary") if key_cols else F.lit(None).cast("binary")
-    framed = df.select("*", partition.cast("int").alias("_p"))
-    numbered = number_within(framed, ["_p"], list(order), name="_offset")
-    return numbered.select(key.alias("key"),
-                           F.encode(_json(value_cols, time_text), "UTF-8").alias("value"),
-                           F.lit(topic).alias("topic"), F.col("_p").alias("partition"),
-                           F.col("_offset").alias("offset"),
-                           log_time.cast("timestamp").alias("timestamp"))
+    return df.select(key.alias("key"), F.encode(_json(list(value_cols or df.columns), time_text), "UTF-8").alias("value"),
+                     F.lit(topic).alias("topic"), partition.cast("int").alias("partition"),
+                     position.cast("long").alias("offset"), log_time.cast("timestamp").alias("timestamp"))
 
 
 def topic(log: "FileLog | KafkaLog", name: str, schema: StructType = READING,
@@ -419,8 +258,8 @@ def in_log_order(df: DataFrame) -> DataFrame:
 class KafkaLog:
     """Scans of a Kafka log and batch writes to it.
 
-    A reader and writer of records, not a full ``FileLog``: resets, claimed
-    batch ids and compaction are the broker's own.  Needs the Spark Kafka connector on the classpath (absent here, N14), so
+    A reader and writer of records, not a full ``FileLog``: resets and
+    compaction are the broker's own.  Needs the Spark Kafka connector on the classpath (absent here, N14), so
     it is not exercised by the tests.  ``since`` maps to the connector's
     ``startingTimestamp`` (S4: seek by log time on every partition).
     """
@@ -431,8 +270,7 @@ class KafkaLog:
         self.options = dict(options or {})
 
     def scan(self, topics: str | Sequence[str], batch: bool = True,
-             since: _dt.datetime | Column | None = None, after: DataFrame | None = None,
-             **stream_opts) -> DataFrame:
+             since: _dt.datetime | Column | None = None, **stream_opts) -> DataFrame:
         names = topics if isinstance(topics, str) else ",".join(topics)
         reader = (self.spark.read if batch else self.spark.readStream).format("kafka")
         reader = reader.option("kafka.bootstrap.servers", self.servers).option("subscribe", names)
@@ -448,16 +286,13 @@ class KafkaLog:
         df = reader.load().select(*[f.name for f in LOG.fields])
         if isinstance(since, Column):
             df = df.where(F.col("timestamp") >= since)
-        return _past(df, after)
+        return df
 
-    def write_batch(self, topic: str, df: DataFrame, batch_id: int, order_by: Sequence[str],
-                    key_cols: Sequence[str] | None = None,
-                    value_cols: Sequence[str] | None = None, time_text: Column | None = None,
-                    **_ignored) -> None:
+    def append(self, topic: str, df: DataFrame, key_cols: Sequence[str] | None = None,
+               value_cols: Sequence[str] | None = None, time_text: Column | None = None) -> None:
         """K1/K3: JSON values (and keys) produced to ``topic``; Kafka assigns
         partitions (by key) and offsets."""
-        value_cols = list(value_cols or df.columns)
         key = _json(key_cols, time_text) if key_cols else F.lit(None).cast("string")
-        out = df.select(key.alias("key"), _json(value_cols, time_text).alias("value"))
+        out = df.select(key.alias("key"), _json(list(value_cols or df.columns), time_text).alias("value"))
         (out.write.format("kafka").option("kafka.bootstrap.servers", self.servers)
          .option("topic", topic).save())

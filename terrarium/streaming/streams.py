@@ -1,11 +1,11 @@
 """Structured Streaming queries over the topic log.
 
-Sinks use ``foreachBatch`` and write each micro-batch to its own claimed log
-folder with overwrite (``FileLog.write_stream_batch``), so a batch replayed after a
-failure replaces its own output: together with the checkpoint this gives
-exactly-once results in the log.  File sinks refuse update mode, which is
-why update-mode rollups are written as keyed change logs this way (K2) and
-read back compacted (K5).
+Sinks use ``foreachBatch`` and publish each micro-batch as an append of its own
+(``FileLog.write_stream_batch``).  A batch replayed after a failure finds its
+append published and writes nothing, so together with the checkpoint every
+record is in the log once, and a tail is served it once.  File sinks refuse
+update mode, which is why update-mode rollups are written as keyed change logs
+this way (K2) and read back compacted (K5).
 """
 
 from __future__ import annotations
@@ -52,16 +52,13 @@ def reset_if_new(log: FileLog, topics: Sequence[str], checkpoint: str) -> bool:
 
 
 def start_raw(df: DataFrame, out: FileLog, topic: str, checkpoint: str,
-              order_by: Sequence[str] = ("timestamp",), trigger: dict | None = None,
+              trigger: dict | None = None,
               time_text: Column | None = None, query_name: str | None = None) -> StreamingQuery:
     """K1: append every row of a stream to ``topic`` as JSON (time as
     ``yyyy-MM-dd HH:mm:ss Z``), unkeyed.  Aggregated streams must be in a
     form append mode accepts (closed windows only)."""
-    order = list(order_by)
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        out.write_stream_batch(topic, batch, checkpoint, batch_id, order, time_text=time_text,
-                               log_time=F.current_timestamp(), dense=False)
+        out.write_stream_batch(topic, batch, checkpoint, batch_id, time_text=time_text)
 
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
@@ -92,8 +89,7 @@ def start_rollup(df: DataFrame, out: FileLog, topic: str, values: Sequence[str],
     key_cols = ["timestamp", *keys]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out.write_stream_batch(topic, batch, checkpoint, batch_id, key_cols, key_cols=key_cols,
-                               log_time=F.current_timestamp(), dense=False)
+        out.write_stream_batch(topic, batch, checkpoint, batch_id, key_cols=key_cols)
 
     w = agg.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
@@ -129,8 +125,7 @@ def start_appended_rollup(agg: DataFrame, out: FileLog, topic: str, keys: Sequen
     key_cols = ["timestamp", *keys]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out.write_stream_batch(topic, batch, checkpoint, batch_id, key_cols, key_cols=key_cols,
-                               log_time=F.current_timestamp(), dense=False)
+        out.write_stream_batch(topic, batch, checkpoint, batch_id, key_cols=key_cols)
 
     w = agg.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
@@ -158,33 +153,42 @@ def with_open_windows(closed: DataFrame, readings: DataFrame,
     return closed.unionByName(late.where(F.col(ts).cast("timestamp") > newest.cast("timestamp")).select(closed.columns))
 
 
-def start_position(log: FileLog, topics: Sequence[str], checkpoint: str) -> int:
-    """The append after which a tail from the latest record starts: taken when
-    its checkpoint is new, and the same again after a restart."""
+def tail(log: FileLog, topics: str | Sequence[str], on_batch: Callable[[DataFrame, int], None],
+         checkpoint: str, snapshot: Callable[[DataFrame], None] | None = None, whole: bool = False,
+         trigger: dict | None = None, **source_opts) -> StreamingQuery:
+    """What the log holds when the tail first starts goes to
+    ``snapshot``, everything that is appended later to ``on_batch``.
+
+    Both are micro-batches of one query, so its checkpoint is the hand-off: no
+    record is served twice or missed, over any number of topics and restarts.
+    Without ``snapshot`` this is a tail from the latest record: the first
+    micro-batch is only noted, none of its files is opened.  ``whole`` serves
+    the first micro-batch to ``on_batch`` like any other."""
+    if {"maxfilespertrigger", "maxbytespertrigger"} & {k.lower() for k in source_opts}:
+        raise ValueError("the first micro-batch has to hold the whole snapshot")
+    held = whole or not _held_at_start(log, topics, checkpoint)
+
+    def serve(batch: DataFrame, batch_id: int) -> None:
+        if batch_id or held:
+            on_batch(batch, batch_id)
+        elif snapshot is not None:
+            snapshot(batch)
+
+    df = log.scan(topics, batch=False, **source_opts)
+    w = df.writeStream.foreachBatch(serve).option("checkpointLocation", checkpoint)
+    return _trigger(w.outputMode("append"), trigger).start()
+
+
+def _held_at_start(log: FileLog, topics: str | Sequence[str], checkpoint: str) -> bool:
+    """Whether the log held anything when the tail first started: a log that
+    was empty has no snapshot, and its first micro-batch is news.  Noted beside
+    the checkpoint, so a restart before the first micro-batch goes the same
+    way."""
     jvm, fs = log._fs()
     path = jvm.org.apache.hadoop.fs.Path
-    for st in fs.globStatus(path(f"{checkpoint}-start/after=*")) or []:
-        return int(st.getPath().getName().split("=")[1])
-    last = max((log.last_batch(t) for t in topics), default=-1)
-    fs.create(path(f"{checkpoint}-start/after={last}"), True).close()
-    return last
-
-
-def tail(log: FileLog, topics: str | Sequence[str], after: DataFrame | None,
-         on_batch: Callable[[DataFrame, int], None], checkpoint: str,
-         trigger: dict | None = None, after_batch: int | None = None,
-         latest: bool = False, **source_opts) -> StreamingQuery:
-    """Deliver every record of ``topics`` past the snapshot's
-    hand-off to ``on_batch``: past positions ``after`` (topic, partition,
-    offset; a small static table, one row per log partition), or past append
-    ``after_batch`` of a file log (no positions to compute), or, with
-    ``latest``, past the newest append of one topic when the tail first
-    starts; older appends are not opened."""
-    if latest:
-        names = [t.strip() for t in topics.split(",")] if isinstance(topics, str) else list(topics)
-        if len(names) != 1:
-            raise ValueError("a tail from the latest record follows one topic")
-        after_batch = start_position(log, names, checkpoint)
-    df = log.scan(topics, batch=False, after=after, after_batch=after_batch, **source_opts)
-    w = df.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    return _trigger(w.outputMode("append"), trigger).start()
+    for name in ("held", "empty"):
+        if fs.exists(path(f"{checkpoint}-start/{name}")):
+            return name == "held"
+    held = log.holds(topics)
+    fs.create(path(f"{checkpoint}-start/{'held' if held else 'empty'}"), True).close()
+    return held

@@ -53,31 +53,36 @@ def test_latest_by_key_and_snapshot(spark):
     assert keyed == [("a", 2)]
 
 
+def _numbers(spark, *values):
+    return spark.createDataFrame([(v, dt.datetime(2024, 1, 1, 0, v % 60)) for v in values], "n int, timestamp timestamp")
+
+
+def _n(df):
+    return sorted(json.loads(r["value"])["n"] for r in df.collect())
+
+
 def test_file_log_roundtrip_positions(spark, tmp):
     log = FileLog(spark, f"{tmp}/log")
     df = spark.createDataFrame([(i, f"s{i % 3}", dt.datetime(2024, 1, 1, 0, i)) for i in range(10)],
                                "n int, sensor string, timestamp timestamp")
-    b0 = log.append("t", df.where("n < 6"), ["n"], partitions=2)
-    ends = log.end_offsets("t").persist()
-    b1 = log.append("t", df.where("n >= 6"), ["n"], partitions=2)
-    assert (b0, b1) == (0, 1)
+    log.append("t", df.where("n < 6"), position=F.col("n"), log_time=F.col("timestamp"))
+    log.append("t", df.where("n >= 6"), position=F.col("n"), log_time=F.col("timestamp"))
     allr = log.scan("t")
-    assert allr.count() == 10 and allr.select("partition", "offset").distinct().count() == 10
-    tail = log.scan("t", after=ends)
-    assert sorted(json.loads(r["value"].decode())["n"] for r in tail.collect()) == [6, 7, 8, 9]
-    since = log.scan("t", since=dt.datetime(2024, 1, 1, 0, 8))
-    assert since.count() >= 2
+    assert sorted(r["offset"] for r in allr.collect()) == list(range(10)) and _n(allr) == list(range(10))
+    assert _n(log.scan("t", since=dt.datetime(2024, 1, 1, 0, 8))) == [8, 9]
+    log.append("u", df)
+    numbered = log.scan("u").select("partition", "offset")
+    assert numbered.distinct().count() == 10
     log.reset(["t"])
-    assert log.scan("t").count() == 0
+    assert log.scan("t").count() == 0 and log.scan("t,u").count() == 10
 
 
 def test_compacted_keyed_topic(spark, tmp):
     log = FileLog(spark, f"{tmp}/log")
-    df = spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0), (3, "b", 5.0)],
-                               "n int, sensor string, grams double").withColumn(
-        "timestamp", F.lit("2024-01-01 00:10:00").cast("timestamp"))
-    log.append("w-10min", df, ["n"], key_cols=["timestamp", "sensor"],
-               value_cols=["timestamp", "sensor", "grams"])
+    for rows in ([("a", 1.0), ("b", 5.0)], [("a", 2.0)]):
+        df = spark.createDataFrame(rows, "sensor string, grams double").withColumn(
+            "timestamp", F.lit("2024-01-01 00:10:00").cast("timestamp"))
+        log.append("w-10min", df, key_cols=["timestamp", "sensor"], value_cols=["timestamp", "sensor", "grams"])
     got = {json.loads(r["key"].decode())["sensor"]: json.loads(r["value"].decode())["grams"]
            for r in compacted(log, "w-10min").collect()}
     assert got == {"a": 2.0, "b": 5.0}
@@ -138,7 +143,7 @@ def test_history_and_topic_reader(spark, tmp):
     df = spark.createDataFrame(
         [(i, dt.datetime(2024, 1, 1, 0, 0) + dt.timedelta(minutes=30 * i)) for i in range(8)],
         "n int, timestamp timestamp")
-    log.append("readings", df, ["n"], log_time=F.col("timestamp"), partitions=2)
+    log.append("readings", df, position=F.col("n"), log_time=F.col("timestamp"), partition=F.col("n") % 2)
     h = history(log, "readings", "2 hours", asof=dt.datetime(2024, 1, 1, 3, 30))
     got = sorted(json.loads(r["value"])["n"] for r in h.collect())
     assert got == [4, 5, 6, 7]                      # 01:30 excluded (strict), 02:00..03:30 kept
@@ -148,157 +153,122 @@ def test_history_and_topic_reader(spark, tmp):
     assert order == sorted(order)
 
 
-def test_compaction_keeps_newest_per_key(spark, tmp):
-    log = FileLog(spark, f"{tmp}/log")
-    for b, vals in enumerate([[("a", 1.0), ("b", 1.0)], [("a", 2.0)], [("b", 3.0)], [("a", 4.0)]]):
-        df = spark.createDataFrame(vals, "sensor string, grams double").withColumn(
-            "timestamp", F.lit("2024-01-01 00:10:00").cast("timestamp"))
-        log.write_batch("w-10min", df, b, ["sensor"], key_cols=["timestamp", "sensor"],
-                        value_cols=["timestamp", "sensor", "grams"], dense=False)
-    before = {json.loads(r["key"])["sensor"]: json.loads(r["value"])["grams"]
-              for r in compacted(log, "w-10min").collect()}
-    assert log.compact("w-10min") == 3                 # batches 0-2; newest (3) untouched
-    assert log.batch_ids("w-10min") == [0, 1, 2, 3]    # still there for other readers
-    assert log.scan("w-10min").count() == 3            # a@2, b@3 from the rewrite + a@4
-    assert log.scan("w-10min", until_batch=3).count() == 5
-    assert log.purge("w-10min") == 3 and log.batch_ids("w-10min") == [3]
-    assert log.scan("w-10min").count() == 3
-    after = {json.loads(r["key"])["sensor"]: json.loads(r["value"])["grams"]
-             for r in compacted(log, "w-10min").collect()}
-    assert before == after == {"a": 4.0, "b": 3.0}
+def _follow(log, topics, got, checkpoint, **opts):
+    from terrarium.streaming import streams
 
+    streams.tail(log, topics, lambda d, i: got.extend(_n(d)), checkpoint,
+                 trigger={"availableNow": True}, **opts).awaitTermination()
 
-def _numbers(spark, *values):
-    return spark.createDataFrame([(v, dt.datetime(2024, 1, 1, 0, v % 60)) for v in values], "n int, timestamp timestamp")
 
+def test_replayed_micro_batch_is_in_the_log_and_the_tail_once(spark, tmp):
+    log, got = FileLog(spark, f"{tmp}/log"), []
+    assert log.write_stream_batch("r", _numbers(spark, 1, 2), "cp", 0)
+    _follow(log, "r", got, f"{tmp}/tail", whole=True)
+    assert not log.write_stream_batch("r", _numbers(spark, 1, 2), "cp", 0)      # the stream failed after it
+    _follow(log, "r", got, f"{tmp}/tail", whole=True)
+    assert log.write_stream_batch("r", _numbers(spark, 3), "cp", 1)
+    _follow(log, "r", got, f"{tmp}/tail", whole=True)
+    assert got == [1, 2, 3] == _n(log.scan("r"))
+    # another stream into the same topic adds to it
+    assert log.write_stream_batch("r", _numbers(spark, 4), "other", 0)
+    assert _n(log.scan("r")) == [1, 2, 3, 4]
 
-def _n(df):
-    return sorted(json.loads(r["value"])["n"] for r in df.collect())
 
+def test_slow_append_is_neither_lost_nor_half_seen(spark, tmp, monkeypatch):
+    """An append that is still being written while others are published."""
+    from pyspark.sql.readwriter import DataFrameWriter
 
-def test_writers_never_share_a_batch(spark, tmp):
-    a, b = FileLog(spark, f"{tmp}/log"), FileLog(spark, f"{tmp}/log")
-    first = a.claim("r")                               # both take an id before either writes
-    second = b.claim("r")
-    assert first != second
-    b.write_batch("r", _numbers(spark, 2), second, ["n"], dense=False)
-    assert a.last_batch("r") == -1                     # a is still writing: nothing is complete yet
-    a.write_batch("r", _numbers(spark, 1), first, ["n"], dense=False)
-    assert a.last_batch("r") == second
-    a.append("r", _numbers(spark, 3), ["n"], dense=False)
-    b.append("r", _numbers(spark, 4), ["n"], dense=False)
-    assert _n(a.scan("r")) == [1, 2, 3, 4]
+    log, got, snaps = FileLog(spark, f"{tmp}/log"), [], []
+    log.append("r", _numbers(spark, 1))
+    write = DataFrameWriter.parquet
 
+    def slow(self, path, *a, **k):
+        write(self, path, *a, **k)
+        monkeypatch.setattr(DataFrameWriter, "parquet", write)     # the next ones are quick
+        snaps.append(_n(log.scan("r")))
+        _follow(log, "r", got, f"{tmp}/tail", snapshot=lambda d: got.extend(_n(d)))
+        log.append("r", _numbers(spark, 5))
+        _follow(log, "r", got, f"{tmp}/tail")
+        snaps.append(_n(log.scan("r")))
 
-def test_given_up_claims_do_not_hold_back_the_log(spark, tmp, monkeypatch):
-    from terrarium.sources import log as module
+    monkeypatch.setattr(DataFrameWriter, "parquet", slow)
+    log.append("r", _numbers(spark, 2, 3, 4))
+    _follow(log, "r", got, f"{tmp}/tail")
+    assert snaps == [[1], [1, 5]] and got == [1, 5, 2, 3, 4] and _n(log.scan("r")) == [1, 2, 3, 4, 5]
 
+
+def test_failed_append_leaves_nothing(spark, tmp):
     log = FileLog(spark, f"{tmp}/log")
-    log.claim("r")                                     # its writer dies
-    last = log.append("r", _numbers(spark, 1), ["n"], dense=False)
-    assert log.last_batch("r") == -1
-    monkeypatch.setattr(module, "CLAIM_SECONDS", -1)
-    assert log.last_batch("r") == last
+    bad = _numbers(spark, 1, 2).withColumn("x", F.when(F.col("n") == 2, F.raise_error(F.lit("no"))).otherwise(F.lit("y")))
+    try:
+        log.write_stream_batch("r", bad, "cp", 0)
+        raise AssertionError("it should have failed")
+    except Exception as e:
+        assert "no" in str(e)
+    assert log.scan("r").count() == 0
+    assert log.write_stream_batch("r", _numbers(spark, 1), "cp", 0) and _n(log.scan("r")) == [1]
 
 
-def test_stream_with_a_new_checkpoint_keeps_what_is_there(spark, tmp):
-    log = FileLog(spark, f"{tmp}/log")
-    for checkpoint in ("one", "two"):
-        for micro in (0, 1, 1):                        # the second one is replayed
-            log.write_stream_batch("r", _numbers(spark, micro), checkpoint, micro, ["n"], dense=False)
-    assert _n(log.scan("r")) == [0, 0, 1, 1]
+def test_attempts_of_one_micro_batch_publish_it_once(spark, tmp, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
 
+    log, write = FileLog(spark, f"{tmp}/log"), DataFrameWriter.parquet
 
-def test_crash_inside_compaction_and_tail_across_it(spark, tmp, monkeypatch):
-    from terrarium.streaming import streams
+    def raced(self, path, *a, **k):
+        monkeypatch.setattr(DataFrameWriter, "parquet", write)
+        assert log.write_stream_batch("r", _numbers(spark, 1), "cp", 0)
+        write(self, path, *a, **k)
 
-    log = FileLog(spark, f"{tmp}/log")
-    for v in range(4):
-        log.append("r", _numbers(spark, v), ["n"], key_cols=["n"], value_cols=["n"], dense=False)
-    got = []
+    monkeypatch.setattr(DataFrameWriter, "parquet", raced)
+    assert not log.write_stream_batch("r", _numbers(spark, 1), "cp", 0)
+    assert _n(log.scan("r")) == [1]
+
+
+def test_scans_open_only_their_topic_dates_and_hours(spark, tmp, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from terrarium.sources import log as module
 
-    def follow():
-        streams.tail(log, "r", None, lambda d, i: got.extend(_n(d)), f"{tmp}/cp",
-                     trigger={"availableNow": True}).awaitTermination()
-
-    follow()
-    assert sorted(got) == [0, 1, 2, 3]
-    # a compaction that got as far as its files, but not to its commit
-    part = log.scan("r", until_batch=0).drop("topic").withColumn("date", F.to_date("timestamp"))
-    folder = f"{log.path}/_compacted/topic=r/through=2"
-    part.write.partitionBy("date").parquet(folder)
-    import os
-    os.remove(f"{folder}/_SUCCESS")
-    assert log.compacted_through("r") == -1 and _n(log.scan("r")) == [0, 1, 2, 3]
-    assert log.compact("r") == 3 and _n(log.scan("r")) == [0, 1, 2, 3]
-    log.append("r", _numbers(spark, 4), ["n"], key_cols=["n"], value_cols=["n"], dense=False)
-    follow()
-    assert sorted(got) == [0, 1, 2, 3, 4]              # nothing is delivered again
-    log.purge("r")
-    follow()
-    assert sorted(got) == [0, 1, 2, 3, 4] and _n(log.scan("r")) == [0, 1, 2, 3, 4]
-
-
-def test_scans_open_only_their_topic_and_dates(spark, tmp):
     log = FileLog(spark, f"{tmp}/log")
-    for v in range(8):
-        log.append("a", _numbers(spark, v), ["n"], dense=False)
+    log.append("a", _numbers(spark, *range(8)))
     days = spark.createDataFrame([(d, dt.datetime(2024, 1, d, 12)) for d in (1, 2, 3)], "n int, timestamp timestamp")
-    log.append("b", days.coalesce(1), ["n"], dense=False, log_time=F.col("timestamp"))
-    batches = []
-    q = (log.scan("b", batch=False).writeStream.foreachBatch(lambda d, i: batches.append(_n(d)))
-         .option("checkpointLocation", f"{tmp}/cp").trigger(availableNow=True).start())
-    q.awaitTermination()
-    assert batches == [[1, 2, 3]]
+    log.append("b", days.coalesce(1), log_time=F.col("timestamp"))
+    got = []
+    _follow(log, "b", got, f"{tmp}/cp", whole=True)
+    assert got == [1, 2, 3]
     since = log.scan("b", since=dt.datetime(2024, 1, 2))
     assert _n(since) == [2, 3]
     plan = since._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "date#" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert len(since.inputFiles()) > 0 and all("topic=b" in f for f in since.inputFiles())
-
-
-def test_tail_from_the_latest_record_over_a_restart(spark, tmp):
-    from terrarium.streaming import streams
-
-    log = FileLog(spark, f"{tmp}/log")
-    log.append("r", _numbers(spark, 1, 2), ["n"], dense=False)
-    got = []
-
-    def follow():
-        q = streams.tail(log, "r", None, lambda d, i: got.extend(_n(d)), f"{tmp}/cp",
-                         trigger={"availableNow": True}, latest=True)
-        q.awaitTermination()
-
-    follow()
-    log.append("r", _numbers(spark, 3), ["n"], dense=False)   # arrives while the tail is down
-    follow()
-    assert got == [3]
-
-
-def test_stream_starts_before_data(spark, tmp):
-    log = FileLog(spark, f"{tmp}/empty-log")
-    got = []
-    q = (log.scan("readings", batch=False).writeStream
-         .foreachBatch(lambda df, i: got.append(df.count()))
-         .option("checkpointLocation", f"{tmp}/cp").trigger(availableNow=True).start())
-    q.awaitTermination()
-    assert sum(got) == 0
-
-
-def test_batch_boundary_hand_off(spark, tmp):
-    from terrarium.streaming import streams
-    log = FileLog(spark, f"{tmp}/log")
-    df = spark.createDataFrame([(i, dt.datetime(2024, 1, 1, 0, i)) for i in range(9)],
-                               "n int, timestamp timestamp")
-    for b in range(3):
-        log.write_batch("r", df.where(F.col("n") % 3 == b), b, ["n"], dense=False)
-    cut = log.last_batch("r")                       # snapshot taken here
-    snap = [json.loads(r["value"])["n"] for r in log.scan("r", until_batch=cut).collect()]
-    log.write_batch("r", spark.createDataFrame([(100, dt.datetime(2024, 1, 2))],
-                                               "n int, timestamp timestamp"), cut + 1, ["n"], dense=False)
-    got = []
-    q = streams.tail(log, "r", None, lambda d, i: got.extend(
-        json.loads(r["value"])["n"] for r in d.collect()), f"{tmp}/cp",
-        trigger={"availableNow": True}, after_batch=cut)
-    q.awaitTermination()
-    assert sorted(snap) == list(range(9)) and got == [100]
+    # S4 inside a day: two hours are a small part of its row groups
+    monkeypatch.setattr(module, "ROW_GROUP_BYTES", 4096)
+    day = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("n")).withColumn(
+        "timestamp", F.expr("timestamp_seconds(1704067200 + n * 4)"))
+    log.append("c", day.coalesce(1), log_time=F.col("timestamp"))
+    (file,) = [f for f in log.scan("c").inputFiles() if "date=2024-01-01" in f]
+    meta = pq.ParquetFile(file.removeprefix("file://")).metadata
+    at = [meta.row_group(0).column(k).path_in_schema for k in range(meta.num_columns)].index("timestamp")
+    stats = [meta.row_group(k).column(at).statistics for k in range(meta.num_row_groups)]
+    assert len(stats) >= 20 and all(x.max <= y.min for x, y in zip(stats, stats[1:]))
+    assert sum(x.max >= stats[-1].max - dt.timedelta(hours=2) for x in stats) <= len(stats) // 6
+
+
+def test_tail_from_the_latest_record_over_several_topics_and_a_restart(spark, tmp):
+    log, got = FileLog(spark, f"{tmp}/log"), []
+    log.append("r", _numbers(spark, 1, 2))
+    log.append("s", _numbers(spark, 3))
+    _follow(log, "r,s", got, f"{tmp}/cp")
+    log.append("s", _numbers(spark, 4))           # these arrive while the tail is down
+    log.append("r", _numbers(spark, 5))
+    _follow(log, "r,s", got, f"{tmp}/cp")
+    assert sorted(got) == [4, 5]
+
+
+def test_tail_of_an_empty_log_serves_what_comes(spark, tmp):
+    log, got, snaps = FileLog(spark, f"{tmp}/empty-log"), [], []
+    for v in (1, 2):
+        _follow(log, "r", got, f"{tmp}/cp", snapshot=lambda d: snaps.append(_n(d)))
+        log.append("r", _numbers(spark, v))
+    _follow(log, "r", got, f"{tmp}/cp", snapshot=lambda d: snaps.append(_n(d)))
+    assert got == [1, 2] and snaps == []

@@ -52,7 +52,7 @@ def test_late_rows_dropped_from_rollup_kept_in_raw(spark, tmp):
     out = FileLog(spark, f"{tmp}/out")
     q1 = streams.start_rollup(stream(), out, "types-10min", ["value"], ["event_type"],
                               f"{tmp}/cp1", trigger=NOW)
-    q2 = streams.start_raw(stream(), out, "types", f"{tmp}/cp2", order_by=["event_id"], trigger=NOW)
+    q2 = streams.start_raw(stream(), out, "types", f"{tmp}/cp2", trigger=NOW)
     q1.awaitTermination()
     q2.awaitTermination()
     dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0)
@@ -77,7 +77,7 @@ def _append(log, events, day):
     """One append of one file: all its records have one log day."""
     from terrarium.sources.events import readings_from_events
 
-    log.append("readings", readings_from_events(events).coalesce(1), ["event_id"], dense=False,
+    log.append("readings", readings_from_events(events).coalesce(1), position=F.col("event_id"),
                log_time=F.lit(f"2024-02-{day + 1:02d}").cast("timestamp"), time_text=streamed._micro_text())
 
 
