@@ -63,8 +63,22 @@ def loss(weights: DataFrame, rng: DataFrame | None, width: str = LOSS_WIDTH,
         kept = weights.join(sensors, ["sensor"], "left_semi")
     per_window = (kept
                   .groupBy(window_col("timestamp", width, start_offset).alias("w"), "sensor")
-                  .agg(first_minus_last("timestamp", "grams").alias("ml_hour"))
-                  .where((F.col("ml_hour") > F.lit(lo)) & (F.col("ml_hour") < F.lit(hi))))
+                  .agg(first_minus_last("timestamp", "grams").alias("ml_hour")))
+    return _losses(per_window, lo, hi, label)
+
+
+#: The aggregation buffers of ``loss`` in a stream's state.
+LOSS_STATE = "first: struct<timestamp: timestamp, grams: double>, last: struct<timestamp: timestamp, grams: double>"
+
+
+def loss_of_state(state: DataFrame, lo: float = LOSS_LO, hi: float = LOSS_HI) -> DataFrame:
+    """The losses of windows a stream still holds open, from its state."""
+    return _losses(state.select(F.col("window").alias("w"), "sensor",
+                                (F.col("first.grams") - F.col("last.grams")).alias("ml_hour")), lo, hi, "end")
+
+
+def _losses(per_window: DataFrame, lo: float, hi: float, label: str) -> DataFrame:
+    per_window = per_window.where((F.col("ml_hour") > F.lit(lo)) & (F.col("ml_hour") < F.lit(hi)))
     seconds = F.unix_seconds(F.col("w.end").cast("timestamp")) - F.unix_seconds(
         F.col("w.start").cast("timestamp"))
     # label "time" = window_time (end - 1 µs): the form a stream can window again

@@ -6,14 +6,15 @@ plus one join against the device tag dimension, so an arbitrarily large batch
 of payloads streams through; Spark broadcasts the dimension when its measured
 size allows it.  Payloads with a wrong signature or a malformed body are
 returned as their own DataFrame with a reason; fields that the reading schema
-does not know are kept in ``extra`` and the body itself in ``body``.
+does not know are kept in ``extra``, with their types, and the body itself in
+``body``.  A payload's signature and its parse are computed once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from terrarium.functions import expr as X
 from terrarium.schema import EXTENDED
@@ -24,7 +25,8 @@ BODY = StructType([f for f in EXTENDED.fields if f.name != "event_id"])
 KNOWN = [f.name for f in EXTENDED.fields]
 INVALID_SIGNATURE = "invalid signature"
 MALFORMED_BODY = "malformed body"
-CORRUPT = "_corrupt_record"
+#: All fields of a body, as they came.
+FIELDS = "map<string, variant>"
 
 
 def signature_ok(key: str | bytes, body: str = "body", signature: str = "signature"):
@@ -34,33 +36,40 @@ def signature_ok(key: str | bytes, body: str = "body", signature: str = "signatu
     return F.coalesce(F.col(signature) == expected, F.lit(False))
 
 
+def _once(df: DataFrame, **columns) -> DataFrame:
+    """``df`` with ``columns``, each computed once a row: the row number makes
+    them nondeterministic to the optimizer, which then neither copies them
+    into a filter pushed below nor merges them into the projections above."""
+    row = F.monotonically_increasing_id()
+    return df.select("*", *[F.when(row >= 0, c).alias(k) for k, c in columns.items()])
+
+
 def verify(payloads: DataFrame, key: str | bytes) -> tuple[DataFrame, DataFrame]:
     """Split payloads into (accepted, rejected) with ``signature_ok``."""
-    marked = payloads.withColumn("_ok", signature_ok(key))
+    marked = _once(payloads, _ok=signature_ok(key))
     accepted = marked.where(F.col("_ok")).drop("_ok")
     rejected = (marked.where(~F.col("_ok")).drop("_ok")
                 .withColumn("reason", F.lit(INVALID_SIGNATURE)))
     return accepted, rejected
 
 
-def body_ok(schema: StructType = BODY, body: str = "body"):
-    """P20 predicate: the body is one JSON object that fits the schema."""
-    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    parsed = F.from_json(F.col(body), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
-    return F.coalesce(F.trim(F.col(body)).startswith("{") & parsed.isNotNull()
-                      & parsed.getField(CORRUPT).isNull(), F.lit(False))
-
-
-def decode_body(accepted: DataFrame, schema: StructType = BODY) -> DataFrame:
-    """Parse the JSON body (permissive: malformed -> all-null fields).  The
-    body stays as text, and ``extra`` maps fields without a column to their
-    JSON text."""
-    keep = [c for c in accepted.columns if c != "signature"]
-    fields = [f.name for f in schema.fields if f.name not in keep]
-    as_map = F.from_json(F.col("body"), MapType(StringType(), StringType()))
-    extra = F.map_filter(as_map, lambda k, v: ~k.isin(KNOWN))
-    return (accepted.select(*keep, F.from_json(F.col("body"), schema).alias("_r"), extra.alias("extra"))
-            .select(*keep, *[F.col("_r").getField(f).alias(f) for f in fields], "extra"))
+def decode_body(payloads: DataFrame, schema: StructType = BODY) -> DataFrame:
+    """Parse the JSON body, once, into a VARIANT: its known fields are read
+    from it as one struct, and ``extra`` keeps the others with the types they
+    came with.  ``malformed`` tells bodies that are not one JSON object, or
+    have a field that its type cannot hold; their fields are null."""
+    keep = [c for c in payloads.columns if c != "signature"]
+    fields = [f for f in schema.fields if f.name not in keep]
+    parsed = _once(payloads, _body=F.try_parse_json("body"))
+    read = _once(parsed, _r=F.try_variant_get("_body", "$", StructType(fields).simpleString()),
+                 _all=F.try_variant_get("_body", "$", FIELDS))
+    names = [f.name for f in fields]
+    given = F.size(F.map_filter("_all", lambda k, v: k.isin(names) & ~F.is_variant_null(v)))
+    held = F.size(F.array_compact(F.array(*[F.when(F.col("_r").getField(n).isNotNull(), 1) for n in names])))
+    told = _once(read, malformed=F.coalesce(F.col("_r").isNull() | (given != held), F.lit(True)))
+    extra = F.map_filter("_all", lambda k, v: ~k.isin(KNOWN))
+    return told.select(*payloads.columns, *[F.col("_r").getField(n).alias(n) for n in names], extra.alias("extra"),
+                       "malformed")
 
 
 def normalise(readings: DataFrame) -> DataFrame:
@@ -89,9 +98,16 @@ def tag(readings: DataFrame, tags: DataFrame) -> DataFrame:
 def enrich(payloads: DataFrame, tags: DataFrame, key: str | bytes) -> tuple[DataFrame, DataFrame]:
     """Q8: (accepted enriched readings, rejected payloads).  A rejected
     payload keeps its body and signature and names its reason."""
-    signed, unsigned = verify(payloads, key)
-    marked = signed.withColumn("_ok", body_ok())
-    malformed = (marked.where(~F.col("_ok")).drop("_ok")
-                 .withColumn("reason", F.lit(MALFORMED_BODY)))
-    accepted = marked.where(F.col("_ok")).drop("_ok")
-    return tag(normalise(decode_body(accepted)), tags), unsigned.unionByName(malformed)
+    checked = checked_payloads(payloads, key)
+    accepted = checked.where(F.col("reason").isNull()).drop("signature", "reason")
+    rejected = checked.where(F.col("reason").isNotNull()).select(*payloads.columns, "reason")
+    return tag(normalise(accepted), tags), rejected
+
+
+def checked_payloads(payloads: DataFrame, key: str | bytes) -> DataFrame:
+    """Every payload, decoded, with the ``reason`` it is refused for
+    (null: none); one signature and one parse a payload."""
+    decoded = decode_body(_once(payloads, _signed=signature_ok(key)))
+    reason = (F.when(~F.col("_signed"), F.lit(INVALID_SIGNATURE))
+              .when(F.col("malformed"), F.lit(MALFORMED_BODY)))
+    return decoded.withColumn("reason", reason).drop("_signed", "malformed")

@@ -126,10 +126,8 @@ def _payloads(spark, sf_dir):
 
 
 def _ingested(spark, sf_dir):
-    """(accepted, rejected) of the payloads, which devices have posted and
-    are therefore data at rest."""
-    stored = land(spark, _payloads(spark, sf_dir), "payloads")
-    return ingest.enrich(stored, EV.tags_from_events(_events(spark, sf_dir)), FX.SIGNING_KEY)
+    """(accepted, rejected) of the payloads."""
+    return ingest.enrich(_payloads(spark, sf_dir), EV.tags_from_events(_events(spark, sf_dir)), FX.SIGNING_KEY)
 
 
 def _enriched(spark, sf_dir):
@@ -146,7 +144,7 @@ def q_enrich_readings(spark, sf_dir):
     return rounded(accepted.select(
         "event_id", "timestamp", "sensor", "mac", "temperature_c", "temperature_f",
         "humidity", "grams", "stddev", "clear", "red", "git_hash",
-        F.col("extra")["firmware"].alias("firmware"),
+        F.to_json(F.col("extra")["firmware"]).alias("firmware"),
         X.tag("user").alias("tag_user"), X.tag("plant").alias("tag_plant"),
         X.tag("source").alias("tag_source")))
 

@@ -362,6 +362,7 @@ SQL.update({
 SELECT event_id, date_trunc('second', "timestamp") AS "timestamp", sensor, grams, stddev FROM weights""",
     "stream_weights_10min": SQL["weights_10min"],
     "stream_evaporation_10min": SQL["evaporation_10min"],
+    "stream_current_10min": SQL["weights_10min"],
     "stream_tail": f"""WITH {READINGS}
 SELECT event_id, "timestamp", sensor, grams,
   CASE WHEN "timestamp" < TIMESTAMP '{TAIL_SPLIT}' THEN 'snapshot' ELSE 'tail' END AS served FROM readings""",

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from terrarium.operators import clean, derive
-from terrarium.operators.rollup import rollup
+from terrarium.operators import derive
 from terrarium.plans import fixture as FX
 from terrarium.plans.named import rounded
 from terrarium.plans.registry import Context, default_registry
@@ -123,7 +122,7 @@ def _rollup(spark, sf_dir, name: str, values, keys=("sensor",)):
     _follow(src, chunks, lambda: reg.start(
         ctx, out, f"{root}/cp", names=[name], which=["rollup"], rollup_trigger=AVAILABLE_NOW,
         state_partitions=_parallelism(spark)))
-    return src, _rollup_values(out, f"{name}-10min", list(keys), list(values))
+    return f"{root}/cp/{name}-10min", _rollup_values(out, f"{name}-10min", list(keys), list(values))
 
 
 def q_stream_weights_10min(spark, sf_dir):
@@ -143,16 +142,20 @@ def q_stream_temperatures_10min(spark, sf_dir):
 
 def q_stream_evaporation_10min(spark, sf_dir):
     """Evaporation windows rolled up again, in append mode, and the
-    windows that are still open at the end of the log."""
-    src, closed = _rollup(spark, sf_dir, "evaporation", ["ml_hour"])
-    readings, _ = decode(src.scan("readings"), schema=EXTENDED, ntz=True)
+    windows that the query's state still holds open."""
+    checkpoint, closed = _rollup(spark, sf_dir, "evaporation", ["ml_hour"])
+    opened = streams.open_chained_windows(spark, checkpoint, ["ml_hour"], ["sensor"], derive.LOSS_STATE,
+                                          derive.loss_of_state)
+    return streams.current(closed, rounded(opened), ["sensor"])
 
-    def rolled(rows: DataFrame) -> DataFrame:
-        weights = clean.clean_weights(rows, lo=FX.LO, hi=FX.HI, max_stddev=FX.MAX_STDDEV,
-                                      caps=FX.CAPS, retires=FX.RETIRES)
-        return rounded(rollup(derive.loss(weights, None), ["ml_hour"], ["sensor"]))
 
-    return streams.with_open_windows(closed, readings, rolled)
+def q_stream_current_10min(spark, sf_dir):
+    """K2/T5: an update-mode rollup as a page would show it now: open windows
+    from the running query's state, the others from the change log."""
+    checkpoint, written = _rollup(spark, sf_dir, "weights", ["grams", "stddev"])
+    opened = streams.open_windows(spark, checkpoint, ["grams", "stddev"], ["sensor"])
+    # state goes with its checkpoint: its rows are few (the open windows)
+    return streams.current(written, rounded(opened), ["sensor"])
 
 
 def q_stream_late_10min(spark, sf_dir):
@@ -244,6 +247,7 @@ QUERIES = {
     "stream_water_10min": q_stream_water_10min,
     "stream_temperatures_10min": q_stream_temperatures_10min,
     "stream_evaporation_10min": q_stream_evaporation_10min,
+    "stream_current_10min": q_stream_current_10min,
     "stream_late_10min": q_stream_late_10min,
     "stream_tail": q_stream_tail,
     "stream_tail_latest": q_stream_tail_latest,

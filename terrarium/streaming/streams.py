@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -133,24 +133,54 @@ def start_appended_rollup(agg: DataFrame, out: FileLog, topic: str, keys: Sequen
     return _trigger(w.outputMode("append"), trigger).start()
 
 
-def with_open_windows(closed: DataFrame, readings: DataFrame,
-                      rolled: Callable[[DataFrame], DataFrame], width: str = "10 minutes",
-                      inner_width: str = "5 minutes", ts: str = "timestamp") -> DataFrame:
-    """T4: all windows of a chained rollup, the ones a stream has not closed
-    yet included.
-
-    Append mode emits a window once the watermark has passed it, so the last
-    windows of the log stay open.  They are computed in batch by ``rolled``
-    from the ``readings`` past the newest closed window only (one scalar is
-    fetched for that bound), and put beside the closed ones."""
-    newest = closed.agg(F.max(ts)).first()[0]
-    if newest is None:
-        return rolled(readings)
-    newest = F.lit(newest).cast(readings.schema[ts].dataType)
-    # an outer window also holds inner windows that began before it
-    first = newest + F.expr(f"INTERVAL {width}") - F.expr(f"INTERVAL {inner_width}")
-    late = rolled(readings.where(F.col(ts) >= first))
-    return closed.unionByName(late.where(F.col(ts).cast("timestamp") > newest.cast("timestamp")).select(closed.columns))
+def state_rows(spark: SparkSession, checkpoint: str, operator: int, fields: str) -> DataFrame:
+    """The state that a stateful operator of a query held after its last
+    micro-batch, from the query's checkpoint: the key columns, and the
+    aggregation buffers renamed to ``fields`` (``name type`` pairs, in order)."""
+    state = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+    return state.select("key.*", F.col("value").cast(f"struct<{fields}>").alias("value")).select("*", "value.*").drop("value")
+
+
+def _averages(values: Sequence[str]) -> str:
+    return ", ".join(f"sum_{v}: double, count_{v}: bigint" for v in values)
+
+
+def _averaged(sums: DataFrame, values: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    return sums.select("timestamp", *keys, *[F.try_divide(f"sum_{v}", f"count_{v}").alias(v) for v in values])
+
+
+def open_windows(spark: SparkSession, checkpoint: str, values: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """T5: the windows of an update-mode rollup that its watermark has not
+    passed, as they are now."""
+    held = state_rows(spark, checkpoint, 0, _averages(values))
+    return _averaged(held.withColumn("timestamp", F.col("window.start")), values, keys)
+
+
+def open_chained_windows(spark: SparkSession, checkpoint: str, values: Sequence[str], keys: Sequence[str],
+                         inner_fields: str, inner_rows: Callable[[DataFrame], DataFrame],
+                         width: str = "10 minutes") -> DataFrame:
+    """T4: the windows of a chained rollup that append mode has not emitted,
+    as they would be if the stream ended here.
+
+    The outer operator's state holds the sums of inner windows that are
+    closed; ``inner_rows`` turns the inner operator's buffers
+    (``inner_fields``) into rows like those the stream emits, labelled by
+    their window's end.  Rows that came too late are in neither state."""
+    outer = state_rows(spark, checkpoint, 0, _averages(values)).withColumn(
+        "timestamp", F.col("window.start") + F.expr("INTERVAL 1 MICROSECOND")).drop("window")
+    inner = inner_rows(state_rows(spark, checkpoint, 1, inner_fields))
+    added = inner.select(window_col("timestamp", width).start.alias("timestamp"), *keys, *[
+        c for v in values for c in (F.col(v).alias(f"sum_{v}"), F.col(v).isNotNull().cast("long").alias(f"count_{v}"))])
+    sums = [f(f"{p}_{v}").alias(f"{p}_{v}") for v in values for p, f in (("sum", F.sum), ("count", F.sum))]
+    return _averaged(outer.unionByName(added).groupBy("timestamp", *keys).agg(*sums), values, keys)
+
+
+def current(closed: DataFrame, opened: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All windows of a rollup: the ones still open from state, the others as
+    they were written."""
+    now = opened.select(*[F.col(c).cast(closed.schema[c].dataType).alias(c) for c in closed.columns])
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"o.{k}")) for k in ("timestamp", *keys)]
+    return closed.alias("c").join(now.alias("o"), same, "left_anti").unionByName(now)
 
 
 def tail(log: FileLog, topics: str | Sequence[str], on_batch: Callable[[DataFrame, int], None],

@@ -76,11 +76,31 @@ def test_upper_case_signature_malformed_body_and_unknown_field(spark):
     accepted, rejected = ingest.enrich(_signed(spark, rows), tags(spark), KEY)
     got = {r["id"]: r for r in accepted.collect()}
     assert set(got) == {"good"} and got["good"]["body"] == good
-    assert got["good"]["extra"] == {"firmware": '{"v":7}', "note": "x"}
+    assert {k: v.toPython() for k, v in got["good"]["extra"].items()} == {"firmware": {"v": 7}, "note": "x"}
     assert {r["id"]: r["reason"] for r in rejected.collect()} == {
         "upper": ingest.INVALID_SIGNATURE, **{k: ingest.MALFORMED_BODY for k in ("text", "cut", "list", "type", "empty")}}
 
 
+def test_one_parse_and_one_signature_a_payload(spark, tmp):
+    payloads(spark).write.parquet(f"{tmp}/p")
+    accepted, rejected = ingest.enrich(spark.read.parquet(f"{tmp}/p"), tags(spark), KEY)
+    for df, parses in ((accepted, 1), (rejected, 1)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert plan.count("parsejson(") == parses and plan.count("unhex") <= 4, plan
+
+
+def test_unknown_fields_keep_their_types_into_the_log(spark, tmp):
+    from terrarium.sources.log import FileLog
+
+    body = json.dumps({"sensor": "aabbccddee01-dht", "temperature_c": 21, "fw": {"v": 7, "ok": [True, None, 1.5]},
+                       "n": 3, "none": None, "tags": None, "lux": None})
+    accepted, _ = ingest.enrich(_signed(spark, [("x", body, False)]), tags(spark), KEY)
+    log = FileLog(spark, f"{tmp}/log")
+    log.append("readings", accepted.select("sensor", "temperature_c", "extra"))
+    (record,) = log.scan("readings").collect()
+    assert json.loads(record["value"])["extra"] == {"fw": {"v": 7, "ok": [True, None, 1.5]}, "n": 3, "none": None}
+
+
 def test_joins_see_files_that_others_add(spark, tmp):
     """A dimension or a history that grows between two calls is read anew."""
     from terrarium.operators import derive
