@@ -369,6 +369,9 @@ SELECT event_id, "timestamp", sensor, grams,
     "stream_water_10min": SQL["water_10min"],
     "stream_temperatures_10min": SQL["temperatures_10min"],
 })
+SQL["stream_latest_point"] = f"""WITH {WEIGHTS}
+SELECT sensor AS series, date_trunc('hour', "timestamp") AS x, grams AS y, event_id FROM weights
+QUALIFY row_number() OVER (PARTITION BY sensor, date_trunc('hour', "timestamp") ORDER BY event_id DESC) = 1"""
 SQL["stream_tail_latest"] = f"""WITH {READINGS}
 SELECT event_id, "timestamp", sensor, grams FROM readings
 WHERE "timestamp" >= TIMESTAMP '{TAIL_SPLIT}' OR "timestamp" IS NULL"""
@@ -389,6 +392,9 @@ u AS (
 )
 SELECT topic, key, start AS "timestamp", sensor, grams FROM u
 QUALIFY row_number() OVER (PARTITION BY key ORDER BY ord DESC, o DESC) = 1""",
+    "stream_dead_letters": f"""WITH {PAYLOADS}
+SELECT 'corrupt' AS output, event_id, body, 1::BIGINT AS n FROM pay WHERE NOT json_valid(body)
+UNION ALL SELECT 'decoded', NULL, NULL, count(*) FROM pay WHERE json_valid(body)""",
     "csv_export": f"""WITH x AS ({SQL["export_rows"]})
 SELECT "timestamp", name, round(temp, {D}) AS temp, humidity FROM x""",
     # late rows count only where their window ends after the watermark of the first two appends

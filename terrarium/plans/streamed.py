@@ -13,15 +13,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from terrarium.operators import derive
 from terrarium.plans import fixture as FX
 from terrarium.plans.named import rounded
 from terrarium.plans.registry import Context, default_registry
 from terrarium.schema import EXTENDED, LOG
-from terrarium.session import ensure_utc, shared_dir
-from terrarium.sources.events import load, readings_from_events
+from terrarium.session import conf_scope, ensure_utc, shared_dir
+from terrarium.sources.events import load, payloads_from_events, readings_from_events
 from terrarium.sources.log import FileLog, compacted, decode
 from terrarium.streaming import streams
 
@@ -101,7 +101,6 @@ def _rollup_values(out: FileLog, topic: str, keys, values) -> DataFrame:
 
 
 def _schema(cols):
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
     return StructType([StructField(c, DoubleType() if c not in ("timestamp", "sensor")
                                    else StringType()) for c in cols])
 
@@ -158,6 +157,47 @@ def q_stream_current_10min(spark, sf_dir):
     return streams.current(written, rounded(opened), ["sensor"])
 
 
+def q_stream_latest_point(spark, sf_dir):
+    """A live series in which a later point of the same hour replaces an
+    earlier one, over four appends."""
+    root, src, chunks, out, reg, ctx = _setup(spark, sf_dir, "series")
+    weights = reg.datasets["weights"].fn
+
+    def start():
+        with conf_scope(spark, {"spark.sql.shuffle.partitions": _parallelism(spark)}):
+            return [streams.start_series(weights(ctx), out, "points", "sensor", "grams", "event_id", f"{root}/cp",
+                                         trigger=AVAILABLE_NOW)]
+
+    _follow(src, chunks, start)
+    good, _ = decode(compacted(out, "points").select("topic", "partition", "offset", "value"), schema=StructType([
+        StructField("timestamp", StringType()), StructField("series", StringType()),
+        StructField("y", DoubleType()), StructField("event_id", LongType())]), ntz=True)
+    return good.select("series", F.col("timestamp").alias("x"), "y", "event_id")
+
+
+def q_stream_dead_letters(spark, sf_dir):
+    """P20: the device bodies as a topic, decoded by a stream in four appends;
+    what does not decode is kept, as it came, beside the readings."""
+    ensure_utc(spark)
+    root = shared_dir(spark, "streams", "dead", unique=True)
+    src, out = FileLog(spark, f"{root}/in"), FileLog(spark, f"{root}/out")
+    for chunk in pieces(load(spark, sf_dir, "events")):
+        bodies = payloads_from_events(chunk, FX.SIGNING_KEY, FX.WRONG_KEY)
+        src.append_records(bodies.select(
+            F.lit(None).cast("binary").alias("key"), F.encode("body", "UTF-8").alias("value"), F.lit("bodies").alias("topic"),
+            F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
+            F.lit("2024-01-01").cast("timestamp").alias("timestamp")), topic="bodies")
+        _run([streams.start_decoded(src, "bodies", out, "decoded", "corrupt", f"{root}/cp", trigger=AVAILABLE_NOW)])
+    text = F.col("value").cast("string")
+    dead = out.scan("corrupt").select(F.lit("corrupt").alias("output"),
+                                      F.get_json_object(text, "$.offset").cast("long").alias("event_id"),
+                                      F.get_json_object(text, "$.value").alias("body"), F.lit(1).cast("long").alias("n"))
+    fine = out.scan("decoded").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("decoded").alias("output"), F.lit(None).cast("long").alias("event_id"),
+        F.lit(None).cast("string").alias("body"), "n")
+    return dead.unionByName(fine)
+
+
 def q_stream_late_10min(spark, sf_dir):
     """Rows that come after the watermark has passed their window do not
     change it.  Every hundredth row of the first append comes with the third."""
@@ -248,6 +288,8 @@ QUERIES = {
     "stream_temperatures_10min": q_stream_temperatures_10min,
     "stream_evaporation_10min": q_stream_evaporation_10min,
     "stream_current_10min": q_stream_current_10min,
+    "stream_latest_point": q_stream_latest_point,
+    "stream_dead_letters": q_stream_dead_letters,
     "stream_late_10min": q_stream_late_10min,
     "stream_tail": q_stream_tail,
     "stream_tail_latest": q_stream_tail_latest,

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -133,6 +133,51 @@ def start_appended_rollup(agg: DataFrame, out: FileLog, topic: str, keys: Sequen
     return _trigger(w.outputMode("append"), trigger).start()
 
 
+def start_series(df: DataFrame, out: FileLog, topic: str, series: str, y: str, order: str,
+                 checkpoint: str, width: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
+    """T11 for streams: points of a series that fall on one time (``width``
+    wide) replace each other, the newest by ``order`` stays.  Written as a
+    keyed change log in update mode; state is held until the watermark has
+    passed a point's time."""
+    newest = df.groupBy(window_col("timestamp", width).alias("w"), F.col(series).alias("series")).agg(
+        F.max_by(y, order).alias("y"), F.max(order).alias(order))
+    points = newest.select(F.col("w.start").alias("timestamp"), "series", "y", order)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out.write_stream_batch(topic, batch, checkpoint, batch_id, key_cols=["timestamp", "series"])
+
+    w = points.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(w.outputMode("update"), trigger).start()
+
+
+def start_decoded(log: FileLog, topic: str, out: FileLog, good_topic: str, corrupt_topic: str, checkpoint: str,
+                  schema: StructType = EXTENDED, trigger: dict | None = None,
+                  on_counts: Callable[[int, dict], None] | None = None) -> StreamingQuery:
+    """P20: one scan of ``topic`` with two outputs: readings that decode, and
+    the records that do not, as they came, in a topic of their own.  The
+    numbers of both are counted on the way (``Observation``) and handed to
+    ``on_counts`` with the micro-batch's id."""
+    stream = log.scan(topic, batch=False)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        records = batch.withColumnRenamed("timestamp", "logged").persist()
+        try:
+            good, corrupt = decode(records, schema=schema, keep=("topic", "partition", "offset", "logged"))
+            counts = {}
+            for name, rows, to in (("good", good.select([f.name for f in schema.fields]), good_topic),
+                                   ("corrupt", corrupt, corrupt_topic)):
+                seen = Observation()
+                if out.write_stream_batch(to, rows.observe(seen, F.count(F.lit(1)).alias("n")), checkpoint, batch_id):
+                    counts[name] = seen.get["n"]     # an output published before a failure is not counted again
+            if on_counts is not None:
+                on_counts(batch_id, counts)
+        finally:
+            records.unpersist()
+
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(w.outputMode("append"), trigger).start()
+
+
 def state_rows(spark: SparkSession, checkpoint: str, operator: int, fields: str) -> DataFrame:
     """The state that a stateful operator of a query held after its last
     micro-batch, from the query's checkpoint: the key columns, and the

@@ -213,3 +213,50 @@ def test_last_open_window_of_the_chained_rollup_is_served(spark, tmp):
         want = sorted(map(tuple, named.q_evaporation_10min(spark, folder).collect()))
         got = sorted(map(tuple, streamed.q_stream_evaporation_10min(spark, folder).collect()))
         assert got == want and len(got) == len(part) // 2
+
+
+def test_dead_letters_are_kept_and_counted(spark, tmp):
+    """P20: one scan, two outputs, both counted; a restart adds to them."""
+    from terrarium.sources.log import LOG
+
+    src, out, counts = FileLog(spark, f"{tmp}/in"), FileLog(spark, f"{tmp}/out"), {}
+    import datetime as dt
+    for n, values in enumerate((['{"sensor":"a","grams":1.5}', "{cut", "text"], ['{"sensor":"b"}', "[1]"])):
+        rows = [(None, v.encode(), "t", 0, 10 * n + k, dt.datetime(2024, 1, 1)) for k, v in enumerate(values)]
+        src.append_records(spark.createDataFrame(rows, LOG), "t")
+        streams.start_decoded(src, "t", out, "good", "bad", f"{tmp}/cp", trigger=NOW,
+                              on_counts=counts.__setitem__).awaitTermination()
+    assert counts == {0: {"good": 1, "corrupt": 2}, 1: {"good": 1, "corrupt": 1}}
+    assert sorted(json.loads(r["value"])["sensor"] for r in out.scan("good").collect()) == ["a", "b"]
+    bad = [json.loads(r["value"]) for r in out.scan("bad").collect()]
+    assert sorted((b["value"], b["offset"]) for b in bad) == [("[1]", 11), ("text", 2), ("{cut", 1)]
+
+
+def test_open_windows_leave_out_rows_that_came_too_late(spark, tmp):
+    """T4: a row the stream has dropped is not in its open windows either."""
+    from terrarium.operators import derive
+    import datetime as dt
+
+    def add(log, *rows):
+        df = spark.createDataFrame([(dt.datetime(2024, 1, 1, h, m), "a", float(g)) for h, m, g in rows],
+                                   "timestamp timestamp, sensor string, grams double")
+        log.append("readings", df, time_text=F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss -0000"))
+
+    src, out = FileLog(spark, f"{tmp}/in"), FileLog(spark, f"{tmp}/out")
+
+    def run():
+        rows = streams.readings_stream(src)
+        inner = derive.loss(rows, None, label="time")
+        agg = streams.rollup_of_windows(inner, ["ml_hour"], ["sensor"], "5 minutes")
+        streams.start_appended_rollup(agg, out, "e", ["sensor"], f"{tmp}/cp", trigger=NOW).awaitTermination()
+
+    add(src, (0, 1, 100), (0, 4, 95))
+    run()
+    add(src, (5, 1, 90), (5, 4, 83))
+    run()
+    add(src, (0, 2, 200), (0, 3, 190), (5, 2, 90))        # the first two are far too late
+    run()
+    opened = streams.open_chained_windows(spark, f"{tmp}/cp", ["ml_hour"], ["sensor"], derive.LOSS_STATE,
+                                          derive.loss_of_state).collect()
+    assert [(r["timestamp"], r["ml_hour"]) for r in opened] == [(dt.datetime(2024, 1, 1, 5, 0), 7.0)]
+    assert [(g["timestamp"], g["ml_hour"]) for g in _compacted_rows(out, "e")] == [("2024-01-01 00:00:00 +0000", 5.0)]
