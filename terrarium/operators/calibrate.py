@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from terrarium.functions import expr as X
 from terrarium.operators.asof import asof_joins
@@ -55,3 +60,77 @@ def calibrated(readings: DataFrame, calibrations: DataFrame, sensor: str = "sens
     k = F.coalesce(F.col("one_kg"), F.lit(DEFAULT_POINT))
     return (out.withColumn("zero", z).withColumn("one_kg", k)
             .withColumn("grams", X.calibrate(F.col(raw), z, k)))
+
+
+#: Readings of one sensor are dealt over this many groups of a stream's state.
+SPREAD = 8
+_HELD = "zero_t array<long>, zero_v array<double>, one_t array<long>, one_v array<double>, t array<long>, raw array<double>"
+_FOUND = "sensor string, timestamp timestamp, raw double, zero double, one_kg double"
+
+
+def _merged(times: np.ndarray, values: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray]:
+    """Presses by time, of equal times the largest (-inf: no value), without
+    those before the last one at ``mark``: no reading to come meets them."""
+    order = np.lexsort((values, times))
+    times, values = times[order], values[order]
+    last = np.append(times[1:] != times[:-1], True)[:times.size]
+    times, values = times[last], values[last]
+    first = max(int(np.searchsorted(times, mark, side="right")) - 1, 0)
+    return times[first:], values[first:]
+
+
+def _as_of_watermark(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    held = [np.array(a, dtype=k) for a, k in zip(state.get if state.exists else ([],) * 6, ("i8", "f8") * 3)]
+    mark = state.getCurrentWatermarkMs() * 1000
+    parts = [[a] for a in held]
+    for f in frames:
+        t = f["micros"].to_numpy("i8")
+        raw = f["raw"].to_numpy("f8", na_value=np.nan)
+        for i, rows in enumerate((f["point"] == ZERO, f["point"] == ONE_KG, f["point"].isna())):
+            rows = rows.to_numpy(bool)
+            parts[2 * i].append(t[rows])
+            parts[2 * i + 1].append(raw[rows] if i == 2 else np.where(np.isnan(raw[rows]), -np.inf, raw[rows]))
+    held = [np.concatenate(a) for a in parts]
+    t, raw = held[4], held[5]
+    closed = t <= mark
+    points = []
+    for i in (0, 2):
+        # all presses that a closed reading can meet came before the watermark passed it
+        times, values = _merged(held[i], held[i + 1], np.iinfo("i8").min)
+        at = np.searchsorted(times, t[closed], side="right") - 1
+        v = np.append(values, -np.inf)[at]
+        points.append(np.where(np.isneginf(v), DEFAULT_POINT, v))
+        held[i], held[i + 1] = _merged(times, values, mark)
+    if closed.any():
+        yield pd.DataFrame({"sensor": key[0], "timestamp": pd.to_datetime(t[closed], unit="us"), "raw": raw[closed],
+                            "zero": points[0], "one_kg": points[1]})
+    held[4], held[5] = t[~closed], raw[~closed]
+    state.update(tuple(a.tolist() for a in held))
+    if held[4].size:
+        state.setTimeoutTimestamp(int(held[4].min()) // 1000 + 1)
+
+
+def calibrated_stream(readings: DataFrame, presses: DataFrame, watermark: str = "10 minutes",
+                      spread: int = SPREAD) -> DataFrame:
+    """Q11 while the stream runs: ``readings`` (sensor, timestamp, raw) and
+    ``presses`` (sensor, point, timestamp, raw) are streams; a reading comes
+    out, with the points that ``calibrated`` would give it, once the watermark
+    has passed its time, as no press can come between any more.
+
+    The state of a sensor is its latest press of each point and what is newer
+    than the watermark, however long a press holds.  (A join of the two
+    streams on an interval holds back what is windowed on top of it for the
+    whole interval, as long as a press may hold.)  Readings of a sensor
+    are dealt over ``spread`` groups, each of which gets the sensor's few
+    presses.  Late rows are dropped; readings without a sensor get the
+    defaults; rows without a time are left out; a press without a value counts as never saved."""
+    micros = F.unix_micros("timestamp").alias("micros")
+    deal = F.pmod(F.xxhash64("timestamp", "raw"), F.lit(spread)).cast("int").alias("part")
+    rows = readings.select("sensor", deal, F.lit(None).cast("string").alias("point"), "timestamp", "raw")
+    saved = presses.where(F.col("point").isin(ZERO, ONE_KG) & F.col("sensor").isNotNull()).select(
+        "sensor", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part"), "point", "timestamp", "raw")
+    both = (rows.unionByName(saved).where(F.col("timestamp").isNotNull()).withWatermark("timestamp", watermark)
+            .select("sensor", "part", "point", "timestamp", "raw", micros))
+    found = both.groupBy("sensor", "part").applyInPandasWithState(
+        _as_of_watermark, _FOUND, _HELD, "append", GroupStateTimeout.EventTimeTimeout)
+    return found.withColumn("grams", X.calibrate(F.col("raw"), F.col("zero"), F.col("one_kg")))

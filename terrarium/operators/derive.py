@@ -26,6 +26,11 @@ def ranges(weights: DataFrame) -> DataFrame:
                                          F.max("grams").alias("max"))
 
 
+def merged_ranges(known: DataFrame, more: DataFrame) -> DataFrame:
+    """Ranges that grow: those of two sets of weights together."""
+    return known.unionByName(more).groupBy("sensor").agg(F.min("min").alias("min"), F.max("max").alias("max"))
+
+
 def with_range(weights: DataFrame, rng: DataFrame) -> DataFrame:
     """Inner equi-join USING sensor; unmatched and null sensors drop."""
     return weights.join(rng.select("sensor", "min", "max"), ["sensor"])

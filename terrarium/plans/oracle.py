@@ -423,3 +423,29 @@ SELECT 'log' AS sink, event_id, sensor FROM parsed""",
 SELECT event_id, date_trunc('second', "timestamp") AS "timestamp", sensor, round(grams, {D}) AS grams,
   round("min", {D}) AS "min", round("max", {D}) AS "max", round(water, {D}) AS water FROM water""",
 })
+
+# the ranges of an append are those of all appends up to it
+SQL["stream_growing_10min"] = f"""WITH {WEIGHTS},
+cuts AS (SELECT min(event_id) AS lo, max(event_id) - min(event_id) + 1 AS n FROM events),
+placed AS (
+  SELECT weights.*, coalesce((event_id >= lo + n // 4)::INT + (event_id >= lo + n * 2 // 4)::INT
+                             + (event_id >= lo + n * 3 // 4)::INT, 0) AS append
+  FROM weights, cuts
+),
+known AS (
+  SELECT DISTINCT sensor, append, min(grams) OVER (PARTITION BY sensor ORDER BY append) AS low
+  FROM placed WHERE sensor IS NOT NULL
+),
+water AS (
+  SELECT "timestamp", placed.sensor, grams - low AS water FROM placed JOIN known USING (sensor, append)
+)
+{_rollup('water', ['water'], ['sensor'])}"""
+# readings that the watermark of all appends has passed
+SQL["stream_calibrated"] = f"""WITH {CALIB},
+passed AS (
+  SELECT (epoch_us(max(t)) // 1000 - 600000) * 1000 AS mark
+  FROM (SELECT reading_ts AS t FROM stats UNION ALL SELECT ts FROM cal) u
+)
+SELECT sensor, "timestamp", round(raw, {D}) AS raw, round(zero, {D}) AS zero, round(one_kg, {D}) AS one_kg,
+  round((raw - zero) * 1000.0 / nullif(one_kg - zero, 0), {D}) AS grams
+FROM cw, passed WHERE epoch_us("timestamp") <= mark"""

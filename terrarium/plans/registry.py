@@ -13,11 +13,12 @@ each other's functions (water calls weights).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from terrarium.operators import clean, derive
 from terrarium.operators.rollup import rollup
@@ -42,6 +43,7 @@ class Context:
     readings: Callable[[], DataFrame]
     ranges: Callable[[], DataFrame] | None = None
     streaming: bool = False
+    growing: bool = False       # every sensor of the readings has a range
     cache: dict = field(default_factory=dict)
 
     def ranges_df(self) -> DataFrame:
@@ -60,17 +62,24 @@ class Dataset:
     fn: Callable[[Context], DataFrame]
     width: str = ROLLUP_WIDTH
     inner_width: str | None = None  # set when fn's rows are already windows (end label)
+    ranged: bool = False        # fn joins its rows with the ranges
+
+    def row_schema(self) -> StructType:
+        """Time, keys and values, as a record of the raw topic holds them."""
+        return StructType([StructField(c, StringType()) for c in ("timestamp", *self.keys)]
+                          + [StructField(v, DoubleType()) for v in self.values])
 
 
 class Registry:
     def __init__(self) -> None:
         self.datasets: dict[str, Dataset] = {}
+        self.started: list[tuple[str, StreamingQuery]] = []    # (output topic, query)
 
     def stream(self, name: str, values: Sequence[str], keys: Sequence[str] = (),
-               rollup: str = ROLLUP_WIDTH, inner_width: str | None = None):
+               rollup: str = ROLLUP_WIDTH, inner_width: str | None = None, ranged: bool = False):
         def deco(fn):
             self.datasets[name] = Dataset(name, tuple(values), tuple(keys), fn, rollup,
-                                          inner_width)
+                                          inner_width, ranged)
             return fn
         return deco
 
@@ -88,24 +97,44 @@ class Registry:
     def start(self, ctx: Context, out: FileLog, checkpoint_root: str,
               names: Sequence[str] | None = None, which: Sequence[str] = ("raw", "rollup"),
               raw_trigger: dict | None = None, rollup_trigger: dict | None = None,
-              reset: bool = True, state_partitions: int | None = None) -> list[StreamingQuery]:
+              reset: bool = True, state_partitions: int | None = None,
+              growing: Callable[[Context], DataFrame] | None = None) -> list[StreamingQuery]:
         """Launch the raw and rollup queries of each dataset.
 
         Default triggers follow the reference: one minute for raw streams,
         as fast as possible for rollups.  A dataset without a checkpoint
         first drops its old output topics (K6).  ``state_partitions`` fixes
         the shuffle/state partition count of the stateful queries (it is
-        stored in the checkpoint at first start)."""
+        stored in the checkpoint at first start).
+
+        T9/N9: ``growing`` gives the ranges of a micro-batch's readings.  With
+        it no snapshot of the ranges is needed: a dataset that joins them keeps
+        a table of its own, one version a micro-batch, and joins each
+        micro-batch with the version that knows it, so a sensor has its rows
+        from its first reading on.  Its rollup follows the raw topic, where
+        the joined rows are, so its raw query has to run as well.
+
+        T8: the jobs of each query run in a scheduler pool named after its
+        output topic (shares are fair where ``spark.scheduler.mode`` is)."""
         settings = {"spark.sql.shuffle.partitions": state_partitions} if state_partitions else {}
         with conf_scope(ctx.spark, settings):
             return self._start(ctx, out, checkpoint_root, names, which, raw_trigger,
-                               rollup_trigger, reset)
+                               rollup_trigger, reset, growing)
 
     def _start(self, ctx, out, checkpoint_root, names, which, raw_trigger, rollup_trigger,
-               reset) -> list[StreamingQuery]:
+               reset, growing) -> list[StreamingQuery]:
         raw_trigger = raw_trigger or {"processingTime": streams.RAW_TRIGGER}
+        if growing:
+            ctx = replace(ctx, growing=True, cache={})
         started: list[StreamingQuery] = []
+
+        def begin(topic: str, start: Callable[..., StreamingQuery], *args, **opts) -> None:
+            with streams.pool(ctx.spark, topic):
+                started.append(start(*args, **opts))
+            self.started.append((topic, started[-1]))
+
         for d in self._select(names):
+            rollup_topic = d.name + ROLLUP_SUFFIX
             cp_raw = f"{checkpoint_root}/{d.name}"
             cp_roll = f"{checkpoint_root}/{d.name}{ROLLUP_SUFFIX}"
             if reset:
@@ -113,23 +142,44 @@ class Registry:
                     streams.reset_if_new(out, [d.name], cp_raw)
                 if "rollup" in which:
                     streams.reset_if_new(out, [d.name + ROLLUP_SUFFIX], cp_roll)
-            if "raw" in which:
+            grown = growing if d.ranged else None
+            if "raw" in which and grown:
+                begin(d.name, self._start_grown, d, ctx, grown, out, cp_raw, raw_trigger)
+            elif "raw" in which:
                 raw = d.fn(ctx)
                 if d.inner_width:  # rows are windows labelled end - 1 µs: show the end
                     raw = raw.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 MICROSECOND"))
-                started.append(streams.start_raw(raw, out, d.name, cp_raw, trigger=raw_trigger))
+                begin(d.name, streams.start_raw, raw, out, d.name, cp_raw, trigger=raw_trigger)
             if "rollup" in which:
-                src = d.fn(ctx)
+                src = streams.readings_stream(out, d.name, d.row_schema()) if grown else d.fn(ctx)
                 if d.inner_width:
                     agg = streams.rollup_of_windows(src, d.values, d.keys, d.inner_width, d.width)
-                    started.append(streams.start_appended_rollup(
-                        agg, out, d.name + ROLLUP_SUFFIX, d.keys, cp_roll, trigger=rollup_trigger))
+                    begin(rollup_topic, streams.start_appended_rollup, agg, out, rollup_topic, d.keys, cp_roll,
+                          trigger=rollup_trigger)
                 else:
-                    started.append(streams.start_rollup(
-                        src, out, d.name + ROLLUP_SUFFIX, d.values, d.keys, cp_roll,
-                        width=d.width, trigger=rollup_trigger))
+                    begin(rollup_topic, streams.start_rollup, src, out, rollup_topic, d.values, d.keys, cp_roll,
+                          width=d.width, trigger=rollup_trigger)
         return started
 
+    @staticmethod
+    def _start_grown(d: Dataset, ctx: Context, growing: Callable[[Context], DataFrame], out: FileLog,
+                     checkpoint: str, trigger: dict) -> StreamingQuery:
+        """The raw output of a dataset whose ranges grow: each micro-batch adds
+        its own to the last version and is joined with the outcome."""
+        def write(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            batch = batch.persist()
+            try:
+                own = Context(spark, lambda: batch, growing=True)
+                ranges = streams.next_version(spark, f"{checkpoint}-ranges", batch_id, growing(own),
+                                              derive.merged_ranges)
+                out.write_stream_batch(d.name, d.fn(replace(own, ranges=lambda: ranges, cache={})), checkpoint, batch_id)
+            finally:
+                batch.unpersist()
+
+        w = ctx.readings().writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        return w.outputMode("append").trigger(**trigger).start()
+
     def start_shared_raw(self, ctx: Context, out: FileLog, checkpoint: str,
                          names: Sequence[str] | None = None,
                          trigger: dict | None = None,
@@ -163,13 +213,15 @@ class Registry:
              .option("checkpointLocation", checkpoint).outputMode("append"))
         return w.trigger(**trigger).start()
 
-    @staticmethod
-    def await_any(spark: SparkSession, timeout: float | None = None) -> None:
-        """Block until any of the session's streaming queries ends."""
-        if timeout is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(timeout)
+    def await_any(self, spark: SparkSession, timeout: float | None = None) -> dict[str, str | None]:
+        """Wait until any of the queries that ``start`` launched ends, or
+        for ``timeout`` seconds: the output topics of those that have ended
+        since the last call, each with its error (None: it was stopped or had
+        nothing left to do).  The others go on."""
+        ended = streams.await_any(spark, [q for _, q in self.started], timeout)
+        found = {topic: ended[q.id] for topic, q in self.started if q.id in ended}
+        self.started = [(topic, q) for topic, q in self.started if q.id not in ended]
+        return found
 
     # -- catalog ---------------------------------------------------------
     def specs(self) -> list[dict]:
@@ -224,18 +276,18 @@ def default_registry(lo: float = clean.DEFAULT_LO, hi: float = clean.DEFAULT_HI,
         return clean.clean_weights(ctx.readings(), lo=lo, hi=hi, max_stddev=max_stddev,
                                    caps=caps, retires=retires)
 
-    @reg.stream("water", values=["water"], keys=["sensor"])
+    @reg.stream("water", values=["water"], keys=["sensor"], ranged=True)
     def water(ctx: Context) -> DataFrame:
         return derive.water(weights(ctx), ctx.ranges_df())
 
-    @reg.stream("water_rel", values=["water"], keys=["sensor"])
+    @reg.stream("water_rel", values=["water"], keys=["sensor"], ranged=True)
     def water_rel(ctx: Context) -> DataFrame:
         return derive.water_rel(weights(ctx), ctx.ranges_df())
 
     @reg.stream("evaporation", values=["ml_hour"], keys=["sensor"], inner_width=loss_width)
     def evaporation(ctx: Context) -> DataFrame:
         label = "time" if ctx.streaming else "end"
-        return derive.loss(weights(ctx), ctx.ranges_df(), width=loss_width, label=label)
+        return derive.loss(weights(ctx), None if ctx.growing else ctx.ranges_df(), width=loss_width, label=label)
 
     @reg.stream("temperatures", values=["temperature_f"], keys=["sensor"])
     def temperatures(ctx: Context) -> DataFrame:

@@ -13,15 +13,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from terrarium.operators import derive
+from terrarium.operators import calibrate, derive
 from terrarium.plans import fixture as FX
 from terrarium.plans.named import rounded
 from terrarium.plans.registry import Context, default_registry
 from terrarium.schema import EXTENDED, LOG
 from terrarium.session import conf_scope, ensure_utc, shared_dir
-from terrarium.sources.events import load, payloads_from_events, readings_from_events
+from terrarium.sources.events import (burst_arrays_from_events, calibrations_from_events, load, payloads_from_events,
+                                      readings_from_events)
 from terrarium.sources.log import FileLog, compacted, decode
 from terrarium.streaming import streams
 
@@ -175,6 +176,56 @@ def q_stream_latest_point(spark, sf_dir):
     return good.select("series", F.col("timestamp").alias("x"), "y", "event_id")
 
 
+def q_stream_growing_10min(spark, sf_dir):
+    """Water of each append above the minimum as known by then, rolled
+    up; no snapshot of the ranges is taken, sensors get theirs as they come."""
+    root, src, chunks, out, reg, ctx = _setup(spark, sf_dir, "growing")
+    ctx.ranges = None
+
+    def start(which):
+        return reg.start(ctx, out, f"{root}/cp", names=["water"], which=[which], raw_trigger=AVAILABLE_NOW,
+                         rollup_trigger=AVAILABLE_NOW, state_partitions=_parallelism(spark),
+                         growing=lambda c: derive.ranges(reg.datasets["weights"].fn(c)))
+
+    for chunk in chunks:
+        append_readings(src, chunk)
+        for which in ("raw", "rollup"):
+            _run(start(which))
+    return _rollup_values(out, "water-10min", ["sensor"], ["water"])
+
+
+BURST = StructType([StructField("timestamp", StringType()), StructField("sensor", StringType()),
+                    StructField("samples", ArrayType(DoubleType()))])
+PRESS = StructType([StructField("timestamp", StringType()), StructField("sensor", StringType()),
+                    StructField("point", StringType()), StructField("raw", DoubleType())])
+FOUND = StructType([StructField("timestamp", StringType()), StructField("sensor", StringType())]
+                   + [StructField(c, DoubleType()) for c in ("raw", "zero", "one_kg", "grams")])
+
+
+def q_stream_calibrated(spark, sf_dir):
+    """Bursts and calibration presses as two topics, calibrated
+    while they grow over four appends: the readings the watermark has passed."""
+    ensure_utc(spark)
+    root = shared_dir(spark, "streams", "calibrated", unique=True)
+    src, out = FileLog(spark, f"{root}/in"), FileLog(spark, f"{root}/out")
+
+    def start():
+        bursts = streams.readings_stream(src, "bursts", BURST, watermark=None)
+        raw = calibrate.burst_stats_array(F.col("samples"))[1]
+        presses = streams.readings_stream(src, "presses", PRESS, watermark=None)
+        with conf_scope(spark, {"spark.sql.shuffle.partitions": _parallelism(spark)}):
+            return streams.start_raw(calibrate.calibrated_stream(bursts.withColumn("raw", raw), presses), out,
+                                     "calibrated", f"{root}/cp", trigger=AVAILABLE_NOW, time_text=_micro_text())
+
+    for chunk in pieces(load(spark, sf_dir, "events")):
+        for topic, rows in (("bursts", burst_arrays_from_events(chunk)),
+                            ("presses", calibrations_from_events(chunk).withColumnRenamed("ts", "timestamp"))):
+            src.append(topic, rows, log_time=F.col("timestamp"), time_text=_micro_text())
+        _run([start()])
+    good, _ = decode(out.scan("calibrated"), schema=FOUND, ntz=True)
+    return rounded(good.select("sensor", "timestamp", "raw", "zero", "one_kg", "grams"))
+
+
 def q_stream_dead_letters(spark, sf_dir):
     """P20: the device bodies as a topic, decoded by a stream in four appends;
     what does not decode is kept, as it came, beside the readings."""
@@ -289,6 +340,8 @@ QUERIES = {
     "stream_evaporation_10min": q_stream_evaporation_10min,
     "stream_current_10min": q_stream_current_10min,
     "stream_latest_point": q_stream_latest_point,
+    "stream_growing_10min": q_stream_growing_10min,
+    "stream_calibrated": q_stream_calibrated,
     "stream_dead_letters": q_stream_dead_letters,
     "stream_late_10min": q_stream_late_10min,
     "stream_tail": q_stream_tail,

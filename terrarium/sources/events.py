@@ -8,7 +8,7 @@ each log partition the way a partitioned log does.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrarium.functions import expr as X
@@ -206,14 +206,26 @@ READING_TYPES = ("view", "click", "error")
 def bursts_from_events(events: DataFrame) -> DataFrame:
     """Load-cell bursts in long form (``sensor, reading_ts, i, v``) for the
     weight readings: 1 + k % 10 samples each, spread around value * 100."""
-    k = _k()
-    base = (events.where(F.col("event_type").isin(*READING_TYPES))
+    return (_burst_events(events)
+            .select("*", F.explode(F.sequence(F.lit(0), (F.col("k") % 10).cast("int"))).alias("i"))
+            .select("sensor", "reading_ts", "i", _sample(F.col("i")).alias("v")))
+
+
+def _burst_events(events: DataFrame) -> DataFrame:
+    return (events.where(F.col("event_type").isin(*READING_TYPES))
             .select(F.concat(_hex12(), F.lit("-weight")).alias("sensor"),
-                    F.col("ts").alias("reading_ts"), F.col("value"), k.alias("k")))
-    return (base.select("*", F.explode(F.sequence(F.lit(0), (F.col("k") % 10).cast("int"))).alias("i"))
-            .select("sensor", "reading_ts", "i",
-                    (F.col("value") * 100 + ((F.col("k") * (F.col("i") + 3)) % 17) - 8)
-                    .cast("double").alias("v")))
+                    F.col("ts").alias("reading_ts"), F.col("value"), _k().alias("k")))
+
+
+def _sample(i: Column) -> Column:
+    return (F.col("value") * 100 + ((F.col("k") * (i + 3)) % 17) - 8).cast("double")
+
+
+def burst_arrays_from_events(events: DataFrame) -> DataFrame:
+    """The same bursts as a device sends them: ``sensor, timestamp, samples``."""
+    places = F.sequence(F.lit(0), (F.col("k") % 10).cast("int"))
+    return _burst_events(events).select("sensor", F.col("reading_ts").alias("timestamp"),
+                                        F.transform(places, _sample).alias("samples"))
 
 
 def calibrations_from_events(events: DataFrame) -> DataFrame:

@@ -10,11 +10,13 @@ this way (K2) and read back compacted (K5).
 
 from __future__ import annotations
 
+import contextlib
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from terrarium.functions import expr as X
@@ -133,6 +135,74 @@ def start_appended_rollup(agg: DataFrame, out: FileLog, topic: str, keys: Sequen
     return _trigger(w.outputMode("append"), trigger).start()
 
 
+def next_version(spark: SparkSession, path: str, version: int, more: DataFrame,
+                 merge: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Version ``version`` of a dimension table that grows with a
+    stream: the version before it merged with ``more``, written under ``path``.
+
+    Versions are numbered like the micro-batches they belong to.  A replayed
+    micro-batch writes its version again from the same two parts, and no other
+    micro-batch reads it before, so nothing has to be locked or noted.  Work
+    grows with the micro-batch and the table, not with the history; versions
+    that no replay can ask for are dropped."""
+    own = f"{path}/version={version}"
+    table = more
+    if version:
+        table = merge(spark.read.schema(more.schema).parquet(f"{path}/version={version - 1}"), more)
+    table.write.mode("overwrite").parquet(own)
+    if version > 1:
+        jvm = spark.sparkContext._jvm
+        old = jvm.org.apache.hadoop.fs.Path(f"{path}/version={version - 2}")
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+    return spark.read.schema(more.schema).parquet(own)
+
+
+@contextlib.contextmanager
+def pool(spark: SparkSession, name: str):
+    """Queries started inside run their jobs in the scheduler pool ``name``."""
+    sc = spark.sparkContext
+    old = sc.getLocalProperty("spark.scheduler.pool")
+    sc.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        yield
+    finally:
+        sc.setLocalProperty("spark.scheduler.pool", old)
+
+
+class _Ends(StreamingQueryListener):
+    """Wakes its owner when one of the queries with ``ids`` ends."""
+
+    def __init__(self, ids: set[str]):
+        self.ids, self.seen = ids, threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) in self.ids:
+            self.seen.set()
+
+
+def await_any(spark: SparkSession, queries: Sequence[StreamingQuery],
+              timeout: float | None = None) -> dict[str, str | None]:
+    """Wait until one of ``queries`` ends, or for ``timeout`` seconds: the
+    ids of those that have ended, each with its error (None: without one)."""
+    listener = _Ends({q.id for q in queries})
+    spark.streams.addListener(listener)
+    try:
+        if queries and all(q.isActive for q in queries):
+            listener.seen.wait(timeout)
+        return {q.id: str(q.exception()) if q.exception() is not None else None for q in queries if not q.isActive}
+    finally:
+        spark.streams.removeListener(listener)
+
+
 def start_series(df: DataFrame, out: FileLog, topic: str, series: str, y: str, order: str,
                  checkpoint: str, width: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
     """T11 for streams: points of a series that fall on one time (``width``
