@@ -57,6 +57,18 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
     yield start, n
 
 
+#: Characters of a text that a model is fitted on, at most.
+TRAIN_CHARS = 1 << 14
+
+
+def training_part(text: str, *seed: Column, most: int = TRAIN_CHARS) -> Column:
+    """What a model is fitted on of a text: all of it, or a part of ``most``
+    characters whose place is drawn by a hash of ``seed``."""
+    t = F.col(text)
+    places = F.greatest(F.length(t) - most, F.lit(0)) + 1
+    return F.substring(t, F.pmod(F.xxhash64(*seed), places).cast("int") + 1, F.lit(most))
+
+
 def map_texts(df: DataFrame, text: str, keep: list[str], added: T.StructType,
               function: Callable[[list], dict]) -> DataFrame:
     """Apply ``function`` to the values of column ``text``, a slice at a time.

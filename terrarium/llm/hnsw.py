@@ -254,23 +254,40 @@ def index(vectors: DataFrame, key: str, vector: str, k: int, shard_rows: int = S
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)))
     arrow = _arrow_schema(INDEX)
 
-    def make(key_: tuple, group: pa.Table) -> pa.Table:
-        group = group.sort_by([("first", "ascending")])
-        dim, shard = (x.as_py() for x in key_)
+    def graph_of(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        group = pa.Table.from_batches(parts)
+        dim, shard = group["dim"][0].as_py(), group["shard"][0].as_py()
         v = group["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
         ids = np.full((len(v), k + 1), NO_ID, np.int64)
         for r, own in enumerate(group["ids"].to_pylist()):
             ids[r, :len(own)] = own
         graph = build(v)
-        return pa.Table.from_arrays([
+        return pa.RecordBatch.from_arrays([
             pa.array([x], kind) for x, kind in zip(
                 (dim, shard, v.tobytes(), ids.tobytes(),
                  [graph.entry, *[s for layer in graph.layers for s in layer.shape]],
                  b"".join(layer.tobytes() for layer in graph.layers),
                  b"".join(p.tobytes() for p in graph.place)), arrow.types)], schema=arrow)
 
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            dims = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(dims) != 0) + 1).tolist(), len(dims)]
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                if held and held[0].column(0)[0].as_py() != dims[a]:
+                    yield graph_of(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield graph_of(held)
+
+    # a task for each shard: left to their few bytes, shards would be merged into few tasks
     return stored(dealt.select("dim", "shard", "v", "ids", F.col("ids")[0].alias("first"))
-                  .groupBy("dim", "shard").applyInArrow(make, INDEX))
+                  .repartitionById(shards, F.col("shard").cast("int"))
+                  .sortWithinPartitions("dim", "first").mapInArrow(make, INDEX))
 
 
 def load(dim: int, vectors: bytes, ids: bytes, sizes: list[int], links: bytes,
@@ -323,7 +340,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     many = asked.join(cells, "dim").select(
         "dim", "shard", F.lit(1).alias("turn"), "query", "v",
         *[F.lit(None).cast(INDEX[c].dataType).alias(c) for c in ("vectors", "ids", "sizes", "links", "places")])
-    ordered = (one.union(many).repartition("dim", "shard")
+    shards = (graphs.agg(F.max("shard")).first()[0] or 0) + 1
+    ordered = (one.union(many).repartitionById(shards, F.col("shard").cast("int"))
                .sortWithinPartitions("dim", "shard", "turn", "query"))
     schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(key, T.LongType()),
                            T.StructField("score", T.DoubleType())])

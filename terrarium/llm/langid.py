@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrarium.llm.common import map_texts
+from terrarium.llm.common import map_texts, training_part
 
 UNKNOWN = "und"
 HIDDEN = 10
@@ -279,21 +279,29 @@ def predict(model: Model | None, texts: list[str | None]) -> dict:
 
 def fit(docs: DataFrame, learn_from: Column, text: str = "text", lang: str = "lang",
         key: str = "doc_id", train_rows: int = TRAIN_ROWS) -> Model | None:
-    """Train on about ``train_rows`` rows of each language among the rows that
-    meet ``learn_from``, chosen by a hash of the key."""
+    """Train on about ``train_rows`` keys of each language among the rows that
+    meet ``learn_from``, chosen by a hash of the key (of the text where the key
+    is null).  A key with several rows, however many, gives one text a
+    language, and a text gives ``TRAIN_CHARS`` characters at most, so the
+    driver gets no more than ``train_rows`` x ``TRAIN_CHARS`` of them a language
+    (about).  Rows of one repeated key count once, so a table made of few keys
+    is learned from as few texts."""
     own = docs.filter(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = own.groupBy(F.col(lang).alias("lang")).count().collect()
     parts = None
     scale = 1 << 30
+    seed = F.when(F.col(key).isNull(), F.xxhash64(F.lit("langid"), F.col(text))).otherwise(
+        F.xxhash64(F.lit("langid"), F.col(key)))
     for row in sorted(counts, key=lambda r: r["lang"]):
         share = int(min(1.0, train_rows / row["count"]) * scale)
         rule = (F.col(lang) == row["lang"]) & (
-            F.pmod(F.xxhash64(F.lit("langid"), F.col(key)), F.lit(scale)) < F.lit(share))
+            F.pmod(seed, F.lit(scale)) < F.lit(share))
         parts = rule if parts is None else parts | rule
     if parts is None:
         return None
-    rows = sorted(own.filter(parts).select(F.col(key).alias("k"), F.col(text).alias("t"),
-                                           F.col(lang).alias("l")).collect(),
+    chosen = own.filter(parts).select(F.col(key).alias("k"), seed.alias("seed"), F.col(lang).alias("l"),
+                                      training_part(text, F.lit("langid"), seed).alias("t"))
+    rows = sorted(chosen.groupBy("k", "seed", "l").agg(F.min("t").alias("t")).collect(),
                   key=lambda r: (str(r["l"]), r["k"] is None, r["k"], r["t"]))
     return train([r["t"] for r in rows], [r["l"] for r in rows])
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrarium.llm.common import map_texts
+from terrarium.llm.common import map_texts, training_part
 
 CHUNK, OVERLAP = 512, 32
 WIDTH, STRIDE, EMBED, FILTERS = 8, 2, 6, 24
@@ -176,9 +176,12 @@ def train(texts: list[str], labels: list[int], seed: int = 11, steps: int = 400,
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, key: str = "doc_id",
            text: str = "text", rows: int = TRAIN_ROWS, salt: str = "quality") -> list[tuple]:
-    """(key, text, label) of at most about ``rows`` labelled rows of either
-    class, chosen by a hash of the key, in a fixed order.  A key with several
-    labels counts with the smallest."""
+    """(key, text, label) of at most about ``rows`` keys of either class,
+    chosen by a hash of the key, in a fixed order.  A key with several labels
+    counts with the smallest; one with several rows, however many, gives one
+    text, the smallest of their parts.  A text gives ``TRAIN_CHARS``
+    characters at most, so the driver gets no more than 2 x ``rows`` x
+    ``TRAIN_CHARS`` of them (about)."""
     known = (labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & learn_from)
              .groupBy(key).agg(F.min(label).alias("y")))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
@@ -188,7 +191,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, k
         share = F.when(F.col("y") == y, F.lit(int(min(1.0, rows / n) * scale))).otherwise(share)
     chosen = known.filter(F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(scale)) < share)
     # the chosen keys are bounded by ``rows``, so they go to the texts, not the texts to them
-    got = docs.select(key, text).join(F.broadcast(chosen), key).select(key, text, "y").collect()
+    part = training_part(text, F.lit(salt), F.col(key))
+    got = (docs.select(key, part.alias(text)).join(F.broadcast(chosen), key)
+           .groupBy(key, "y").agg(F.min(text).alias(text)).select(key, text, "y").collect())
     return sorted(((r[0], r[1] or "", r[2]) for r in got), key=lambda r: (r[0], r[1]))
 
 

@@ -1,12 +1,12 @@
 """Toxicity by a classifier chain of linear models.
 
 The labels say only whether a text is toxic, so the categories of the chain
-are found in the labelled texts: words and word beginnings that tell toxic
-texts from others ("markers") are put into ``FAMILIES`` families by the
-toxic texts they share, and a toxic text belongs to the families whose markers
-it has.  The chain predicts family after family and the toxic label last; each
-link is a logistic regression over the text's features and the probabilities
-of all links before it.  In training those are out-of-fold predictions, so a
+are found in the labelled texts: the toxic ones are put into ``FAMILIES``
+clusters by all their features, and belong to each to some degree.  The chain
+predicts family after family and the toxic label last; each link is a logistic
+regression over the text's features and the probabilities of all links before
+it.  A family's link does not see the features that mark the family most, so
+it has to tell the family by its company and by the families before it.  In training those are out-of-fold predictions, so a
 later link learns from probabilities as uncertain as the ones it will see.
 
 Features: which known words, and which known beginnings of ``PREFIXES``
@@ -34,9 +34,12 @@ from terrarium.llm.quality import sample
 TRAIN_ROWS = 1500
 PREFIXES = (4, 5)
 #: Features of the models (at most one for each ``TEXTS_A_FEATURE`` texts),
-#: markers that form families, and texts a feature has to occur in.
-FEATURES, TEXTS_A_FEATURE, MARKERS, MIN_TEXTS = 512, 4, 96, 4
+#: those of a family that its link does not see, and texts a feature has to
+#: occur in.
+FEATURES, TEXTS_A_FEATURE, MARKERS, MIN_TEXTS = 512, 4, 16, 4
 FAMILIES, FOLDS = 3, 5
+#: How sharply a text belongs to the nearest family.
+SHARPNESS = 8.0
 PENALTY = 0.5
 REMEMBER = 300_000
 CATEGORIES = [f"family_{k + 1}" for k in range(FAMILIES)]
@@ -63,17 +66,18 @@ def _logistic(z):
 
 
 def _fit_link(x: np.ndarray, before: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple:
-    """Logistic regression by accelerated gradient steps, both classes
-    weighted alike; a constant if there is one class only."""
+    """Logistic regression by accelerated gradient steps towards ``y`` (0 to
+    1), both classes weighted alike; a constant if there is one only."""
     n, f = x.shape
     if y.min() == y.max():
         return np.zeros(f, np.float32), np.zeros(before.shape[1]), -8.0 if y[0] == 0 else 8.0
-    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (n - y.sum())).astype(np.float32)
+    up, down = (0.5 / y.sum() * y).astype(np.float32), (0.5 / (n - y.sum()) * (1 - y)).astype(np.float32)
     w, c, b = np.zeros(f, np.float32), np.zeros(before.shape[1]), 0.0
     m = [np.zeros_like(w), np.zeros_like(c), 0.0]
     v = [np.zeros_like(w), np.zeros_like(c), 0.0]
     for step in range(1, steps + 1):
-        d = weight * (_logistic(x @ w + before @ c + b) - y)
+        p = _logistic(x @ w + before @ c + b)
+        d = down * p - up * (1 - p)
         grads = [x.T @ d + PENALTY / n * w, before.T @ d + PENALTY / n * c, d.sum()]
         new = []
         for k, (a, g) in enumerate(zip((w, c, b), grads)):
@@ -85,19 +89,23 @@ def _fit_link(x: np.ndarray, before: np.ndarray, y: np.ndarray, steps: int = 100
     return w, c, b
 
 
-def _families(x: np.ndarray, markers: list[int], toxic: np.ndarray) -> np.ndarray:
-    """Family of each marker: spherical k-means over the toxic texts it occurs
-    in, started from the marker in most texts and then the least alike ones."""
-    rows = x[toxic][:, markers].T.astype(np.float64)
+def _families(x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """How much each toxic text belongs to each family (texts, families), and
+    the features that mark each family most: spherical k-means over the texts'
+    features, rare ones weighing more, from the text most like all and then the
+    least alike ones."""
+    rows = x * np.log((len(x) + 1) / (x.sum(axis=0) + 1)).astype(np.float64)
     rows /= np.linalg.norm(rows, axis=1, keepdims=True) + 1e-12
-    centers = [rows[0]]
+    centers = [rows[np.argmax(rows @ rows.sum(axis=0))]]
     while len(centers) < min(FAMILIES, len(rows)):
         centers.append(rows[np.argmin(np.max([rows @ c for c in centers], axis=0))])
     for _ in range(20):
-        family = np.argmax(rows @ np.array(centers).T, axis=1)
-        centers = [rows[family == k].sum(axis=0) if (family == k).any() else c for k, c in enumerate(centers)]
-        centers = [c / (np.linalg.norm(c) + 1e-12) for c in centers]
-    return family
+        share = np.exp(SHARPNESS * (rows @ np.array(centers).T))
+        share /= share.sum(axis=1, keepdims=True)
+        centers = [c / (np.linalg.norm(c) + 1e-12) for c in share.T @ rows]
+    own = np.array(centers)
+    above = own - (own.sum(axis=0) - own) / max(1, len(own) - 1)      # a center against the others' mean
+    return share, [np.argsort(-a, kind="stable")[:min(MARKERS, x.shape[1] // 2)] for a in above]
 
 
 def train(keys: list, texts: list[str], toxic: list[int]) -> Chain | None:
@@ -126,27 +134,24 @@ def train(keys: list, texts: list[str], toxic: list[int]) -> Chain | None:
         for f in feats:
             if f in chain.vocabulary:
                 x[k, chain.vocabulary[f]] = 1
-    strong = [k for k, (z, f) in enumerate(ranked) if z > 0 and count[f][1] > 9 * count[f][0]][:MARKERS]
-    targets = np.zeros((n, FAMILIES + 1), np.float32)
-    if strong:
-        strong.sort(key=lambda k: (-count[ranked[k][1]][1], ranked[k][1]))
-        family = _families(x, strong, y == 1)
-        for k in range(FAMILIES):
-            columns = [c for c, own_family in zip(strong, family) if own_family == k]
-            if columns:
-                targets[:, k] = y * (x[:, columns].max(axis=1) > 0)
+    targets, hidden = np.zeros((n, FAMILIES + 1), np.float32), [np.zeros(0, int)] * (FAMILIES + 1)
+    share, marks = _families(x[y == 1])
+    targets[y == 1, :share.shape[1]] = share
+    hidden[:len(marks)] = marks
     targets[:, -1] = y
     fold = np.array([zlib.crc32(f"fold {k}".encode()) % FOLDS for k in keys])
     before = np.zeros((n, FAMILIES + 1))
     for k in range(FAMILIES + 1):
         known, target = before[:, :k], targets[:, k]
+        seen = x.copy()
+        seen[:, hidden[k]] = 0              # their weights stay 0
         if k < FAMILIES:
             for held in range(FOLDS):
                 rest = fold != held
                 if rest.any() and not rest.all():
-                    w, c, b = _fit_link(x[rest], known[rest], target[rest])
-                    before[~rest, k] = _logistic(x[~rest] @ w + known[~rest] @ c + b)
-        chain.links.append(_fit_link(x, known, target))
+                    w, c, b = _fit_link(seen[rest], known[rest], target[rest])
+                    before[~rest, k] = _logistic(seen[~rest] @ w + known[~rest] @ c + b)
+        chain.links.append(_fit_link(seen, known, target))
     return chain
 
 

@@ -74,3 +74,12 @@ def test_few_candidates_other_lengths_and_empty(spark):
     assert got == [(0, 1, 1), (0, 2, 2)]
     empty = df.filter("false")
     assert hnsw.nearest(empty, empty).count() == 0
+
+
+def test_every_shard_is_a_task_of_its_own(spark):
+    rng = np.random.default_rng(2)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    graphs = hnsw.index(df, "vec_id", "embedding", 5, shard_rows=128)
+    shards = graphs.count()
+    assert shards == 12 and len(graphs.inputFiles()) == shards

@@ -82,3 +82,37 @@ def test_number_characters_are_no_letters():
     got = langid.predict(model, texts)
     assert [x == "und" for x in got["lang_pred"]] == [True, False, True, True, False, True, True]
     assert all(s == 0.0 for s, x in zip(got["score"], got["lang_pred"]) if x == "und")
+
+
+def test_probabilities_equal_a_plain_forward_pass(model):
+    def cell(weights, data):
+        inputs, recurrent = (w.astype(float) for w in weights)
+        state, out = np.zeros(inputs.shape[-1]), []
+        for byte in data:
+            z = 1 / (1 + np.exp(-(inputs[0, byte] + state @ recurrent[0])))
+            r = 1 / (1 + np.exp(-(inputs[1, byte] + state @ recurrent[1])))
+            new = np.tanh(inputs[2, byte] + r * (state @ recurrent[2]))
+            state = z * state + (1 - z) * new
+            out.append(state)
+        return out
+
+    for text in (b"the cat", "für die katze und den hund".encode(), b"a"):
+        both = np.concatenate([cell(model.cells[0], text), cell(model.cells[1], text[::-1])[::-1]], axis=1)
+        logits = both @ model.out + model.out_bias
+        p = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+        assert np.allclose(langid.document_probabilities(model, [text])[0], p.mean(axis=0), atol=1e-3)
+
+
+@pytest.mark.parametrize("key", ["5", "CAST(NULL AS BIGINT)"])
+def test_repeated_and_missing_keys_send_a_bounded_sample(spark, monkeypatch, key):
+    got = []
+    monkeypatch.setattr(langid, "train", lambda texts, langs: got.append((texts, langs)))
+    docs = spark.range(4000).selectExpr(f"{key} AS doc_id", "concat('text ', id, repeat(' wort', 8000)) AS text",
+                                        "if(id % 2 = 0, 'en', 'de') AS lang")
+    langid.fit(docs, F.lit(True), train_rows=50)
+    (texts, langs), = got
+    if key == "5":
+        assert len(texts) <= 2
+    else:
+        assert 60 < len(texts) < 150 and set(langs) == {"en", "de"}
+    assert all(len(t) == 1 << 14 for t in texts)

@@ -113,3 +113,75 @@ def test_held_out_accuracy(spark, query, label, column, least):
         F.avg((F.col(column) == F.col("y")).cast("int")), F.count("*")).first()
     assert n > 40 and right > least
     assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_scores_equal_a_plain_forward_pass():
+    m = small_network()
+    texts = [b"", b"short one", b"twelve bytes", bytes((7 * k) % 251 + 1 for k in range(1500))]
+
+    def plain(text):
+        means, tops, n = np.zeros(quality.FILTERS), np.zeros(quality.FILTERS), 0
+        at = 0
+        while text and (at == 0 or at + quality.OVERLAP < len(text)):
+            chunk = text[at:at + quality.CHUNK]
+            best = np.zeros(quality.FILTERS)
+            for place in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE):
+                if place >= len(chunk):
+                    break
+                window = [chunk[place + k] if place + k < len(chunk) else 0 for k in range(quality.WIDTH)]
+                seen = np.concatenate([m.embed[b] for b in window])
+                for f in range(quality.FILTERS):
+                    best[f] = max(best[f], float(seen @ m.filters[:, f]) + m.bias[f])
+            means, tops, n = means + best, np.maximum(tops, best), n + 1
+            at += quality.CHUNK - quality.OVERLAP
+        z = float(np.concatenate([means / max(n, 1), tops]) @ m.dense) + m.dense_bias[0]
+        return 1 / (1 + np.exp(-z))
+
+    assert np.allclose(quality.scores(m, texts), [plain(t) for t in texts], atol=1e-5)
+
+
+def toxic_texts():
+    rng = np.random.default_rng(3)
+    names = [f"w{k}" for k in range(40)]
+    kinds = [["foulword", "vileword", "grimword"], ["nastyterm", "rudeterm", "meanterm"]]
+    toxic = [int(k % 3 == 0) for k in range(300)]
+    return [" ".join([*rng.choice(names, 8), *(rng.choice(kinds[k % 2], 2) if bad else [])])
+            for k, bad in enumerate(toxic)], toxic
+
+
+def test_probabilities_equal_a_plain_chain():
+    texts, toxic = toxic_texts()
+    chain = toxicity.train(list(range(300)), texts, toxic)
+    some = [*texts[:20], "", None, "unknownword foulword foulword"]
+    got = toxicity.probabilities(chain, some, toxicity._Columns(chain.vocabulary))
+    for text, row in zip(some, got):
+        before = []
+        for weights, earlier, bias in chain.links:
+            z = bias + sum(float(weights[c]) for f, c in chain.vocabulary.items() if f in toxicity.features(text))
+            z += sum(c * p for c, p in zip(earlier, before))
+            before.append(1 / (1 + np.exp(-z)))
+        assert np.allclose(row, before, atol=1e-5)
+
+
+def test_families_are_clusters_that_hide_their_marks():
+    texts, toxic = toxic_texts()
+    vocabulary = sorted(set().union(*map(toxicity.features, texts)))
+    x = np.array([[f in toxicity.features(t) for f in vocabulary] for t, y in zip(texts, toxic) if y], np.float32)
+    share, marks = toxicity._families(x)
+    assert np.allclose(share.sum(axis=1), 1) and len(marks) == toxicity.FAMILIES
+    chain = toxicity.train(list(range(300)), texts, toxic)
+    for weights, _, _ in chain.links[:-1]:
+        hidden = min(toxicity.MARKERS, len(chain.vocabulary) // 2)
+        assert (weights == 0).sum() >= hidden
+    assert (chain.links[-1][0] != 0).sum() > len(chain.vocabulary) // 2
+
+
+def test_the_sample_is_bounded_by_keys_and_characters(spark):
+    long = "ab " * 50_000
+    docs = spark.range(3000).selectExpr("id % 3 AS doc_id", f"concat(id, ' {'x' * 40}') AS text").union(
+        spark.createDataFrame([(3, long), (4, None), (None, "no key")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(6)], "doc_id long, quality int, toxic int")
+    rows = quality.sample(docs, labels, "quality", F.lit(True))
+    assert [r[0] for r in rows] == [0, 1, 2, 3, 4] and [r[2] for r in rows] == [0, 1, 0, 1, 0]
+    assert rows[0][1].startswith("0 x") and rows[4][1] == ""
+    assert len(rows[3][1]) == 1 << 14 and rows[3][1] in long
