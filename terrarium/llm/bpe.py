@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import json
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import public_tokenizers
 import regex
@@ -34,7 +35,9 @@ DEFAULT_FILE = "byte_bpe_50k.json"
 REMEMBER, UNSPACED = 800_000, 100_000
 #: The byte-level pattern; white space is Unicode's White_Space.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-EDGE = regex.compile("^[" + SPACE + "]|[" + SPACE + r"]\Z")
+SPACES = frozenset(regex.findall("[" + SPACE + "]", "".join(map(chr, range(0x3001)))))
+#: Marks that the pattern takes alone when they end a text after a letter.
+MARKS = frozenset(",.;:!?")
 PATTERN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d"
     r"| ?\p{L}+| ?\p{N}+| ?[^\p{L}\p{N}" + SPACE + r"]+"
@@ -75,11 +78,17 @@ class Tokenizer:
         to_byte = {c: b for b, c in enumerate(alphabet)}
         self.prefix_space = bool(pre.get("add_prefix_space"))
         self.first = [vocab[c] for c in alphabet]
+        self.mark = {c: vocab[c] for c in MARKS}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         #: a pair's key is one number: the left id times this, plus the right id
-        self.base = max(vocab.values()) + 1
+        self.base = max(vocab.values()) + 2
         self.parts = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
         self.ranks = {left * self.base + right: rank for rank, (left, right, _) in enumerate(self.parts)}
+        own = {i: b for b, i in enumerate(self.first)}
+        self.byte_ranks = {(own[left], own[right]): rank for rank, (left, right, _) in enumerate(self.parts)
+                           if left in own and right in own}
+        #: an id above all others, in no pair
+        self.none = self.base - 1
         self.strings = [b""] * (max([*vocab.values(), *(t["id"] for t in spec.get("added_tokens", []))]) + 1)
         for token, i in vocab.items():
             self.strings[i] = bytes(to_byte[c] for c in token)
@@ -98,30 +107,35 @@ class Tokenizer:
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word."""
         ranks, parts, base = self.ranks.get, self.parts, self.base
-        ids = [self.first[b] for b in word]
+        ids = [*map(self.first.__getitem__, word)]
         end = len(ids)
         if end < 2:
             return ids
-        after, before = [*range(1, end + 1)], [*range(-1, end - 1)]
-        # an entry is one number: the rank times the word's length, plus the place of the left symbol
-        queue = [rank * end + i for i, left in enumerate(ids[:-1])
-                 if (rank := ranks(left * base + ids[i + 1])) is not None]
+        # the list's ends link to a symbol that merges with none
+        ids.append(self.none)
+        after, before = [*range(1, end + 2)], [*range(-1, end)]
+        # an entry is one number: the pair's rank, then the place of its left symbol
+        bits = end.bit_length()
+        mask = (1 << bits) - 1
+        pairs = self.byte_ranks
+        queue = [pairs[pair] << bits | i for i, pair in enumerate(zip(word, word[1:])) if pair in pairs]
         heapify(queue)
         while queue:
-            rank, i = divmod(heappop(queue), end)
-            left, right, new = parts[rank]
+            entry = heappop(queue)
+            i = entry & mask
+            left, right, new = parts[entry >> bits]
             j = after[i]
-            if ids[i] != left or j == end or ids[j] != right:
+            if ids[i] != left or ids[j] != right:
                 continue                                    # stale
             ids[i], ids[j] = new, -1
             k = after[i] = after[j]
-            if k < end:
-                before[k] = i
-                if (rank := ranks(new * base + ids[k])) is not None:
-                    heappush(queue, rank * end + i)
+            before[k] = i
+            if (rank := ranks(new * base + ids[k])) is not None:
+                heappush(queue, rank << bits | i)
             h = before[i]
-            if h >= 0 and (rank := ranks(ids[h] * base + new)) is not None:
-                heappush(queue, rank * end + h)
+            if (rank := ranks(ids[h] * base + new)) is not None:
+                heappush(queue, rank << bits | h)
+        ids.pop()
         return [x for x in ids if x >= 0]
 
     def encode(self, text: str | None) -> list[int]:
@@ -143,12 +157,20 @@ class Tokenizer:
         """The ids of a piece without spaces, after a space; None if it is
         empty or has white space at an end, which the pattern may join with
         the space."""
-        if not piece or EDGE.search(piece):
+        if not piece or piece[0] in SPACES or piece[-1] in SPACES:
             return None
+        if piece.isascii():
+            # what the pattern finds in letters, and in letters and one mark
+            if piece.isalpha():
+                return tuple(self.merge(b" " + piece.encode()))
+            if piece[-1] in MARKS and piece[:-1].isalpha():
+                return (*self.spaced[piece[:-1]], self.mark[piece[-1]])
         first, *rest = PATTERN.findall(" " + piece)
         # a word with marks behind it shares the memory of the word alone
         ids = self.spaced[first[1:]] if rest and first != " " else self.merge(first.encode("utf-8"))
-        return (*ids, *(i for word in rest for i in self.words[word]))
+        for word in rest:
+            ids = (*ids, *self.words[word])
+        return tuple(ids)
 
     def _encode_plain(self, text: str, ids: list[int]) -> None:
         if not text:
@@ -158,13 +180,12 @@ class Tokenizer:
         # a word of the pattern never goes on after a single space
         first, *pieces = text.split(" ")
         found = [*map(self.spaced.__getitem__, pieces)]
-        if None in found or not first or EDGE.search(first):
+        if None in found or not first or first[0] in SPACES or first[-1] in SPACES:
             found = map(self.words.__getitem__, PATTERN.findall(text))
         else:
             for word in PATTERN.findall(first):
                 ids += self.words[word]
-        for own in found:
-            ids += own
+        ids.extend(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
