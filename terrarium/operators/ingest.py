@@ -12,6 +12,9 @@ does not know are kept in ``extra``, with their types, and the body itself in
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -65,7 +68,7 @@ def decode_body(payloads: DataFrame, schema: StructType = BODY) -> DataFrame:
                  _all=F.try_variant_get("_body", "$", FIELDS))
     names = [f.name for f in fields]
     given = F.size(F.map_filter("_all", lambda k, v: k.isin(names) & ~F.is_variant_null(v)))
-    held = F.size(F.array_compact(F.array(*[F.when(F.col("_r").getField(n).isNotNull(), 1) for n in names])))
+    held = reduce(add, [F.col("_r").getField(n).isNotNull().cast("int") for n in names])
     told = _once(read, malformed=F.coalesce(F.col("_r").isNull() | (given != held), F.lit(True)))
     extra = F.map_filter("_all", lambda k, v: ~k.isin(KNOWN))
     return told.select(*payloads.columns, *[F.col("_r").getField(n).alias(n) for n in names], extra.alias("extra"),
