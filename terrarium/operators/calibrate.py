@@ -62,56 +62,80 @@ def calibrated(readings: DataFrame, calibrations: DataFrame, sensor: str = "sens
             .withColumn("grams", X.calibrate(F.col(raw), z, k)))
 
 
-#: Readings of one sensor are dealt over this many groups of a stream's state.
+#: Sensors are dealt over this many buckets of a stream's state, and the
+#: readings of each over this many groups of its bucket.
+BUCKETS = 64
 SPREAD = 8
-_HELD = "zero_t array<long>, zero_v array<double>, one_t array<long>, one_v array<double>, t array<long>, raw array<double>"
+#: Held by a group: the names of its sensors, and packed rows that name them by place.
+_HELD = "sensors array<string>, presses binary, readings binary"
+_PRESS = np.dtype([("one", "?"), ("s", "i4"), ("t", "i8"), ("v", "f8")])
+_READING = np.dtype([("s", "i4"), ("t", "i8"), ("v", "f8")])
 _FOUND = "sensor string, timestamp timestamp, raw double, zero double, one_kg double"
 
 
-def _merged(times: np.ndarray, values: np.ndarray, mark: int) -> tuple[np.ndarray, np.ndarray]:
-    """Presses by time, of equal times the largest (-inf: no value), without
-    those before the last one at ``mark``: no reading to come meets them."""
-    order = np.lexsort((values, times))
-    times, values = times[order], values[order]
-    last = np.append(times[1:] != times[:-1], True)[:times.size]
-    times, values = times[last], values[last]
-    first = max(int(np.searchsorted(times, mark, side="right")) - 1, 0)
-    return times[first:], values[first:]
+def _rows(kind: np.dtype, **columns: np.ndarray) -> np.ndarray:
+    out = np.empty(len(columns["t"]), kind)
+    for name, values in columns.items():
+        out[name] = values
+    return out
+
+
+def _merged(presses: np.ndarray) -> np.ndarray:
+    """Presses by point, sensor and time, of equal times the largest (-inf: no value)."""
+    presses = presses[np.lexsort([presses[c] for c in ("v", "t", "s", "one")])]
+    a, b = presses[:-1], presses[1:]
+    return presses[np.append((a["one"] != b["one"]) | (a["s"] != b["s"]) | (a["t"] != b["t"]), True)[:presses.size]]
+
+
+def _still_met(presses: np.ndarray, mark: int) -> np.ndarray:
+    """Merged presses without those before a sensor's last one at ``mark``: no
+    reading to come meets them."""
+    a, b = presses[:-1], presses[1:]
+    return presses[np.append((a["one"] != b["one"]) | (a["s"] != b["s"]) | (b["t"] > mark), True)[:presses.size]]
+
+
+def _points(presses: np.ndarray, one: bool, readings: np.ndarray) -> np.ndarray:
+    """For each reading the value of its sensor's last press at or before it."""
+    own = presses[presses["one"] == one]
+    times, place = np.unique(np.concatenate([own["t"], readings["t"]]), return_inverse=True)
+    place += np.concatenate([own["s"], readings["s"]]).astype("i8") * times.size
+    at = np.searchsorted(place[:own.size], place[own.size:], side="right") - 1
+    v = np.where(np.append(own["s"], -2)[at] == readings["s"], np.append(own["v"], -np.inf)[at], -np.inf)
+    return np.where(np.isneginf(v), DEFAULT_POINT, v)
 
 
 def _as_of_watermark(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    held = [np.array(a, dtype=k) for a, k in zip(state.get if state.exists else ([],) * 6, ("i8", "f8") * 3)]
+    known, presses, readings = state.get if state.exists else ([], b"", b"")
     mark = state.getCurrentWatermarkMs() * 1000
-    parts = [[a] for a in held]
-    for f in frames:
-        t = f["micros"].to_numpy("i8")
-        raw = f["raw"].to_numpy("f8", na_value=np.nan)
-        for i, rows in enumerate((f["point"] == ZERO, f["point"] == ONE_KG, f["point"].isna())):
-            rows = rows.to_numpy(bool)
-            parts[2 * i].append(t[rows])
-            parts[2 * i + 1].append(raw[rows] if i == 2 else np.where(np.isnan(raw[rows]), -np.inf, raw[rows]))
-    held = [np.concatenate(a) for a in parts]
-    t, raw = held[4], held[5]
-    closed = t <= mark
-    points = []
-    for i in (0, 2):
-        # all presses that a closed reading can meet came before the watermark passed it
-        times, values = _merged(held[i], held[i + 1], np.iinfo("i8").min)
-        at = np.searchsorted(times, t[closed], side="right") - 1
-        v = np.append(values, -np.inf)[at]
-        points.append(np.where(np.isneginf(v), DEFAULT_POINT, v))
-        held[i], held[i + 1] = _merged(times, values, mark)
-    if closed.any():
-        yield pd.DataFrame({"sensor": key[0], "timestamp": pd.to_datetime(t[closed], unit="us"), "raw": raw[closed],
-                            "zero": points[0], "one_kg": points[1]})
-    held[4], held[5] = t[~closed], raw[~closed]
-    state.update(tuple(a.tolist() for a in held))
-    if held[4].size:
-        state.setTimeoutTimestamp(int(held[4].min()) // 1000 + 1)
+    new = [f for f in frames if len(f)]
+    codes, names = pd.factorize(np.concatenate([np.array(known, dtype=object), *[f["sensor"].to_numpy(object) for f in new]]))
+    presses, readings = [np.frombuffer(presses, _PRESS)], [np.frombuffer(readings, _READING)]
+    first = len(known)                      # codes of what is held stay; -1: no sensor
+    for f in new:
+        s, t = codes[first:first + len(f)], f["micros"].to_numpy("i8")
+        point, v = f["point"].to_numpy("i8"), f["raw"].to_numpy("f8", na_value=np.nan)
+        first += len(f)
+        saved = point >= 0
+        presses.append(_rows(_PRESS, one=point[saved] == 1, s=s[saved], t=t[saved],
+                             v=np.where(np.isnan(v[saved]), -np.inf, v[saved])))
+        readings.append(_rows(_READING, s=s[~saved], t=t[~saved], v=v[~saved]))
+    # all presses that a closed reading can meet came before the watermark passed it
+    presses, readings = _merged(np.concatenate(presses)), np.concatenate(readings)
+    closed = readings[readings["t"] <= mark]
+    if closed.size:
+        yield pd.DataFrame({"sensor": np.append(names, None)[closed["s"]], "timestamp": pd.to_datetime(closed["t"], unit="us"),
+                            "raw": closed["v"], "zero": _points(presses, False, closed), "one_kg": _points(presses, True, closed)})
+    presses, readings = _still_met(presses, mark).copy(), readings[readings["t"] > mark].copy()
+    used = np.union1d(presses["s"], readings["s"][readings["s"] >= 0])
+    for rows in (presses, readings):
+        rows["s"] = np.where(rows["s"] < 0, -1, np.searchsorted(used, rows["s"]))
+    state.update((names[used].tolist(), presses.tobytes(), readings.tobytes()))
+    if readings.size:
+        state.setTimeoutTimestamp(int(readings["t"].min()) // 1000 + 1)
 
 
 def calibrated_stream(readings: DataFrame, presses: DataFrame, watermark: str = "10 minutes",
-                      spread: int = SPREAD) -> DataFrame:
+                      spread: int = SPREAD, buckets: int = BUCKETS) -> DataFrame:
     """Q11 while the stream runs: ``readings`` (sensor, timestamp, raw) and
     ``presses`` (sensor, point, timestamp, raw) are streams; a reading comes
     out, with the points that ``calibrated`` would give it, once the watermark
@@ -120,17 +144,24 @@ def calibrated_stream(readings: DataFrame, presses: DataFrame, watermark: str =
     The state of a sensor is its latest press of each point and what is newer
     than the watermark, however long a press holds.  (A join of the two
     streams on an interval holds back what is windowed on top of it for the
-    whole interval, as long as a press may hold.)  Readings of a sensor
-    are dealt over ``spread`` groups, each of which gets the sensor's few
-    presses.  Late rows are dropped; readings without a sensor get the
-    defaults; rows without a time are left out; a press without a value counts as never saved."""
+    whole interval, as long as a press may hold.)  Sensors are dealt over
+    ``buckets``, as one call for each sensor costs far more than its rows;
+    readings of a sensor are dealt over ``spread`` groups of its bucket, each
+    of which gets the sensor's few presses.  Late rows are dropped; readings
+    without a sensor get the defaults, in any bucket; rows without a time are
+    left out; a press without a value counts as never saved."""
     micros = F.unix_micros("timestamp").alias("micros")
-    deal = F.pmod(F.xxhash64("timestamp", "raw"), F.lit(spread)).cast("int").alias("part")
-    rows = readings.select("sensor", deal, F.lit(None).cast("string").alias("point"), "timestamp", "raw")
+    bucket = F.pmod(F.xxhash64("sensor"), F.lit(buckets)).cast("int")
+    deal = F.xxhash64("timestamp", "raw")
+    anywhere = F.pmod(F.shiftright(deal, 16), F.lit(buckets)).cast("int")
+    rows = readings.select(
+        F.when(F.col("sensor").isNull(), anywhere).otherwise(bucket).alias("bucket"),
+        F.pmod(deal, F.lit(spread)).cast("int").alias("part"), "sensor", F.lit(-1).alias("point"), "timestamp", "raw")
     saved = presses.where(F.col("point").isin(ZERO, ONE_KG) & F.col("sensor").isNotNull()).select(
-        "sensor", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part"), "point", "timestamp", "raw")
+        bucket.alias("bucket"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part"), "sensor",
+        (F.col("point") == ONE_KG).cast("int").alias("point"), "timestamp", "raw")
     both = (rows.unionByName(saved).where(F.col("timestamp").isNotNull()).withWatermark("timestamp", watermark)
-            .select("sensor", "part", "point", "timestamp", "raw", micros))
-    found = both.groupBy("sensor", "part").applyInPandasWithState(
+            .select("bucket", "part", "sensor", "point", "timestamp", "raw", micros))
+    found = both.groupBy("bucket", "part").applyInPandasWithState(
         _as_of_watermark, _FOUND, _HELD, "append", GroupStateTimeout.EventTimeTimeout)
     return found.withColumn("grams", X.calibrate(F.col("raw"), F.col("zero"), F.col("one_kg")))
