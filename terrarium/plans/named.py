@@ -13,6 +13,7 @@ from pyspark.sql.types import DoubleType
 
 from terrarium.functions import expr as X
 from terrarium.operators import calibrate, clean, derive, ingest
+from terrarium.operators.numbering import number_within
 from terrarium.operators.rollup import rollup
 from terrarium.plans import fixture as FX
 from terrarium.session import ensure_utc, shared_dir
@@ -176,7 +177,7 @@ def q_parse_timestamps(spark, sf_dir):
 
 
 def q_json_project(spark, sf_dir):
-    good, _ = decode(EV.log_from_events(_events(spark, sf_dir)), ntz=True)
+    good, _ = decode(EV.log_from_events(_events(spark, sf_dir), numbered=True), ntz=True)
     return good.select("topic", "partition", "offset", "timestamp", "sensor", "grams",
                        "stddev", "temperature_c", X.tag("plant").alias("plant"),
                        X.tag("user").alias("user"))

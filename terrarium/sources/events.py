@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrarium.functions import expr as X
+from terrarium.operators.numbering import number_within
 
 READINGS_TOPIC = "readings"
 LOG_PARTITIONS = 4
@@ -65,19 +66,23 @@ def reading_json(readings: DataFrame) -> F.Column:
 
 
 def log_from_events(events: DataFrame, topic: str = READINGS_TOPIC,
-                    partitions: int = LOG_PARTITIONS) -> DataFrame:
+                    partitions: int = LOG_PARTITIONS, numbered: bool = False) -> DataFrame:
     """LOG records (D1) for ``events``: partition = user_id % n, offset =
-    event_id, key null, value = the reading's JSON, log time = the reading
+    event_id (``numbered``: dense within a partition, in the order of
+    event_id), key null, value = the reading's JSON, log time = the reading
     time."""
     parted = events.withColumn(
         "partition", F.pmod(F.col("user_id"), F.lit(partitions)).cast("int"))
     readings = readings_from_events(parted, keep=("partition",))
+    position = F.col("event_id").cast("long")
+    if numbered:
+        readings, position = number_within(readings, ["partition"], "event_id", "_offset"), F.col("_offset")
     return readings.select(
         F.lit(None).cast("binary").alias("key"),
-        F.encode(reading_json(readings.drop("partition")), "UTF-8").alias("value"),
+        F.encode(reading_json(readings.drop("partition", "_offset")), "UTF-8").alias("value"),
         F.lit(topic).alias("topic"),
         F.col("partition"),
-        F.col("event_id").cast("long").alias("offset"),
+        position.alias("offset"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
     )
 
