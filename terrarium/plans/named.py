@@ -218,17 +218,22 @@ SNAPSHOT_SINCE = "2024-01-15 00:00:00"
 ROLLUP_TOPIC = "weights-10min"
 
 
-def rollup_log(weights: DataFrame) -> DataFrame:
+def rollup_log(weights: DataFrame, numbered: bool = False) -> DataFrame:
     """A keyed change log like the one the weights rollup writes: every
     cleaned weight emits its window's record (key = window start + sensor),
     so the newest record per key is the window's last reading.  One key
-    stays in one log partition (window index mod 4)."""
+    stays in one log partition (window index mod 4).  Offsets are event_id
+    (``numbered``: dense within a log partition, in the order of event_id)."""
     w = weights.select("event_id", "timestamp", "sensor", "grams",
                        window_col("timestamp", "10 minutes").start.alias("start"))
     framed = w.select("event_id", F.col("start").alias("timestamp"), "sensor", "grams",
                       F.col("timestamp").alias("_logged"))
     part = F.pmod(F.floor(F.unix_seconds(F.col("timestamp").cast("timestamp")) / 600), F.lit(4))
-    return to_records(framed, ROLLUP_TOPIC, part, F.col("event_id"), F.col("_logged"),
+    position = F.col("event_id")
+    if numbered:
+        framed = number_within(framed.withColumn("_part", part), ["_part"], "event_id", "_offset")
+        part, position = F.col("_part"), F.col("_offset")
+    return to_records(framed, ROLLUP_TOPIC, part, position, F.col("_logged"),
                       key_cols=["timestamp", "sensor"],
                       value_cols=["timestamp", "sensor", "grams"],
                       time_text=X.format_ts(F.col("timestamp").cast("timestamp")))
@@ -278,7 +283,7 @@ def q_shared_key_snapshot(spark, sf_dir):
 
 
 def q_latest_by_key(spark, sf_dir):
-    recs = rollup_log(weights_df(spark, sf_dir))
+    recs = rollup_log(weights_df(spark, sf_dir), numbered=True)
     latest = latest_by_key(recs, ["topic", "key"], ["offset"])
     text = F.col("value").cast("string")
     return latest.select(

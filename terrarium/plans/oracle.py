@@ -326,9 +326,12 @@ klog_n AS (
 )"""
 
 SQL.update({
-    "latest_by_key": f"""WITH {KEYED}
+    "latest_by_key": f"""WITH {KEYED},
+numbered AS (
+  SELECT * REPLACE (row_number() OVER (PARTITION BY "partition" ORDER BY event_id) - 1 AS "offset") FROM klog_n
+)
 SELECT key, "partition", "offset", start AS "timestamp", sensor, grams
-FROM klog_n QUALIFY row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) = 1""",
+FROM numbered QUALIFY row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) = 1""",
     "snapshot_since": f"""WITH {KEYED},
 kept AS (
   SELECT * FROM klog_n WHERE logged >= TIMESTAMP '{SINCE}' AND start > TIMESTAMP '{SINCE}'

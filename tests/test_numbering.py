@@ -66,6 +66,15 @@ def test_projected_offsets_number_each_log_partition(spark, tmp):
     assert sorted(map(tuple, got.collect()), key=str) == _sql(tmp, "json_project")
 
 
+def test_latest_offsets_number_each_log_partition(spark, tmp):
+    # 3 records of a key, 4 log partitions by window; what is not a weight has no number
+    rows = [(100 - i if i % 2 else 100 + i, 3 * i, 1, 20.0 + i if i % 5 else 1.0) for i in range(40)]
+    got = named.q_latest_by_key(spark, _written(spark, tmp, rows)).collect()
+    assert sorted(map(tuple, got), key=str) == _sql(tmp, "latest_by_key")
+    weights = 32
+    assert all(r.offset < weights for r in got) and min(r.event_id for r in _events(spark, rows).collect()) > weights
+
+
 def test_stored_records_keep_the_callers_offsets(spark):
     recs = EV.log_from_events(_events(spark, [(7, 0, 1, 30.0), (3, 1, 1, 30.0)]))
     assert sorted(r.offset for r in recs.collect()) == [3, 7]
